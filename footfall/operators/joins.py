@@ -1,0 +1,30 @@
+"""Join helpers.
+
+Broadcasting is only done behind a size check. Dimension tables whose
+cardinality is bounded by the domain (cities, areas, ad blacklists) are
+tested with a cheap ``limit(n+1).count()``; anything over the bound is left
+to Spark, whose own ``autoBroadcastJoinThreshold`` (checked against plan
+statistics) and AQE (checked against the real shuffle sizes) then choose
+between broadcast and sort-merge at run time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows under which a dimension may be broadcast explicitly. 200k narrow rows
+# stay well under a few MB per executor.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most n+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df``."""
+    if row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
