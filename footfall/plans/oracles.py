@@ -70,7 +70,61 @@ AREA = {
 }
 
 
+# --- J2: ad-click stream ----------------------------------------------------
+# Two arrivals split at 2024-01-16 12:00:00, blacklist seeded with customers in
+# debt, threshold 4; batch 1 excludes users flagged by batch 0.
+
+_AD = """
+WITH log AS (
+  SELECT epoch_us(e.ts) // 1000 AS ts_ms,
+         strftime(e.ts, '%Y-%m-%d') AS date, strftime(e.ts, '%Y%m%d') AS date_key,
+         replace(r.r_name, ' ', '-') AS province, n.n_name AS city, e.user_id,
+         CAST(list_position(['click', 'view', 'purchase', 'signup', 'error'], e.event_type) AS BIGINT) AS ad_id,
+         CAST(CASE WHEN e.ts < TIMESTAMP '2024-01-16 12:00:00' THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey
+       JOIN region r ON n.n_regionkey = r.r_regionkey),
+seed AS (SELECT c_custkey AS user_id FROM customer WHERE c_acctbal < 0),
+f0 AS (SELECT * FROM log WHERE batch_id = 0
+       AND NOT EXISTS (SELECT 1 FROM seed s WHERE s.user_id = log.user_id)),
+d0 AS (SELECT 0 AS batch_id, date, user_id, ad_id, COUNT(*) AS click_count FROM f0 GROUP BY date, user_id, ad_id),
+new0 AS (SELECT DISTINCT user_id FROM d0 WHERE click_count >= 4),
+f1 AS (SELECT * FROM log WHERE batch_id = 1
+       AND NOT EXISTS (SELECT 1 FROM seed s WHERE s.user_id = log.user_id)
+       AND NOT EXISTS (SELECT 1 FROM new0 s WHERE s.user_id = log.user_id)),
+d1 AS (SELECT 1 AS batch_id, date, user_id, ad_id, COUNT(*) AS click_count FROM f1 GROUP BY date, user_id, ad_id),
+deltas AS (SELECT * FROM d0 UNION ALL SELECT * FROM d1),
+tot AS (SELECT date, user_id, ad_id, CAST(SUM(click_count) AS BIGINT) AS click_count
+        FROM deltas GROUP BY date, user_id, ad_id),
+new1 AS (SELECT DISTINCT t.user_id FROM tot t
+         WHERE t.click_count >= 4
+           AND EXISTS (SELECT 1 FROM d1 WHERE d1.date = t.date AND d1.user_id = t.user_id AND d1.ad_id = t.ad_id)
+           AND NOT EXISTS (SELECT 1 FROM seed s WHERE s.user_id = t.user_id)
+           AND NOT EXISTS (SELECT 1 FROM new0 s WHERE s.user_id = t.user_id)),
+filtered AS (SELECT * FROM f0 UNION ALL SELECT * FROM f1),
+city AS (SELECT date_key, province, city, ad_id, COUNT(*) AS click_count
+         FROM filtered GROUP BY date_key, province, city, ad_id),
+prov AS (SELECT date_key, province, ad_id, CAST(SUM(click_count) AS BIGINT) AS click_count
+         FROM city GROUP BY date_key, province, ad_id)
+"""
+
+AD = {
+    "ad_log_parse": _AD + "SELECT ts_ms, date, province, city, user_id, ad_id FROM log",
+    "ad_blacklist_filter": _AD + "SELECT ts_ms, date, province, city, user_id, ad_id, batch_id FROM filtered",
+    "daily_user_ad_count": _AD + "SELECT CAST(batch_id AS BIGINT) AS batch_id, date, user_id, ad_id, click_count FROM deltas",
+    "ad_user_click_total": _AD + "SELECT date, user_id, ad_id, click_count FROM tot",
+    "ad_blacklist_update": _AD + """SELECT user_id, CAST(0 AS BIGINT) AS batch_id FROM new0
+UNION ALL SELECT user_id, CAST(1 AS BIGINT) AS batch_id FROM new1""",
+    "ad_realtime_stat": _AD + "SELECT date_key, province, city, ad_id, click_count FROM city",
+    "ad_province_top3": _AD + """SELECT date_key AS date, province, ad_id, click_count
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date_key, province
+                                   ORDER BY click_count DESC, ad_id ASC) AS rn FROM prov) t
+WHERE rn <= 3""",
+}
+
+
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(AREA)
+    out.update(AD)
     return out

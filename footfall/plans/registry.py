@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.plans import area_jobs
+from footfall.plans import ad_jobs, area_jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,4 +23,12 @@ def all_queries() -> dict[str, Query]:
         "area_top10_product_lineitem": area_jobs.area_top10_product_lineitem,
         "area_top10_persist": area_jobs.area_top10_persist,
         "task_params": area_jobs.task_params,
+        # J2 ad-click stream
+        "ad_log_parse": ad_jobs.ad_log_parse,
+        "ad_blacklist_filter": ad_jobs.ad_blacklist_filter,
+        "daily_user_ad_count": ad_jobs.daily_user_ad_count,
+        "ad_user_click_total": ad_jobs.ad_user_click_total,
+        "ad_blacklist_update": ad_jobs.ad_blacklist_update,
+        "ad_realtime_stat": ad_jobs.ad_realtime_stat,
+        "ad_province_top3": ad_jobs.ad_province_top3,
     }
