@@ -123,8 +123,97 @@ WHERE rn <= 3""",
 }
 
 
+# --- J4 / J5 / J3: sessions, behaviour, cells ---------------------------------
+
+_SESS = """
+WITH acts AS (
+  SELECT user_id, ts, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+users AS (
+  SELECT c_custkey AS user_id, 18 + c_custkey % 50 AS age, c_mktsegment AS professional,
+         n_name AS city, CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+sess AS (
+  SELECT user_id, CAST(user_id AS VARCHAR) || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS session_id,
+         date_trunc('second', MIN(ts)) AS st, date_trunc('second', MAX(ts)) AS et,
+         COUNT(*) AS step_length,
+         array_to_string(list_sort(list_distinct(list(event_type))), ',') AS search_keywords,
+         NULLIF(array_to_string(list_sort(list_distinct(list(k) FILTER (WHERE event_type = 'click'))), ','), '')
+           AS click_category_ids
+  FROM acts GROUP BY user_id, CAST(ts AS DATE)),
+s AS (
+  SELECT sess.session_id, sess.search_keywords, sess.click_category_ids, sess.step_length,
+         strftime(st, '%Y-%m-%d %H:%M:%S') AS start_time, strftime(et, '%Y-%m-%d %H:%M:%S') AS end_time,
+         CAST(epoch(et) - epoch(st) AS BIGINT) AS visit_length, st < et AS multi_second,
+         u.age, u.professional, u.city, u.sex
+  FROM sess JOIN users u ON sess.user_id = u.user_id),
+slot AS (
+  SELECT CAST(epoch(date_trunc('second', MAX(ts))) - epoch(date_trunc('second', MIN(ts))) AS BIGINT) AS visit_length,
+         COUNT(*) AS step_length
+  FROM acts GROUP BY epoch_us(ts) // 600000000),
+kinds AS (
+  SELECT 'user_day' AS session_kind, visit_length, step_length FROM s
+  UNION ALL SELECT 'slot10m', visit_length, step_length FROM slot)
+"""
+
+
+def _ratio(cond: str) -> str:
+    return f"CAST((COUNT(*) FILTER (WHERE {cond}) * 200 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100"
+
+
+_VISIT = [("1s_4s", 1, 4), ("4s_7s", 4, 7), ("7s_10s", 7, 10), ("10s_30s", 10, 30),
+          ("30s_60s", 30, 60), ("1m_3m", 60, 180), ("3m_10m", 180, 600), ("10m_30m", 600, 1800),
+          ("30m", 1800, None)]
+_STEP = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_29", 10, 29), ("30_59", 30, 59),
+         ("60", 60, None)]
+_STAT_COLS = ",\n  ".join(
+    [f"{_ratio(f'visit_length >= {lo}' + (f' AND visit_length < {hi}' if hi else ''))} AS visit_length_{n}_ratio"
+     for n, lo, hi in _VISIT]
+    + [f"{_ratio(f'step_length >= {lo}' + (f' AND step_length <= {hi}' if hi else ''))} AS step_length_{n}_ratio"
+       for n, lo, hi in _STEP])
+
+_BAG = ("'sessionid=' || session_id || '|searchKeywords=' || search_keywords || "
+        "'|clickCategoryIds=' || COALESCE(click_category_ids, '') || '|age=' || CAST(age AS VARCHAR) || "
+        "'|professional=' || professional || '|city=' || city || '|sex=' || sex || "
+        "'|visitLength=' || CAST(visit_length AS VARCHAR) || '|stepLength=' || CAST(step_length AS VARCHAR) || "
+        "'|startTime=' || start_time")
+
+_CITIES = ", ".join(f"'NATION_{i}'" for i in range(13))
+
+SESSIONS = {
+    "session_attr_extract": _SESS + """SELECT session_id, search_keywords, click_category_ids, age,
+  professional, city, sex, visit_length, step_length, start_time FROM s""",
+    "session_attr_update": _SESS + f"SELECT session_id, {_BAG} AS bag FROM s",
+    "session_keywords": _SESS + """SELECT session_id, search_keywords,
+  COALESCE(click_category_ids, '') AS click_category_ids,
+  click_category_ids IS NOT NULL AS has_click_categories FROM s""",
+    "session_filter": _SESS + f"""SELECT session_id, age, professional, city, sex, search_keywords FROM s
+WHERE age BETWEEN 20 AND 40 AND professional IN ('BUILDING', 'MACHINERY')
+  AND city IN ({_CITIES}) AND sex = 'female'
+  AND list_has_any(string_split(search_keywords, ','), ['click', 'purchase'])""",
+    "session_visit_length": _SESS + """SELECT session_id, start_time, end_time, visit_length, step_length,
+  multi_second FROM s""",
+    "session_aggr_stat": _SESS + f"""SELECT session_kind, COUNT(*) AS session_count,
+  {_STAT_COLS}
+FROM kinds GROUP BY session_kind""",
+    "visit_hourly": """SELECT strftime(ts, '%Y-%m-%d_%H') AS date_hour, strftime(ts, '%H') AS hour,
+  COUNT(*) AS action_count, COUNT(*) FILTER (WHERE event_type = 'click') AS click_count
+FROM events GROUP BY 1, 2""",
+    "visit_minutely": """SELECT strftime(ts, '%Y%m%d%H%M') AS minute_key, COUNT(*) AS action_count
+FROM events GROUP BY 1""",
+    "category_behavior_count": """SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS category_id,
+  COUNT(*) FILTER (WHERE event_type = 'click') AS click_count,
+  COUNT(*) FILTER (WHERE event_type = 'purchase') AS order_count,
+  COUNT(*) FILTER (WHERE event_type = 'signup') AS pay_count
+FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1""",
+    "kv_cells": """SELECT hex(event_type) AS row_key_hex, 'info' AS family, 'count' AS qualifier,
+  lpad(hex(COUNT(*)), 16, '0') AS value_hex
+FROM events GROUP BY event_type""",
+}
+
+
 def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(AREA)
     out.update(AD)
+    out.update(SESSIONS)
     return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.plans import ad_jobs, area_jobs
+from footfall.plans import ad_jobs, area_jobs, session_jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,4 +31,15 @@ def all_queries() -> dict[str, Query]:
         "ad_blacklist_update": ad_jobs.ad_blacklist_update,
         "ad_realtime_stat": ad_jobs.ad_realtime_stat,
         "ad_province_top3": ad_jobs.ad_province_top3,
+        # J4 / J5 sessions and behaviour, J3 cells
+        "session_attr_extract": session_jobs.session_attr_extract,
+        "session_attr_update": session_jobs.session_attr_update,
+        "session_keywords": session_jobs.session_keywords,
+        "session_filter": session_jobs.session_filter,
+        "session_visit_length": session_jobs.session_visit_length,
+        "session_aggr_stat": session_jobs.session_aggr_stat,
+        "visit_hourly": session_jobs.visit_hourly,
+        "visit_minutely": session_jobs.visit_minutely,
+        "category_behavior_count": session_jobs.category_behavior_count,
+        "kv_cells": session_jobs.kv_cells,
     }
