@@ -7,6 +7,8 @@ names unless noted) and is null-safe in the way the reference's helper is.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,34 +52,46 @@ def fulfill(s) -> Column:
     return F.when(F.length(s) == 2, s).otherwise(F.concat(F.lit("0"), s))
 
 
-def bag_get(bag, field, delimiter: str = BAG_DELIMITER) -> Column:
+def _bag_text(bag, delimiter: str) -> Column:
+    """The bag with '|' between pieces and no trailing empty pieces."""
+    b = _c(bag)
+    if delimiter != BAG_DELIMITER:
+        b = F.array_join(F.split(b, delimiter), "|")
+    return F.regexp_replace(b, r"\|+$", "")
+
+
+def _quote(field: str) -> str:
+    return re.escape(field)
+
+
+def bag_get(bag, field: str, delimiter: str = BAG_DELIMITER) -> Column:
     """Value of ``field`` in a ``k=v|k=v`` bag (ST1).
 
     The first piece ``name=value`` whose name matches wins; pieces with an
     empty value or with more than one value (``k=``, ``k==v``, ``k=a=b``)
     are skipped, trailing '=' are ignored. No match -> NULL.
+    One anchored regex: linear in the bag and inside whole-stage codegen.
     """
-    pieces = F.split(_c(bag), delimiter)
-    usable = F.filter(
-        pieces,
-        lambda p: p.rlike(r"^[^=]*=[^=]+=*$") & (F.get(F.split(p, "="), 0) == _lit(field)),
-    )
-    return F.get(F.transform(usable, lambda p: F.get(F.split(p, "="), 1)), 0)
+    # A leading '|' lets the pattern start with a literal (an alternation
+    # such as (?:^|\|) defeats the regex engine's prefix scan, ~5x slower).
+    pattern = rf"\|{_quote(field)}=([^=|]+)=*(?=\||$)"
+    text = _c(bag) if delimiter == BAG_DELIMITER else F.array_join(F.split(_c(bag), delimiter), "|")
+    # element 0 of all matches: evaluated once, NULL when there is none
+    return F.get(F.regexp_extract_all(F.concat(F.lit("|"), text), F.lit(pattern), 1), 0)
 
 
-def bag_set(bag, field, value, delimiter: str = BAG_DELIMITER, joiner: str = "|") -> Column:
-    """Replace the first ``field=...`` piece of a bag by ``field=value`` (ST2).
+def bag_set(bag, field: str, value, delimiter: str = BAG_DELIMITER) -> Column:
+    """Replace the first piece named ``field`` by ``field=value`` (ST2).
 
-    Absent field -> bag unchanged (trailing empty pieces dropped); pieces are
-    joined with ``|`` whatever the split delimiter.
+    A piece's name is the text before its first '='. Absent field -> bag
+    unchanged; trailing empty pieces are dropped and pieces are joined with
+    ``|`` whatever the split delimiter.
     """
-    field_c = _lit(field)
-    trimmed = F.regexp_replace(_c(bag), f"({delimiter})+$", "")
-    pieces = F.split(trimmed, delimiter)
-    pos = F.array_position(F.transform(pieces, lambda p: F.get(F.split(p, "="), 0)), field_c)
-    new_piece = F.concat(field_c, F.lit("="), _lit(value).cast("string"))
-    return F.array_join(
-        F.transform(pieces, lambda p, i: F.when(i + 1 == pos, new_piece).otherwise(p)), joiner)
+    # lazily skip whole pieces until the first one named `field`
+    pattern = rf"^((?:[^|]*\|)*?){_quote(field)}(?:=[^|]*)?(?=\||$)"
+    literal = F.regexp_replace(_lit(value).cast("string"), r"([\\$])", r"\\$1")
+    replacement = F.concat(F.lit("$1" + field.replace("\\", "\\\\").replace("$", "\\$") + "="), literal)
+    return F.regexp_replace(_bag_text(bag, delimiter), pattern, replacement)
 
 
 def bag_of(**fields) -> Column:

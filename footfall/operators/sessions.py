@@ -77,9 +77,9 @@ def session_facts(actions: DataFrame, session_key: list[Column | str],
             .agg(F.min(t).alias("start_ts"), F.max(t).alias("end_ts"),
                  F.count(F.lit(1)).alias("step_length"),
                  F.array_join(F.array_sort(F.collect_set("action_type")), ",").alias("search_keywords"),
-                 F.array_join(F.transform(F.array_sort(F.collect_set(
-                     F.when(F.col("action_type") == "click", F.col("category_id")))),
-                     lambda e: e.cast("string")), ",")
+                 F.array_join(F.array_sort(F.collect_set(
+                     F.when(F.col("action_type") == "click", F.col("category_id"))))
+                     .cast("array<string>"), ",")
                  .alias("click_category_ids")))
 
 
