@@ -25,7 +25,7 @@ def long_be_bytes(c) -> Column:
 def be_bytes_long(c) -> Column:
     """Inverse of ``long_be_bytes``."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.conv(F.hex(c), 16, 10).cast("decimal(20,0)").cast("bigint")
+    return F.conv(F.hex(c), 16, -10).cast("bigint")   # negative base: signed
 
 
 def to_cells(df: DataFrame, key_col: str, value_col: str,

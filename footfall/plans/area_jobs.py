@@ -91,9 +91,14 @@ def persist_top_n(result: DataFrame, task_id: int, path: str) -> None:
      .partitionBy("task_id").parquet(path))
 
 
+PERSIST_SCHEMA = ("area STRING, area_level STRING, product_id BIGINT, click_count BIGINT, "
+                  "city_infos STRING, product_name STRING, product_status STRING, task_id BIGINT")
+
+
 def read_persisted(spark: SparkSession, path: str, task_id: int) -> DataFrame:
-    df = spark.read.parquet(path).where(F.col("task_id") == F.lit(task_id))
-    return df.select(F.col("task_id").cast("bigint").alias("task_id"), *at.TOP_N_COLUMNS)
+    """The persisted rows of one task (partition pruned on task_id)."""
+    df = spark.read.schema(PERSIST_SCHEMA).parquet(path).where(F.col("task_id") == F.lit(task_id))
+    return df.select("task_id", *at.TOP_N_COLUMNS)
 
 
 # The registered persist query runs as this task id over the event month.
@@ -108,13 +113,17 @@ def area_top10_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_task(spark: SparkSession, sf_dir: str, task_id: int, path: str,
-             n: int = TOP_N) -> DataFrame:
-    """The task-parameterised job: task row -> date window -> Top-N -> persist."""
+             n: int = TOP_N, source: str = "events") -> DataFrame:
+    """The task-parameterised job: task row -> date window -> Top-N -> persist.
+
+    ``source`` picks the visit actions: "events" or "lineitem".
+    """
     ensure_utc(spark)
     start, end = task_window(tb.tasks(spark, sf_dir), task_id)
     if start is None or end is None:
         raise ValueError(f"task {task_id} has no startDate/endDate")
-    result = at.area_top_products(tb.user_visit_action(spark, sf_dir), tb.city_info(spark, sf_dir),
+    actions = (tb.user_visit_action_big if source == "lineitem" else tb.user_visit_action)(spark, sf_dir)
+    result = at.area_top_products(actions, tb.city_info(spark, sf_dir),
                                   tb.product_info(spark, sf_dir), start, end, n,
                                   at.TESTDATA_AREA_LEVELS)
     persist_top_n(result, task_id, path)
