@@ -62,6 +62,7 @@ AREA = {
     "area_level": _EV["level"],
     "area_top10_product": _EV["top"],
     "area_top10_product_lineitem": _BIG["top"],
+    "area_top10_product_sql": _EV["top"],
     "area_top10_persist": f"SELECT CAST(1 AS BIGINT) AS task_id, t.* FROM ({_EV['top']}) t",
     "task_params": """
   SELECT o_orderkey AS task_id, strftime(o_orderdate, '%Y-%m-%d') AS start_date,

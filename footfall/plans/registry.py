@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.plans import ad_jobs, area_jobs, session_jobs
+from footfall.plans import ad_jobs, area_jobs, session_jobs, sql_surface
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def all_queries() -> dict[str, Query]:
         "area_top10_product": area_jobs.area_top10_product,
         "area_top10_product_lineitem": area_jobs.area_top10_product_lineitem,
         "area_top10_persist": area_jobs.area_top10_persist,
+        "area_top10_product_sql": sql_surface.area_top10_product_sql,
         "task_params": area_jobs.task_params,
         # J2 ad-click stream
         "ad_log_parse": ad_jobs.ad_log_parse,
