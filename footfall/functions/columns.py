@@ -190,6 +190,16 @@ def time_minus_seconds(t1, t2) -> Column:
     return F.coalesce(diff, F.lit(0).cast("bigint"))
 
 
+def today() -> Column:
+    """DT8: today as 'yyyy-MM-dd' (a job default, never inside oracle queries)."""
+    return F.date_format(F.current_date(), DATE_FORMAT)
+
+
+def yesterday() -> Column:
+    """DT8."""
+    return F.date_format(F.date_sub(F.current_date(), 1), DATE_FORMAT)
+
+
 def epoch_millis(ts) -> Column:
     """Epoch milliseconds of a timestamp (either flavour), truncating micros."""
     return F.unix_millis(_c(ts).cast("timestamp"))

@@ -134,3 +134,13 @@ def test_long_bytes(spark):
     assert [r.h for r in out] == ["000000000000000F", "FFFFFFFFFFFFFFFF", "0000000000000000",
                                   "0000010000000007"]
     assert [r.b for r in out] == [15, -1, 0, 2**40 + 7]
+
+
+def test_cli_task_id_and_defaults(spark):
+    from footfall.plans.cli import parse_task_id
+
+    assert parse_task_id(["42"]) == 42
+    assert parse_task_id([]) is None
+    assert parse_task_id(["x"]) is None
+    r = spark.range(1).select(fc.today().alias("t"), fc.yesterday().alias("y")).first()
+    assert len(r.t) == 10 and r.y < r.t
