@@ -64,22 +64,28 @@ STEP_BUCKETS = [
 AGGR_STAT_COLUMNS = ["session_count"] + [b[0] for b in VISIT_BUCKETS] + [b[0] for b in STEP_BUCKETS]
 
 
-def session_facts(actions: DataFrame, session_key: list[Column | str],
+def session_facts(actions: DataFrame, session_key: list[str],
                   time_col: str = "action_time") -> DataFrame:
     """One row per session: start/end time, step count, sorted distinct
     action types and clicked category ids.
 
-    ``actions`` needs ``action_type`` and ``category_id`` (NULL unless a
-    click) besides the time and key columns.
+    ``actions`` needs ``action_type`` and ``category_id`` besides the time
+    and the key columns (names). Two levels: a codegen'd hash aggregate per
+    (session, type, category) with map-side combine reduces the raw actions
+    first; the distinct sets are collected over those rows only (bounded
+    per session by types x categories), so a hot session never makes an
+    object aggregate sort raw rows.
     """
     t = F.col(time_col)
-    return (actions.groupBy(*session_key)
-            .agg(F.min(t).alias("start_ts"), F.max(t).alias("end_ts"),
-                 F.count(F.lit(1)).alias("step_length"),
+    per_kind = (actions.groupBy(*session_key, "action_type", "category_id")
+                .agg(F.min(t).alias("_first"), F.max(t).alias("_last"),
+                     F.count(F.lit(1)).alias("_n")))
+    clicked = F.when(F.col("action_type") == "click", F.col("category_id"))
+    return (per_kind.groupBy(*session_key)
+            .agg(F.min("_first").alias("start_ts"), F.max("_last").alias("end_ts"),
+                 F.sum("_n").alias("step_length"),
                  F.array_join(F.array_sort(F.collect_set("action_type")), ",").alias("search_keywords"),
-                 F.array_join(F.array_sort(F.collect_set(
-                     F.when(F.col("action_type") == "click", F.col("category_id"))))
-                     .cast("array<string>"), ",")
+                 F.array_join(F.array_sort(F.collect_set(clicked)).cast("array<string>"), ",")
                  .alias("click_category_ids")))
 
 

@@ -39,8 +39,9 @@ def user_day_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slot_sessions(spark: SparkSession, sf_dir: str, minutes: int = 10) -> DataFrame:
     """Sessions as fixed time slots over all users (short visit lengths)."""
     ensure_utc(spark)
-    acts = user_actions(spark, sf_dir)
-    facts = ss.session_facts(acts, [F.window("action_time", f"{minutes} minutes").alias("slot")])
+    acts = user_actions(spark, sf_dir).withColumn(
+        "slot", F.window("action_time", f"{minutes} minutes").start)
+    facts = ss.session_facts(acts, ["slot"])
     return ss.with_visit_length(facts)
 
 
