@@ -127,8 +127,11 @@ class AdClickPipeline:
         n = int(batch_id)
         batch = batch.persist()
         try:
-            _overwrite_partitions(ac.bad_lines(batch).withColumn("batch_id", F.lit(n).cast("bigint")),
-                                  self.bad, "batch_id")
+            # a replay sees the same lines, so skipping an empty write stays idempotent
+            bad = ac.bad_lines(batch)
+            if not bad.isEmpty():
+                _overwrite_partitions(bad.withColumn("batch_id", F.lit(n).cast("bigint")),
+                                      self.bad, "batch_id")
             listed = self._read(self.blacklist, BLACKLIST_SCHEMA).where(F.col("batch_id") < n)
             clicks = ac.drop_blacklisted(ac.good_clicks(batch), listed).persist()
             try:
@@ -148,9 +151,13 @@ class AdClickPipeline:
                     touched = self._read(self.deltas, DELTA_SCHEMA).where(
                         (F.col("batch_id") == n) & F.col("date").isin(days)).select(*ac.USER_AD_KEY)
                     totals = ac.user_ad_totals(history.join(touched, ac.USER_AD_KEY, "left_semi"))
-                    new = ac.new_blacklist_entries(totals, listed, self.threshold)
-                    _overwrite_partitions(new.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                          self.blacklist, "batch_id")
+                    new = ac.new_blacklist_entries(totals, listed, self.threshold).persist()
+                    try:
+                        if not new.isEmpty():
+                            _overwrite_partitions(new.withColumn("batch_id", F.lit(n).cast("bigint")),
+                                                  self.blacklist, "batch_id")
+                    finally:
+                        new.unpersist()
             finally:
                 clicks.unpersist()
         finally:
