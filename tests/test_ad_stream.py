@@ -118,3 +118,16 @@ def test_province_top_n_ties_by_ad(spark):
     df = spark.createDataFrame(rows, "date_key string, province string, city string, ad_id long, click_count long")
     out = [(r.date, r.ad_id, r.click_count) for r in ac.province_top_n(df, 3).orderBy("date", F.desc("click_count"), "ad_id").collect()]
     assert out == [("20240101", 5, 4), ("20240101", 6, 4), ("20240101", 7, 4), ("20240102", 8, 9)]
+
+
+def test_state_retention_drops_very_late_clicks(spark, run_dir):
+    p = AdClickPipeline(spark, run_dir, threshold=100, state_retention="1 hour")
+    _land(spark, p, [line(DAY2 + i, 5, 20) for i in range(3)])
+    p.run_available()
+    _land(spark, p, [line(DAY0 + 1, 6, 21), line(DAY2 + 10, 5, 20)])   # day 0 is > 1 hour late
+    p.run_available()
+    stat = {(r.date_key, r.ad_id): r.click_count for r in p.ad_realtime_stat().collect()}
+    assert stat[("20240102", 20)] == 4
+    assert ("20231231", 21) not in stat
+    # the per-user totals do not depend on the watermark
+    assert p.ad_user_click_total().where("user_id = 6").count() == 1

@@ -144,3 +144,20 @@ def test_cli_task_id_and_defaults(spark):
     assert parse_task_id(["x"]) is None
     r = spark.range(1).select(fc.today().alias("t"), fc.yesterday().alias("y")).first()
     assert len(r.t) == 10 and r.y < r.t
+
+
+def test_sql_functions_match_column_helpers(spark):
+    from footfall.plans.sql_surface import register_functions
+
+    register_functions(spark)
+    df = spark.createDataFrame([(b,) for b in BAG_CASES], "bag string")
+    df.createOrReplaceTempView("bags_t")
+    for field in ["k", "age", "city", "a"]:
+        got = [r[0] for r in spark.sql(
+            "SELECT get_field_from_concat_string(bag, :f) FROM bags_t", args={"f": field}).collect()]
+        assert got == [py_get(b, field) for b in BAG_CASES], field
+    r = spark.sql("SELECT concat_long_string(11, '上海', ';') AS a, trim_comma(',x,') AS b, "
+                  "fulfill('7') AS c, product_status_label('{\"product_status\":0}') AS d, "
+                  "product_status_label(NULL) AS e").first()
+    assert (r.a, r.b, r.c) == ("11;上海", "x", "07")
+    assert (r.d, r.e) == ("自营商品", "第三方商品")
