@@ -138,6 +138,13 @@ def task_param(js, field: str) -> Column:
     return F.get(F.try_element_at(m, F.lit(field)), 0)
 
 
+def task_params_bag(js, fields: list[str]) -> Column:
+    """The filter-parameter bag of a task: ``field=<first JSON value>`` for
+    each of ``fields`` present in the task's JSON, joined with '|' (FIL7)."""
+    pieces = [F.concat(F.lit(f + "="), task_param(js, f)) for f in fields]
+    return F.concat_ws("|", *pieces)   # concat_ws skips the NULL (absent) pieces
+
+
 # --- dates and times -----------------------------------------------------
 
 def parse_time(s) -> Column:

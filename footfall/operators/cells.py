@@ -36,10 +36,14 @@ def to_cells(df: DataFrame, key_col: str, value_col: str,
 
 
 def write_cells(cells: DataFrame, path: str, num_partitions: int | None = None) -> None:
-    """Range-partition by row key and sort inside each file (region-ordered)."""
-    parts = num_partitions or cells.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    (cells.repartitionByRange(int(parts), "row_key").sortWithinPartitions("row_key")
-     .write.mode("overwrite").parquet(path))
+    """Range-partition by row key and sort inside each file (region-ordered).
+
+    Without ``num_partitions`` AQE sizes the ranges from the data (a column
+    repartition may be coalesced), so the file count follows the volume.
+    """
+    ranged = (cells.repartitionByRange(num_partitions, "row_key") if num_partitions
+              else cells.repartitionByRange("row_key"))
+    ranged.sortWithinPartitions("row_key").write.mode("overwrite").parquet(path)
 
 
 def word_counts(df: DataFrame, word_col: str) -> DataFrame:

@@ -161,3 +161,19 @@ def test_sql_functions_match_column_helpers(spark):
                   "product_status_label(NULL) AS e").first()
     assert (r.a, r.b, r.c) == ("11;上海", "x", "07")
     assert (r.d, r.e) == ("自营商品", "第三方商品")
+
+
+def test_cells_written_in_row_key_order(spark, run_dir):
+    from footfall.operators.cells import to_cells, word_counts, write_cells
+
+    words = spark.createDataFrame([(w,) for w in "b a c a b a zz 上海".split()], "w string")
+    path = f"{run_dir}/cells"
+    write_cells(to_cells(word_counts(words, "w"), "word", "count"), path, num_partitions=3)
+    back = spark.read.parquet(path)
+    got = {bytes(r.row_key).decode(): int.from_bytes(bytes(r.value), "big") for r in back.collect()}
+    assert got == {"a": 3, "b": 2, "c": 1, "zz": 1, "上海": 1}
+    # each file holds a contiguous, sorted key range
+    per_file = back.withColumn("f", F.input_file_name()).groupBy("f").agg(
+        F.min("row_key").alias("lo"), F.max("row_key").alias("hi")).orderBy("lo").collect()
+    for a, b in zip(per_file, per_file[1:]):
+        assert bytes(a.hi) < bytes(b.lo)

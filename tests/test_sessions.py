@@ -92,3 +92,13 @@ def test_hourly_and_category_counts(spark):
     assert cats == {1: (1, 1, 1), 2: (1, 0, 0)}
     minutes = ss.minutely_visits(acts).agg(F.sum("action_count")).first()[0]
     assert minutes == 5
+
+
+def test_filter_params_from_task_json(spark):
+    tasks = spark.createDataFrame([
+        (1, '{"startAge":["20"],"endAge":["40"],"cities":["上海,北京"],"sex":["female"]}'),
+        (2, '{"startDate":["2024-01-01"]}'),
+    ], "task_id long, task_param string")
+    assert ss.filter_params_of_task(tasks, 1) == "startAge=20|endAge=40|cities=上海,北京|sex=female"
+    assert ss.filter_params_of_task(tasks, 2) == ""
+    assert ss.filter_params_of_task(tasks, 3) == ""
