@@ -21,6 +21,10 @@ those partitions: totals are sums of deltas, running counts are monotone so
 the current one is the max, the current Top-N of a (day, province) is the
 one from its latest batch. Work per batch is bounded by the days the batch
 touches (partition pruning on the day), not by the whole history.
+
+``compact()`` folds the per-batch partitions (a 5-second trigger makes
+~17k a day) into one per day; readers take the newest base plus the deltas
+after it, so they stay exact while compaction runs beside the stream.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ UPDATES_SCHEMA = ("province STRING, city STRING, ad_id BIGINT, click_count BIGIN
                   "date_key STRING, batch_id BIGINT")
 TOP_SCHEMA = "province STRING, ad_id BIGINT, click_count BIGINT, date STRING, batch_id BIGINT"
 BAD_SCHEMA = "line STRING, batch_id BIGINT"
+BASE_SCHEMA = "user_id BIGINT, ad_id BIGINT, click_count BIGINT, stamps BIGINT, date DATE, upto BIGINT"
 
 SEED_BATCH = -1
 
@@ -62,6 +67,22 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def _drop_partitions(spark: SparkSession, parent: str, column: str, doomed) -> None:
+    """Delete ``parent/column=<k>`` folders whose integer k satisfies ``doomed``."""
+    p, fs = _fs_path(spark, parent)
+    if not fs.exists(p):
+        return
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(column + "="):
+            try:
+                k = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if doomed(k):
+                fs.delete(st.getPath(), True)
+
+
 def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
@@ -84,7 +105,7 @@ class AdClickPipeline:
         # drops clicks that arrive later than that.
         self.state_retention = state_retention
         for p in (self.source, self.filtered, self.deltas, self.blacklist,
-                  self.updates, self.top, self.bad):
+                  self.updates, self.top, self.bad, self.base):
             make_dirs(spark, p)
 
     # --- layout -------------------------------------------------------------
@@ -98,6 +119,7 @@ class AdClickPipeline:
     updates = property(lambda self: self._p("tables/ad_realtime_updates"))
     top = property(lambda self: self._p("tables/ad_province_top"))
     bad = property(lambda self: self._p("tables/bad_lines"))
+    base = property(lambda self: self._p("tables/ad_user_click_base"))
 
     def _read(self, path: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(path)
@@ -146,8 +168,7 @@ class AdClickPipeline:
                 # days this batch touched: bounded by the batch's time span
                 days = [r["date"] for r in delta.select("date").distinct().collect()]
                 if days:
-                    history = (self._read(self.deltas, DELTA_SCHEMA)
-                               .where((F.col("batch_id") <= n) & F.col("date").isin(days)))
+                    history = self.user_ad_rows(upto_batch=n, days=days)
                     touched = self._read(self.deltas, DELTA_SCHEMA).where(
                         (F.col("batch_id") == n) & F.col("date").isin(days)).select(*ac.USER_AD_KEY)
                     totals = ac.user_ad_totals(history.join(touched, ac.USER_AD_KEY, "left_semi"))
@@ -218,6 +239,83 @@ class AdClickPipeline:
         self.filter_query(availableNow=True).awaitTermination()
         self.stat_query(availableNow=True).awaitTermination()
 
+    # --- maintenance: fold per-batch partitions -----------------------------
+    def compact(self, upto_batch: int | None = None, upto_stat_batch: int | None = None,
+                delete: bool = True) -> None:
+        """Fold the per-batch partitions of the days that changed.
+
+        * deltas (sum semantics): one base partition (date, upto=B) per
+          changed day holding the totals up to filter batch B;
+        * running city counts (max semantics): partitions up to stat batch
+          B' merged into (date_key, batch_id=B');
+        * Top-N (latest-batch semantics): each changed day's current rows
+          merged into its newest partition.
+
+        Defaults leave the newest batch of each query alone. Readers stay
+        correct at every step, so this can run beside the live stream;
+        ``delete`` then removes the folded partitions.
+        """
+        self._compact_deltas(upto_batch, delete)
+        self._compact_updates(upto_stat_batch, delete)
+
+    def _compact_deltas(self, upto: int | None, delete: bool) -> None:
+        d = self._read(self.deltas, DELTA_SCHEMA)
+        if upto is None:
+            newest = d.agg(F.max("batch_id")).first()[0]
+            if newest is None:
+                return
+            upto = newest - 1
+        latest = self._read(self.base, BASE_SCHEMA).groupBy("date").agg(F.max("upto").alias("upto"))
+        dirty = (d.where(F.col("batch_id") <= upto).join(latest, "date", "left")
+                 .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
+                 .select("date").distinct())
+        days = [r["date"] for r in dirty.collect()]     # days changed since the last run
+        if not days:
+            return
+        folded = (self.user_ad_rows(upto_batch=upto, days=days).groupBy(*ac.USER_AD_KEY)
+                  .agg(F.sum("click_count").alias("click_count"), F.max("stamps").alias("stamps"))
+                  .withColumn("upto", F.lit(upto).cast("bigint")))
+        _overwrite_partitions(folded, self.base, "date", "upto")
+        if delete:
+            for day in days:
+                _drop_partitions(self.spark, f"{self.deltas}/date={day}", "batch_id",
+                                 lambda k: k <= upto)
+                _drop_partitions(self.spark, f"{self.base}/date={day}", "upto", lambda k: k < upto)
+
+    def _compact_updates(self, upto: int | None, delete: bool) -> None:
+        u = self._read(self.updates, UPDATES_SCHEMA)
+        if upto is None:
+            newest = u.agg(F.max("batch_id")).first()[0]
+            if newest is None:
+                return
+            upto = newest - 1
+        older = u.where(F.col("batch_id") <= upto)
+        counts = older.groupBy("date_key").agg(F.countDistinct("batch_id").alias("n"))
+        days = [r["date_key"] for r in counts.where(F.col("n") > 1).collect()]
+        if not days:
+            return
+        merged = (older.where(F.col("date_key").isin(days)).groupBy(*ac.CITY_AD_KEY)
+                  .agg(F.max("click_count").alias("click_count"))
+                  .withColumn("batch_id", F.lit(upto).cast("bigint")))
+        _overwrite_partitions(merged, self.updates, "date_key", "batch_id")
+        t = self._read(self.top, TOP_SCHEMA).where(F.col("date").isin(days))
+        w = Window.partitionBy("date", "province")
+        current = (t.withColumn("latest", F.max("batch_id").over(w))
+                   .where(F.col("batch_id") == F.col("latest")).drop("latest"))
+        # newest Top-N batch of each changed day, fixed before anything is rewritten
+        tops = {r["date"]: r["nb"] for r in t.groupBy("date").agg(F.max("batch_id").alias("nb")).collect()}
+        if tops:
+            nb = F.create_map(*[x for d, b in tops.items() for x in (F.lit(d), F.lit(b))])
+            folded_top = current.withColumn("batch_id", F.element_at(nb, F.col("date")).cast("bigint"))
+            _overwrite_partitions(folded_top, self.top, "date", "batch_id")
+        if delete:
+            for day in days:
+                _drop_partitions(self.spark, f"{self.updates}/date_key={day}", "batch_id",
+                                 lambda k: k < upto)
+                if day in tops:
+                    _drop_partitions(self.spark, f"{self.top}/date={day}", "batch_id",
+                                     lambda k, nb=tops[day]: k < nb)
+
     # --- read-side views ----------------------------------------------------
     def filtered_clicks(self) -> DataFrame:
         return self._read(self.filtered, FILTERED_SCHEMA)
@@ -226,9 +324,29 @@ class AdClickPipeline:
         """Per-batch counts (the deltas)."""
         return self._read(self.deltas, DELTA_SCHEMA)
 
+    def user_ad_rows(self, upto_batch: int | None = None, days: list | None = None) -> DataFrame:
+        """Rows whose per-key sum is the running total: the newest compacted
+        base of each day plus the deltas written after it (up to a batch).
+
+        Deltas already folded into a base are skipped by batch id, so the
+        answer is right whether or not compaction has deleted them yet.
+        """
+        d = self._read(self.deltas, DELTA_SCHEMA)
+        b = self._read(self.base, BASE_SCHEMA)
+        if upto_batch is not None:
+            d = d.where(F.col("batch_id") <= upto_batch)
+        if days is not None:
+            d, b = d.where(F.col("date").isin(days)), b.where(F.col("date").isin(days))
+        latest = b.groupBy("date").agg(F.max("upto").alias("upto"))
+        cols = ["date", "user_id", "ad_id", "click_count", "stamps"]
+        base_rows = b.join(latest, ["date", "upto"], "left_semi").select(*cols)
+        after = (d.join(latest, "date", "left")
+                 .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).select(*cols))
+        return base_rows.unionByName(after)
+
     def ad_user_click_total(self) -> DataFrame:
         """SNK2 table: total clicks per (date, user, ad) and last update time."""
-        return (self.daily_user_ad_count().groupBy(*ac.USER_AD_KEY)
+        return (self.user_ad_rows().groupBy(*ac.USER_AD_KEY)
                 .agg(F.sum("click_count").alias("click_count"), F.max("stamps").alias("stamps")))
 
     def black_list(self) -> DataFrame:

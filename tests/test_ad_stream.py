@@ -131,3 +131,30 @@ def test_state_retention_drops_very_late_clicks(spark, run_dir):
     assert ("20231231", 21) not in stat
     # the per-user totals do not depend on the watermark
     assert p.ad_user_click_total().where("user_id = 6").count() == 1
+
+
+def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
+    import os
+
+    from footfall.session import local_path
+
+    arrivals = [BATCH0, BATCH1, [line(DAY1 + 900 + i, 7, 10) for i in range(2)]
+                + [line(DAY2 + 900, 4, 13)] + [line(DAY1 + 950, 1, 14)]]
+    plain, packed = _pipeline(spark, run_dir + "/plain"), _pipeline(spark, run_dir + "/packed")
+    for i, lines in enumerate(arrivals):
+        for p in (plain, packed):
+            _land(spark, p, lines)
+            p.run_available()
+        if i >= 1:
+            packed.compact()                     # keeps the newest batch of each query
+    packed.compact(upto_batch=2, upto_stat_batch=2)   # then everything
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(plain.ad_user_click_total().drop("stamps")) == key(packed.ad_user_click_total().drop("stamps"))
+    assert key(plain.black_list()) == key(packed.black_list())
+    assert key(plain.ad_realtime_stat()) == key(packed.ad_realtime_stat())
+    assert key(plain.ad_province_top3()) == key(packed.ad_province_top3())
+    day1 = os.listdir(local_path(f"{packed.deltas}/date=2024-01-01"))
+    assert not [d for d in day1 if d.startswith("batch_id=")]          # all folded into the base
+    assert os.listdir(local_path(f"{packed.base}/date=2024-01-01")) == ["upto=2"]
+    assert len([d for d in os.listdir(local_path(f"{packed.updates}/date_key=20240101"))
+                if d.startswith("batch_id=")]) == 1
