@@ -44,7 +44,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app_name="footfall-bench",
-                          shuffle_partitions=max(2 * cpus, 8))
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
     # warm the JVM once (class loading, codegen caches) on the smallest table
     _run(area_jobs.area_top10_product(spark, sf_dir))
 

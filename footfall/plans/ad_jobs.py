@@ -13,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions.columns import format_date, format_date_key
+from footfall.functions.columns import format_date
 from footfall.operators import ad_click as ac
 from footfall.session import ensure_utc, new_run_dir
 from footfall.sources.adlog import ad_log_lines, initial_blacklist
-from footfall.sources.tables import TABLES  # noqa: F401  (documentation of inputs)
 from footfall.streaming.ad_stream import AdClickPipeline
 
 SPLIT_AT = "2024-01-16 12:00:00"
@@ -93,4 +92,4 @@ def ad_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["pipeline", "ad_log_parse", "ad_blacklist_filter", "daily_user_ad_count",
            "ad_user_click_total", "ad_blacklist_update", "ad_realtime_stat", "ad_province_top3",
-           "format_date_key"]
+           "ad_bad_lines"]
