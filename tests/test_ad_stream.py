@@ -158,3 +158,23 @@ def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
     assert os.listdir(local_path(f"{packed.base}/date=2024-01-01")) == ["upto=2"]
     assert len([d for d in os.listdir(local_path(f"{packed.updates}/date_key=20240101"))
                 if d.startswith("batch_id=")]) == 1
+
+
+def test_default_threshold_99_100_101(spark, run_dir):
+    p = AdClickPipeline(spark, run_dir)                       # reference threshold: 100
+    assert p.threshold == 100
+    p.seed_blacklist(spark.createDataFrame([(50,), (50,)], "user_id long"))   # listed twice
+    b0 = ([line(DAY1 + i, 31, 1) for i in range(99)]          # 99, +1 later -> 100
+          + [line(DAY1 + i, 32, 1) for i in range(101)]       # 101 at once
+          + [line(DAY1 + i, 33, 1) for i in range(99)]        # stays at 99
+          + [line(DAY1 + i, 50, 1) for i in range(200)])      # already listed
+    _land(spark, p, b0)
+    p.run_available()
+    _land(spark, p, [line(DAY1 + 500, 31, 1), line(DAY1 + 501, 32, 1), line(DAY2, 33, 1)])
+    p.run_available()
+    added = sorted((r.user_id, r.batch_id) for r in p.blacklist_additions().collect())
+    assert added == [(31, 1), (32, 0)]
+    assert p.black_list().where("user_id = 50").count() == 1
+    totals = {(r.user_id, str(r.date)): r.click_count for r in p.ad_user_click_total().collect()}
+    assert totals[(31, "2024-01-01")] == 100 and totals[(32, "2024-01-01")] == 101
+    assert totals[(33, "2024-01-01")] == 99 and (50, "2024-01-01") not in totals

@@ -129,3 +129,33 @@ def test_task_driven_run(spark, run_dir):
     # the events month lies outside this task's window: empty, still readable
     empty = area_jobs.run_task(spark, sf, task_id, f"{run_dir}/tasks_ev", source="events")
     assert empty.count() == 0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["华北", "华东", "西北"]), st.integers(1, 12),
+                          st.integers(1, 6)), min_size=1, max_size=60),
+       st.integers(1, 4))
+def test_top_n_properties(spark, rows, n):
+    counts = spark.createDataFrame(rows, "area string, product_id long, click_count long") \
+        .dropDuplicates(["area", "product_id"])
+    top = at.top_n_per_area(counts, n).collect()
+    full = counts.collect()
+    for area in {r.area for r in full}:
+        mine = sorted(((r.click_count, -r.product_id) for r in top if r.area == area), reverse=True)
+        want = sorted(((r.click_count, -r.product_id) for r in full if r.area == area), reverse=True)[:n]
+        assert mine == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 9), max_size=40), st.lists(st.integers(0, 9), max_size=10))
+def test_anti_join_never_grows(spark, users, listed):
+    from footfall.operators.ad_click import drop_blacklisted
+
+    clicks = spark.createDataFrame([(u,) for u in users], "user_id long")
+    bl = spark.createDataFrame([(u,) for u in listed], "user_id long")
+    kept = [r.user_id for r in drop_blacklisted(clicks, bl).collect()]
+    assert sorted(kept) == sorted(u for u in users if u not in set(listed))
