@@ -10,6 +10,8 @@ between broadcast and sort-merge at run time.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
+# Checks are remembered per (application, canonical plan, bound) for a while,
+# so one job building several plans over the same dimension counts it once;
+# after the TTL the dimension is counted again, catching growth.
+BOUND_TTL_SECONDS = 600.0
+_BOUNDS: dict[tuple[str, int, int], tuple[float, bool]] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most n+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    now = time.monotonic()
+    hit = _BOUNDS.get(key)
+    if hit is not None and now - hit[0] < BOUND_TTL_SECONDS:
+        return hit[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    _BOUNDS[key] = (now, ok)
+    return ok
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
