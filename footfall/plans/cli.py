@@ -43,9 +43,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--threshold", type=int, default=100)
     s.add_argument("--trigger", default="5 seconds")
     s.add_argument("--state-retention", default=None)
+    for p in (a, s):
+        p.add_argument("--profile", default="cluster", choices=["cluster", "local"])
     args = ap.parse_args(argv)
 
-    spark = build_session(app_name=f"footfall-{args.cmd}")
+    spark = build_session(app_name=f"footfall-{args.cmd}", profile=args.profile)
     if args.cmd == "area-top":
         from footfall.plans.area_jobs import run_task
 
