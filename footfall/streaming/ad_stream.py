@@ -105,7 +105,7 @@ class AdClickPipeline:
         # drops clicks that arrive later than that.
         self.state_retention = state_retention
         for p in (self.source, self.filtered, self.deltas, self.blacklist,
-                  self.updates, self.top, self.bad, self.base):
+                  self.updates, self.top, self.bad, self.base, self.archive_of_filtered):
             make_dirs(spark, p)
 
     # --- layout -------------------------------------------------------------
@@ -120,6 +120,14 @@ class AdClickPipeline:
     top = property(lambda self: self._p("tables/ad_province_top"))
     bad = property(lambda self: self._p("tables/bad_lines"))
     base = property(lambda self: self._p("tables/ad_user_click_base"))
+    archive = property(lambda self: self._p("archive"))
+
+    @property
+    def archive_of_filtered(self) -> str:
+        """Where the file source moves consumed files: the archive dir plus
+        the files' own absolute path."""
+        p, _ = _fs_path(self.spark, self.filtered)
+        return self.archive + p.toUri().getPath()
 
     def _read(self, path: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(path)
@@ -186,7 +194,12 @@ class AdClickPipeline:
 
     # --- query 2: running city counts and province Top-N --------------------
     def stat_query(self, **trigger) -> StreamingQuery:
-        clicks = self.spark.readStream.schema(FILTERED_SCHEMA).parquet(self.filtered)
+        # processed files are moved to the archive, so each trigger lists only
+        # the batches not yet consumed instead of the whole history
+        clicks = (self.spark.readStream.schema(FILTERED_SCHEMA)
+                  .option("cleanSource", "archive")
+                  .option("sourceArchiveDir", self.archive)
+                  .parquet(self.filtered))
         if self.state_retention:
             clicks = clicks.withWatermark("click_time", self.state_retention)
         counts = (clicks.groupBy(F.window("click_time", "1 day").alias("day"),
@@ -318,7 +331,10 @@ class AdClickPipeline:
 
     # --- read-side views ----------------------------------------------------
     def filtered_clicks(self) -> DataFrame:
-        return self._read(self.filtered, FILTERED_SCHEMA)
+        """Live batches plus those the stat query has consumed and archived."""
+        live = self._read(self.filtered, FILTERED_SCHEMA)
+        archived = self._read(self.archive_of_filtered, FILTERED_SCHEMA)
+        return live.unionByName(archived)
 
     def daily_user_ad_count(self) -> DataFrame:
         """Per-batch counts (the deltas)."""
