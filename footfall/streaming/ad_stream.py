@@ -41,7 +41,8 @@ from footfall.sources.adlog import text_log_stream
 FILTERED_SCHEMA = ("ts_ms BIGINT, province STRING, city STRING, user_id BIGINT, ad_id BIGINT, "
                    "click_time TIMESTAMP, date DATE, date_key STRING, batch_id BIGINT")
 DELTA_SCHEMA = "user_id BIGINT, ad_id BIGINT, click_count BIGINT, stamps BIGINT, date DATE, batch_id BIGINT"
-BLACKLIST_SCHEMA = "user_id BIGINT, batch_id BIGINT"
+# listed_batch: the batch that listed the user (kept when partitions merge)
+BLACKLIST_SCHEMA = "user_id BIGINT, listed_batch BIGINT, batch_id BIGINT"
 UPDATES_SCHEMA = ("province STRING, city STRING, ad_id BIGINT, click_count BIGINT, "
                   "date_key STRING, batch_id BIGINT")
 TOP_SCHEMA = "province STRING, ad_id BIGINT, click_count BIGINT, date STRING, batch_id BIGINT"
@@ -136,7 +137,9 @@ class AdClickPipeline:
     def seed_blacklist(self, users: DataFrame) -> None:
         """Users listed before the first batch (partition -1)."""
         _overwrite_partitions(users.select(F.col("user_id").cast("bigint").alias("user_id"))
-                              .distinct().withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint")),
+                              .distinct()
+                              .withColumn("listed_batch", F.lit(SEED_BATCH).cast("bigint"))
+                              .withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint")),
                               self.blacklist, "batch_id")
 
     def append_log(self, lines: DataFrame) -> None:
@@ -183,8 +186,10 @@ class AdClickPipeline:
                     new = ac.new_blacklist_entries(totals, listed, self.threshold).persist()
                     try:
                         if not new.isEmpty():
-                            _overwrite_partitions(new.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                                  self.blacklist, "batch_id")
+                            _overwrite_partitions(
+                                new.withColumn("listed_batch", F.lit(n).cast("bigint"))
+                                .withColumn("batch_id", F.lit(n).cast("bigint")),
+                                self.blacklist, "batch_id")
                     finally:
                         new.unpersist()
             finally:
@@ -268,23 +273,42 @@ class AdClickPipeline:
         correct at every step, so this can run beside the live stream;
         ``delete`` then removes the folded partitions.
         """
-        self._compact_deltas(upto_batch, delete)
+        upto_batch = self._compact_deltas(upto_batch, delete)
+        if upto_batch is not None:
+            self._compact_blacklist(upto_batch, delete)
         self._compact_updates(upto_stat_batch, delete)
 
-    def _compact_deltas(self, upto: int | None, delete: bool) -> None:
+    def _compact_blacklist(self, upto: int, delete: bool) -> None:
+        """Merge the listing partitions 0..upto into partition ``upto`` (the
+        seed partition stays apart); a snapshot for a later batch reads the
+        same users either way."""
+        bl = self._read(self.blacklist, BLACKLIST_SCHEMA).where(
+            (F.col("batch_id") > SEED_BATCH) & (F.col("batch_id") <= upto))
+        if bl.select("batch_id").distinct().limit(2).count() < 2:
+            return
+        merged = bl.drop("batch_id").withColumn("batch_id", F.lit(upto).cast("bigint"))
+        _overwrite_partitions(merged, self.blacklist, "batch_id")
+        if delete:
+            _drop_partitions(self.spark, self.blacklist, "batch_id",
+                             lambda k: SEED_BATCH < k < upto)
+
+    def _compact_deltas(self, upto: int | None, delete: bool) -> int | None:
+        """Returns the batch folded up to (None when there is nothing yet)."""
         d = self._read(self.deltas, DELTA_SCHEMA)
         if upto is None:
             newest = d.agg(F.max("batch_id")).first()[0]
             if newest is None:
-                return
+                return None
             upto = newest - 1
+        if upto < 0:
+            return None
         latest = self._read(self.base, BASE_SCHEMA).groupBy("date").agg(F.max("upto").alias("upto"))
         dirty = (d.where(F.col("batch_id") <= upto).join(latest, "date", "left")
                  .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
                  .select("date").distinct())
         days = [r["date"] for r in dirty.collect()]     # days changed since the last run
         if not days:
-            return
+            return upto
         folded = (self.user_ad_rows(upto_batch=upto, days=days).groupBy(*ac.USER_AD_KEY)
                   .agg(F.sum("click_count").alias("click_count"), F.max("stamps").alias("stamps"))
                   .withColumn("upto", F.lit(upto).cast("bigint")))
@@ -294,6 +318,7 @@ class AdClickPipeline:
                 _drop_partitions(self.spark, f"{self.deltas}/date={day}", "batch_id",
                                  lambda k: k <= upto)
                 _drop_partitions(self.spark, f"{self.base}/date={day}", "upto", lambda k: k < upto)
+        return upto
 
     def _compact_updates(self, upto: int | None, delete: bool) -> None:
         u = self._read(self.updates, UPDATES_SCHEMA)
@@ -366,7 +391,10 @@ class AdClickPipeline:
                 .agg(F.sum("click_count").alias("click_count"), F.max("stamps").alias("stamps")))
 
     def black_list(self) -> DataFrame:
-        return self._read(self.blacklist, BLACKLIST_SCHEMA)
+        """(user_id, batch_id): every listed user and the batch that listed it
+        (-1 for the seed list)."""
+        return (self._read(self.blacklist, BLACKLIST_SCHEMA)
+                .select("user_id", F.col("listed_batch").alias("batch_id")))
 
     def blacklist_additions(self) -> DataFrame:
         """SNK3: users added by the stream (not the seed list)."""

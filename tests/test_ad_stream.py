@@ -158,6 +158,10 @@ def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
     assert os.listdir(local_path(f"{packed.base}/date=2024-01-01")) == ["upto=2"]
     assert len([d for d in os.listdir(local_path(f"{packed.updates}/date_key=20240101"))
                 if d.startswith("batch_id=")]) == 1
+    # listing partitions merged, the seed kept apart, listing batches preserved
+    assert sorted(d for d in os.listdir(local_path(packed.blacklist)) if d.startswith("batch_id=")) == \
+        ["batch_id=-1", "batch_id=2"]
+    assert sorted(map(tuple, packed.blacklist_additions().collect())) == [(1, 1), (2, 0), (4, 2)]
 
 
 def test_default_threshold_99_100_101(spark, run_dir):
