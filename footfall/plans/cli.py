@@ -2,10 +2,12 @@
 
     spark-submit footfall/plans/cli.py area-top <task_id> --data DIR --out PATH
     spark-submit footfall/plans/cli.py ad-stream --root PATH (--source DIR | --kafka HOSTS --topics T)
+    spark-submit footfall/plans/cli.py ad-compact --root PATH
 
 ``area-top`` runs the task-parameterised J1 and persists it; ``ad-stream``
 starts both ad-click streaming queries with a 5-second trigger and blocks
-until they stop.
+until they stop; ``ad-compact`` folds the stream's per-batch partitions
+(safe to run beside the live stream).
 """
 
 from __future__ import annotations
@@ -43,7 +45,10 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--threshold", type=int, default=100)
     s.add_argument("--trigger", default="5 seconds")
     s.add_argument("--state-retention", default=None)
-    for p in (a, s):
+    c = sub.add_parser("ad-compact")
+    c.add_argument("--root", default=None, help="deployment folder (default: shared dir)")
+    c.add_argument("--keep-partitions", action="store_true", help="fold but do not delete")
+    for p in (a, s, c):
         p.add_argument("--profile", default="cluster", choices=["cluster", "local"])
     args = ap.parse_args(argv)
 
@@ -61,6 +66,11 @@ def main(argv: list[str] | None = None) -> int:
     from footfall.sources.adlog import kafka_log_stream, text_log_stream
     from footfall.streaming.ad_stream import AdClickPipeline
 
+    if args.cmd == "ad-compact":
+        p = AdClickPipeline(spark, args.root or shared_dir(spark, "ad_click"))
+        p.compact(delete=not args.keep_partitions)
+        return 0
+
     p = AdClickPipeline(spark, args.root or shared_dir(spark, "ad_click"),
                         threshold=args.threshold, state_retention=args.state_retention)
     if args.kafka:
