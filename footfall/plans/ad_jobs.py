@@ -36,9 +36,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> AdClickPipeline:
         p.seed_blacklist(initial_blacklist(spark, sf_dir))
         lines = ad_log_lines(spark, sf_dir)
         split = F.lit(SPLIT_AT).cast(lines.schema["ts"].dataType)
-        for arrival in (F.col("ts") < split, F.col("ts") >= split):
-            p.append_log(lines.where(arrival))
-            p.run_available()
+        p.run_arrivals([lines.where(F.col("ts") < split), lines.where(F.col("ts") >= split)])
         _RUNS[key] = p
     return _RUNS[key]
 

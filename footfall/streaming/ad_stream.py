@@ -251,6 +251,23 @@ class AdClickPipeline:
     def parsed_log(self) -> DataFrame:
         return self.spark.read.parquet(self.parsed)
 
+    def run_arrivals(self, arrivals: list[DataFrame]) -> None:
+        """Land and process several log arrivals in order, overlapping the stat
+        query of one arrival with the filter query of the next (as the two
+        run side by side in production). The filter query still runs one
+        arrival at a time, so each sees the blacklist its predecessors grew;
+        the stat views do not depend on how the stat query splits batches."""
+        stat = None
+        for lines in arrivals:
+            self.append_log(lines)
+            self.filter_query(availableNow=True).awaitTermination()
+            if stat is not None:
+                stat.awaitTermination()
+            stat = self.stat_query(availableNow=True)
+        if stat is not None:
+            # started after the last filter batch committed: it sees every file
+            stat.awaitTermination()
+
     def run_available(self) -> None:
         """Process everything that has landed, then stop (tests, backfills)."""
         # the stat query must start after the filter query has committed

@@ -182,3 +182,14 @@ def test_default_threshold_99_100_101(spark, run_dir):
     totals = {(r.user_id, str(r.date)): r.click_count for r in p.ad_user_click_total().collect()}
     assert totals[(31, "2024-01-01")] == 100 and totals[(32, "2024-01-01")] == 101
     assert totals[(33, "2024-01-01")] == 99 and (50, "2024-01-01") not in totals
+
+
+def test_overlapped_arrivals_match_sequential(spark, run_dir):
+    seq, ovl = _pipeline(spark, run_dir + "/seq"), _pipeline(spark, run_dir + "/ovl")
+    for lines in (BATCH0, BATCH1):
+        _land(spark, seq, lines)
+        seq.run_available()
+    ovl.run_arrivals([spark.createDataFrame([(x,) for x in b], "value string") for b in (BATCH0, BATCH1)])
+    key = lambda df: sorted(map(tuple, df.collect()))
+    for view in ("black_list", "ad_realtime_stat", "ad_province_top3", "filtered_clicks"):
+        assert key(getattr(seq, view)()) == key(getattr(ovl, view)()), view
