@@ -25,6 +25,24 @@ SQL_FUNCTIONS = {
         "bag STRING, field STRING", "STRING",
         "get(regexp_extract_all(concat('|', bag), "
         "concat('\\\\|\\\\Q', field, '\\\\E=([^=|]+)=*(?=\\\\||$)'), 1), 0)"),
+    "valid_between": (
+        "data STRING, data_field STRING, params STRING, start_field STRING, end_field STRING",
+        "BOOLEAN",
+        "get_field_from_concat_string(params, start_field) IS NULL "
+        "OR get_field_from_concat_string(params, end_field) IS NULL "
+        "OR coalesce(try_cast(get_field_from_concat_string(data, data_field) AS INT) "
+        "BETWEEN try_cast(get_field_from_concat_string(params, start_field) AS INT) "
+        "AND try_cast(get_field_from_concat_string(params, end_field) AS INT), false)"),
+    "valid_in": (
+        "data STRING, data_field STRING, params STRING, param_field STRING", "BOOLEAN",
+        "get_field_from_concat_string(params, param_field) IS NULL "
+        "OR coalesce(arrays_overlap(split(get_field_from_concat_string(data, data_field), ','), "
+        "split(get_field_from_concat_string(params, param_field), ',')), false)"),
+    "valid_equal": (
+        "data STRING, data_field STRING, params STRING, param_field STRING", "BOOLEAN",
+        "get_field_from_concat_string(params, param_field) IS NULL "
+        "OR coalesce(get_field_from_concat_string(data, data_field) = "
+        "get_field_from_concat_string(params, param_field), false)"),
     "product_status_label": (
         "extend_info STRING", "STRING",
         f"IF(try_cast(get_json_object(extend_info, '$.product_status') AS DOUBLE) = 0, "

@@ -102,3 +102,21 @@ def test_filter_params_from_task_json(spark):
     assert ss.filter_params_of_task(tasks, 1) == "startAge=20|endAge=40|cities=上海,北京|sex=female"
     assert ss.filter_params_of_task(tasks, 2) == ""
     assert ss.filter_params_of_task(tasks, 3) == ""
+
+
+def test_sql_validators_match_dataframe_filter(spark):
+    from footfall.plans.sql_surface import register_functions
+
+    register_functions(spark)
+    bags = spark.createDataFrame([
+        ("s1", "age=25|city=上海|sex=female|searchKeywords=火锅,蛋糕"),
+        ("s2", "age=45|city=上海|sex=female"),
+        ("s3", "city=北京|sex=male"),
+    ], "id string, bag string")
+    bags.createOrReplaceTempView("bags_v")
+    params = "startAge=20|endAge=40|cities=上海,广州|sex=female"
+    sql = spark.sql("""SELECT id FROM bags_v
+        WHERE valid_between(bag, 'age', :p, 'startAge', 'endAge')
+          AND valid_in(bag, 'city', :p, 'cities') AND valid_equal(bag, 'sex', :p, 'sex')""",
+                    args={"p": params})
+    assert sorted(r.id for r in sql.collect()) == sorted(r.id for r in ss.session_filter(bags, params).collect()) == ["s1"]
