@@ -29,6 +29,8 @@ after it, so they stay exact while compaction runs beside the stream.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -84,6 +86,14 @@ def _drop_partitions(spark: SparkSession, parent: str, column: str, doomed) -> N
                 fs.delete(st.getPath(), True)
 
 
+def _run_concurrently(*actions):
+    """Run independent Spark actions as concurrent jobs; results in order,
+    the first failure re-raised."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
+
+
 def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
@@ -160,24 +170,32 @@ class AdClickPipeline:
         n = int(batch_id)
         batch = batch.persist()
         try:
-            # a replay sees the same lines, so skipping an empty write stays idempotent
-            bad = ac.bad_lines(batch)
-            if not bad.isEmpty():
-                _overwrite_partitions(bad.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                      self.bad, "batch_id")
             listed = self._read(self.blacklist, BLACKLIST_SCHEMA).where(F.col("batch_id") < n)
             clicks = ac.drop_blacklisted(ac.good_clicks(batch), listed).persist()
             try:
-                part = f"{self.filtered}/batch_id={n}"
-                if not path_exists(spark, part):
-                    _overwrite_partitions(clicks.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                          self.filtered, "batch_id")
                 delta = (ac.daily_user_ad_counts(clicks)
                          .withColumn("stamps", F.unix_timestamp())
                          .withColumn("batch_id", F.lit(n).cast("bigint")))
-                _overwrite_partitions(delta, self.deltas, "date", "batch_id")
-                # days this batch touched: bounded by the batch's time span
-                days = [r["date"] for r in delta.select("date").distinct().collect()]
+
+                def write_bad() -> None:
+                    # a replay sees the same lines, so skipping an empty write is idempotent
+                    bad = ac.bad_lines(batch)
+                    if not bad.isEmpty():
+                        _overwrite_partitions(bad.withColumn("batch_id", F.lit(n).cast("bigint")),
+                                              self.bad, "batch_id")
+
+                def write_filtered() -> None:
+                    if not path_exists(spark, f"{self.filtered}/batch_id={n}"):
+                        _overwrite_partitions(clicks.withColumn("batch_id", F.lit(n).cast("bigint")),
+                                              self.filtered, "batch_id")
+
+                def write_delta() -> list:
+                    _overwrite_partitions(delta, self.deltas, "date", "batch_id")
+                    # days this batch touched: bounded by the batch's time span
+                    return [r["date"] for r in delta.select("date").distinct().collect()]
+
+                # three independent outputs: submitted as concurrent Spark jobs
+                _, _, days = _run_concurrently(write_bad, write_filtered, write_delta)
                 if days:
                     history = self.user_ad_rows(upto_batch=n, days=days)
                     touched = self._read(self.deltas, DELTA_SCHEMA).where(
@@ -221,18 +239,24 @@ class AdClickPipeline:
         rows = updates.select(format_date_key(F.col("day.start")).alias("date_key"),
                               "province", "city", "ad_id", "click_count").persist()
         try:
-            _overwrite_partitions(rows.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                  self.updates, "date_key", "batch_id")
             days = [r["date_key"] for r in rows.select("date_key").distinct().collect()]
             if not days:
                 return
             groups = rows.select("date_key", "province").distinct()
-            current = (self._read(self.updates, UPDATES_SCHEMA)
-                       .where((F.col("batch_id") <= n) & F.col("date_key").isin(days))
+            # current counts of the touched (day, province) groups: earlier
+            # batches' updates plus this batch's (not read back, so the two
+            # writes below are independent)
+            earlier = (self._read(self.updates, UPDATES_SCHEMA)
+                       .where((F.col("batch_id") < n) & F.col("date_key").isin(days))
                        .join(groups, ["date_key", "province"], "left_semi")
+                       .select(*ac.CITY_AD_KEY, "click_count"))
+            current = (earlier.unionByName(rows.select(*ac.CITY_AD_KEY, "click_count"))
                        .groupBy(*ac.CITY_AD_KEY).agg(F.max("click_count").alias("click_count")))
             top = ac.province_top_n(current, self.top_n).withColumn("batch_id", F.lit(n).cast("bigint"))
-            _overwrite_partitions(top, self.top, "date", "batch_id")
+            _run_concurrently(
+                lambda: _overwrite_partitions(rows.withColumn("batch_id", F.lit(n).cast("bigint")),
+                                              self.updates, "date_key", "batch_id"),
+                lambda: _overwrite_partitions(top, self.top, "date", "batch_id"))
         finally:
             rows.unpersist()
 
