@@ -112,6 +112,21 @@ def area_top10_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_persisted(spark, path, PERSIST_TASK_ID)
 
 
+def run_task_on_tables(spark: SparkSession, task_id: int, path: str, n: int = TOP_N,
+                       actions: str = "user_visit_action", cities: str = "city_info",
+                       products: str = "product_info", tasks: str = "task",
+                       levels: dict[str, str] = at.REFERENCE_AREA_LEVELS) -> DataFrame:
+    """The same job over catalog tables in the reference's own shape
+    (Hive/JDBC-backed tables or temp views), with its area levels."""
+    start, end = task_window(spark.table(tasks), task_id)
+    if start is None or end is None:
+        raise ValueError(f"task {task_id} has no startDate/endDate")
+    result = at.area_top_products(spark.table(actions), spark.table(cities), spark.table(products),
+                                  start, end, n, levels)
+    persist_top_n(result, task_id, path)
+    return read_persisted(spark, path, task_id)
+
+
 def run_task(spark: SparkSession, sf_dir: str, task_id: int, path: str,
              n: int = TOP_N, source: str = "events") -> DataFrame:
     """The task-parameterised job: task row -> date window -> Top-N -> persist.

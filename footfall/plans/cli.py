@@ -34,7 +34,9 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("area-top")
     a.add_argument("task_id")
-    a.add_argument("--data", required=True, help="folder with the parquet tables")
+    a.add_argument("--data", default=None, help="folder with the parquet tables")
+    a.add_argument("--catalog", action="store_true",
+                   help="read user_visit_action / city_info / product_info / task from the catalog")
     a.add_argument("--out", default=None, help="result table path (default: shared dir)")
     a.add_argument("--source", default="events", choices=["events", "lineitem"])
     s = sub.add_parser("ad-stream")
@@ -54,13 +56,18 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(app_name=f"footfall-{args.cmd}", profile=args.profile)
     if args.cmd == "area-top":
-        from footfall.plans.area_jobs import run_task
+        from footfall.plans.area_jobs import run_task, run_task_on_tables
 
         task_id = parse_task_id([args.task_id])
         if task_id is None:
             ap.error("task_id must be a number")
         out = args.out or shared_dir(spark, "tables", "area_top10_product")
-        run_task(spark, args.data, task_id, out, source=args.source)
+        if args.catalog:
+            run_task_on_tables(spark, task_id, out)
+        elif args.data:
+            run_task(spark, args.data, task_id, out, source=args.source)
+        else:
+            ap.error("give --data DIR or --catalog")
         return 0
 
     from footfall.sources.adlog import kafka_log_stream, text_log_stream

@@ -159,3 +159,20 @@ def test_anti_join_never_grows(spark, users, listed):
     bl = spark.createDataFrame([(u,) for u in listed], "user_id long")
     kept = [r.user_id for r in drop_blacklisted(clicks, bl).collect()]
     assert sorted(kept) == sorted(u for u in users if u not in set(listed))
+
+
+def test_reference_shaped_catalog_run(spark, run_dir):
+    actions, cities, products, start, end = _tables(spark)
+    actions.createOrReplaceTempView("user_visit_action")
+    cities.createOrReplaceTempView("city_info")
+    products.createOrReplaceTempView("product_info")
+    spark.createDataFrame(
+        [(5, '{"startDate":["2016-08-01 00:00:00"],"endDate":["2016-08-30 00:00:00"]}')],
+        "task_id long, task_param string").createOrReplaceTempView("task")
+    from footfall.plans.cli import main
+
+    assert main(["area-top", "5", "--catalog", "--out", f"{run_dir}/top", "--profile", "local"]) == 0
+    out = area_jobs.read_persisted(spark, f"{run_dir}/top", 5).collect()
+    want = at.area_top_products(actions, cities, products, str(start), str(end)).collect()
+    assert sorted(tuple(r)[1:] for r in out) == sorted(map(tuple, want))
+    assert {r.area_level for r in out if r.area == "华东"} == {"A级"}
