@@ -41,6 +41,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # the static size check sees compressed parquet bytes; count them 4x so a
+    # table that decompresses large is not taken for a small one (AQE's
+    # runtime conversion uses the exact shuffle sizes)
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.parquet.filterPushdown": "true",
