@@ -111,8 +111,15 @@ def concat_long_string(id_col, name_col, delimiter: str = ";") -> Column:
 
 
 def split_list(s, sep: str = ",") -> Column:
-    """Comma list -> array; NULL stays NULL."""
-    return F.split(_c(s), sep)
+    """Comma list -> array with Java ``String.split`` rules: trailing empty
+    pieces are dropped (``"x,"`` -> [x], ``","`` -> []), but ``""`` -> [""].
+    NULL stays NULL."""
+    c = _c(s)
+    q = re.escape(sep)
+    stripped = F.regexp_replace(c, f"({q})+$", "")
+    return (F.when(c == F.lit(""), F.array(F.lit("")))
+            .when(stripped == F.lit(""), F.array().cast("array<string>"))
+            .otherwise(F.split(stripped, q)))
 
 
 # --- JSON ----------------------------------------------------------------

@@ -120,3 +120,44 @@ def test_sql_validators_match_dataframe_filter(spark):
           AND valid_in(bag, 'city', :p, 'cities') AND valid_equal(bag, 'sex', :p, 'sex')""",
                     args={"p": params})
     assert sorted(r.id for r in sql.collect()) == sorted(r.id for r in ss.session_filter(bags, params).collect()) == ["s1"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _jsplit(s):
+    parts = s.split(",")
+    while parts and parts[-1] == "" and s != "":
+        parts.pop()
+    return parts
+
+
+def _py_get(bag, field):
+    for piece in [p for p in bag.split("|")]:
+        kv = piece.split("=")
+        while kv and kv[-1] == "":
+            kv.pop()
+        if len(kv) == 2 and kv[0] == field:
+            return kv[1]
+    return None
+
+
+def _py_in(data, param):
+    p = _py_get(param, "f")
+    if p is None:
+        return True
+    v = _py_get(data, "f")
+    return v is not None and bool(set(_jsplit(v)) & set(_jsplit(p)))
+
+
+lists = st.text(alphabet="ab,", max_size=5)
+
+
+@settings(max_examples=40, deadline=None)
+@given(lists, lists)
+def test_in_param_matches_java_rules(spark, dv, pv):
+    data, param = f"f={dv}", f"f={pv}"
+    df = spark.createDataFrame([(data,)], "bag string")
+    got = df.select(ss.in_param(F.col("bag"), "f", F.lit(param), "f")).first()[0]
+    assert got == _py_in(data, param)
