@@ -51,7 +51,17 @@ def _area_chain(clicks: str) -> dict[str, str]:
     return {"basic": basic, "counts": counts, "full": full, "level": level, "top": top}
 
 
+_TASK_CLICKS = """
+  SELECT CAST(c.c_nationkey AS BIGINT) AS city_id, l.l_partkey AS product_id
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+       JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE l.l_shipdate >= (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) FROM orders WHERE o_orderkey = 0)
+    AND l.l_shipdate <= (SELECT CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS TIMESTAMP)
+                         FROM orders WHERE o_orderkey = 0)
+"""
+
 _EV = _area_chain(_CLICKS)
+_TASK = _area_chain(_TASK_CLICKS)
 _BIG = _area_chain(_BIG_CLICKS)
 
 AREA = {
@@ -64,6 +74,7 @@ AREA = {
     "area_top10_product_lineitem": _BIG["top"],
     "area_top10_product_sql": _EV["top"],
     "area_top10_persist": f"SELECT CAST(1 AS BIGINT) AS task_id, t.* FROM ({_EV['top']}) t",
+    "area_top10_task": f"SELECT CAST(0 AS BIGINT) AS task_id, t.* FROM ({_TASK['top']}) t",
     "task_params": """
   SELECT o_orderkey AS task_id, strftime(o_orderdate, '%Y-%m-%d') AS start_date,
          strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS end_date

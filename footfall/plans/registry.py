@@ -22,6 +22,7 @@ def all_queries() -> dict[str, Query]:
         "area_top10_product": area_jobs.area_top10_product,
         "area_top10_product_lineitem": area_jobs.area_top10_product_lineitem,
         "area_top10_persist": area_jobs.area_top10_persist,
+        "area_top10_task": area_jobs.area_top10_task,
         "area_top10_product_sql": sql_surface.area_top10_product_sql,
         "task_params": area_jobs.task_params,
         # J2 ad-click stream
