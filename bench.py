@@ -6,7 +6,8 @@ Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is run to completion with the no-op sink (full execution, no
 collect to the driver), ``BENCH_RUNS`` times (default 2); ``queries`` holds
 the best run, ``cold_total`` the sum of first runs. The ad-click stream is
-timed once end to end (both log arrivals through both streaming queries).
+timed end to end (a fresh deployment per run: both log arrivals through
+both streaming queries, then the result views), best of the same runs.
 """
 
 from __future__ import annotations
@@ -60,14 +61,17 @@ def main() -> None:
         cold[name] = round(samples[0], 3)
         times[name] = round(min(samples), 3)          # warm: best of the runs
 
-    t0 = time.perf_counter()
-    ad_jobs._RUNS.clear()
-    ad_jobs.pipeline(spark, sf_dir)                    # two arrivals, both queries
-    _run(ad_jobs.ad_realtime_stat(spark, sf_dir))
-    _run(ad_jobs.ad_province_top3(spark, sf_dir))
-    _run(ad_jobs.ad_user_click_total(spark, sf_dir))
-    times["ad_click_stream"] = round(time.perf_counter() - t0, 3)
-    cold["ad_click_stream"] = times["ad_click_stream"]   # one end-to-end run
+    samples = []
+    for _ in range(runs):                              # a fresh deployment each run
+        t0 = time.perf_counter()
+        ad_jobs._RUNS.clear()
+        ad_jobs.pipeline(spark, sf_dir)                # two arrivals, both queries
+        _run(ad_jobs.ad_realtime_stat(spark, sf_dir))
+        _run(ad_jobs.ad_province_top3(spark, sf_dir))
+        _run(ad_jobs.ad_user_click_total(spark, sf_dir))
+        samples.append(time.perf_counter() - t0)
+    cold["ad_click_stream"] = round(samples[0], 3)
+    times["ad_click_stream"] = round(min(samples), 3)
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
