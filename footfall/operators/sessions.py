@@ -157,14 +157,14 @@ def equal_param(data: Column, data_field: str, params: Column, param_field: str)
     return p.isNull() | F.coalesce(v == p, F.lit(False))
 
 
-FILTER_PARAMS = [PARAM_START_AGE, PARAM_END_AGE, PARAM_PROFESSIONALS, PARAM_CITIES,
+FILTER_PARAM_NAMES = [PARAM_START_AGE, PARAM_END_AGE, PARAM_PROFESSIONALS, PARAM_CITIES,
                  PARAM_SEX, PARAM_KEYWORDS, PARAM_CATEGORY_IDS]
 
 
 def filter_params_of_task(tasks: DataFrame, task_id: int) -> str:
     """The parameter bag of one task (one row to the driver)."""
     row = (tasks.where(F.col("task_id") == F.lit(task_id))
-           .select(fc.task_params_bag("task_param", FILTER_PARAMS)).limit(1).collect())
+           .select(fc.task_params_bag("task_param", FILTER_PARAM_NAMES)).limit(1).collect())
     return row[0][0] if row else ""
 
 
