@@ -1,8 +1,8 @@
 """Table sources.
 
-``load`` reads one parquet table. The ``*_view`` functions shape the
-driver's TPC-H-like tables into the reference's data model
-(``user_visit_action``, ``city_info``, ``product_info``, ``task``), purely
+``load`` reads one parquet table. ``city_info``, ``user_visit_action``,
+``user_visit_action_big``, ``product_info`` and ``tasks`` shape the driver's
+TPC-H-like tables into the reference's data model, purely
 with DataFrame expressions, so every job downstream works unchanged on the
 reference's own tables too.
 """
