@@ -106,7 +106,8 @@ class AdClickPipeline:
     def __init__(self, spark: SparkSession, root: str,
                  threshold: int = ac.DEFAULT_BLACKLIST_THRESHOLD,
                  top_n: int = ac.DEFAULT_TOP_N,
-                 state_retention: str | None = None):
+                 state_retention: str | None = None,
+                 state_partitions: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.threshold = threshold
@@ -115,6 +116,10 @@ class AdClickPipeline:
         # as in the reference); a delay such as "2 days" bounds the state and
         # drops clicks that arrive later than that.
         self.state_retention = state_retention
+        # Partitions of the state store; fixed when the stat query first
+        # starts. AQE cannot coalesce stateful partitions, so a batch-sized
+        # setting (e.g. 20,000) would launch that many tasks per micro-batch.
+        self.state_partitions = state_partitions
         for p in (self.source, self.filtered, self.deltas, self.blacklist,
                   self.updates, self.top, self.bad, self.base, self.archive_of_filtered):
             make_dirs(spark, p)
@@ -228,11 +233,20 @@ class AdClickPipeline:
         counts = (clicks.groupBy(F.window("click_time", "1 day").alias("day"),
                                  "province", "city", "ad_id")
                   .agg(F.count(F.lit(1)).alias("click_count")))
-        return (counts.writeStream.outputMode("update")
-                .foreachBatch(self._stat_batch)
-                .option("checkpointLocation", self._p("checkpoints/stat"))
-                .trigger(**(trigger or {"processingTime": "5 seconds"}))
-                .start())
+        writer = (counts.writeStream.outputMode("update")
+                  .foreachBatch(self._stat_batch)
+                  .option("checkpointLocation", self._p("checkpoints/stat"))
+                  .trigger(**(trigger or {"processingTime": "5 seconds"})))
+        if not self.state_partitions:
+            return writer.start()
+        # the query clones the session at start, so the setting applies to it only
+        key = "spark.sql.shuffle.partitions"
+        previous = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(self.state_partitions))
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.set(key, previous)
 
     def _stat_batch(self, updates: DataFrame, batch_id: int) -> None:
         n = int(batch_id)

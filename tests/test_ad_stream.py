@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from footfall.operators import ad_click as ac
@@ -193,3 +195,19 @@ def test_overlapped_arrivals_match_sequential(spark, run_dir):
     key = lambda df: sorted(map(tuple, df.collect()))
     for view in ("black_list", "ad_realtime_stat", "ad_province_top3", "filtered_clicks"):
         assert key(getattr(seq, view)()) == key(getattr(ovl, view)()), view
+
+
+def test_state_partitions_fixed_per_query(spark, run_dir):
+    import json
+
+    from footfall.session import local_path
+
+    p = AdClickPipeline(spark, run_dir, threshold=100, state_partitions=3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    _land(spark, p, BATCH0[:-3])
+    p.run_available()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before      # session untouched
+    state = os.listdir(local_path(f"{p.root}/checkpoints/stat/state/0"))
+    assert sorted(int(x) for x in state if x.isdigit()) == [0, 1, 2]
+    offsets = open(local_path(f"{p.root}/checkpoints/stat/offsets/0")).read().splitlines()
+    assert json.loads(offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
