@@ -47,8 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--threshold", type=int, default=100)
     s.add_argument("--trigger", default="5 seconds")
     s.add_argument("--state-retention", default=None)
-    s.add_argument("--state-partitions", type=int, default=400,
-                   help="state store partitions (fixed at the first start)")
+    s.add_argument("--stream-partitions", type=int, default=400,
+                   help="shuffle/state partitions of the stream (fixed at the first start)")
     c = sub.add_parser("ad-compact")
     c.add_argument("--root", default=None, help="deployment folder (default: shared dir)")
     c.add_argument("--keep-partitions", action="store_true", help="fold but do not delete")
@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
 
     p = AdClickPipeline(spark, args.root or shared_dir(spark, "ad_click"),
                         threshold=args.threshold, state_retention=args.state_retention,
-                        state_partitions=args.state_partitions)
+                        stream_partitions=args.stream_partitions)
     if args.kafka:
         lines = kafka_log_stream(spark, args.kafka, args.topics or "")
     else:

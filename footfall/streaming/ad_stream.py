@@ -107,7 +107,7 @@ class AdClickPipeline:
                  threshold: int = ac.DEFAULT_BLACKLIST_THRESHOLD,
                  top_n: int = ac.DEFAULT_TOP_N,
                  state_retention: str | None = None,
-                 state_partitions: int | None = None):
+                 stream_partitions: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.threshold = threshold
@@ -116,10 +116,11 @@ class AdClickPipeline:
         # as in the reference); a delay such as "2 days" bounds the state and
         # drops clicks that arrive later than that.
         self.state_retention = state_retention
-        # Partitions of the state store; fixed when the stat query first
-        # starts. AQE cannot coalesce stateful partitions, so a batch-sized
-        # setting (e.g. 20,000) would launch that many tasks per micro-batch.
-        self.state_partitions = state_partitions
+        # Shuffle partitions of both queries (their micro-batch jobs and the
+        # state store), captured when each query starts. AQE cannot coalesce
+        # stateful partitions, so a batch-sized setting (e.g. 20,000) would
+        # launch that many tasks per micro-batch.
+        self.stream_partitions = stream_partitions
         for p in (self.source, self.filtered, self.deltas, self.blacklist,
                   self.updates, self.top, self.bad, self.base, self.archive_of_filtered):
             make_dirs(spark, p)
@@ -164,11 +165,10 @@ class AdClickPipeline:
     # --- query 1: blacklist filter, daily counts, blacklist update ---------
     def filter_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
         lines = lines if lines is not None else text_log_stream(self.spark, self.source)
-        return (ac.parse_log(lines).writeStream
-                .foreachBatch(self._filter_batch)
-                .option("checkpointLocation", self._p("checkpoints/filter"))
-                .trigger(**(trigger or {"processingTime": "5 seconds"}))
-                .start())
+        return self._start(ac.parse_log(lines).writeStream
+                           .foreachBatch(self._filter_batch)
+                           .option("checkpointLocation", self._p("checkpoints/filter"))
+                           .trigger(**(trigger or {"processingTime": "5 seconds"})))
 
     def _filter_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = self.spark
@@ -237,12 +237,15 @@ class AdClickPipeline:
                   .foreachBatch(self._stat_batch)
                   .option("checkpointLocation", self._p("checkpoints/stat"))
                   .trigger(**(trigger or {"processingTime": "5 seconds"})))
-        if not self.state_partitions:
+        return self._start(writer)
+
+    def _start(self, writer) -> StreamingQuery:
+        if not self.stream_partitions:
             return writer.start()
-        # the query clones the session at start, so the setting applies to it only
+        # a query clones the session at start, so the setting applies to it only
         key = "spark.sql.shuffle.partitions"
         previous = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(self.state_partitions))
+        self.spark.conf.set(key, str(self.stream_partitions))
         try:
             return writer.start()
         finally:

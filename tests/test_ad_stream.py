@@ -197,12 +197,12 @@ def test_overlapped_arrivals_match_sequential(spark, run_dir):
         assert key(getattr(seq, view)()) == key(getattr(ovl, view)()), view
 
 
-def test_state_partitions_fixed_per_query(spark, run_dir):
+def test_stream_partitions_fixed_per_query(spark, run_dir):
     import json
 
     from footfall.session import local_path
 
-    p = AdClickPipeline(spark, run_dir, threshold=100, state_partitions=3)
+    p = AdClickPipeline(spark, run_dir, threshold=100, stream_partitions=3)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     _land(spark, p, BATCH0[:-3])
     p.run_available()
@@ -211,3 +211,5 @@ def test_state_partitions_fixed_per_query(spark, run_dir):
     assert sorted(int(x) for x in state if x.isdigit()) == [0, 1, 2]
     offsets = open(local_path(f"{p.root}/checkpoints/stat/offsets/0")).read().splitlines()
     assert json.loads(offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
+    f_offsets = open(local_path(f"{p.root}/checkpoints/filter/offsets/0")).read().splitlines()
+    assert json.loads(f_offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
