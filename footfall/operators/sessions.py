@@ -65,7 +65,8 @@ AGGR_STAT_COLUMNS = ["session_count"] + [b[0] for b in VISIT_BUCKETS] + [b[0] fo
 
 
 def session_facts(actions: DataFrame, session_key: list[str],
-                  time_col: str = "action_time") -> DataFrame:
+                  time_col: str = "action_time",
+                  partition_by: list[str] | None = None) -> DataFrame:
     """One row per session: start/end time, step count, sorted distinct
     action types and clicked category ids.
 
@@ -75,11 +76,17 @@ def session_facts(actions: DataFrame, session_key: list[str],
     first; the distinct sets are collected over those rows only (bounded
     per session by types x categories), so a hot session never makes an
     object aggregate sort raw rows.
+
+    ``partition_by`` (a subset of the key) redistributes the reduced rows
+    before the second level, so a later join on those columns reuses the
+    partitioning instead of shuffling the sessions again.
     """
     t = F.col(time_col)
     per_kind = (actions.groupBy(*session_key, "action_type", "category_id")
                 .agg(F.min(t).alias("_first"), F.max(t).alias("_last"),
                      F.count(F.lit(1)).alias("_n")))
+    if partition_by:
+        per_kind = per_kind.repartition(*partition_by)
     clicked = F.when(F.col("action_type") == "click", F.col("category_id"))
     return (per_kind.groupBy(*session_key)
             .agg(F.min("_first").alias("start_ts"), F.max("_last").alias("end_ts"),

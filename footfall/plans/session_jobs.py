@@ -30,7 +30,7 @@ def user_day_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per user and day, with visit length and user attributes."""
     ensure_utc(spark)
     acts = user_actions(spark, sf_dir).withColumn("day", F.to_date("action_time"))
-    facts = ss.with_visit_length(ss.session_facts(acts, ["user_id", "day"]))
+    facts = ss.with_visit_length(ss.session_facts(acts, ["user_id", "day"], partition_by=["user_id"]))
     facts = facts.withColumn("session_id", F.concat(F.col("user_id").cast("string"), F.lit("_"),
                                                     fc.format_date_key("day")))
     return facts.join(user_info(spark, sf_dir), "user_id")

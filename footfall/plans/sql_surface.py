@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.operators import area_top as at
+from footfall.operators.joins import bounded_broadcast
 from footfall.session import ensure_utc
 from footfall.sources import tables as tb
 
@@ -59,7 +60,8 @@ def register_functions(spark: SparkSession) -> None:
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """``user_visit_action``, ``city_info``, ``product_info`` as temp views."""
     tb.user_visit_action(spark, sf_dir).createOrReplaceTempView("user_visit_action")
-    tb.city_info(spark, sf_dir).createOrReplaceTempView("city_info")
+    # the city dimension carries its (size-checked) broadcast into the SQL join
+    bounded_broadcast(tb.city_info(spark, sf_dir)).createOrReplaceTempView("city_info")
     tb.product_info(spark, sf_dir).createOrReplaceTempView("product_info")
 
 
