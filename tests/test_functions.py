@@ -177,3 +177,13 @@ def test_cells_written_in_row_key_order(spark, run_dir):
         F.min("row_key").alias("lo"), F.max("row_key").alias("hi")).orderBy("lo").collect()
     for a, b in zip(per_file, per_file[1:]):
         assert bytes(a.hi) < bytes(b.lo)
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    import pytest
+
+    from footfall.sources.jdbc import read_table
+
+    with pytest.raises(ValueError):
+        read_table(spark, "jdbc:none://nowhere/db", "city_info", partition_column="city_id",
+                   lower_bound=0)           # no upper bound / partition count: refused before connecting
