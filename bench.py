@@ -65,7 +65,7 @@ def main() -> None:
     for _ in range(runs):                              # a fresh deployment each run
         t0 = time.perf_counter()
         ad_jobs._RUNS.clear()
-        ad_jobs.pipeline(spark, sf_dir)                # two arrivals, both queries
+        ad_jobs.deployment(spark, sf_dir)                # two arrivals, both queries
         _run(ad_jobs.ad_realtime_stat(spark, sf_dir))
         _run(ad_jobs.ad_province_top3(spark, sf_dir))
         _run(ad_jobs.ad_user_click_total(spark, sf_dir))

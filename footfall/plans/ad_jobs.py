@@ -1,10 +1,10 @@
 """J2 as registered queries.
 
-Every key runs the *real* streaming pipeline over the whole log derived
+Every key runs the *real* streaming job over the whole log derived
 from the driver's tables. The log lands in two arrivals (events before /
 after ``SPLIT_AT``), each processed by an ``availableNow`` run restarted
 from the checkpoints, so batch 1 sees the blacklist grown by batch 0 and
-some (day, user, ad) keys span both batches. The pipeline runs once per
+some (day, user, ad) keys span both batches. The stream runs once per
 (application, sf_dir); the keys read its sink tables.
 """
 
@@ -17,22 +17,22 @@ from footfall.functions.columns import format_date
 from footfall.operators import ad_click as ac
 from footfall.session import ensure_utc, new_run_dir
 from footfall.sources.adlog import ad_log_lines, initial_blacklist
-from footfall.streaming.ad_stream import AdClickPipeline
+from footfall.streaming.ad_stream import AdClickStream
 
 SPLIT_AT = "2024-01-16 12:00:00"
 # Small enough to flag users at the driver's scales (clicks per day, user and
 # ad reach 4-6 there); the job's default stays the reference's 100.
 TEST_THRESHOLD = 4
 
-_RUNS: dict[tuple[str, str], AdClickPipeline] = {}
+_RUNS: dict[tuple[str, str], AdClickStream] = {}
 _ARCHIVED: dict[str, bool] = {}
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> AdClickPipeline:
+def deployment(spark: SparkSession, sf_dir: str) -> AdClickStream:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         ensure_utc(spark)
-        p = AdClickPipeline(spark, new_run_dir(spark, "adclick"), threshold=TEST_THRESHOLD)
+        p = AdClickStream(spark, new_run_dir(spark, "adclick"), threshold=TEST_THRESHOLD)
         p.seed_blacklist(initial_blacklist(spark, sf_dir))
         lines = ad_log_lines(spark, sf_dir)
         split = F.lit(SPLIT_AT).cast(lines.schema["ts"].dataType)
@@ -49,7 +49,7 @@ def _out(df: DataFrame) -> DataFrame:
 def ad_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ5 on the streamed log: every parsed line (nothing filtered)."""
     ensure_utc(spark)
-    p = pipeline(spark, sf_dir)
+    p = deployment(spark, sf_dir)
     if not _ARCHIVED.get(p.root):
         p.archive_query(availableNow=True).awaitTermination()
         _ARCHIVED[p.root] = True
@@ -58,36 +58,36 @@ def ad_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ad_blacklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = pipeline(spark, sf_dir).filtered_clicks()
+    f = deployment(spark, sf_dir).filtered_clicks()
     return _out(f.select("ts_ms", "date", "province", "city", "user_id", "ad_id", "batch_id"))
 
 
 def daily_user_ad_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = pipeline(spark, sf_dir).daily_user_ad_count()
+    d = deployment(spark, sf_dir).daily_user_ad_count()
     return _out(d.select("batch_id", "date", "user_id", "ad_id", "click_count"))
 
 
 def ad_user_click_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = pipeline(spark, sf_dir).ad_user_click_total()
+    t = deployment(spark, sf_dir).ad_user_click_total()
     return _out(t.select("date", "user_id", "ad_id", "click_count"))
 
 
 def ad_blacklist_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline(spark, sf_dir).blacklist_additions().select("user_id", "batch_id")
+    return deployment(spark, sf_dir).blacklist_additions().select("user_id", "batch_id")
 
 
 def ad_realtime_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline(spark, sf_dir).ad_realtime_stat()
+    return deployment(spark, sf_dir).ad_realtime_stat()
 
 
 def ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline(spark, sf_dir).ad_province_top3()
+    return deployment(spark, sf_dir).ad_province_top3()
 
 
 def ad_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline(spark, sf_dir).bad_lines()
+    return deployment(spark, sf_dir).bad_lines()
 
 
-__all__ = ["pipeline", "ad_log_parse", "ad_blacklist_filter", "daily_user_ad_count",
+__all__ = ["deployment", "ad_log_parse", "ad_blacklist_filter", "daily_user_ad_count",
            "ad_user_click_total", "ad_blacklist_update", "ad_realtime_stat", "ad_province_top3",
            "ad_bad_lines"]

@@ -73,14 +73,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from footfall.sources.adlog import kafka_log_stream, text_log_stream
-    from footfall.streaming.ad_stream import AdClickPipeline
+    from footfall.streaming.ad_stream import AdClickStream
 
     if args.cmd == "ad-compact":
-        p = AdClickPipeline(spark, args.root or shared_dir(spark, "ad_click"))
+        p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"))
         p.compact(delete=not args.keep_partitions)
         return 0
 
-    p = AdClickPipeline(spark, args.root or shared_dir(spark, "ad_click"),
+    p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"),
                         threshold=args.threshold, state_retention=args.state_retention,
                         stream_partitions=args.stream_partitions)
     if args.kafka:

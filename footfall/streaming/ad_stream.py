@@ -99,7 +99,7 @@ def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> Non
      .partitionBy(*partition_cols).parquet(path))
 
 
-class AdClickPipeline:
+class AdClickStream:
     """Paths, queries and views of one ad-click deployment rooted at ``root``
     (a folder under the cluster's shared checkpoint dir)."""
 

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from footfall.operators import ad_click as ac
-from footfall.streaming.ad_stream import AdClickPipeline
+from footfall.streaming.ad_stream import AdClickStream
 
 DAY0 = 1703980800000   # 2023-12-31 00:00 UTC
 DAY1 = 1704067200000   # 2024-01-01
@@ -32,8 +32,8 @@ def _land(spark, p, lines):
     p.append_log(spark.createDataFrame([(x,) for x in lines], "value string"))
 
 
-def _pipeline(spark, run_dir, threshold=3):
-    p = AdClickPipeline(spark, run_dir, threshold=threshold)
+def _stream(spark, run_dir, threshold=3):
+    p = AdClickStream(spark, run_dir, threshold=threshold)
     p.seed_blacklist(spark.createDataFrame([(900,)], "user_id long"))
     return p
 
@@ -48,7 +48,7 @@ def test_parse_quarantines_bad_lines(spark):
 
 
 def test_two_batches_blacklist_and_totals(spark, run_dir):
-    p = _pipeline(spark, run_dir)
+    p = _stream(spark, run_dir)
     _land(spark, p, BATCH0)
     p.run_available()
     _land(spark, p, BATCH1)
@@ -77,7 +77,7 @@ def test_two_batches_blacklist_and_totals(spark, run_dir):
 
 
 def test_restart_without_new_data_changes_nothing(spark, run_dir):
-    p = _pipeline(spark, run_dir)
+    p = _stream(spark, run_dir)
     _land(spark, p, BATCH0)
     p.run_available()
     before = sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect()))
@@ -88,7 +88,7 @@ def test_restart_without_new_data_changes_nothing(spark, run_dir):
 
 
 def test_replayed_batch_is_idempotent(spark, run_dir):
-    p = _pipeline(spark, run_dir)
+    p = _stream(spark, run_dir)
     _land(spark, p, BATCH0)
     p.run_available()
     snap = lambda: (p.filtered_clicks().count(), p.daily_user_ad_count().count(),
@@ -101,10 +101,10 @@ def test_replayed_batch_is_idempotent(spark, run_dir):
 
 def test_one_file_or_many_same_totals(spark, run_dir):
     lines = BATCH0[:-3] + BATCH1
-    one = AdClickPipeline(spark, run_dir + "/one", threshold=100)
+    one = AdClickStream(spark, run_dir + "/one", threshold=100)
     _land(spark, one, lines)
     one.run_available()
-    many = AdClickPipeline(spark, run_dir + "/many", threshold=100)
+    many = AdClickStream(spark, run_dir + "/many", threshold=100)
     for chunk in (lines[:3], lines[3:8], lines[8:]):
         _land(spark, many, chunk)
         many.run_available()
@@ -123,7 +123,7 @@ def test_province_top_n_ties_by_ad(spark):
 
 
 def test_state_retention_drops_very_late_clicks(spark, run_dir):
-    p = AdClickPipeline(spark, run_dir, threshold=100, state_retention="1 hour")
+    p = AdClickStream(spark, run_dir, threshold=100, state_retention="1 hour")
     _land(spark, p, [line(DAY2 + i, 5, 20) for i in range(3)])
     p.run_available()
     _land(spark, p, [line(DAY0 + 1, 6, 21), line(DAY2 + 10, 5, 20)])   # day 0 is > 1 hour late
@@ -142,7 +142,7 @@ def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
 
     arrivals = [BATCH0, BATCH1, [line(DAY1 + 900 + i, 7, 10) for i in range(2)]
                 + [line(DAY2 + 900, 4, 13)] + [line(DAY1 + 950, 1, 14)]]
-    plain, packed = _pipeline(spark, run_dir + "/plain"), _pipeline(spark, run_dir + "/packed")
+    plain, packed = _stream(spark, run_dir + "/plain"), _stream(spark, run_dir + "/packed")
     for i, lines in enumerate(arrivals):
         for p in (plain, packed):
             _land(spark, p, lines)
@@ -167,7 +167,7 @@ def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
 
 
 def test_default_threshold_99_100_101(spark, run_dir):
-    p = AdClickPipeline(spark, run_dir)                       # reference threshold: 100
+    p = AdClickStream(spark, run_dir)                       # reference threshold: 100
     assert p.threshold == 100
     p.seed_blacklist(spark.createDataFrame([(50,), (50,)], "user_id long"))   # listed twice
     b0 = ([line(DAY1 + i, 31, 1) for i in range(99)]          # 99, +1 later -> 100
@@ -187,7 +187,7 @@ def test_default_threshold_99_100_101(spark, run_dir):
 
 
 def test_overlapped_arrivals_match_sequential(spark, run_dir):
-    seq, ovl = _pipeline(spark, run_dir + "/seq"), _pipeline(spark, run_dir + "/ovl")
+    seq, ovl = _stream(spark, run_dir + "/seq"), _stream(spark, run_dir + "/ovl")
     for lines in (BATCH0, BATCH1):
         _land(spark, seq, lines)
         seq.run_available()
@@ -202,7 +202,7 @@ def test_stream_partitions_fixed_per_query(spark, run_dir):
 
     from footfall.session import local_path
 
-    p = AdClickPipeline(spark, run_dir, threshold=100, stream_partitions=3)
+    p = AdClickStream(spark, run_dir, threshold=100, stream_partitions=3)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     _land(spark, p, BATCH0[:-3])
     p.run_available()
