@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "ad-compact":
         p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"))
-        p.compact(delete=not args.keep_partitions)
+        p.compact(delete=not args.keep_partitions, sweep=not args.keep_partitions)
         return 0
 
     p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"),

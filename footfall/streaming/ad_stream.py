@@ -317,7 +317,7 @@ class AdClickStream:
 
     # --- maintenance: fold per-batch partitions -----------------------------
     def compact(self, upto_batch: int | None = None, upto_stat_batch: int | None = None,
-                delete: bool = True) -> None:
+                delete: bool = True, sweep: bool = False) -> None:
         """Fold the per-batch partitions of the days that changed.
 
         * deltas (sum semantics): one base partition (date, upto=B) per
@@ -329,12 +329,25 @@ class AdClickStream:
 
         Defaults leave the newest batch of each query alone. Readers stay
         correct at every step, so this can run beside the live stream;
-        ``delete`` then removes the folded partitions.
+        ``delete`` then removes the folded partitions, and ``sweep`` also
+        removes folded partitions an interrupted earlier run left behind.
         """
         upto_batch = self._compact_deltas(upto_batch, delete)
         if upto_batch is not None:
             self._compact_blacklist(upto_batch, delete)
         self._compact_updates(upto_stat_batch, delete)
+        if sweep:
+            self._sweep_folded_deltas()
+
+    def _sweep_folded_deltas(self) -> None:
+        """Drop delta and base partitions already covered by the newest base
+        of their day (readers ignore them anyway)."""
+        latest = (self._read(self.base, BASE_SCHEMA).groupBy("date")
+                  .agg(F.max("upto").alias("upto")).collect())    # one row per compacted day
+        for r in latest:
+            day, upto = r["date"], r["upto"]
+            _drop_partitions(self.spark, f"{self.deltas}/date={day}", "batch_id", lambda k, u=upto: k <= u)
+            _drop_partitions(self.spark, f"{self.base}/date={day}", "upto", lambda k, u=upto: k < u)
 
     def _compact_blacklist(self, upto: int, delete: bool) -> None:
         """Merge the listing partitions 0..upto into partition ``upto`` (the

@@ -213,3 +213,20 @@ def test_stream_partitions_fixed_per_query(spark, run_dir):
     assert json.loads(offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
     f_offsets = open(local_path(f"{p.root}/checkpoints/filter/offsets/0")).read().splitlines()
     assert json.loads(f_offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
+
+
+def test_sweep_removes_leftovers_of_an_interrupted_compaction(spark, run_dir):
+    from footfall.session import local_path
+
+    p = _stream(spark, run_dir)
+    for lines in (BATCH0, BATCH1):
+        _land(spark, p, lines)
+        p.run_available()
+    before = sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect()))
+    p.compact(upto_batch=1, upto_stat_batch=1, delete=False)     # base written, nothing deleted
+    day = local_path(f"{p.deltas}/date=2024-01-01")
+    assert [d for d in os.listdir(day) if d.startswith("batch_id=")]
+    assert sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect())) == before
+    p.compact(sweep=True)
+    assert not [d for d in os.listdir(day) if d.startswith("batch_id=")]
+    assert sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect())) == before
