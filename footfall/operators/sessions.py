@@ -175,16 +175,43 @@ def filter_params_of_task(tasks: DataFrame, task_id: int) -> str:
     return row[0][0] if row else ""
 
 
+USER_FIELDS = (FIELD_AGE, FIELD_PROFESSIONAL, FIELD_CITY, FIELD_SEX)
+SESSION_FIELDS = (FIELD_SEARCH_KEYWORDS, FIELD_CLICK_CATEGORY_IDS)
+
+
+def filter_condition(data: Column, params: str, fields=USER_FIELDS + SESSION_FIELDS) -> Column:
+    """The conditions of ``params`` on the given bag fields, all required."""
+    p = F.lit(params)
+    conds = {
+        FIELD_AGE: lambda: between_param(data, FIELD_AGE, p, PARAM_START_AGE, PARAM_END_AGE),
+        FIELD_PROFESSIONAL: lambda: in_param(data, FIELD_PROFESSIONAL, p, PARAM_PROFESSIONALS),
+        FIELD_CITY: lambda: in_param(data, FIELD_CITY, p, PARAM_CITIES),
+        FIELD_SEX: lambda: equal_param(data, FIELD_SEX, p, PARAM_SEX),
+        FIELD_SEARCH_KEYWORDS: lambda: in_param(data, FIELD_SEARCH_KEYWORDS, p, PARAM_KEYWORDS),
+        FIELD_CLICK_CATEGORY_IDS: lambda: in_param(data, FIELD_CLICK_CATEGORY_IDS, p,
+                                                   PARAM_CATEGORY_IDS),
+    }
+    out = F.lit(True)
+    for f in fields:
+        out = out & conds[f]()
+    return out
+
+
 def session_filter(bags: DataFrame, params: str, bag: str = "bag") -> DataFrame:
     """Sessions of ``bags`` accepted by every parameter of ``params``."""
-    d, p = F.col(bag), F.lit(params)
-    cond = (between_param(d, FIELD_AGE, p, PARAM_START_AGE, PARAM_END_AGE)
-            & in_param(d, FIELD_PROFESSIONAL, p, PARAM_PROFESSIONALS)
-            & in_param(d, FIELD_CITY, p, PARAM_CITIES)
-            & equal_param(d, FIELD_SEX, p, PARAM_SEX)
-            & in_param(d, FIELD_SEARCH_KEYWORDS, p, PARAM_KEYWORDS)
-            & in_param(d, FIELD_CLICK_CATEGORY_IDS, p, PARAM_CATEGORY_IDS))
-    return bags.where(cond)
+    return bags.where(filter_condition(F.col(bag), params))
+
+
+def user_bag(df: DataFrame) -> Column:
+    """The user half of a session bag."""
+    return fc.bag_of(**{FIELD_AGE: F.col("age"), FIELD_PROFESSIONAL: F.col("professional"),
+                        FIELD_CITY: F.col("city"), FIELD_SEX: F.col("sex")})
+
+
+def activity_bag(df: DataFrame) -> Column:
+    """The activity half of a session bag."""
+    return fc.bag_of(**{FIELD_SEARCH_KEYWORDS: F.col("search_keywords"),
+                        FIELD_CLICK_CATEGORY_IDS: F.col("click_category_ids")})
 
 
 # --- statistics --------------------------------------------------------------

@@ -26,14 +26,18 @@ FILTER_PARAMS = ("startAge=20|endAge=40|professionals=BUILDING,MACHINERY|"
 BEHAVIOUR_TYPES = {"click": "click", "order": "purchase", "pay": "signup"}
 
 
-def user_day_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One session per user and day, with visit length and user attributes."""
+def user_day_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One session per user and day with its visit length (no user attributes)."""
     ensure_utc(spark)
     acts = user_actions(spark, sf_dir).withColumn("day", F.to_date("action_time"))
     facts = ss.with_visit_length(ss.session_facts(acts, ["user_id", "day"], partition_by=["user_id"]))
-    facts = facts.withColumn("session_id", F.concat(F.col("user_id").cast("string"), F.lit("_"),
-                                                    fc.format_date_key("day")))
-    return facts.join(user_info(spark, sf_dir), "user_id")
+    return facts.withColumn("session_id", F.concat(F.col("user_id").cast("string"), F.lit("_"),
+                                                   fc.format_date_key("day")))
+
+
+def user_day_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One session per user and day, with visit length and user attributes."""
+    return user_day_facts(spark, sf_dir).join(user_info(spark, sf_dir), "user_id")
 
 
 def slot_sessions(spark: SparkSession, sf_dir: str, minutes: int = 10) -> DataFrame:
@@ -77,9 +81,16 @@ def session_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bags = session_bags(spark, sf_dir)
-    kept = ss.session_filter(bags, FILTER_PARAMS)
-    return ss.extract_bag(kept).select("session_id", "age", "professional", "city", "sex",
+    """Sessions accepted by the parameter bag. Every bag field comes from one
+    side (user or activity), so each side is filtered by its own conditions
+    before the join; the accepted sessions' bags are then read as usual."""
+    users = user_info(spark, sf_dir)
+    users = users.where(ss.filter_condition(ss.user_bag(users), FILTER_PARAMS, ss.USER_FIELDS))
+    facts = user_day_facts(spark, sf_dir)
+    facts = facts.where(ss.filter_condition(ss.activity_bag(facts), FILTER_PARAMS, ss.SESSION_FIELDS))
+    s = facts.join(users, "user_id")
+    bags = s.select("session_id", ss.session_bag(s).alias("bag"))
+    return ss.extract_bag(bags).select("session_id", "age", "professional", "city", "sex",
                                        "search_keywords")
 
 
