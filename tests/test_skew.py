@@ -61,3 +61,22 @@ def test_hot_user_split_gives_same_top10(spark, run_dir):
                 spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in plan
     assert split == plain and len(plain) == 50
+
+
+def test_line_items_shuffled_once_when_nothing_is_broadcast(spark):
+    import re
+
+    from footfall.sources import tables as tb
+
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")     # the static plan
+        plan = tb.user_visit_action_big(spark, "/root/testdata/sf0.001") \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    exchanged = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(exchanged) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
