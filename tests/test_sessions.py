@@ -161,3 +161,12 @@ def test_in_param_matches_java_rules(spark, dv, pv):
     df = spark.createDataFrame([(data,)], "bag string")
     got = df.select(ss.in_param(F.col("bag"), "f", F.lit(param), "f")).first()[0]
     assert got == _py_in(data, param)
+
+
+def test_session_filter_runs_below_the_user_join(spark):
+    from footfall.plans import session_jobs as sj
+
+    plan = sj.session_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
+        .executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "user_id" in line]
+    assert joins and all("regexp_extract_all" not in line for line in joins)
