@@ -2,10 +2,11 @@
 
 Features of a text are its distinct word unigrams, bigrams and skip-grams (two
 words with one between them), lower-cased and hashed to ``DIM`` slots; words are
-runs of letters. Training rows, at most about ``FIT_ROWS`` labelled documents dealt by a hash,
-are spread over ``SHARDS`` groups. In each round every group runs FTRL-proximal
-over its rows from the same state, and the states are averaged (each has at most
-``DIM`` entries, so what meets in the driver is bounded by SHARDS * DIM). L1
+runs of letters. Training rows, at most about ``FIT_ROWS`` labelled documents
+dealt by a hash, are spread over ``SHARDS`` groups. In each round every group
+runs FTRL-proximal over its rows from the same state, leaving out features that
+fewer than one row in a thousand has, and the changes are averaged (each has at
+most ``DIM`` entries, so what meets in the driver is bounded by SHARDS * DIM). L1
 keeps few weights, which are broadcast to score all documents.
 
 Defined results: null or empty text has no feature and scores by the intercept
@@ -27,11 +28,12 @@ from pyspark.sql import functions as F
 from footfall.llm.tables import extended, stored
 from footfall.llm.wordhash import FOLD, chunks, find_words, span_hashes, windows
 
-DIM = 1 << 18
-FIT_ROWS = 12_000
+DIM = 1 << 22
+FIT_ROWS = 15_000
 SHARDS = 6
-ROUNDS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 0.1
+ROUNDS = 8
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.1
+TOXIC_WEIGHT = 2.0         # of a toxic row's gradient
 
 _NOT_LETTER = np.ones(256, dtype=bool)
 _NOT_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -82,34 +84,45 @@ def _weights(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
     return w
 
 
-def _trainer(state, bias):
+def _trainer(held, bias):
+    """One pass over a shard's rows: the changes of the state."""
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        z, n = (np.zeros(DIM), np.zeros(DIM)) if state is None else (x.copy() for x in state.value)
-        zb, nb = bias
-        for slots, y in zip(pdf.sort_values("order").slots, pdf.sort_values("order").toxic, strict=True):
-            i = np.frombuffer(slots, np.int32)
+        pdf = pdf.sort_values("order")
+        rows = [np.frombuffer(x, np.int32) for x in pdf.slots]
+        at = np.flatnonzero(np.bincount(np.concatenate(rows), minlength=DIM) > len(rows) // 1000).astype(np.int32)
+        z0, n0 = np.zeros(len(at)), np.zeros(len(at))
+        if held is not None:
+            known, z, n = held.value
+            both, here, there = np.intersect1d(at, known, assume_unique=True, return_indices=True)
+            z0[here], n0[here] = z[there], n[there]
+        place = np.full(DIM, -1, np.int32)
+        place[at] = np.arange(len(at))
+        z, n, (zb, nb) = z0.copy(), n0.copy(), bias
+        for slots, y in zip(rows, pdf.toxic, strict=True):
+            i = place[slots]
+            i = i[i >= 0]
             zi, ni = z[i], n[i]
             w = _weights(zi, ni, L1)
             wb = -zb / ((BETA + np.sqrt(nb)) / ALPHA)
             p = 1 / (1 + np.exp(-np.clip(w.sum() + wb, -35, 35)))
-            g = p - y
-            sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA
-            z[i], n[i] = zi + g - sigma * w, ni + g * g
+            g = (p - y) * (TOXIC_WEIGHT if y else 1.0)
+            z[i] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * w
+            n[i] = ni + g * g
             zb += g - (np.sqrt(nb + g * g) - np.sqrt(nb)) / ALPHA * wb
             nb += g * g
-        at = np.flatnonzero(n).astype(np.int32)
-        return pd.DataFrame({"at": [at.tobytes()], "z": [z[at].tobytes()], "n": [n[at].tobytes()],
-                             "zb": [zb], "nb": [nb], "rows": [len(pdf)]})
+        moved = np.flatnonzero(n > n0)
+        return pd.DataFrame({
+            "at": [at[moved].tobytes()], "z": [(z - z0)[moved].astype("f4").tobytes()],
+            "n": [(n - n0)[moved].astype("f4").tobytes()],
+            "zb": [zb - bias[0]], "nb": [nb - bias[1]], "rows": [len(pdf)]})
     return train
 
 
 class Model:
     """Sparse weights and an intercept."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.at = np.flatnonzero(weights).astype(np.int32)
-        self.w = weights[self.at].astype(np.float64)
-        self.bias = float(bias)
+    def __init__(self, at: np.ndarray, weights: np.ndarray, bias: float):
+        self.at, self.w, self.bias = at[weights != 0], weights[weights != 0], float(bias)
 
     def dense(self) -> np.ndarray:
         w = np.zeros(DIM)
@@ -136,20 +149,23 @@ def fit(docs: DataFrame, labels: DataFrame, folder: str, fit_rows: int = FIT_ROW
     good, bad = seen.get(0, 0), seen.get(1, 0)
     if not good or not bad:
         share = (bad + 1) / (good + bad + 2)
-        return Model(np.zeros(DIM), np.log(share / (1 - share)))
+        return Model(np.zeros(0, np.int32), np.zeros(0), np.log(share / (1 - share)))
     state, bias = None, (0.0, 0.0)
     for _ in range(ROUNDS):
         held = spark.sparkContext.broadcast(state) if state is not None else None
         parts = rows.groupBy("shard").applyInPandas(
             _trainer(held, bias), "at binary, z binary, n binary, zb double, nb double, rows long").collect()
-        z, m, total = np.zeros(DIM), np.zeros(DIM), sum(p.rows for p in parts)
+        z, n, total = np.zeros(DIM), np.zeros(DIM), sum(p.rows for p in parts)
+        if state is not None:
+            z[state[0]], n[state[0]] = state[1:]
         for p in sorted(parts, key=lambda p: (p.rows, p.zb)):
             at = np.frombuffer(p.at, np.int32)
-            z[at] += np.frombuffer(p.z) * (p.rows / total)
-            m[at] += np.frombuffer(p.n) * (p.rows / total)
-        state = (z, m)
-        bias = (sum(p.zb * p.rows for p in parts) / total, sum(p.nb * p.rows for p in parts) / total)
-    return Model(_weights(*state, L1), -bias[0] / ((BETA + np.sqrt(bias[1])) / ALPHA))
+            z[at] += np.frombuffer(p.z, "f4") * (p.rows / total)
+            n[at] += np.frombuffer(p.n, "f4") * (p.rows / total)
+            bias = (bias[0] + p.zb * p.rows / total, bias[1] + p.nb * p.rows / total)
+        at = np.flatnonzero(n).astype(np.int32)
+        state = (at, z[at], n[at])
+    return Model(state[0], _weights(*state[1:], L1), -bias[0] / ((BETA + np.sqrt(bias[1])) / ALPHA))
 
 
 def _scorer(held):
