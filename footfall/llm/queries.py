@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from footfall.llm import line_chunks, packing, quality_rules, setsketch, toxicity, url_rules, word_bpe
+from footfall.llm import (line_chunks, mtree, packing, pseudo_lm, quality_rules, setsketch, token_blocks,
+                          toxicity, url_rules, word_bpe)
 from footfall.llm.tables import run_folder, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -26,6 +27,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(docs, rules)
 
 
+def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    blocks = token_blocks.write(table(spark, sf_dir, "documents"), path, run_folder(spark, "op3"), end_id=0)
+    return token_blocks.read(blocks, path).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known, net = pseudo_lm.fit(docs, run_folder(spark, "op4"))
+    return pseudo_lm.score(docs, known, net)
+
+
+def op5_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark, "op5")
+    vectors = mtree.integers(table(spark, sf_dir, "embeddings"))
+    return mtree.search(mtree.index(vectors, folder), vectors.where("id % 50 = 0"), vectors, folder, k=5)
+
+
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     encoded = word_bpe.encode(table(spark, sf_dir, "documents"), path, run_folder(spark, "op6"))
@@ -83,14 +104,29 @@ from parts p left join best b on p.host = b.host and p.path = b.path
 """
 
 
+OP5_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, c -> floor(256 * c::double)::bigint) as x
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.x) = len(c.x))
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+where rank <= 5
+"""
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_packing, op2_quality_rules, op6_word_bpe, op7_url_rules, op8_setsketch, op9_line_chunks,
-             op10_toxicity]
+    named = [op1_packing, op2_quality_rules, op3_token_blocks, op4_pseudo_lm, op5_mtree, op6_word_bpe,
+             op7_url_rules, op8_setsketch, op9_line_chunks, op10_toxicity]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def all_oracles() -> dict[str, str]:
-    out = {"op7_url_rules": OP7_SQL}
+    out = {"op5_mtree": OP5_SQL, "op7_url_rules": OP7_SQL}
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
