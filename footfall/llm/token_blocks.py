@@ -12,15 +12,15 @@ and ids are written in ascending doc_id order. A table of blocks is written
 Documents share a block while they fit; one of more than ``BLOCK`` ids has
 blocks of its own. Each block is coded from an empty state, so blocks are read alone.
 
-Coding one id is one step of a 64-bit range coder over 16 symbols: the id that
-followed the last two ids before (order 2), the one that followed the last id
-(order 1), or else the id's place in a self-organising list of the block's ids
-(order 0; 13 symbols for the place's bit length, one for an id that is new), with the
-remaining bits of the place, or the id itself, in a second step. The 16
-probabilities mix three adaptive distributions, of order 0 and in the contexts
-of the order-1 and order-2 predictions' records, with weights that follow how
-well each did. All arithmetic is in integers, so the reader repeats it exactly.
-Numpy codes many blocks in step.
+Coding an id is one or two steps of a 64-bit range coder. The first tells apart
+the id that followed the last two ids before (order 2), the one that followed the
+last id (order 1), an id that is new to the block, and another one. The
+probability of the order-2 id mixes adaptive estimates of order 0, of the record
+of the order-1 prediction and of that of order 2, with weights that follow how
+well each did. The second step codes a new id itself, or the place of an old one in a
+list that moves ids forward as they come again (order 0): the place's bit length, in
+a distribution around a running mean, then its other bits. All arithmetic is in
+integers, so the reader repeats it exactly. Numpy codes many blocks in step.
 
 Defined results: null or empty text is the end id alone; null doc_ids come first;
 rows of one doc_id follow each other, ordered by text; an empty table gives no
@@ -39,95 +39,126 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.tables import stored
-from footfall.llm.wordhash import chunks, find_words, span_hashes
 from footfall.llm.word_bpe import _LETTER, _SIGN, load
+from footfall.llm.wordhash import chunks, find_words, ragged, span_hashes
 
-BLOCK = 4_096              # ids of a block, at most
-TOGETHER = 1_024           # blocks coded in step
-CACHE = 400_000            # pieces whose ids a task remembers
+BLOCK = 2_048              # ids of a block, at most
+TOGETHER = 4_096           # blocks coded in step
 
-BITS = 15                  # probabilities are of 2**15
-FLOOR, SPEED = 48, 4
-ONE, TWO, PLACES = 11, 12, 13      # bits of the prediction tables and of the place table
+ONE, TWO, PLACES = 10, 11, 12      # bits of the prediction tables and of the place table
+_K1, _K2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 _U32 = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
-#: where a distribution is drawn to after symbol s: cumulative lower bounds
-_TARGET = np.array([[i * FLOOR if i <= s else (1 << BITS) - (16 - i) * FLOOR for i in range(16)]
-                    for s in range(16)], np.int32)
-_LENGTH = np.array([int(i).bit_length() for i in range(BLOCK + 1)], np.int64)
+#: probabilities and weights are of 2**15, so products and their sums fit 31 bits
+ALL, LEAST, MOST = 1 << 15, 32, (1 << 15) - 256
+_LENGTH = np.array([int(i).bit_length() for i in range(BLOCK + 1)], np.int32)
+
+
+def _slot(mixed: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed >> np.uint32(32 - bits)).astype(np.int32)
+
+
+def _within(x: np.ndarray, low: int, high: int) -> np.ndarray:
+    return np.minimum(np.maximum(x, low), high)
+
+
+def _length_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each state: lower bounds of the 13 lengths in 4096, their widths, and the
+    length at each value."""
+    lower, wide, at = (np.zeros((13, n), np.int32) for n in (13, 13, 4096))
+    for state in range(13):
+        # integers only: three quarters for each step away from the state
+        share = [4 ** 12 * 3 ** abs(k - state) // 4 ** abs(k - state) for k in range(13)]
+        total = sum(share)
+        wide[state] = [16 + x * (4096 - 13 * 16) // total for x in share]
+        wide[state, state] += 4096 - wide[state].sum()
+        lower[state, 1:] = np.cumsum(wide[state])[:-1]
+        at[state] = np.repeat(np.arange(13), wide[state])
+    return lower.ravel(), wide.ravel(), at.ravel()
+
+
+_LOWER, _WIDE, _AT = _length_tables()
 
 
 class _Model:
-    """The state of many blocks, a row each."""
+    """The state of many blocks, a row each; all arithmetic is in integers."""
 
     def __init__(self, rows: int):
+        # a prediction is 4 * id + confidence (0: none)
         self.one, self.two = np.zeros(rows << ONE, np.int32), np.zeros(rows << TWO, np.int32)
-        self.sure1, self.sure2 = np.zeros(rows << ONE, np.int8), np.zeros(rows << TWO, np.int8)
         self.place = np.zeros(rows << PLACES, np.int16)
         self.ids = np.full(rows * BLOCK, -1, np.int32)
-        self.size = np.zeros(rows, np.int64)
-        flat = (np.arange(16) << (BITS - 4)).astype(np.int32)
-        self.zero = np.tile(flat, (rows, 1))
-        self.first, self.second = np.tile(flat, (rows * 4, 1)), np.tile(flat, (rows * 4, 1))
-        self.weight = np.tile(np.array([1 << 14, 1 << 14], np.int64), (rows, 1))      # of order 0 and 1
-        self.last, self.before = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        self.row = np.arange(rows)
-
-    def predict(self, n: int) -> np.ndarray:
-        """Mixed cumulative lower bounds for the first ``n`` rows."""
+        self.size = np.zeros(rows, np.int32)
+        self.state = np.full(rows, 5 * 16, np.int32)           # mean length of places, in sixteenths
+        self.a0, self.a1, self.a2 = (np.full(rows * n, ALL >> 1, np.int32) for n in (1, 8, 4))
+        self.w1, self.w2 = np.full(rows, ALL >> 2, np.int32), np.full(rows, ALL >> 1, np.int32)
+        self.b, self.new = np.full(rows * 4, ALL >> 2, np.int32), np.full(rows, ALL >> 1, np.int32)
+        self.last, self.before = np.zeros(rows, np.int32), np.zeros(rows, np.int32)
+        self.row = np.arange(rows, dtype=np.int32)
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Upper bounds in ALL of: the order-2 id, the order-1 id, an id new to the block."""
         row = self.row[:n]
-        mixed = self.last[:n] * 0x9E3779B1
-        self.at1 = (row << ONE) + ((mixed & 0xFFFFFFFF) >> (32 - ONE))
-        self.at2 = (row << TWO) + (((mixed + self.before[:n] * 0x85EBCA77) & 0xFFFFFFFF) >> (32 - TWO))
-        self.p1, self.p2 = self.one[self.at1], self.two[self.at2]
-        self.s1, self.s2 = self.sure1[self.at1], self.sure2[self.at2]
-        self.row1, self.row2 = row * 4 + self.s1, row * 4 + self.s2
-        self.c0, self.c1, self.c2 = self.zero[:n], self.first[self.row1], self.second[self.row2]
-        w = self.weight[:n]
-        w0, w1 = (w[:, :1] >> 1).astype(np.int32), (w[:, 1:] >> 1).astype(np.int32)       # 15 bits
-        return ((w0 * self.c0 >> 1) + (w1 * self.c1 >> 1) + (((1 << 15) - w0 - w1) * self.c2 >> 1)) >> 14
+        mixed = self.last[:n].view(np.uint32) * _K1
+        self.at1 = (row << ONE) + _slot(mixed, ONE)
+        self.at2 = (row << TWO) + _slot(mixed + self.before[:n].view(np.uint32) * _K2, TWO)
+        one, two = self.one[self.at1], self.two[self.at2]
+        self.p1, self.s1, self.p2, self.s2 = one >> 2, one & 3, two >> 2, two & 3
+        self.has2 = self.s2 > 0
+        same = self.p1 == self.p2
+        self.has1 = (self.s1 > 0) & ~(same & self.has2)
+        self.i1 = (row << 3) + (self.s1 << 1) + same
+        self.i2, self.ib = (row << 2) + self.s2, (row << 2) + self.s1
+        self.q0, self.q1, self.q2 = self.a0[:n], self.a1[self.i1], self.a2[self.i2]
+        w1, w2 = self.w1[:n], self.w2[:n]
+        self.mix = (self.q0 * (ALL - w1 - w2) + self.q1 * w1 + self.q2 * w2) >> 15
+        up2 = _within(self.mix, LEAST, MOST) * self.has2
+        self.qb = self.b[self.ib]
+        up1 = up2 + (((ALL - up2) * _within(self.qb, LEAST, MOST)) >> 15) * self.has1
+        return up2, up1, up1 + np.maximum(((ALL - up1) * _within(self.new[:n], LEAST, MOST)) >> 15, 1)
 
     def places(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The ids' places in the rows' lists, -1 for those that are not there."""
-        slot = self.place[(rows << PLACES) + (((ids * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - PLACES))].astype(np.int64)
-        return np.where((slot < self.size[rows]) & (self.ids[rows * BLOCK + slot] == ids), slot, -1)
-
-    def learn(self, n: int, symbol: np.ndarray, ids: np.ndarray, place: np.ndarray, missed: np.ndarray) -> None:
-        """After ``symbol`` stood for ``ids`` in the first n rows; ``place`` is of the missed rows."""
-        row = self.row[:n]
-        up = np.minimum(symbol + 1, 15)
-        last = symbol == 15
-        p = [np.where(last, 1 << BITS, c[row, up]) - c[row, symbol] for c in (self.c0, self.c1, self.c2)]
-        w = self.weight[:n]
-        parts = [w[:, 0] * p[0], w[:, 1] * p[1], ((1 << 16) - w[:, 0] - w[:, 1]) * p[2]]
-        total = parts[0] + parts[1] + parts[2]
-        for k in (0, 1):
-            w[:, k] += ((parts[k] << 16) // total - w[:, k]) >> 6
-        target = _TARGET[symbol]
-        self.zero[:n] += (target - self.c0) >> SPEED
-        self.first[self.row1] = self.c1 + ((target - self.c1) >> SPEED)
-        self.second[self.row2] = self.c2 + ((target - self.c2) >> SPEED)
-        for table, sure, at, guess, s in ((self.one, self.sure1, self.at1, self.p1, self.s1),
-                                          (self.two, self.sure2, self.at2, self.p2, self.s2)):
-            right = (guess == ids) & (s > 0)
-            sure[at] = np.where(right, np.minimum(s + 1, 3), np.maximum(s - 1, 1))
-            table[at] = np.where(right | (s > 1), guess, ids)
+        slot = self.place[(rows << PLACES) + _slot(ids.view(np.uint32) * _K1, PLACES)].astype(np.int32)
+        return np.where((slot < self.size[rows]) & (self.ids[rows * BLOCK + slot] == ids), slot, np.int32(-1))
+
+    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray,
+              place: np.ndarray) -> None:
+        """After ``ids`` in the first n rows; ``place`` is of the missed rows."""
+        has2 = self.has2.view(np.int8)
+        aim = hit2 * np.int32(ALL)
+        sign = (hit2.view(np.int8) * 2 - 1) * has2
+        self.w1[:n] = _within(self.w1[:n] + (((self.q1 - self.mix) * sign) >> 6), 1024, 15000)
+        self.w2[:n] = _within(self.w2[:n] + (((self.q2 - self.mix) * sign) >> 6), 1024, 15000)
+        self.a1[self.i1] = self.q1 + (((aim - self.q1) * has2) >> 5)
+        self.a2[self.i2] = self.q2 + ((aim - self.q2) >> 5)
+        self.a0[:n] += ((aim - self.q0) * has2) >> 5
+        self.b[self.ib] = self.qb + (((hit1 * np.int32(ALL) - self.qb) * (self.has1 & ~hit2)) >> 5)
+        for table, at, guess, sure in ((self.one, self.at1, self.p1, self.s1), (self.two, self.at2, self.p2, self.s2)):
+            right = (guess == ids) & (sure > 0)
+            keep = right | (sure > 1)
+            sure = np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 1, 1))
+            table[at] = (np.where(keep, guess, ids) << 2) | sure
         if len(missed):
             mine = ids[missed]
-            base = missed * BLOCK
+            base, slots = missed * BLOCK, missed << PLACES
             new = place < 0
-            at = np.where(new, self.size[missed], place)
-            to = np.where(new, at, at >> 1)                # halve the place of an id that came again
-            other = self.ids[base + to].astype(np.int64)
+            seen = self.new[missed]
+            self.new[missed] = seen + ((new * np.int32(ALL) - seen) >> 5)
+            size = self.size[missed]
+            at = np.where(new, size, place)
+            state = self.state[missed]
+            self.state[missed] = state + np.where(new, 0, ((_LENGTH[at] << 4) - state) >> 3)
+            to = np.where(new, at, at >> 1)                # an id that came again halves its place
+            other = self.ids[base + to]
             self.ids[base + at] = other
-            moved = ~new & (to != at)
-            slots = missed << PLACES
-            key = ((other * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - PLACES)
-            self.place[(slots + key)[moved]] = at[moved]
+            moved = np.flatnonzero(to != at)
+            self.place[slots[moved] + _slot(other[moved].view(np.uint32) * _K1, PLACES)] = at[moved]
             self.ids[base + to] = mine
-            self.place[slots + (((mine * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - PLACES))] = to
-            self.size[missed] += new
-        self.before[:n], self.last[:n] = self.last[:n].copy(), ids
+            self.place[slots + _slot(mine.view(np.uint32) * _K1, PLACES)] = to
+            self.size[missed] = size + new
+        self.before[:n] = self.last[:n]
+        self.last[:n] = ids
 
 
 def _shrink(low: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -146,7 +177,7 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order])
     longest = int(sizes[0])
-    ids = np.zeros((longest, len(order)), np.int64)
+    ids = np.zeros((longest, len(order)), np.int32)
     for j, i in enumerate(order):
         ids[:sizes[j], j] = blocks[i]
     model = _Model(len(order))
@@ -166,28 +197,32 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     for t in range(longest):
         n = int(active[t])
         x = ids[t, :n]
-        c = model.predict(n)
-        symbol = np.where((model.s2 > 0) & (x == model.p2), 0, np.where((model.s1 > 0) & (x == model.p1), 1, 15))
-        missed = np.flatnonzero(symbol > 1)
+        up2, up1, up0 = model.predict(n)
+        hit2 = model.has2 & (x == model.p2)
+        hit1 = model.has1 & ~hit2 & (x == model.p1)
+        missed = np.flatnonzero(~(hit2 | hit1)).astype(np.int32)
         place = model.places(x[missed], missed)
-        seen = place >= 0
-        length = _LENGTH[place]
-        symbol[missed] = np.where(seen, 2 + length, 15)
-        row = model.row[:n]
-        lower = c[row, symbol]
-        upper = np.where(symbol == 15, 1 << BITS, c[row, np.minimum(symbol + 1, 15)])
-        unit = width[:n] >> np.uint64(BITS)
+        new = place < 0
+        lower, upper = np.where(hit2, 0, up2), np.where(hit2, up2, up1)
+        lower[missed] = np.where(new, up1[missed], up0[missed])
+        upper[missed] = np.where(new, up0[missed], ALL)
+        unit = width[:n] >> np.uint64(15)
         low[:n] += unit * lower.astype(np.uint64)
         width[:n] = unit * (upper - lower).astype(np.uint64)
         put(n)
         if len(missed):
-            bits = np.where(seen, np.maximum(length - 1, 0), id_bits)
-            rest = np.where(seen, place - ((1 << length) >> 1), x[missed])
-            unit = width[missed] >> bits.astype(np.uint64)
-            low[missed] += unit * rest.astype(np.uint64)
-            width[missed] = unit
+            length = _LENGTH[place]
+            entry = (model.state[missed] >> 4) * 13 + length
+            first = np.where(new, 0, _LOWER[entry])
+            share = np.where(new, 4096, _WIDE[entry])
+            bits = np.where(new, id_bits, np.maximum(length - 1, 0)).astype(np.uint64)
+            rest = np.where(new, x[missed], place - ((np.int32(1) << length) >> 1)).astype(np.uint64)
+            unit = width[missed] >> np.uint64(12)
+            part = (unit * share.astype(np.uint64)) >> bits
+            low[missed] += unit * first.astype(np.uint64) + part * rest
+            width[missed] = part
             put(n)
-        model.learn(n, symbol, x, place, missed)
+        model.learn(n, x, hit2, hit1, missed, place)
     rows = np.arange(len(order))
     for word in (low >> _U32, low & _LOW):
         out[rows, end] = word
@@ -209,7 +244,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
         words[j, :len(w)] = w
     code = (words[:, 0] << _U32) | words[:, 1]
     at = np.full(len(order), 2, np.int64)
-    ids = np.zeros((longest, len(order)), np.int64)
+    ids = np.zeros((longest, len(order)), np.int32)
     model = _Model(len(order))
     low = np.zeros(len(order), np.uint64)
     width = np.full(len(order), 0xFFFFFFFFFFFFFFFF, np.uint64)
@@ -224,35 +259,42 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
     active = np.searchsorted(-count, -np.arange(longest), side="left")
     for t in range(longest):
         n = int(active[t])
-        c = model.predict(n)
-        unit = width[:n] >> np.uint64(BITS)
-        value = np.minimum((code[:n] - low[:n]) // unit, np.uint64((1 << BITS) - 1)).astype(np.int32)
-        symbol = (c <= value[:, None]).sum(axis=1) - 1
-        row = model.row[:n]
-        lower = c[row, symbol]
-        upper = np.where(symbol == 15, 1 << BITS, c[row, np.minimum(symbol + 1, 15)])
+        up2, up1, up0 = model.predict(n)
+        unit = width[:n] >> np.uint64(15)
+        value = np.minimum((code[:n] - low[:n]) // unit, np.uint64(ALL - 1)).astype(np.int32)
+        hit2 = value < up2
+        hit1 = ~hit2 & (value < up1)
+        missed = np.flatnonzero(value >= up1).astype(np.int32)
+        new = value[missed] < up0[missed]
+        lower, upper = np.where(hit2, 0, up2), np.where(hit2, up2, up1)
+        lower[missed] = np.where(new, up1[missed], up0[missed])
+        upper[missed] = np.where(new, up0[missed], ALL)
         low[:n] += unit * lower.astype(np.uint64)
         width[:n] = unit * (upper - lower).astype(np.uint64)
         take(n)
-        x = np.where(symbol == 0, model.p2, model.p1).astype(np.int64)
-        missed = np.flatnonzero(symbol > 1)
-        place = np.zeros(0, np.int64)
+        x = np.where(hit2, model.p2, model.p1)
+        place = np.zeros(0, np.int32)
         if len(missed):
-            length = symbol[missed] - 2
-            seen = symbol[missed] < 15
-            length[~seen] = 0
-            bits = np.where(seen, np.maximum(length - 1, 0), id_bits)
-            unit = width[missed] >> bits.astype(np.uint64)
-            rest = ((code[missed] - low[missed]) // unit).astype(np.int64)
-            rest = np.minimum(rest, (1 << bits) - 1)
-            low[missed] += unit * rest.astype(np.uint64)
-            width[missed] = unit
+            unit = width[missed] >> np.uint64(12)
+            value = np.minimum((code[missed] - low[missed]) // unit, np.uint64(4095)).astype(np.int32)
+            state = model.state[missed] >> 4
+            length = _AT[state * 4096 + value]
+            entry = state * 13 + length
+            first = np.where(new, 0, _LOWER[entry])
+            share = np.where(new, 4096, _WIDE[entry])
+            bits = np.where(new, np.int32(id_bits), np.maximum(length - 1, 0))
+            low[missed] += unit * first.astype(np.uint64)
+            part = (unit * share.astype(np.uint64)) >> bits.astype(np.uint64)
+            rest = np.minimum((code[missed] - low[missed]) // part, _LOW).astype(np.int64)
+            rest = np.minimum(rest, (1 << bits) - 1).astype(np.int32)
+            low[missed] += part * rest.astype(np.uint64)
+            width[missed] = part
             take(n)
-            place = np.where(seen, rest + ((1 << length) >> 1), -1)
-            x[missed] = np.where(seen, model.ids[missed * BLOCK + np.maximum(place, 0)], rest)
+            place = np.where(new, np.int32(-1), rest + ((np.int32(1) << length) >> 1))
+            x[missed] = np.where(new, rest, model.ids[missed * BLOCK + np.maximum(place, 0)])
         ids[t, :n] = x
-        model.learn(n, symbol, x, place, missed)
-    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(payloads)
+        model.learn(n, x, hit2, hit1, missed, place)
+    found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(payloads)
     for j, i in enumerate(order):
         found[i] = ids[:count[j], j].copy()
     return found
@@ -294,34 +336,108 @@ def _pieces(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start, np.append(start[1:], n), np.searchsorted(start, at)
 
 
+class _Known:
+    """Ids of pieces by hash: an open-addressing table, searched for many pieces at once."""
+
+    BITS, PROBES = 21, 12
+
+    def __init__(self):
+        self.keys = np.zeros(1 << self.BITS, np.uint64)
+        self.values = np.zeros(1 << self.BITS, np.int64)
+        self.sizes, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of pieces, -1 for those not here."""
+        out = np.full(len(h), -1)
+        slot = (h >> np.uint64(64 - self.BITS)).astype(np.int64)
+        rest = np.arange(len(h))
+        for _ in range(self.PROBES):
+            key = self.keys[slot]
+            hit = key == h[rest]
+            out[rest[hit]] = self.values[slot[hit]]
+            on = ~hit & (key != 0)
+            if not on.any():
+                break
+            rest, slot = rest[on], (slot[on] + 1) & ((1 << self.BITS) - 1)
+        return out
+
+    def add(self, h: np.ndarray, parts: list[bytes]) -> np.ndarray:
+        """Numbers of new, distinct pieces."""
+        sizes = np.array([len(p) >> 2 for p in parts], np.int64)
+        number = len(self.sizes) + np.arange(len(h))
+        self.at = np.append(self.at, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids = np.append(self.ids, np.frombuffer(b"".join(parts), np.uint32))
+        slot, rest = (h >> np.uint64(64 - self.BITS)).astype(np.int64), np.arange(len(h))
+        for _ in range(self.PROBES):             # those that find no slot are looked up in vain next time
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = h[rest[free]]
+            won = free & (self.keys[slot] == h[rest])
+            self.values[slot[won]] = number[rest[won]]
+            rest, slot = rest[~won], (slot[~won] + 1) & ((1 << self.BITS) - 1)
+            if not len(rest):
+                break
+        return number
+
+    def full(self) -> bool:
+        return len(self.sizes) > 1 << (self.BITS - 1) or len(self.ids) > 1 << 23
+
+
+#: byte-level pieces name bytes by characters: printable ones stand for themselves, the
+#: other bytes follow from U+0100
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_NAMES = {b: b for b in _SHOWN} | {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+
+
 class _Encoder:
     """Ids of texts, remembering those of pieces."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load(path), {}
+        self.tokenizer, self.known = load(path), _Known()
+        self.model = self.tokenizer.model
+
+    def pieces(self, raw: list[bytes]) -> list[bytes]:
+        """Ids of pieces. One of letters after at most one space is a single word of the
+        pattern, so the model takes it as it is; others go through the whole encoder."""
+        out: list[bytes] = [b""] * len(raw)
+        rest = []
+        for i, p in enumerate(raw):
+            word = p[1:] if p[:1] == b" " else p
+            if word.isalpha():                     # of bytes: ASCII letters
+                ids = [t.id for t in self.model.tokenize(p.decode("latin-1").translate(_NAMES))]
+                out[i] = np.array(ids, np.uint32).tobytes()
+            else:
+                text = p.decode()
+                if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()) and max(text) < "\u0180":
+                    ids = [t.id for t in self.model.tokenize(p.decode("latin-1").translate(_NAMES))]
+                    out[i] = np.array(ids, np.uint32).tobytes()
+                else:
+                    rest.append((i, text))
+        for i in range(0, len(rest), 4000):
+            found = self.tokenizer.encode_batch([t for _, t in rest[i:i + 4000]], add_special_tokens=False)
+            for (j, _), e in zip(rest[i:i + 4000], found, strict=True):
+                out[j] = np.array(e.ids, np.uint32).tobytes()
+        return out
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, offsets of the rows in them)"""
         for lo, _, data, at in chunks(column):
             start, end, row = _pieces(data, at)
-            u, first, back = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-            if len(self.known) > CACHE:
-                self.known.clear()
-            keys = u.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.known]
-            raw = data.tobytes()
-            texts = [raw[start[first[i]]:end[first[i]]].decode() for i in new]
-            for i in range(0, len(new), 4000):
-                found = self.tokenizer.encode_batch(texts[i:i + 4000], add_special_tokens=False)
-                for j, e in zip(new[i:i + 4000], found, strict=True):
-                    self.known[keys[j]] = np.array(e.ids, np.uint32).tobytes()
-            parts = [self.known[k] for k in keys]
-            flat = np.frombuffer(b"".join(parts), np.uint32)
-            size = np.array([len(p) >> 2 for p in parts], np.int64)
-            begin = np.cumsum(size) - size
-            n = size[back]
+            h = np.maximum(span_hashes(data, start, end), np.uint64(1))
+            if self.known.full():
+                self.known = _Known()
+            number = self.known.find(h)
+            miss = np.flatnonzero(number < 0)
+            if len(miss):
+                u, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
+                raw, first = data.tobytes(), miss[first]
+                parts = self.pieces([raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(),
+                                                              strict=True)])
+                number[miss] = self.known.add(u, parts)[back]
+            n = self.known.sizes[number]
             ends = np.concatenate([[0], np.cumsum(n)])
-            ids = flat[np.arange(ends[-1]) + np.repeat(begin[back] - ends[:-1], n)]
+            ids = self.known.ids[ragged(self.known.at[number], n)]
             yield lo, ids, ends[row]
 
 
