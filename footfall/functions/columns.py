@@ -148,7 +148,8 @@ def task_param(js, field: str) -> Column:
 def task_params_bag(js, fields: list[str]) -> Column:
     """The filter-parameter bag of a task: ``field=<first JSON value>`` for
     each of ``fields`` present in the task's JSON, joined with '|' (FIL7)."""
-    pieces = [F.concat(F.lit(f + "="), task_param(js, f)) for f in fields]
+    known = F.from_json(_c(js), "struct<" + ",".join(f"{f}:array<string>" for f in fields) + ">")
+    pieces = [F.concat(F.lit(f + "="), F.get(known[f], 0)) for f in fields]
     return F.concat_ws("|", *pieces)   # concat_ws skips the NULL (absent) pieces
 
 

@@ -2,7 +2,7 @@
 
 Each stage is ``DataFrame -> DataFrame`` and stays lazy, so Catalyst sees
 the whole chain: the date/click filter reaches the parquet scan, the city
-dimension is broadcast behind a size check, the click count is a partial +
+dimension is joined as Spark's size check decides, the click count is a partial +
 final hash aggregate (a hot product is pre-aggregated on the map side), and
 the per-area Top-N becomes a ``WindowGroupLimit`` that is applied *before*
 the shuffle by area, so an area holding a third of all rows ships at most
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from footfall.functions.aggregates import group_concat_distinct
 from footfall.functions.columns import concat_long_string, json_field
-from footfall.operators.joins import bounded_broadcast
 
 # The reference's product status labels (0 = self-operated,
 # anything else = third-party).
@@ -66,7 +65,7 @@ def click_actions(actions: DataFrame, start: str, end: str) -> DataFrame:
 def join_city(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """JN1 + PRJ2: clicks placed in their city and area (unknown city dropped)."""
     dim = cities.select(F.col("city_id").cast("bigint").alias("city_id"), "city_name", "area")
-    return (clicks.join(bounded_broadcast(dim), "city_id")
+    return (clicks.join(dim, "city_id")
             .select("city_id", "city_name", "area", "product_id"))
 
 
@@ -99,7 +98,7 @@ def with_product(area_counts: DataFrame, products: DataFrame) -> DataFrame:
     """JN2 + PRJ3: keep known products, add name and status label.
 
     No hint: the product dimension grows with the catalogue, so Spark's
-    size-checked broadcast / AQE decides the strategy.
+    Spark's size check and AQE decide the strategy.
     """
     prod = products.select(F.col("product_id").cast("bigint").alias("product_id"),
                            "product_name",

@@ -11,6 +11,8 @@ types, category ids), never by the size of a session.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +98,15 @@ def session_facts(actions: DataFrame, session_key: list[str],
                  .alias("click_category_ids")))
 
 
+def visit_facts(actions: DataFrame, session_key: list[str],
+                time_col: str = "action_time") -> DataFrame:
+    """Start/end time and step count of each session: one aggregate with map-side
+    combine, for statistics that need none of the sets of ``session_facts``."""
+    t = F.col(time_col)
+    return actions.groupBy(*session_key).agg(F.min(t).alias("start_ts"), F.max(t).alias("end_ts"),
+                                             F.count(F.lit(1)).alias("step_length"))
+
+
 def with_visit_length(sessions: DataFrame) -> DataFrame:
     """start/end as 'yyyy-MM-dd HH:mm:ss' text and the whole-second visit
     length between them (DT3 + DT5); ``multi_second`` = start before end (DT4)."""
@@ -169,10 +180,13 @@ FILTER_PARAM_NAMES = [PARAM_START_AGE, PARAM_END_AGE, PARAM_PROFESSIONALS, PARAM
 
 
 def filter_params_of_task(tasks: DataFrame, task_id: int) -> str:
-    """The parameter bag of one task (one row to the driver)."""
-    row = (tasks.where(F.col("task_id") == F.lit(task_id))
-           .select(fc.task_params_bag("task_param", FILTER_PARAM_NAMES)).limit(1).collect())
-    return row[0][0] if row else ""
+    """The parameter bag of one task ('' if there is no such task); a task id that
+    occurs twice is an error."""
+    rows = (tasks.where(F.col("task_id") == F.lit(task_id))
+            .select(fc.task_params_bag("task_param", FILTER_PARAM_NAMES)).limit(2).collect())
+    if len(rows) > 1:
+        raise ValueError(f"task id {task_id} occurs more than once")
+    return rows[0][0] if rows else ""
 
 
 USER_FIELDS = (FIELD_AGE, FIELD_PROFESSIONAL, FIELD_CITY, FIELD_SEX)
@@ -202,16 +216,53 @@ def session_filter(bags: DataFrame, params: str, bag: str = "bag") -> DataFrame:
     return bags.where(filter_condition(F.col(bag), params))
 
 
-def user_bag(df: DataFrame) -> Column:
-    """The user half of a session bag."""
-    return fc.bag_of(**{FIELD_AGE: F.col("age"), FIELD_PROFESSIONAL: F.col("professional"),
-                        FIELD_CITY: F.col("city"), FIELD_SEX: F.col("sex")})
-
-
-def activity_bag(df: DataFrame) -> Column:
-    """The activity half of a session bag."""
-    return fc.bag_of(**{FIELD_SEARCH_KEYWORDS: F.col("search_keywords"),
-                        FIELD_CLICK_CATEGORY_IDS: F.col("click_category_ids")})
+def bag_value(bag: str, field: str) -> str | None:
+    """``bag_get`` of a bag that is at hand on the driver."""
+    for piece in bag.split("|"):
+        name, *values = re.sub("=+$", "", piece).split("=")
+        if name == field and len(values) == 1 and values[0]:
+            return values[0]
+    return None
+
+
+def list_value(bag: str, field: str) -> list[str] | None:
+    """The comma list of a parameter, without trailing empty pieces; None if absent."""
+    value = bag_value(bag, field)
+    return None if value is None else [x for x in re.sub(",+$", "", value).split(",")] if value.strip(",") else []
+
+
+def typed_conditions(params: str) -> tuple[Column, Column]:
+    """The conditions of a parameter bag on the user columns (age, professional,
+    city, sex: one value each) and on the activity columns (search_keywords,
+    click_category_ids: comma lists).
+
+    The bag is read once, on the driver, so what reaches the plan are plain
+    comparisons that scans can take over. Same rules as for bags: an absent
+    parameter, or a range without two whole-number bounds, accepts; a missing or
+    empty value rejects."""
+
+    def whole(field):
+        value = (bag_value(params, field) or "").strip()
+        return int(value) if re.fullmatch(r"[+-]?\d+", value) else None
+
+    user, activity = F.lit(True), F.lit(True)
+    lo, hi = whole(PARAM_START_AGE), whole(PARAM_END_AGE)
+    if lo is not None and hi is not None:
+        user = user & F.col("age").between(lo, hi)
+    for column, field in (("professional", PARAM_PROFESSIONALS), ("city", PARAM_CITIES)):
+        some = list_value(params, field)
+        if some is not None:
+            user = user & F.col(column).isin(*[x for x in some if x]) if any(some) else F.lit(False)
+    sex = bag_value(params, PARAM_SEX)
+    if sex is not None:
+        user = user & (F.col("sex") == sex)
+    for column, field in (("search_keywords", PARAM_KEYWORDS), ("click_category_ids", PARAM_CATEGORY_IDS)):
+        some = list_value(params, field)
+        if some is not None:
+            wanted = F.array(*[F.lit(x) for x in some]).cast("array<string>")
+            has = F.arrays_overlap(fc.split_list(F.nullif(F.col(column), F.lit(""))), wanted)
+            activity = activity & F.coalesce(has, F.lit(False))
+    return user, activity
 
 
 # --- statistics --------------------------------------------------------------

@@ -18,18 +18,26 @@ from footfall.operators import ad_click as ac
 from footfall.session import ensure_utc, new_run_dir
 from footfall.sources.adlog import ad_log_lines, initial_blacklist
 from footfall.streaming.ad_stream import AdClickStream
+from footfall.streaming.folded import fs_path
 
 SPLIT_AT = "2024-01-16 12:00:00"
 # Small enough to flag users at the driver's scales (clicks per day, user and
 # ad reach 4-6 there); the job's default stays the reference's 100.
 TEST_THRESHOLD = 4
 
-_RUNS: dict[tuple[str, str], AdClickStream] = {}
+_RUNS: dict[tuple, AdClickStream] = {}
 _ARCHIVED: dict[str, bool] = {}
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    p, fs = fs_path(spark, path)
+    return tuple((st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p))
+
+
 def deployment(spark: SparkSession, sf_dir: str) -> AdClickStream:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    # a run answers for the input files that it has read
+    key = (spark.sparkContext.applicationId, sf_dir, *(_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+                                                       for t in ("events", "customer", "nation", "region")))
     if key not in _RUNS:
         ensure_utc(spark)
         p = AdClickStream(spark, new_run_dir(spark, "adclick"), threshold=TEST_THRESHOLD)

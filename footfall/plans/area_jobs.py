@@ -69,13 +69,22 @@ def task_params(spark: SparkSession, sf_dir: str) -> DataFrame:
                     task_param("task_param", "endDate").alias("end_date"))
 
 
+def one_task(tasks: DataFrame, task_id: int):
+    """The row of a task (None if there is none): start_date, end_date, task_param.
+    A task id that occurs twice is an error."""
+    rows = (tasks.where(F.col("task_id") == F.lit(task_id))
+            .select(task_param("task_param", "startDate").alias("start_date"),
+                    task_param("task_param", "endDate").alias("end_date"), "task_param")
+            .limit(2).collect())
+    if len(rows) > 1:
+        raise ValueError(f"task id {task_id} occurs more than once")
+    return rows[0] if rows else None
+
+
 def task_window(tasks: DataFrame, task_id: int) -> tuple[str | None, str | None]:
-    """Point lookup of one task's (startDate, endDate); one row to the driver."""
-    row = (tasks.where(F.col("task_id") == F.lit(task_id))
-           .select(task_param("task_param", "startDate").alias("s"),
-                   task_param("task_param", "endDate").alias("e"))
-           .limit(1).collect())
-    return (row[0]["s"], row[0]["e"]) if row else (None, None)
+    """One task's (startDate, endDate)."""
+    row = one_task(tasks, task_id)
+    return (row["start_date"], row["end_date"]) if row else (None, None)
 
 
 def persist_top_n(result: DataFrame, task_id: int, path: str) -> None:

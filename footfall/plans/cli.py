@@ -1,13 +1,15 @@
 """Job entry points for ``spark-submit``.
 
     spark-submit footfall/plans/cli.py area-top <task_id> --data DIR --out PATH
+    spark-submit footfall/plans/cli.py session-stat <task_id> --data DIR --out PATH
     spark-submit footfall/plans/cli.py ad-stream --root PATH (--source DIR | --kafka HOSTS --topics T)
     spark-submit footfall/plans/cli.py ad-compact --root PATH
 
-``area-top`` runs the task-parameterised J1 and persists it; ``ad-stream``
-starts both ad-click streaming queries with a 5-second trigger and blocks
-until they stop; ``ad-compact`` folds the stream's per-batch partitions
-(safe to run beside the live stream).
+``area-top`` and ``session-stat`` run the task-parameterised J1 and J4 and
+persist them; ``ad-stream`` starts the ad-click streaming queries with a 5-second
+trigger and blocks until one stops; ``ad-compact`` folds the stream's per-batch
+partitions beside the live stream and deletes those that an earlier run folded
+at least ``--grace`` seconds ago.
 """
 
 from __future__ import annotations
@@ -46,13 +48,19 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--topics", default=None, help="comma-separated topics")
     s.add_argument("--threshold", type=int, default=100)
     s.add_argument("--trigger", default="5 seconds")
-    s.add_argument("--state-retention", default=None)
+    s.add_argument("--state-retention", default=None,
+                   help="drop clicks later than this from city counts and Top-N (not from user totals)")
+    s.add_argument("--keep-days", type=int, default=None, help="days of counts kept in a user's state")
     s.add_argument("--stream-partitions", type=int, default=400,
                    help="shuffle/state partitions of the stream (fixed at the first start)")
     c = sub.add_parser("ad-compact")
     c.add_argument("--root", default=None, help="deployment folder (default: shared dir)")
-    c.add_argument("--keep-partitions", action="store_true", help="fold but do not delete")
-    for p in (a, s, c):
+    c.add_argument("--grace", type=float, default=3600.0, help="seconds that folded partitions stay")
+    t = sub.add_parser("session-stat")
+    t.add_argument("task_id")
+    t.add_argument("--data", required=True, help="folder with the parquet tables")
+    t.add_argument("--out", default=None, help="result table path (default: shared dir)")
+    for p in (a, s, c, t):
         p.add_argument("--profile", default="cluster", choices=["cluster", "local"])
     args = ap.parse_args(argv)
 
@@ -72,27 +80,37 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("give --data DIR or --catalog")
         return 0
 
+    if args.cmd == "session-stat":
+        from footfall.plans.session_jobs import run_session_task
+
+        task_id = parse_task_id([args.task_id])
+        if task_id is None:
+            ap.error("task_id must be a number")
+        run_session_task(spark, args.data, task_id, args.out or shared_dir(spark, "tables", "session_aggr_stat"))
+        return 0
+
     from footfall.sources.adlog import kafka_log_stream, text_log_stream
     from footfall.streaming.ad_stream import AdClickStream
 
     if args.cmd == "ad-compact":
         p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"))
-        p.compact(delete=not args.keep_partitions, sweep=not args.keep_partitions)
+        p.compact(grace=args.grace)
         return 0
 
     p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"),
                         threshold=args.threshold, state_retention=args.state_retention,
-                        stream_partitions=args.stream_partitions)
+                        stream_partitions=args.stream_partitions, keep_days=args.keep_days)
     if args.kafka:
         lines = kafka_log_stream(spark, args.kafka, args.topics or "")
     else:
         lines = text_log_stream(spark, args.source or p.source)
-    q1 = p.filter_query(lines, processingTime=args.trigger)
-    q2 = p.stat_query(processingTime=args.trigger)
+    queries = [p.filter_query(lines, processingTime=args.trigger),
+               p.quarantine_query(lines, processingTime=args.trigger),
+               p.stat_query(processingTime=args.trigger), p.top_query(processingTime=args.trigger)]
     try:
         spark.streams.awaitAnyTermination()
     finally:
-        for q in (q1, q2):
+        for q in queries:
             q.stop()
     return 0
 

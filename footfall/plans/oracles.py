@@ -158,12 +158,17 @@ s AS (
          CAST(epoch(et) - epoch(st) AS BIGINT) AS visit_length, st < et AS multi_second,
          u.age, u.professional, u.city, u.sex
   FROM sess JOIN users u ON sess.user_id = u.user_id),
+plain AS (
+  SELECT session_id, search_keywords, click_category_ids, step_length,
+         strftime(st, '%Y-%m-%d %H:%M:%S') AS start_time, strftime(et, '%Y-%m-%d %H:%M:%S') AS end_time,
+         CAST(epoch(et) - epoch(st) AS BIGINT) AS visit_length, st < et AS multi_second
+  FROM sess),
 slot AS (
   SELECT CAST(epoch(date_trunc('second', MAX(ts))) - epoch(date_trunc('second', MIN(ts))) AS BIGINT) AS visit_length,
          COUNT(*) AS step_length
   FROM acts GROUP BY epoch_us(ts) // 600000000),
 kinds AS (
-  SELECT 'user_day' AS session_kind, visit_length, step_length FROM s
+  SELECT 'user_day' AS session_kind, visit_length, step_length FROM plain
   UNION ALL SELECT 'slot10m', visit_length, step_length FROM slot)
 """
 
@@ -189,6 +194,7 @@ _BAG = ("'sessionid=' || session_id || '|searchKeywords=' || search_keywords ||
         "'|visitLength=' || CAST(visit_length AS VARCHAR) || '|stepLength=' || CAST(step_length AS VARCHAR) || "
         "'|startTime=' || start_time")
 
+_TASK_CITIES = ", ".join(f"'NATION_{(3 + i) % 25}'" for i in range(12))
 _CITIES = ", ".join(f"'NATION_{i}'" for i in range(13))
 
 SESSIONS = {
@@ -197,16 +203,26 @@ SESSIONS = {
     "session_attr_update": _SESS + f"SELECT session_id, {_BAG} AS bag FROM s",
     "session_keywords": _SESS + """SELECT session_id, search_keywords,
   COALESCE(click_category_ids, '') AS click_category_ids,
-  click_category_ids IS NOT NULL AS has_click_categories FROM s""",
+  click_category_ids IS NOT NULL AS has_click_categories FROM plain""",
     "session_filter": _SESS + f"""SELECT session_id, age, professional, city, sex, search_keywords FROM s
 WHERE age BETWEEN 20 AND 40 AND professional IN ('BUILDING', 'MACHINERY')
   AND city IN ({_CITIES}) AND sex = 'female'
   AND list_has_any(string_split(search_keywords, ','), ['click', 'purchase'])""",
     "session_visit_length": _SESS + """SELECT session_id, start_time, end_time, visit_length, step_length,
-  multi_second FROM s""",
+  multi_second FROM plain""",
     "session_aggr_stat": _SESS + f"""SELECT session_kind, COUNT(*) AS session_count,
   {_STAT_COLS}
 FROM kinds GROUP BY session_kind""",
+    "session_aggr_stat_task": _SESS.replace(
+        "FROM events)", "FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-25')") + f"""
+SELECT CAST(3 AS BIGINT) AS task_id, COUNT(*) AS session_count,
+  {_STAT_COLS}
+FROM s
+WHERE professional IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') AND city IN ({_TASK_CITIES})
+  AND list_has_any(string_split(search_keywords, ','), ['click', 'purchase'])
+  AND list_has_any(string_split(click_category_ids, ','), list_transform(range(0, 99, 2), x -> CAST(x AS VARCHAR)))""",
+    "json_array_first": """SELECT p_partkey AS product_id, p_name AS first_name,
+  CAST(p_size AS VARCHAR) AS first_size FROM part""",
     "visit_hourly": """SELECT strftime(ts, '%Y-%m-%d_%H') AS date_hour, strftime(ts, '%H') AS hour,
   COUNT(*) AS action_count, COUNT(*) FILTER (WHERE event_type = 'click') AS click_count
 FROM events GROUP BY 1, 2""",
@@ -228,4 +244,5 @@ def all_oracles() -> dict[str, str]:
     out.update(AREA)
     out.update(AD)
     out.update(SESSIONS)
+    out["session_filter_sql"] = SESSIONS["session_filter"]
     return out

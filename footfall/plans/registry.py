@@ -40,6 +40,9 @@ def all_queries() -> dict[str, Query]:
         "session_filter": session_jobs.session_filter,
         "session_visit_length": session_jobs.session_visit_length,
         "session_aggr_stat": session_jobs.session_aggr_stat,
+        "session_aggr_stat_task": session_jobs.session_aggr_stat_task,
+        "session_filter_sql": sql_surface.session_filter_sql,
+        "json_array_first": session_jobs.json_array_first,
         "visit_hourly": session_jobs.visit_hourly,
         "visit_minutely": session_jobs.visit_minutely,
         "category_behavior_count": session_jobs.category_behavior_count,

@@ -83,13 +83,17 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Path under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); sets a
-    private one only when none is configured, as in local tests.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Without
+    one, a private folder is made if the master is local (tests); on a cluster
+    executors could not share it, so that raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="footfall-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import epoch_millis
-from footfall.operators.joins import bounded_broadcast
 from footfall.sources.tables import load
 
 # Ad id of each event type (its position in this list).
@@ -27,8 +26,8 @@ def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = bounded_broadcast(nation.join(bounded_broadcast(region),
-                                        nation.n_regionkey == region.r_regionkey))
+    geo = nation.join(region,
+                                        nation.n_regionkey == region.r_regionkey)
     ad_id = F.array_position(F.array(*[F.lit(t) for t in AD_EVENT_TYPES]), F.col("event_type"))
     line = F.concat_ws(" ",
                        epoch_millis("ts").cast("string"),

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import json_field
-from footfall.operators.joins import bounded_broadcast
 from footfall.sources.tables import load
 
 
@@ -29,7 +28,7 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key = F.col("c_custkey")
-    return (cust.join(bounded_broadcast(nation), cust.c_nationkey == nation.n_nationkey)
+    return (cust.join(nation, cust.c_nationkey == nation.n_nationkey)
             .select(key.alias("user_id"),
                     (F.lit(18) + key % 50).alias("age"),
                     F.col("c_mktsegment").alias("professional"),

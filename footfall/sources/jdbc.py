@@ -34,9 +34,13 @@ def read_table(spark: SparkSession, url: str, table: str, *, user: str | None =
                password: str | None = None, driver: str | None = None,
                partition_column: str | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, num_partitions: int | None = None,
-               fetch_size: int = 10_000, extra: dict[str, str] | None = None) -> DataFrame:
-    """SRC2/SRC5: a table, read in ``num_partitions`` parallel range scans
-    when a numeric partition column and its bounds are given."""
+               fetch_size: int = 10_000, small: bool = False,
+               extra: dict[str, str] | None = None) -> DataFrame:
+    """SRC2/SRC5: a table, read in ``num_partitions`` parallel range scans over a
+    numeric partition column and its bounds. Only a table declared ``small`` is
+    read by a single task."""
+    if not partition_column and not small:
+        raise ValueError("give partition_column, bounds and num_partitions, or small=True")
     r = spark.read.format("jdbc").options(**_opts(url, user, password, driver, extra))
     r = r.option("dbtable", table).option("fetchsize", str(fetch_size))
     if partition_column:
@@ -67,9 +71,15 @@ def write_table(df: DataFrame, url: str, table: str, *, mode: str = "append",
                 num_partitions: int | None = None, truncate: bool = False,
                 extra: dict[str, str] | None = None) -> None:
     """SNK7 and the result-table sinks: batched inserts, one transaction
-    per partition; ``num_partitions`` caps concurrent connections."""
+    per partition; ``num_partitions`` caps concurrent connections (by a shuffle,
+    so the work above keeps its own parallelism).
+
+    Two attempts of one task could both commit, so inserts are refused while
+    speculation is on."""
+    if df.sparkSession.conf.get("spark.speculation", "false").lower() == "true":
+        raise ValueError("JDBC inserts are not idempotent: turn spark.speculation off for this job")
     if num_partitions:
-        df = df.coalesce(num_partitions)
+        df = df.repartition(num_partitions)
     w = (df.write.format("jdbc").options(**_opts(url, user, password, driver, extra))
          .option("dbtable", table).option("batchsize", str(batch_size))
          .option("isolationLevel", "READ_COMMITTED"))

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import format_date, json_field
-from footfall.operators.joins import bounded_broadcast
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -28,7 +27,7 @@ def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """city_info(city_id, city_name, area) = nation joined to region."""
     nation = load(spark, sf_dir, "nation")
     region = load(spark, sf_dir, "region")
-    return (nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").cast("bigint").alias("city_id"),
                     F.col("n_name").alias("city_name"),
                     F.col("r_name").alias("area")))
@@ -96,3 +95,21 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("area_top_product").alias("task_type"),
                          F.col("o_orderstatus").alias("task_status"),
                          param.alias("task_param"))
+
+
+def session_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task control table of session statistics: one task per nation, about the
+    sessions of its users and of the next eleven nations', with some parameters absent (no upper
+    age bound, no sex)."""
+    nation = load(spark, sf_dir, "nation")
+    key = F.col("n_nationkey")
+    cities = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.concat(
+        F.lit("NATION_"), F.pmod(key + i, F.lit(25)).cast("string"))), ",")
+    param = F.to_json(F.named_struct(
+        F.lit("startDate"), F.array(F.lit("2024-01-05")), F.lit("endDate"), F.array(F.lit("2024-01-25")),
+        F.lit("startAge"), F.array(F.lit("30")),
+        F.lit("professionals"), F.array(F.lit("BUILDING,MACHINERY,AUTOMOBILE")),
+        F.lit("cities"), F.array(cities), F.lit("keywords"), F.array(F.lit("click,purchase")),
+        F.lit("categoryIds"), F.array(F.array_join(F.transform(
+            F.sequence(F.lit(0), F.lit(98), F.lit(2)), lambda x: x.cast("string")), ","))))
+    return nation.select(key.cast("bigint").alias("task_id"), param.alias("task_param"))

@@ -1,102 +1,82 @@
 """Ad-click real-time statistics and blacklist as Structured Streaming.
 
-Two chained queries (one checkpoint each):
-
-* **filter query** - text log -> parse -> ``foreachBatch``. For micro-batch
-  N it takes one snapshot of the blacklist (entries written by batches < N),
-  anti-joins it, and writes, each into its own ``batch_id=N`` partition:
-  the filtered clicks, the per-(date, user, ad) counts (deltas), the newly
-  blacklisted users (running total over all deltas >= threshold) and the
-  quarantined bad lines. Overwriting exactly partition N makes a replayed
-  batch idempotent; the filtered output is skipped when already complete
-  so the next query never reads a batch twice.
+Three chained queries (one checkpoint each):
+
+* **filter query** - text log -> parse -> seed-list anti join -> one state per
+  user (``click_state``): whether the user is listed, and the running clicks per
+  (day, ad). Its micro-batch N yields the clicks that pass, the batch's counts
+  with their running totals, and the users it lists; ``foreachBatch`` writes each
+  into its own partition of batch N. Work per batch is bounded by the batch: the
+  state store replaces reading totals or the blacklist back.
 * **stat query** - file stream over the filtered clicks ->
   ``groupBy(window(click_time, 1 day), province, city, ad_id).count()`` in
-  the state store, ``update`` mode -> ``foreachBatch`` that appends the
-  updated running counts (partition N) and refreshes the Top-N ads of every
-  (day, province) the batch touched.
-
-Read-side views (``ad_user_click_total``, ``ad_realtime_stat``, ...) fold
-those partitions: totals are sums of deltas, running counts are monotone so
-the current one is the max, the current Top-N of a (day, province) is the
-one from its latest batch. Work per batch is bounded by the days the batch
-touches (partition pruning on the day), not by the whole history.
-
-``compact()`` folds the per-batch partitions (a 5-second trigger makes
-~17k a day) into one per day; readers take the newest base plus the deltas
-after it, so they stay exact while compaction runs beside the stream.
+  the state store, ``update`` mode -> appends the updated running counts.
+* **top query** - the same per (day, province, ad). Counts only grow, so the new
+  Top-N of a (day, province) are among its last Top-N and the ads that this
+  batch updated; a batch reads one partition of the Top-N table for each
+  day it touches, the last one, and nothing else.
+
+Filtered clicks are published by renaming a finished folder, which holds Spark's
+completion mark; a folder without the mark is a leftover and is replaced. A
+replayed batch skips a published folder, so the next queries never read a batch twice.
+
+Views (``ad_user_click_total``, ``ad_realtime_stat``, ...) read those
+partitions. ``compact()`` folds them (see ``folded``).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.columns import format_date_key
 from footfall.operators import ad_click as ac
 from footfall.sources.adlog import text_log_stream
+from footfall.streaming import click_state as cs
+from footfall.streaming.folded import (GRACE_SECONDS, FoldedTable, delete, fs_path, make_dirs,
+                                       overwrite_partitions, partitions)
 
 FILTERED_SCHEMA = ("ts_ms BIGINT, province STRING, city STRING, user_id BIGINT, ad_id BIGINT, "
                    "click_time TIMESTAMP, date DATE, date_key STRING, batch_id BIGINT")
-DELTA_SCHEMA = "user_id BIGINT, ad_id BIGINT, click_count BIGINT, stamps BIGINT, date DATE, batch_id BIGINT"
-# listed_batch: the batch that listed the user (kept when partitions merge)
+COUNT_SCHEMA = ("user_id BIGINT, ad_id BIGINT, click_count BIGINT, total BIGINT, stamps BIGINT, "
+                "date DATE, batch_id BIGINT")
 BLACKLIST_SCHEMA = "user_id BIGINT, listed_batch BIGINT, batch_id BIGINT"
 UPDATES_SCHEMA = ("province STRING, city STRING, ad_id BIGINT, click_count BIGINT, "
                   "date_key STRING, batch_id BIGINT")
 TOP_SCHEMA = "province STRING, ad_id BIGINT, click_count BIGINT, date STRING, batch_id BIGINT"
 BAD_SCHEMA = "line STRING, batch_id BIGINT"
-BASE_SCHEMA = "user_id BIGINT, ad_id BIGINT, click_count BIGINT, stamps BIGINT, date DATE, upto BIGINT"
 
 SEED_BATCH = -1
+# Top-N partitions kept behind the newest one of a day (readers that listed them)
+TOP_KEPT = 50
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def make_dirs(spark: SparkSession, path: str) -> None:
-    p, fs = _fs_path(spark, path)
-    fs.mkdirs(p)
-
-
-def _drop_partitions(spark: SparkSession, parent: str, column: str, doomed) -> None:
-    """Delete ``parent/column=<k>`` folders whose integer k satisfies ``doomed``."""
-    p, fs = _fs_path(spark, parent)
-    if not fs.exists(p):
-        return
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(column + "="):
-            try:
-                k = int(name.split("=", 1)[1])
-            except ValueError:
-                continue
-            if doomed(k):
-                fs.delete(st.getPath(), True)
-
-
-def _run_concurrently(*actions):
+def _run_concurrently(*actions) -> list:
     """Run independent Spark actions as concurrent jobs; results in order,
-    the first failure re-raised."""
-    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
-        futures = [pool.submit(a) for a in actions]
-        return [f.result() for f in futures]
+    the first failure re-raised. The threads inherit the caller's job group, so
+    stopping the query cancels their jobs."""
+    results: list = [None] * len(actions)
+    errors: list = [None] * len(actions)
 
+    def run(i):
+        try:
+            results[i] = actions[i]()
+        except BaseException as e:  # noqa: BLE001 - re-raised below
+            errors[i] = e
 
-def _overwrite_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
+    threads = [InheritableThread(target=run, args=(i,)) for i in range(len(actions))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    for e in errors:
+        if e is not None:
+            raise e
+    return results
 
 
 class AdClickStream:
@@ -107,23 +87,29 @@ class AdClickStream:
                  threshold: int = ac.DEFAULT_BLACKLIST_THRESHOLD,
                  top_n: int = ac.DEFAULT_TOP_N,
                  state_retention: str | None = None,
-                 stream_partitions: int | None = None):
+                 stream_partitions: int | None = None,
+                 keep_days: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.threshold = threshold
         self.top_n = top_n
-        # None keeps every day's state (a late click still updates its day,
-        # as in the reference); a delay such as "2 days" bounds the state and
-        # drops clicks that arrive later than that.
+        # None keeps every day's counts in the stat and top state (a late click
+        # still updates its day, as in the reference); a delay such as "2 days"
+        # bounds that state and drops clicks that arrive later than that from
+        # the city counts and the Top-N, but not from the user totals.
         self.state_retention = state_retention
-        # Shuffle partitions of both queries (their micro-batch jobs and the
+        # Days of counts kept in a user's state; None keeps all.
+        self.keep_days = keep_days
+        # Shuffle partitions of all queries (their micro-batch jobs and the
         # state store), captured when each query starts. AQE cannot coalesce
         # stateful partitions, so a batch-sized setting (e.g. 20,000) would
         # launch that many tasks per micro-batch.
         self.stream_partitions = stream_partitions
-        for p in (self.source, self.filtered, self.deltas, self.blacklist,
-                  self.updates, self.top, self.bad, self.base, self.archive_of_filtered):
+        for p in (self.source, self.filtered, self.seed, self.top, self.bad):
             make_dirs(spark, p)
+        self.counts = FoldedTable(spark, self._p("tables/ad_user_click_count"), COUNT_SCHEMA, "date")
+        self.listed = FoldedTable(spark, self._p("tables/black_list"), BLACKLIST_SCHEMA)
+        self.updates = FoldedTable(spark, self._p("tables/ad_realtime_updates"), UPDATES_SCHEMA, "date_key")
 
     # --- layout -------------------------------------------------------------
     def _p(self, name: str) -> str:
@@ -131,32 +117,18 @@ class AdClickStream:
 
     source = property(lambda self: self._p("source"))
     filtered = property(lambda self: self._p("tables/filtered_clicks"))
-    deltas = property(lambda self: self._p("tables/ad_user_click_delta"))
-    blacklist = property(lambda self: self._p("tables/black_list"))
-    updates = property(lambda self: self._p("tables/ad_realtime_updates"))
+    seed = property(lambda self: self._p("tables/seed_list"))
     top = property(lambda self: self._p("tables/ad_province_top"))
     bad = property(lambda self: self._p("tables/bad_lines"))
-    base = property(lambda self: self._p("tables/ad_user_click_base"))
-    archive = property(lambda self: self._p("archive"))
 
-    @property
-    def archive_of_filtered(self) -> str:
-        """Where the file source moves consumed files: the archive dir plus
-        the files' own absolute path."""
-        p, _ = _fs_path(self.spark, self.filtered)
-        return self.archive + p.toUri().getPath()
-
-    def _read(self, path: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(path)
+    def _read(self, path: str, schema: str, spark: SparkSession | None = None) -> DataFrame:
+        return (spark or self.spark).read.schema(schema).parquet(path)
 
     # --- setup --------------------------------------------------------------
     def seed_blacklist(self, users: DataFrame) -> None:
-        """Users listed before the first batch (partition -1)."""
-        _overwrite_partitions(users.select(F.col("user_id").cast("bigint").alias("user_id"))
-                              .distinct()
-                              .withColumn("listed_batch", F.lit(SEED_BATCH).cast("bigint"))
-                              .withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint")),
-                              self.blacklist, "batch_id")
+        """Users listed before the first batch."""
+        users.select(F.col("user_id").cast("bigint").alias("user_id")).distinct() \
+            .write.mode("overwrite").parquet(self.seed)
 
     def append_log(self, lines: DataFrame) -> None:
         """Land new log files (``value`` column) in the source folder."""
@@ -165,79 +137,77 @@ class AdClickStream:
     # --- query 1: blacklist filter, daily counts, blacklist update ---------
     def filter_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
         lines = lines if lines is not None else text_log_stream(self.spark, self.source)
-        return self._start(ac.parse_log(lines).writeStream
-                           .foreachBatch(self._filter_batch)
-                           .option("checkpointLocation", self._p("checkpoints/filter"))
+        parsed = ac.parse_log(lines)
+        seed = self._read(self.seed, "user_id BIGINT")
+        steps = (ac.drop_blacklisted(ac.good_clicks(parsed), seed).groupBy("user_id")
+                 .applyInPandasWithState(cs.user_step(self.threshold, self.keep_days), cs.OUTPUT_SCHEMA,
+                                         cs.STATE_SCHEMA, "update", "NoTimeout"))
+        filtering = self._start(steps.writeStream.outputMode("update")
+                                .foreachBatch(self._filter_batch)
+                                .option("checkpointLocation", self._p("checkpoints/filter"))
+                                .trigger(**(trigger or {"processingTime": "5 seconds"})))
+        return filtering
+
+    def quarantine_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
+        """Lines that do not parse, as they came."""
+        lines = lines if lines is not None else text_log_stream(self.spark, self.source)
+        return self._start(ac.bad_lines(ac.parse_log(lines)).writeStream
+                           .foreachBatch(self._bad_batch)
+                           .option("checkpointLocation", self._p("checkpoints/bad"))
                            .trigger(**(trigger or {"processingTime": "5 seconds"})))
 
-    def _filter_batch(self, batch: DataFrame, batch_id: int) -> None:
-        spark = self.spark
+    def _bad_batch(self, bad: DataFrame, batch_id: int) -> None:
+        overwrite_partitions(bad.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")), self.bad, "batch_id")
+
+    def _filter_batch(self, steps: DataFrame, batch_id: int) -> None:
         n = int(batch_id)
-        batch = batch.persist()
+        steps = steps.persist()
         try:
-            listed = self._read(self.blacklist, BLACKLIST_SCHEMA).where(F.col("batch_id") < n)
-            clicks = ac.drop_blacklisted(ac.good_clicks(batch), listed).persist()
-            try:
-                delta = (ac.daily_user_ad_counts(clicks)
-                         .withColumn("stamps", F.unix_timestamp())
-                         .withColumn("batch_id", F.lit(n).cast("bigint")))
-
-                def write_bad() -> None:
-                    # a replay sees the same lines, so skipping an empty write is idempotent
-                    bad = ac.bad_lines(batch)
-                    if not bad.isEmpty():
-                        _overwrite_partitions(bad.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                              self.bad, "batch_id")
-
-                def write_filtered() -> None:
-                    if not path_exists(spark, f"{self.filtered}/batch_id={n}"):
-                        _overwrite_partitions(clicks.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                              self.filtered, "batch_id")
-
-                def write_delta() -> list:
-                    _overwrite_partitions(delta, self.deltas, "date", "batch_id")
-                    # days this batch touched: bounded by the batch's time span
-                    return [r["date"] for r in delta.select("date").distinct().collect()]
-
-                # three independent outputs: submitted as concurrent Spark jobs
-                _, _, days = _run_concurrently(write_bad, write_filtered, write_delta)
-                if days:
-                    history = self.user_ad_rows(upto_batch=n, days=days)
-                    touched = self._read(self.deltas, DELTA_SCHEMA).where(
-                        (F.col("batch_id") == n) & F.col("date").isin(days)).select(*ac.USER_AD_KEY)
-                    totals = ac.user_ad_totals(history.join(touched, ac.USER_AD_KEY, "left_semi"))
-                    new = ac.new_blacklist_entries(totals, listed, self.threshold).persist()
-                    try:
-                        if not new.isEmpty():
-                            _overwrite_partitions(
-                                new.withColumn("listed_batch", F.lit(n).cast("bigint"))
-                                .withColumn("batch_id", F.lit(n).cast("bigint")),
-                                self.blacklist, "batch_id")
-                    finally:
-                        new.unpersist()
-            finally:
-                clicks.unpersist()
+            counts = steps.where(F.col("kind") == cs.COUNT).select(
+                "date", "user_id", "ad_id", "click_count", "total", F.unix_timestamp().alias("stamps"))
+            new = steps.where(F.col("kind") == cs.LISTED).select(
+                "user_id", F.lit(n).cast("bigint").alias("listed_batch"))
+            # independent outputs: submitted as concurrent Spark jobs
+            _run_concurrently(
+                lambda: self.publish_filtered(steps.where(F.col("kind") == cs.CLICK)
+                                              .select(*cs.CLICK_COLUMNS), n),
+                lambda: self.counts.write(counts, n),
+                lambda: self.listed.write(new, n))
         finally:
-            batch.unpersist()
+            steps.unpersist()
+
+    def publish_filtered(self, clicks: DataFrame, batch: int) -> None:
+        """Write a batch's clicks beside the table and rename the finished folder into it."""
+        final, fs = fs_path(self.spark, f"{self.filtered}/batch_id={batch}")
+        mark, _ = fs_path(self.spark, f"{self.filtered}/batch_id={batch}/_SUCCESS")
+        if fs.exists(mark):
+            return
+        staged = self._p(f"staging/filtered-{batch}-{uuid.uuid4().hex[:8]}")
+        (clicks.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(staged))
+        fs.delete(final, True)              # a leftover without the mark
+        if not fs.rename(fs_path(self.spark, staged)[0], final):
+            raise OSError(f"could not publish {final.toString()}")
+
+    # --- queries 2 and 3: running city counts, province Top-N ---------------
+    def _filtered_stream(self) -> DataFrame:
+        clicks = self.spark.readStream.schema(FILTERED_SCHEMA).parquet(self.filtered)
+        return clicks.withWatermark("click_time", self.state_retention) if self.state_retention else clicks
+
+    def _counting(self, name: str, keys: list[str], write, **trigger) -> StreamingQuery:
+        counts = (self._filtered_stream().groupBy(F.window("click_time", "1 day").alias("day"), *keys)
+                  .agg(F.count(F.lit(1)).alias("click_count"))
+                  .select(format_date_key(F.col("day.start")).alias("date_key"), *keys, "click_count"))
+        return self._start(counts.writeStream.outputMode("update")
+                           .foreachBatch(write)
+                           .option("checkpointLocation", self._p(f"checkpoints/{name}"))
+                           .trigger(**(trigger or {"processingTime": "5 seconds"})))
 
-    # --- query 2: running city counts and province Top-N --------------------
     def stat_query(self, **trigger) -> StreamingQuery:
-        # processed files are moved to the archive, so each trigger lists only
-        # the batches not yet consumed instead of the whole history
-        clicks = (self.spark.readStream.schema(FILTERED_SCHEMA)
-                  .option("cleanSource", "archive")
-                  .option("sourceArchiveDir", self.archive)
-                  .parquet(self.filtered))
-        if self.state_retention:
-            clicks = clicks.withWatermark("click_time", self.state_retention)
-        counts = (clicks.groupBy(F.window("click_time", "1 day").alias("day"),
-                                 "province", "city", "ad_id")
-                  .agg(F.count(F.lit(1)).alias("click_count")))
-        writer = (counts.writeStream.outputMode("update")
-                  .foreachBatch(self._stat_batch)
-                  .option("checkpointLocation", self._p("checkpoints/stat"))
-                  .trigger(**(trigger or {"processingTime": "5 seconds"})))
-        return self._start(writer)
+        return self._counting("stat", ["province", "city", "ad_id"],
+                              lambda rows, n: self.updates.write(rows, int(n)), **trigger)
+
+    def top_query(self, **trigger) -> StreamingQuery:
+        return self._counting("top", ["province", "ad_id"], self._top_batch, **trigger)
 
     def _start(self, writer) -> StreamingQuery:
         if not self.stream_partitions:
@@ -251,29 +221,31 @@ class AdClickStream:
         finally:
             self.spark.conf.set(key, previous)
 
-    def _stat_batch(self, updates: DataFrame, batch_id: int) -> None:
+    def _top_batch(self, rows: DataFrame, batch_id: int) -> None:
+        """Each touched day's whole Top-N table, from its last one and this batch's counts."""
         n = int(batch_id)
-        rows = updates.select(format_date_key(F.col("day.start")).alias("date_key"),
-                              "province", "city", "ad_id", "click_count").persist()
+        spark = rows.sparkSession           # the query's own session and partition count
+        rows = rows.persist()
         try:
+            # parsed times bound the number of days; a batch has those of its clicks
             days = [r["date_key"] for r in rows.select("date_key").distinct().collect()]
-            if not days:
-                return
-            groups = rows.select("date_key", "province").distinct()
-            # current counts of the touched (day, province) groups: earlier
-            # batches' updates plus this batch's (not read back, so the two
-            # writes below are independent)
-            earlier = (self._read(self.updates, UPDATES_SCHEMA)
-                       .where((F.col("batch_id") < n) & F.col("date_key").isin(days))
-                       .join(groups, ["date_key", "province"], "left_semi")
-                       .select(*ac.CITY_AD_KEY, "click_count"))
-            current = (earlier.unionByName(rows.select(*ac.CITY_AD_KEY, "click_count"))
-                       .groupBy(*ac.CITY_AD_KEY).agg(F.max("click_count").alias("click_count")))
-            top = ac.province_top_n(current, self.top_n).withColumn("batch_id", F.lit(n).cast("bigint"))
-            _run_concurrently(
-                lambda: _overwrite_partitions(rows.withColumn("batch_id", F.lit(n).cast("bigint")),
-                                              self.updates, "date_key", "batch_id"),
-                lambda: _overwrite_partitions(top, self.top, "date", "batch_id"))
+            last = []
+            for day in days:
+                before = [(int(v), p) for v, p, _ in partitions(spark, f"{self.top}/date={day}", "batch_id")]
+                older = [(v, p) for v, p in before if v < n]
+                if older:
+                    last.append(max(older)[1])
+                for v, p in sorted(before)[:-TOP_KEPT]:
+                    if v < n:
+                        delete(spark, p)
+            counts = rows.select("date_key", "province", "ad_id", "click_count")
+            if last:
+                kept = (spark.read.schema(TOP_SCHEMA).option("basePath", self.top).parquet(*last)
+                        .select(F.col("date").alias("date_key"), "province", "ad_id", "click_count"))
+                counts = counts.unionByName(kept).groupBy("date_key", "province", "ad_id").agg(
+                    F.max("click_count").alias("click_count"))
+            overwrite_partitions(ac.top_n_ads(counts, self.top_n).withColumn("batch_id", F.lit(n).cast("bigint")),
+                                 self.top, "date", "batch_id")
         finally:
             rows.unpersist()
 
@@ -293,194 +265,78 @@ class AdClickStream:
         return self.spark.read.parquet(self.parsed)
 
     def run_arrivals(self, arrivals: list[DataFrame]) -> None:
-        """Land and process several log arrivals in order, overlapping the stat
-        query of one arrival with the filter query of the next (as the two
-        run side by side in production). The filter query still runs one
-        arrival at a time, so each sees the blacklist its predecessors grew;
-        the stat views do not depend on how the stat query splits batches."""
-        stat = None
+        """Land and process several log arrivals in order, overlapping the
+        downstream queries of one arrival with the filter query of the next (as
+        they run side by side in production). The result does not depend on how
+        the downstream queries split batches."""
+        behind: list[StreamingQuery] = []
         for lines in arrivals:
             self.append_log(lines)
             self.filter_query(availableNow=True).awaitTermination()
-            if stat is not None:
-                stat.awaitTermination()
-            stat = self.stat_query(availableNow=True)
-        if stat is not None:
-            # started after the last filter batch committed: it sees every file
-            stat.awaitTermination()
+            for q in behind:
+                q.awaitTermination()
+            behind = [self.stat_query(availableNow=True), self.top_query(availableNow=True)]
+        behind.append(self.quarantine_query(availableNow=True))
+        for q in behind:
+            q.awaitTermination()
 
     def run_available(self) -> None:
         """Process everything that has landed, then stop (tests, backfills)."""
-        # the stat query must start after the filter query has committed
+        # the downstream queries must start after the filter query has committed
+        quarantine = self.quarantine_query(availableNow=True)
         self.filter_query(availableNow=True).awaitTermination()
-        self.stat_query(availableNow=True).awaitTermination()
+        for q in (self.stat_query(availableNow=True), self.top_query(availableNow=True), quarantine):
+            q.awaitTermination()
 
     # --- maintenance: fold per-batch partitions -----------------------------
     def compact(self, upto_batch: int | None = None, upto_stat_batch: int | None = None,
-                delete: bool = True, sweep: bool = False) -> None:
-        """Fold the per-batch partitions of the days that changed.
-
-        * deltas (sum semantics): one base partition (date, upto=B) per
-          changed day holding the totals up to filter batch B;
-        * running city counts (max semantics): partitions up to stat batch
-          B' merged into (date_key, batch_id=B');
-        * Top-N (latest-batch semantics): each changed day's current rows
-          merged into its newest partition.
-
-        Defaults leave the newest batch of each query alone. Readers stay
-        correct at every step, so this can run beside the live stream;
-        ``delete`` then removes the folded partitions, and ``sweep`` also
-        removes folded partitions an interrupted earlier run left behind.
-        """
-        upto_batch = self._compact_deltas(upto_batch, delete)
-        if upto_batch is not None:
-            self._compact_blacklist(upto_batch, delete)
-        self._compact_updates(upto_stat_batch, delete)
-        if sweep:
-            self._sweep_folded_deltas()
-
-    def _sweep_folded_deltas(self) -> None:
-        """Drop delta and base partitions already covered by the newest base
-        of their day (readers ignore them anyway)."""
-        latest = (self._read(self.base, BASE_SCHEMA).groupBy("date")
-                  .agg(F.max("upto").alias("upto")).collect())    # one row per compacted day
-        for r in latest:
-            day, upto = r["date"], r["upto"]
-            _drop_partitions(self.spark, f"{self.deltas}/date={day}", "batch_id", lambda k, u=upto: k <= u)
-            _drop_partitions(self.spark, f"{self.base}/date={day}", "upto", lambda k, u=upto: k < u)
-
-    def _compact_blacklist(self, upto: int, delete: bool) -> None:
-        """Merge the listing partitions 0..upto into partition ``upto`` (the
-        seed partition stays apart); a snapshot for a later batch reads the
-        same users either way."""
-        bl = self._read(self.blacklist, BLACKLIST_SCHEMA).where(
-            (F.col("batch_id") > SEED_BATCH) & (F.col("batch_id") <= upto))
-        if bl.select("batch_id").distinct().limit(2).count() < 2:
-            return
-        merged = bl.drop("batch_id").withColumn("batch_id", F.lit(upto).cast("bigint"))
-        _overwrite_partitions(merged, self.blacklist, "batch_id")
-        if delete:
-            _drop_partitions(self.spark, self.blacklist, "batch_id",
-                             lambda k: SEED_BATCH < k < upto)
-
-    def _compact_deltas(self, upto: int | None, delete: bool) -> int | None:
-        """Returns the batch folded up to (None when there is nothing yet)."""
-        d = self._read(self.deltas, DELTA_SCHEMA)
-        if upto is None:
-            newest = d.agg(F.max("batch_id")).first()[0]
-            if newest is None:
-                return None
-            upto = newest - 1
-        if upto < 0:
-            return None
-        latest = self._read(self.base, BASE_SCHEMA).groupBy("date").agg(F.max("upto").alias("upto"))
-        dirty = (d.where(F.col("batch_id") <= upto).join(latest, "date", "left")
-                 .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
-                 .select("date").distinct())
-        days = [r["date"] for r in dirty.collect()]     # days changed since the last run
-        if not days:
-            return upto
-        folded = (self.user_ad_rows(upto_batch=upto, days=days).groupBy(*ac.USER_AD_KEY)
-                  .agg(F.sum("click_count").alias("click_count"), F.max("stamps").alias("stamps"))
-                  .withColumn("upto", F.lit(upto).cast("bigint")))
-        _overwrite_partitions(folded, self.base, "date", "upto")
-        if delete:
-            for day in days:
-                _drop_partitions(self.spark, f"{self.deltas}/date={day}", "batch_id",
-                                 lambda k: k <= upto)
-                _drop_partitions(self.spark, f"{self.base}/date={day}", "upto", lambda k: k < upto)
-        return upto
-
-    def _compact_updates(self, upto: int | None, delete: bool) -> None:
-        u = self._read(self.updates, UPDATES_SCHEMA)
-        if upto is None:
-            newest = u.agg(F.max("batch_id")).first()[0]
-            if newest is None:
-                return
-            upto = newest - 1
-        older = u.where(F.col("batch_id") <= upto)
-        counts = older.groupBy("date_key").agg(F.countDistinct("batch_id").alias("n"))
-        days = [r["date_key"] for r in counts.where(F.col("n") > 1).collect()]
-        if not days:
-            return
-        merged = (older.where(F.col("date_key").isin(days)).groupBy(*ac.CITY_AD_KEY)
-                  .agg(F.max("click_count").alias("click_count"))
-                  .withColumn("batch_id", F.lit(upto).cast("bigint")))
-        _overwrite_partitions(merged, self.updates, "date_key", "batch_id")
-        t = self._read(self.top, TOP_SCHEMA).where(F.col("date").isin(days))
-        w = Window.partitionBy("date", "province")
-        current = (t.withColumn("latest", F.max("batch_id").over(w))
-                   .where(F.col("batch_id") == F.col("latest")).drop("latest"))
-        # newest Top-N batch of each changed day, fixed before anything is rewritten
-        tops = {r["date"]: r["nb"] for r in t.groupBy("date").agg(F.max("batch_id").alias("nb")).collect()}
-        if tops:
-            nb = F.create_map(*[x for d, b in tops.items() for x in (F.lit(d), F.lit(b))])
-            folded_top = current.withColumn("batch_id", F.element_at(nb, F.col("date")).cast("bigint"))
-            _overwrite_partitions(folded_top, self.top, "date", "batch_id")
-        if delete:
-            for day in days:
-                _drop_partitions(self.spark, f"{self.updates}/date_key={day}", "batch_id",
-                                 lambda k: k < upto)
-                if day in tops:
-                    _drop_partitions(self.spark, f"{self.top}/date={day}", "batch_id",
-                                     lambda k, nb=tops[day]: k < nb)
+                grace: float = GRACE_SECONDS) -> None:
+        """Fold the per-batch partitions of counts, listings and city updates.
+
+        Defaults leave the newest batch of each query alone. Views stay the same
+        before, during and after; folded partitions are deleted by a later call,
+        once ``grace`` seconds have passed (see ``folded``)."""
+        self.counts.fold(upto_batch, grace=grace)
+        self.listed.fold(upto_batch, grace=grace)
+        self.updates.fold(upto_stat_batch, self._newest_updates, grace=grace)
+
+    @staticmethod
+    def _newest_updates(rows: DataFrame) -> DataFrame:
+        """Running counts only grow: the largest one of a key is the current one."""
+        return rows.groupBy(*ac.CITY_AD_KEY).agg(F.max("click_count").alias("click_count"),
+                                                 F.max("batch_id").alias("batch_id"))
 
     # --- read-side views ----------------------------------------------------
     def filtered_clicks(self) -> DataFrame:
-        """Live batches plus those the stat query has consumed and archived."""
-        live = self._read(self.filtered, FILTERED_SCHEMA)
-        archived = self._read(self.archive_of_filtered, FILTERED_SCHEMA)
-        return live.unionByName(archived)
+        return self._read(self.filtered, FILTERED_SCHEMA)
 
     def daily_user_ad_count(self) -> DataFrame:
-        """Per-batch counts (the deltas)."""
-        return self._read(self.deltas, DELTA_SCHEMA)
-
-    def user_ad_rows(self, upto_batch: int | None = None, days: list | None = None) -> DataFrame:
-        """Rows whose per-key sum is the running total: the newest compacted
-        base of each day plus the deltas written after it (up to a batch).
-
-        Deltas already folded into a base are skipped by batch id, so the
-        answer is right whether or not compaction has deleted them yet.
-        """
-        d = self._read(self.deltas, DELTA_SCHEMA)
-        b = self._read(self.base, BASE_SCHEMA)
-        if upto_batch is not None:
-            d = d.where(F.col("batch_id") <= upto_batch)
-        if days is not None:
-            d, b = d.where(F.col("date").isin(days)), b.where(F.col("date").isin(days))
-        latest = b.groupBy("date").agg(F.max("upto").alias("upto"))
-        cols = ["date", "user_id", "ad_id", "click_count", "stamps"]
-        base_rows = b.join(latest, ["date", "upto"], "left_semi").select(*cols)
-        after = (d.join(latest, "date", "left")
-                 .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).select(*cols))
-        return base_rows.unionByName(after)
+        """Per-batch counts, folded or not."""
+        return self.counts.read()
 
     def ad_user_click_total(self) -> DataFrame:
         """SNK2 table: total clicks per (date, user, ad) and last update time."""
-        return (self.user_ad_rows().groupBy(*ac.USER_AD_KEY)
+        return (self.counts.read().groupBy(*ac.USER_AD_KEY)
                 .agg(F.sum("click_count").alias("click_count"), F.max("stamps").alias("stamps")))
 
     def black_list(self) -> DataFrame:
         """(user_id, batch_id): every listed user and the batch that listed it
         (-1 for the seed list)."""
-        return (self._read(self.blacklist, BLACKLIST_SCHEMA)
-                .select("user_id", F.col("listed_batch").alias("batch_id")))
+        seed = self._read(self.seed, "user_id BIGINT").withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint"))
+        return seed.unionByName(self.blacklist_additions())
 
     def blacklist_additions(self) -> DataFrame:
         """SNK3: users added by the stream (not the seed list)."""
-        return self.black_list().where(F.col("batch_id") > SEED_BATCH)
+        return self.listed.read().select("user_id", F.col("listed_batch").alias("batch_id"))
 
     def ad_realtime_stat(self) -> DataFrame:
-        return (self._read(self.updates, UPDATES_SCHEMA).groupBy(*ac.CITY_AD_KEY)
-                .agg(F.max("click_count").alias("click_count")))
+        return self._newest_updates(self.updates.read()).select(*ac.CITY_AD_KEY, "click_count")
 
     def ad_province_top3(self) -> DataFrame:
+        """The newest Top-N of each day."""
         t = self._read(self.top, TOP_SCHEMA)
-        w = Window.partitionBy("date", "province")
-        return (t.withColumn("latest", F.max("batch_id").over(w))
-                .where(F.col("batch_id") == F.col("latest"))
-                .select("date", "province", "ad_id", "click_count"))
+        newest = t.groupBy("date").agg(F.max("batch_id").alias("batch_id"))
+        return t.join(newest, ["date", "batch_id"], "left_semi").select("date", "province", "ad_id", "click_count")
 
     def bad_lines(self) -> DataFrame:
         return self._read(self.bad, BAD_SCHEMA)

@@ -38,6 +38,26 @@ def _stream(spark, run_dir, threshold=3):
     return p
 
 
+def _replay(p, query, batch):
+    """Deliver a micro-batch again, as after a crash before its commit."""
+    from footfall.session import local_path
+
+    for name in (f"{batch}", f".{batch}.crc"):
+        path = local_path(f"{p.root}/checkpoints/{query}/commits/{name}")
+        if os.path.exists(path):
+            os.remove(path)
+
+
+def _key(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def _views(p):
+    return {v: _key(getattr(p, v)().drop("stamps")) for v in (
+        "filtered_clicks", "daily_user_ad_count", "ad_user_click_total", "black_list", "ad_realtime_stat",
+        "ad_province_top3", "bad_lines")}
+
+
 def test_parse_quarantines_bad_lines(spark):
     df = spark.createDataFrame([(x,) for x in BATCH0], "value string")
     parsed = ac.parse_log(df)
@@ -87,16 +107,40 @@ def test_restart_without_new_data_changes_nothing(spark, run_dir):
     assert sorted(map(tuple, p.ad_realtime_stat().collect())) == stat_before
 
 
-def test_replayed_batch_is_idempotent(spark, run_dir):
+def test_replayed_batches_are_idempotent(spark, run_dir):
+    p = _stream(spark, run_dir)
+    for lines in (BATCH0, BATCH1):
+        _land(spark, p, lines)
+        p.run_available()
+    before = _views(p)
+    for query in ("filter", "bad", "stat", "top"):
+        _replay(p, query, 1)
+    p.run_available()
+    assert _views(p) == before
+
+
+def test_lines_with_impossible_times_are_quarantined(spark, run_dir):
+    p = _stream(spark, run_dir)
+    odd = ["9223372036854775807 p c 1 2", "253402300800000 p c 1 2", "4102444800000 p c 1 2", "-1 p c 1 2",
+           "-9223372036854775808 p c 1 2", "99999999999999999999 p c 1 2"]
+    _land(spark, p, odd + BATCH0)
+    p.run_available()
+    assert sorted(r.line for r in p.bad_lines().collect()) == sorted(odd + BATCH0[-3:])
+    assert p.filtered_clicks().count() == 5
+    _land(spark, p, BATCH1)
+    p.run_available()                            # the stream goes on
+    assert p.filtered_clicks().count() == 9
+
+
+def test_leftover_folder_is_replaced(spark, run_dir):
+    from footfall.streaming.folded import make_dirs
+
     p = _stream(spark, run_dir)
+    make_dirs(spark, f"{p.filtered}/batch_id=0")
     _land(spark, p, BATCH0)
     p.run_available()
-    snap = lambda: (p.filtered_clicks().count(), p.daily_user_ad_count().count(),
-                    p.black_list().count(), p.bad_lines().count())
-    before = snap()
-    batch = ac.parse_log(spark.createDataFrame([(x,) for x in BATCH0], "value string"))
-    p._filter_batch(batch, 0)       # the same micro-batch delivered again
-    assert snap() == before
+    assert p.filtered_clicks().count() == 5
+    assert p.ad_realtime_stat().agg(F.sum("click_count")).first()[0] == 5
 
 
 def test_one_file_or_many_same_totals(spark, run_dir):
@@ -136,8 +180,6 @@ def test_state_retention_drops_very_late_clicks(spark, run_dir):
 
 
 def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
-    import os
-
     from footfall.session import local_path
 
     arrivals = [BATCH0, BATCH1, [line(DAY1 + 900 + i, 7, 10) for i in range(2)]
@@ -148,24 +190,61 @@ def test_compaction_keeps_every_view_and_folds_partitions(spark, run_dir):
             _land(spark, p, lines)
             p.run_available()
         if i >= 1:
-            packed.compact()                     # keeps the newest batch of each query
-    packed.compact(upto_batch=2, upto_stat_batch=2)   # then everything
-    key = lambda df: sorted(map(tuple, df.collect()))
-    assert key(plain.ad_user_click_total().drop("stamps")) == key(packed.ad_user_click_total().drop("stamps"))
-    assert key(plain.black_list()) == key(packed.black_list())
-    assert key(plain.ad_realtime_stat()) == key(packed.ad_realtime_stat())
-    assert key(plain.ad_province_top3()) == key(packed.ad_province_top3())
-    day1 = os.listdir(local_path(f"{packed.deltas}/date=2024-01-01"))
+            packed.compact(grace=0)              # keeps the newest batch of each query
+            assert _views(plain) == _views(packed)
+    opened = packed.ad_user_click_total().drop("stamps")
+    listed = packed.black_list()
+    opened._jdf.queryExecution().executedPlan()            # planned: it has listed its files
+    listed._jdf.queryExecution().executedPlan()
+    packed.compact(upto_batch=2, upto_stat_batch=2)         # within the grace period nothing goes
+    assert _key(opened) == _key(plain.ad_user_click_total().drop("stamps"))
+    assert _key(listed) == _key(plain.black_list())
+    assert _views(plain) == _views(packed)
+    packed.compact(upto_batch=2, upto_stat_batch=2, grace=0)
+    assert _views(plain) == _views(packed)
+    day1 = os.listdir(local_path(f"{packed.counts.live}/date=2024-01-01"))
     assert not [d for d in day1 if d.startswith("batch_id=")]          # all folded into the base
-    assert os.listdir(local_path(f"{packed.base}/date=2024-01-01")) == ["upto=2"]
-    assert len([d for d in os.listdir(local_path(f"{packed.updates}/date_key=20240101"))
-                if d.startswith("batch_id=")]) == 1
-    # listing partitions merged, the seed kept apart, listing batches preserved
-    assert sorted(d for d in os.listdir(local_path(packed.blacklist)) if d.startswith("batch_id=")) == \
-        ["batch_id=-1", "batch_id=2"]
+    assert [d for d in os.listdir(local_path(f"{packed.counts.base}/date=2024-01-01"))
+            if d.startswith("upto=")] == ["upto=2"]
+    # a replay of a folded batch changes nothing
+    _replay(packed, "filter", 2)
+    packed.run_available()
+    assert _views(plain) == _views(packed)
     assert sorted(map(tuple, packed.blacklist_additions().collect())) == [(1, 1), (2, 0), (4, 2)]
 
 
+def test_work_of_a_batch_does_not_grow_with_the_day(spark, run_dir):
+    """Batches read their input and one Top-N partition of each day they touch."""
+    from footfall.streaming import ad_stream
+
+    p = _stream(spark, run_dir, threshold=100)
+    read: list[int] = []
+    real = ad_stream.partitions
+
+    def counted(spark_, parent, column):
+        found = real(spark_, parent, column)
+        read.append(len(found))
+        return found
+
+    rows = spark.createDataFrame([("20240101", "P", i % 5, i) for i in range(10)],
+                                 "date_key string, province string, ad_id long, click_count long")
+    ad_stream.partitions = counted
+    try:
+        for n in range(ad_stream.TOP_KEPT + 8):
+            p._top_batch(rows.limit(1) if n else rows, n)
+    finally:
+        ad_stream.partitions = real
+    assert max(read) <= ad_stream.TOP_KEPT + 1
+    assert [(r.ad_id, r.click_count) for r in p.ad_province_top3().orderBy(F.desc("click_count")).collect()] == \
+        [(4, 9), (3, 8), (2, 7)]
+    # the filter's micro-batch plan reads no table but the seed list
+    _land(spark, p, BATCH0)
+    q = p.filter_query(availableNow=True)
+    q.awaitTermination()
+    plan = q._jsq.explainInternal(True) if hasattr(q._jsq, "explainInternal") else ""
+    assert "black_list" not in plan and "ad_user_click" not in plan
+
+
 def test_default_threshold_99_100_101(spark, run_dir):
     p = AdClickStream(spark, run_dir)                       # reference threshold: 100
     assert p.threshold == 100
@@ -192,41 +271,35 @@ def test_overlapped_arrivals_match_sequential(spark, run_dir):
         _land(spark, seq, lines)
         seq.run_available()
     ovl.run_arrivals([spark.createDataFrame([(x,) for x in b], "value string") for b in (BATCH0, BATCH1)])
-    key = lambda df: sorted(map(tuple, df.collect()))
+    key = _key
     for view in ("black_list", "ad_realtime_stat", "ad_province_top3", "filtered_clicks"):
         assert key(getattr(seq, view)()) == key(getattr(ovl, view)()), view
 
 
-def test_stream_partitions_fixed_per_query(spark, run_dir):
+def test_stream_partitions_hold_in_every_batch(spark, run_dir):
     import json
 
     from footfall.session import local_path
 
     p = AdClickStream(spark, run_dir, threshold=100, stream_partitions=3)
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    for table in (p.counts, p.listed, p.updates):
+        real = table.write
+
+        def write(rows, n, real=real):
+            seen.append(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            real(rows, n)
+        table.write = write
+    publish, top = p.publish_filtered, p._top_batch
+    p.publish_filtered = lambda rows, n: (seen.append(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                                          publish(rows, n))
+    p._top_batch = lambda rows, n: (seen.append(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                                    top(rows, n))
     _land(spark, p, BATCH0[:-3])
     p.run_available()
+    assert len(seen) >= 5 and set(seen) == {"3"}
     assert spark.conf.get("spark.sql.shuffle.partitions") == before      # session untouched
-    state = os.listdir(local_path(f"{p.root}/checkpoints/stat/state/0"))
-    assert sorted(int(x) for x in state if x.isdigit()) == [0, 1, 2]
-    offsets = open(local_path(f"{p.root}/checkpoints/stat/offsets/0")).read().splitlines()
-    assert json.loads(offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
-    f_offsets = open(local_path(f"{p.root}/checkpoints/filter/offsets/0")).read().splitlines()
-    assert json.loads(f_offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
-
-
-def test_sweep_removes_leftovers_of_an_interrupted_compaction(spark, run_dir):
-    from footfall.session import local_path
-
-    p = _stream(spark, run_dir)
-    for lines in (BATCH0, BATCH1):
-        _land(spark, p, lines)
-        p.run_available()
-    before = sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect()))
-    p.compact(upto_batch=1, upto_stat_batch=1, delete=False)     # base written, nothing deleted
-    day = local_path(f"{p.deltas}/date=2024-01-01")
-    assert [d for d in os.listdir(day) if d.startswith("batch_id=")]
-    assert sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect())) == before
-    p.compact(sweep=True)
-    assert not [d for d in os.listdir(day) if d.startswith("batch_id=")]
-    assert sorted(map(tuple, p.ad_user_click_total().drop("stamps").collect())) == before
+    for query in ("filter", "stat", "top"):
+        offsets = open(local_path(f"{p.root}/checkpoints/{query}/offsets/0")).read().splitlines()
+        assert json.loads(offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
