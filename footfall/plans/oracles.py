@@ -220,7 +220,7 @@ SELECT CAST(3 AS BIGINT) AS task_id, COUNT(*) AS session_count,
 FROM s
 WHERE professional IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') AND city IN ({_TASK_CITIES})
   AND list_has_any(string_split(search_keywords, ','), ['click', 'purchase'])
-  AND list_has_any(string_split(click_category_ids, ','), list_transform(range(0, 99, 2), x -> CAST(x AS VARCHAR)))""",
+  AND list_has_any(string_split(click_category_ids, ','), list_transform(range(0, 99, 2), lambda x: CAST(x AS VARCHAR)))""",
     "json_array_first": """SELECT p_partkey AS product_id, p_name AS first_name,
   CAST(p_size AS VARCHAR) AS first_size FROM part""",
     "visit_hourly": """SELECT strftime(ts, '%Y-%m-%d_%H') AS date_hour, strftime(ts, '%H') AS hour,

@@ -53,9 +53,13 @@ def read_table(spark: SparkSession, url: str, table: str, *, user: str | None =
 
 
 def read_query(spark: SparkSession, url: str, query: str, *, user: str | None = None,
-               password: str | None = None, driver: str | None = None,
+               password: str | None = None, driver: str | None = None, small: bool = False,
                extra: dict[str, str] | None = None) -> DataFrame:
-    """SRC8: rows of an arbitrary query as a DataFrame (no row callback)."""
+    """SRC8: rows of an arbitrary query as a DataFrame (no row callback). One task
+    reads it, so the caller states that the result is ``small``; a large one is
+    read as a table ``(query) AS t`` with bounds."""
+    if not small:
+        raise ValueError("a query is read by one task: small=True, or read_table('(query) AS t', ...)")
     return (spark.read.format("jdbc").options(**_opts(url, user, password, driver, extra))
             .option("query", query).load())
 

@@ -187,3 +187,77 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         read_table(spark, "jdbc:none://nowhere/db", "city_info", partition_column="city_id",
                    lower_bound=0)           # no upper bound / partition count: refused before connecting
+
+
+def test_sql_bag_and_list_helpers_match_columns(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from footfall.plans.sql_surface import register_functions
+
+    register_functions(spark)
+    bags = st.text(alphabet="ab=|,$", max_size=12)
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(st.tuples(bags, st.text(alphabet="ab,", max_size=5), bags), min_size=1, max_size=8))
+    def check(rows):
+        df = spark.createDataFrame([(a, b, c) for a, b, c in rows], "bag string, v string, p string")
+        df.createOrReplaceTempView("helpers_v")
+        sql = spark.sql("""SELECT get_field_from_concat_string(bag, '\\\\|', 'a') AS g,
+            set_field_in_concat_string(bag, '\\\\|', 'a', v) AS s, split_comma_list(v) AS l,
+            valid_in(bag, 'a', p, 'a') AS i, valid_equal(bag, 'a', p, 'a') AS e,
+            valid_between(bag, 'a', p, 'a', 'b') AS b, trim_comma(v) AS t FROM helpers_v""").collect()
+        from footfall.operators import sessions as ss
+        c = F.col
+        col = df.select(fc.bag_get(c("bag"), "a").alias("g"), fc.bag_set(c("bag"), "a", c("v")).alias("s"),
+                        fc.split_list("v").alias("l"), ss.in_param(c("bag"), "a", c("p"), "a").alias("i"),
+                        ss.equal_param(c("bag"), "a", c("p"), "a").alias("e"),
+                        ss.between_param(c("bag"), "a", c("p"), "a", "b").alias("b"),
+                        fc.trim_comma("v").alias("t")).collect()
+        assert sql == col
+
+    check()
+    # a list that ends in a comma, as the reference's split reads it
+    assert spark.sql("SELECT valid_in('city=a,', 'city', 'cities=b,', 'cities')").first()[0] is False
+
+
+def test_jdbc_helpers_refuse_unsafe_use(spark):
+    import pytest
+
+    from footfall.sources import jdbc
+
+    with pytest.raises(ValueError, match="partition_column"):
+        jdbc.read_table(spark, "jdbc:x:y", "t")
+    with pytest.raises(ValueError, match="lower_bound"):
+        jdbc.read_table(spark, "jdbc:x:y", "t", partition_column="id")
+    with pytest.raises(ValueError, match="one task"):
+        jdbc.read_query(spark, "jdbc:x:y", "SELECT 1")
+
+    class Speculating:
+        class sparkSession:  # noqa: N801
+            conf = {"spark.speculation": "true"}
+
+    with pytest.raises(ValueError, match="speculation"):
+        jdbc.write_table(Speculating(), "jdbc:x:y", "t")
+
+
+def test_shared_dir_needs_a_folder_on_a_cluster():
+    import pytest
+
+    from footfall.session import shared_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from footfall.plans.oracles import all_oracles
+from footfall.plans.registry import all_queries
 from footfall.sources.tables import TABLES
 
 from .conftest import SF_SMALL
@@ -38,7 +40,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
 def test_entry_runs(spark):
@@ -48,11 +50,11 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(se.queries()))
+@pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query_matches_oracle(spark, duck, key):
-    df = se.queries()[key](spark, SF_SMALL)
+    df = all_queries()[key](spark, SF_SMALL)
     got = df.collect()
-    res = duck.execute(se.oracle_sql()[key])
+    res = duck.execute(all_oracles()[key])
     ocols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

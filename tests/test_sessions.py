@@ -163,10 +163,56 @@ def test_in_param_matches_java_rules(spark, dv, pv):
     assert got == _py_in(data, param)
 
 
-def test_session_filter_runs_below_the_user_join(spark):
+def test_typed_conditions_match_bag_conditions(spark):
+    """The typed filter accepts the sessions that the bag filter accepts."""
+    rows = [(a, p, c, x, k, g) for a in (None, 19, 20, 40) for p in ("X", "Y", None) for c in ("a", "b")
+            for x in ("male", None) for k, g in (("click,view", "1,2"), ("", None), ("view", "22"))]
+    df = spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)],
+                               "session_id string, age long, professional string, city string, sex string, "
+                               "search_keywords string, click_category_ids string")
+    df = df.selectExpr("*", "0 as visit_length", "0 as step_length", "'t' as start_time")
+    for params in ("", "startAge=20|endAge=40", "startAge=20", "endAge=x|startAge=1", "startAge=+20|endAge=30",
+                   "professionals=X,Z|cities=a,", "cities=,", "sex=male|keywords=click", "categoryIds=2,9",
+                   "sex=|cities==|keywords=view=x", "professionals=,X", "keywords=,view"):
+        user, activity = ss.typed_conditions(params)
+        typed = sorted(r.session_id for r in df.where(user & activity).collect())
+        bags = df.select("session_id", ss.session_bag(df).alias("bag"))
+        assert typed == sorted(r.session_id for r in ss.session_filter(bags, params).collect()), params
+
+
+def test_task_ids_are_unique(spark):
+    import pytest
+
+    from footfall.plans.area_jobs import task_window
+
+    tasks = spark.createDataFrame([(1, "{}"), (1, "{}")], "task_id long, task_param string")
+    for f in (lambda: ss.filter_params_of_task(tasks, 1), lambda: task_window(tasks, 1)):
+        with pytest.raises(ValueError, match="more than once"):
+            f()
+
+
+def test_statistics_read_no_user_table(spark):
+    from footfall.plans import session_jobs as sj
+
+    for job in (sj.session_visit_length, sj.session_aggr_stat, sj.session_keywords):
+        plan = job(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "customer" not in plan and "nation" not in plan
+
+
+def test_session_filter_is_pushed_into_the_scans(spark):
     from footfall.plans import session_jobs as sj
 
     plan = sj.session_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
         .executedPlan().toString()
-    joins = [line for line in plan.splitlines() if "Join" in line and "user_id" in line]
-    assert joins and all("regexp_extract_all" not in line for line in joins)
+    assert "regexp_extract_all" not in plan and "In(c_mktsegment, [BUILDING,MACHINERY])" in plan
+    assert "In(n_name" in plan
+
+
+def test_plans_are_built_without_running_jobs(spark):
+    from footfall.plans import area_jobs
+
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    area_jobs.area_top10_product(spark, "/root/testdata/sf0.001")
+    jobs = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before)
+    # reading a Parquet schema is a job of Spark's own; one for each table at most
+    assert len(jobs) <= 5
