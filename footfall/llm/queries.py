@@ -106,12 +106,12 @@ from parts p left join best b on p.host = b.host and p.path = b.path
 
 OP5_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, c -> floor(256 * c::double)::bigint) as x
+  select vec_id, list_transform(embedding, lambda c: floor(256 * c::double)::bigint) as x
   from embeddings
   where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, c -> c is null or not isfinite(c))) = 0),
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
 scores as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2]))::bigint as score
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint as score
   from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.x) = len(c.x))
 select query_id, rank::int as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
