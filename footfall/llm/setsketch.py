@@ -11,12 +11,15 @@ similarity from register comparisons and set sizes, with six standard errors of
 room, then on their full sets.
 
 Equal sets collapse into one class before banding. Inside a band bucket not all
-pairs are formed: in every round a few leaders are compared with the members
-that are not yet connected to them and then leave the bucket; buckets whose
-members are connected drop out. A pair is passed over only when both
-sides are in one component already, so components are those of all links.
-Leaders come from partial aggregates, candidate rows from joins that adaptive
-execution splits; no bucket is gathered in one task.
+pairs are formed. First, each member is compared with the bucket's smallest one;
+buckets whose members are then connected are done. In other buckets of up to
+``SMALL`` members, members of different components are compared, so a member meets
+at most that many. Larger buckets that share members form one group: the members
+outside its largest component meet all members in blocks of ``BLOCK``, each pair of
+blocks in a task of its own that returns a forest of the links it finds, never the
+pairs. A pair is passed over only when both sides are in one component already, so
+components are those of all links. What is dealt out grows with the members times the
+blocks outside the largest component; no bucket is gathered in one task.
 
 Defined results: null or empty text has an empty set and is linked with nothing;
 fewer words than a shingle form one shingle; rows that share a doc_id but not a
@@ -29,6 +32,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +42,7 @@ from footfall.llm.wordhash import FOLD, chunks, find_words, mix, span_hashes, wi
 
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2       # b, a and q of the sketch
-LEADERS = 4                                         # per bucket in the second round, then doubled
+SMALL, BLOCK = 32, 512                              # members of a small bucket, of a block
 _rng = np.random.default_rng(20)
 _A = _rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
@@ -168,6 +172,57 @@ def _linked(percent: int):
     return run
 
 
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``."""
+    every = np.concatenate([*x, *y])
+    values, column, n = np.unique(every, return_inverse=True, return_counts=True)
+    shared = np.cumsum(n > 1) - 1                     # elements of one set intersect nothing
+    row = np.repeat(np.arange(len(x) + len(y)), [len(s) for s in [*x, *y]])
+    keep = n[column] > 1
+    row, column = row[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(x), len(y)), np.float32)
+    step = 4096
+    cuts = np.searchsorted(column, np.arange(0, len(values) + step, step))
+    for i in range(len(cuts) - 1):
+        r, c = row[cuts[i]:cuts[i + 1]], column[cuts[i]:cuts[i + 1]] - i * step
+        if len(r):
+            part = np.zeros((len(x) + len(y), int(c.max()) + 1), np.float32)
+            part[r, c] = 1
+            out += part[:len(x)] @ part[len(x):].T
+    return out
+
+
+def _block_links(percent: int):
+    """A forest of the links between two blocks of members (side 0 and side 1)."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = [pdf[pdf["side"] == k] for k in (0, 1)]
+        ids = [p["sid"].to_numpy() for p in sides]
+        sets = [[np.frombuffer(e, np.uint64) for e in p["elements"]] for p in sides]
+        found: list[tuple[int, int]] = []
+        if len(ids[0]) and len(ids[1]):
+            size = [np.array([len(s) for s in x], np.float64) for x in sets]
+            both = _overlaps(*sets)
+            linked = 100 * both >= percent * (size[0][:, None] + size[1][None, :] - both)
+            linked &= ids[0][:, None] != ids[1][None, :]
+            root: dict[int, int] = {}
+
+            def top(n):
+                while root.setdefault(n, n) != n:
+                    root[n] = root[root[n]]
+                    n = root[n]
+                return n
+
+            for i, j in zip(*np.nonzero(linked), strict=True):
+                p, q = top(int(ids[0][i])), top(int(ids[1][j]))
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    found.append((int(ids[0][i]), int(ids[1][j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    return run
+
+
 def connected(edges: DataFrame, folder: str) -> DataFrame:
     """node, comp (smallest node reachable) for all nodes of the edges (a, b):
     minimum labels of neighbours and pointer jumping, until nothing changes."""
@@ -228,29 +283,39 @@ def near_duplicates(docs: DataFrame, folder: str, width: int = 4, percent: int =
 
     links = confirmed(members.where("sid <> lo").select(F.col("lo").alias("a"), F.col("sid").alias("b")), 0)
     comps = connected(links, f"{folder}/comps-0")
-    members, rounds, leaders_each = members.where("sid <> lo").select("key", "sid"), 0, LEADERS
-    while True:
-        rounds += 1
-        here = members.select("key", "sid").join(comps.select(F.col("node").alias("sid"), "comp"), "sid", "left") \
-            .select("key", "sid", F.coalesce("comp", "sid").alias("comp"))
-        split = here.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q")) \
-            .where("p < q").select("key")
-        members = stored(here.join(split, "key"), f"{folder}/members-{rounds}")
-        if members.isEmpty():
-            break
-        # the same order in all buckets, so that buckets of one group choose alike
-        order = F.xxhash64(F.lit(rounds), "sid")
-        leaders = members.groupBy("key", F.pmod(order, F.lit(leaders_each)).alias("slot")).agg(
-            F.min(F.struct(order.alias("o"), "sid", "comp")).alias("l")) \
-            .select("key", F.col("l.sid").alias("a"), F.col("l.comp").alias("comp_a"))
-        leaders = stored(leaders, f"{folder}/leaders-{rounds}")
-        pairs = members.join(leaders, "key").where("comp <> comp_a").select("a", F.col("sid").alias("b"))
-        new = confirmed(pairs, rounds)
-        if not new.isEmpty():
-            comps = connected(new.union(comps.where("node <> comp").select("node", "comp")),
-                              f"{folder}/comps-{rounds}")
-        members = members.join(leaders.select("key", F.col("a").alias("sid")), ["key", "sid"], "left_anti")
-        leaders_each *= 2
+    here = members.join(comps.select(F.col("node").alias("sid"), "comp"), "sid", "left") \
+        .select("key", "sid", "lo", F.coalesce("comp", "sid").alias("comp"))
+    split = here.groupBy("key").agg(F.min("comp").alias("p"), F.max("comp").alias("q"),
+                                    F.count("*").alias("m")).where("p < q").select("key", "m")
+    open_ = stored(here.join(split, "key"), f"{folder}/open")
+
+    few = open_.where(F.col("m") <= SMALL).select("key", "sid", "comp")
+    pairs = few.join(few.select("key", F.col("sid").alias("b"), F.col("comp").alias("other")), "key") \
+        .where("sid < b and comp <> other")
+    links = confirmed(pairs.select(F.col("sid").alias("a"), "b"), 1)
+
+    many = open_.where(F.col("m") > SMALL)
+    if not many.isEmpty():
+        group = connected(many.select(F.col("sid").alias("a"), F.col("lo").alias("b")), f"{folder}/groups")
+        group = group.select(F.col("node").alias("sid"), F.col("comp").alias("g"))
+        grouped = stored(many.select("sid", "comp").distinct().join(group, "sid"), f"{folder}/grouped")
+        sizes = grouped.groupBy("g", "comp").agg(F.count("*").alias("n")).groupBy("g").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+        left, right = (F.ceil(n / BLOCK).cast("int") for n in (F.col("n") - F.col("top.n"), F.col("n")))
+        dealt = grouped.join(sizes.select("g", F.col("top.comp").alias("largest"), left.alias("i_n"),
+                                          right.alias("j_n")), "g").where("i_n > 0")
+        own = F.xxhash64(F.lit("block"), "sid")
+        each = [dealt.where("comp <> largest").select(
+                    "sid", "g", F.pmod(own, F.col("i_n")).cast("int").alias("i"),
+                    F.explode(F.sequence(F.lit(0), F.col("j_n") - 1)).alias("j"), F.lit(0).alias("side")),
+                dealt.select(
+                    "sid", "g", F.explode(F.sequence(F.lit(0), F.col("i_n") - 1)).alias("i"),
+                    F.pmod(own, F.col("j_n")).cast("int").alias("j"), F.lit(1).alias("side"))]
+        blocks = each[0].unionByName(each[1]).join(sets, "sid").groupBy("g", "i", "j") \
+            .applyInPandas(_block_links(percent), "a long, b long")
+        links = links.union(stored(blocks, f"{folder}/block-links"))
+    if not links.isEmpty():
+        comps = connected(links.union(comps.where("node <> comp").select("node", "comp")), f"{folder}/comps-1")
 
     joined = classes.select("sid", "rep", *mark).join(
         comps.select(F.col("node").alias("sid"), "comp"), "sid", "left")

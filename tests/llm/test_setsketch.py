@@ -72,3 +72,25 @@ def test_registers_merge():
     x = np.arange(1, 900, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     whole = setsketch.registers(x)
     assert (np.maximum(setsketch.registers(x[:300]), setsketch.registers(x[200:])) == whole).all()
+
+
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Same components when every bucket counts as large and blocks are small."""
+    monkeypatch.setattr(setsketch, "SMALL", 2)
+    monkeypatch.setattr(setsketch, "BLOCK", 8)
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for n in (2, 3, 4, 5, 6) * 14:                # edits that leave pairs on both sides of 0.8
+        words = list(base)
+        for _ in range(n):
+            words[rnd.randrange(150)] = f"w{rnd.randrange(10**6)}"
+        texts.append(" ".join(words))
+    check(spark, documents(spark, texts))
+
+
+def test_overlaps_of_blocks():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in rng.integers(1, 4000, 23)]
+    got = setsketch._overlaps(sets[:9], sets[9:])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[9:]] for a in sets[:9]]
