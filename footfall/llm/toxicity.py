@@ -84,11 +84,22 @@ def _weights(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
     return w
 
 
+_SHARD = "toxic binary, sizes binary, slots binary"
+
+
+def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a shard as one, in training order."""
+    pdf = pdf.sort_values("order")
+    return pd.DataFrame({"toxic": [pdf.toxic.to_numpy(np.int8).tobytes()],
+                         "sizes": [(pdf.slots.str.len() // 4).to_numpy(np.int32).tobytes()],
+                         "slots": [b"".join(pdf.slots)]})
+
+
 def _trainer(held, bias):
-    """One pass over a shard's rows: the changes of the state."""
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("order")
-        rows = [np.frombuffer(x, np.int32) for x in pdf.slots]
+    """One pass over each shard: the changes of the state."""
+    def train(shard: dict) -> dict:
+        sizes = np.frombuffer(shard["sizes"], np.int32)
+        rows = np.split(np.frombuffer(shard["slots"], np.int32), np.cumsum(sizes)[:-1])
         at = np.flatnonzero(np.bincount(np.concatenate(rows), minlength=DIM) > len(rows) // 1000).astype(np.int32)
         z0, n0 = np.zeros(len(at)), np.zeros(len(at))
         if held is not None:
@@ -98,7 +109,7 @@ def _trainer(held, bias):
         place = np.full(DIM, -1, np.int32)
         place[at] = np.arange(len(at))
         z, n, (zb, nb) = z0.copy(), n0.copy(), bias
-        for slots, y in zip(rows, pdf.toxic, strict=True):
+        for slots, y in zip(rows, np.frombuffer(shard["toxic"], np.int8).tolist(), strict=True):
             i = place[slots]
             i = i[i >= 0]
             zi, ni = z[i], n[i]
@@ -111,11 +122,19 @@ def _trainer(held, bias):
             zb += g - (np.sqrt(nb + g * g) - np.sqrt(nb)) / ALPHA * wb
             nb += g * g
         moved = np.flatnonzero(n > n0)
-        return pd.DataFrame({
-            "at": [at[moved].tobytes()], "z": [(z - z0)[moved].astype("f4").tobytes()],
-            "n": [(n - n0)[moved].astype("f4").tobytes()],
-            "zb": [zb - bias[0]], "nb": [nb - bias[1]], "rows": [len(pdf)]})
-    return train
+        return {"at": at[moved].tobytes(), "z": (z - z0)[moved].astype("f4").tobytes(),
+                "n": (n - n0)[moved].astype("f4").tobytes(),
+                "zb": float(zb - bias[0]), "nb": float(nb - bias[1]), "rows": len(rows)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                yield pa.RecordBatch.from_pylist([train(b.slice(i, 1).to_pylist()[0])], schema=_CHANGES)
+    return run
+
+
+_CHANGES = pa.schema([("at", pa.binary()), ("z", pa.binary()), ("n", pa.binary()),
+                      ("zb", pa.float64()), ("nb", pa.float64()), ("rows", pa.int64())])
 
 
 class Model:
@@ -144,16 +163,19 @@ def fit(docs: DataFrame, labels: DataFrame, folder: str, fit_rows: int = FIT_ROW
             .select(F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(SHARDS)).cast("int").alias("shard"),
                     F.xxhash64(F.lit("order"), "doc_id").alias("order"), "toxic", "text")
             .mapInArrow(_hashed, "shard int, order long, toxic int, slots binary"))
-    rows = stored(rows, f"{folder}/toxic-features")
-    seen = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    good, bad = seen.get(0, 0), seen.get(1, 0)
+    # a row for each shard (FIT_ROWS bounds it), so that rounds shuffle nothing
+    shards = stored(rows.groupBy("shard").applyInPandas(_shard, _SHARD), f"{folder}/toxic-shards")
+    marks = np.concatenate([np.zeros(0, np.int8), *(np.frombuffer(r.toxic, np.int8)
+                                                    for r in shards.select("toxic").collect())])
+    bad = int(marks.sum())
+    good = len(marks) - bad
     if not good or not bad:
         share = (bad + 1) / (good + bad + 2)
         return Model(np.zeros(0, np.int32), np.zeros(0), np.log(share / (1 - share)))
     state, bias = None, (0.0, 0.0)
     for _ in range(ROUNDS):
         held = spark.sparkContext.broadcast(state) if state is not None else None
-        parts = rows.groupBy("shard").applyInPandas(
+        parts = shards.mapInArrow(
             _trainer(held, bias), "at binary, z binary, n binary, zb double, nb double, rows long").collect()
         z, n, total = np.zeros(DIM), np.zeros(DIM), sum(p.rows for p in parts)
         if state is not None:
