@@ -49,8 +49,8 @@ def op5_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = word_bpe.encode(table(spark, sf_dir, "documents"), path, run_folder(spark, "op6"))
-    return word_bpe.decode(encoded, path).select(
+    encoded = word_bpe.encode(table(spark, sf_dir, "documents"), path, run_folder(spark, "op6"), decoded=True)
+    return encoded.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -75,8 +76,9 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(n)], names=["h", "word", "n"])
 
 
+@cache
 def load(path: str):
-    """The tokenizer in the file, without truncation and padding."""
+    """The tokenizer in the file, without truncation and padding; once for each process."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
@@ -106,11 +108,14 @@ def word_table(docs: DataFrame, path: str, folder: str) -> DataFrame:
 
 
 class Head:
-    """Hashes of frequent words, sorted, and their ids."""
+    """Hashes of frequent words, sorted, and their ids, in 16 bits where those suffice."""
 
-    def __init__(self, h: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
-        self.h, self.sizes, self.ids = h, sizes, ids
-        self.at = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    def __init__(self, h: np.ndarray, at: np.ndarray, ids: np.ndarray):
+        self.h, self.at = h, at.astype(np.uint32)          # n + 1 offsets of ids
+        self.ids = ids.astype(np.uint16) if not len(ids) or ids.max() < 1 << 16 else ids
+
+    def sizes(self, places: np.ndarray) -> np.ndarray:
+        return (self.at[places + 1] - self.at[places]).astype(np.int64)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Places of hashes, -1 for those that are not here."""
@@ -126,7 +131,7 @@ def choose_head(words: DataFrame, head_bytes: int = HEAD_BYTES) -> tuple[Head, b
     rank = F.when(F.col("n") <= 64, F.col("n")).otherwise(F.floor(8 * F.log2("n")) + 64)
     clash = words.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     ranked = words.withColumn("rank", rank)
-    per_rank = ranked.groupBy("rank").agg(F.sum(F.length("ids") + 16).alias("bytes")).collect()
+    per_rank = ranked.groupBy("rank").agg(F.sum(F.length("ids") / 2 + 12).alias("bytes")).collect()
     total, least = 0, None
     for r in sorted(per_rank, key=lambda r: -r["rank"]):
         total += r["bytes"]
@@ -135,7 +140,7 @@ def choose_head(words: DataFrame, head_bytes: int = HEAD_BYTES) -> tuple[Head, b
         least = r["rank"]
     whole = total <= head_bytes
     if least is None:
-        return Head(*(np.zeros(0, t) for t in (np.uint64, np.int64, np.uint32))), not per_rank
+        return Head(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)), not per_rank
     clashing = [r.h for r in clash.limit(10_000).collect()]    # two words of one hash: practically none
     if len(clashing) == 10_000:
         raise ValueError("word hashes clash; the head cannot be keyed by them")
@@ -143,20 +148,40 @@ def choose_head(words: DataFrame, head_bytes: int = HEAD_BYTES) -> tuple[Head, b
     h = got["h"].to_numpy().view(np.uint64)
     keep = ~np.isin(h, np.array(clashing, np.int64).view(np.uint64))
     order = np.flatnonzero(keep)[np.argsort(h[keep], kind="stable")]
-    ids = got["ids"].combine_chunks().take(pa.array(order)).to_pylist()
-    sizes = np.array([len(x) // 4 for x in ids], np.int64)
-    return Head(h[order], sizes, np.frombuffer(b"".join(ids), np.uint32)), whole and not clashing
+    ids = got["ids"].combine_chunks().cast(pa.large_binary()).take(pa.array(order))
+    at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+    flat = np.frombuffer(ids.buffers()[2].slice(int(at[0]), int(at[-1] - at[0])).to_pybytes(), np.uint32)
+    return Head(h[order], (at - at[0]) // 4, flat), whole and not clashing
+
+
+@cache
+def _pieces(path: str) -> dict[int, str] | list[str]:
+    """The vocabulary's pieces by id, which bounds what a task holds."""
+    tokenizer = load(path)
+    if json.loads(tokenizer.to_str()).get("decoder"):
+        raise ValueError("only tokenizers without a decoder of their own are decoded here")
+    pieces = {i: p for p, i in tokenizer.get_vocab(with_added_tokens=True).items()}
+    return [pieces[i] for i in range(len(pieces))] if sorted(pieces) == list(range(len(pieces))) else pieces
+
+
+def _joined(path: str, ids: list[bytes | None]) -> pa.Array:
+    """The texts of ids, by a join with the pieces."""
+    pieces = _pieces(path)
+    return pa.array([" ".join([pieces[x] for x in np.frombuffer(i or b"", "<u4").tolist()]) for i in ids], pa.string())
 
 
-def _encoder(held, patched: bool):
-    """Ids of texts from the head and, where given, from patches by position."""
+def _encoder(held, patched: bool, decode_by: str | None):
+    """Ids of texts from the head and, where given, from patches by position; with
+    ``decode_by``, their texts as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = held.value
         for b in batches:
             for lo, hi, _, words, h in words_of(b["text"]):
                 u, back = np.unique(h, return_inverse=True)
                 place = head.find(u)[back]
-                sizes = np.where(place >= 0, head.sizes[place] if len(head.h) else 0, 0)
+                known = np.flatnonzero(place >= 0)
+                sizes = np.zeros(len(place), np.int64)
+                sizes[known] = head.sizes(place[known])
                 extra: dict[int, np.ndarray] = {}
                 if patched:
                     for i in range(hi - lo):
@@ -168,17 +193,16 @@ def _encoder(held, patched: bool):
                     raise ValueError("a word is missing in the distinct-word table")
                 ids = np.zeros(int(sizes.sum()), np.uint32)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
-                known = np.flatnonzero(place >= 0)
                 spread = ragged(ends[known], sizes[known]) if extra else slice(None)
-                ids[spread] = head.ids[ragged(head.at[place[known]], sizes[known])] if len(known) else 0
+                ids[spread] = head.ids[ragged(head.at[place[known]].astype(np.int64), sizes[known])] if len(known) else 0
                 for w, x in extra.items():
                     ids[ends[w]:ends[w + 1]] = x
                 at = ends[words.row].tolist()
                 raw = ids.astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [b["doc_id"].slice(lo, hi - lo),
-                     pa.array([raw[4 * at[i]:4 * at[i + 1]] for i in range(hi - lo)], pa.binary())],
-                    names=["doc_id", "ids"])
+                parts = [raw[4 * at[i]:4 * at[i + 1]] for i in range(hi - lo)]
+                out = pa.RecordBatch.from_arrays([b["doc_id"].slice(lo, hi - lo), pa.array(parts, pa.binary())],
+                                                 names=["doc_id", "ids"])
+                yield out.append_column("decoded", _joined(decode_by, parts)) if decode_by else out
     return run
 
 
@@ -201,15 +225,18 @@ def _beyond(held):
     return run
 
 
-def encode(docs: DataFrame, path: str, folder: str, head_bytes: int = HEAD_BYTES) -> DataFrame:
-    """doc_id, ids (binary, little-endian unsigned 32-bit), one row for each row."""
+def encode(docs: DataFrame, path: str, folder: str, head_bytes: int = HEAD_BYTES,
+           decoded: bool = False) -> DataFrame:
+    """doc_id, ids (binary, little-endian unsigned 32-bit), one row for each row; with
+    ``decoded``, also what ``decode`` adds, in the same pass (one Python worker a task)."""
     docs = docs.select("doc_id", "text")
     words = word_table(docs, path, folder)
     head, whole = choose_head(words, head_bytes)
     held = docs.sparkSession.sparkContext.broadcast(head)
     schema = extended(docs.select("doc_id").schema, "ids", "binary")
+    schema, decode_by = (extended(schema, "decoded", "string"), path) if decoded else (schema, None)
     if whole:
-        return docs.mapInArrow(_encoder(held, False), schema)
+        return docs.mapInArrow(_encoder(held, False, decode_by), schema)
     # rows are told apart by their text as well, should a doc_id repeat
     k1 = F.xxhash64("doc_id", "text").alias("k1")
     k2 = F.xxhash64(F.lit(1), "text", "doc_id").alias("k2")
@@ -218,23 +245,15 @@ def encode(docs: DataFrame, path: str, folder: str, head_bytes: int = HEAD_BYTES
     patches = (rare.join(words.select("word", "ids"), "word").groupBy("k1", "k2")
                .agg(F.collect_list(F.struct("pos", "ids")).alias("patch")))
     return docs.select("doc_id", "text", k1, k2).join(patches, ["k1", "k2"], "left") \
-        .select("doc_id", "text", "patch").mapInArrow(_encoder(held, True), schema)
+        .select("doc_id", "text", "patch").mapInArrow(_encoder(held, True, decode_by), schema)
 
 
 def _decoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
-        if json.loads(tokenizer.to_str()).get("decoder"):
-            raise ValueError("only tokenizers without a decoder of their own are decoded here")
-        pieces = {i: p for p, i in tokenizer.get_vocab(with_added_tokens=True).items()}
-        if sorted(pieces) == list(range(len(pieces))):
-            pieces = [pieces[i] for i in range(len(pieces))]
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 part = b.slice(i, 500)
-                texts = [" ".join([pieces[x] for x in np.frombuffer(ids or b"", "<u4").tolist()])
-                         for ids in part["ids"].to_pylist()]
-                yield part.append_column("decoded", pa.array(texts, pa.string()))
+                yield part.append_column("decoded", _joined(path, part["ids"].to_pylist()))
     return run
 
 

@@ -16,7 +16,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

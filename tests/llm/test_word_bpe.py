@@ -24,6 +24,13 @@ def test_ids_and_text_equal_the_library(spark, head_bytes):
         assert got[i][1] == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_decoding_in_the_same_pass(spark):
+    docs = documents(spark, ODD_TEXTS)
+    two = word_bpe.decode(word_bpe.encode(docs, PATH, folder(spark)), PATH)
+    one = word_bpe.encode(docs, PATH, folder(spark), decoded=True)
+    assert one.columns == two.columns and sorted(one.collect()) == sorted(two.collect())
+
+
 def test_empty_table_and_repeated_ids(spark):
     docs = documents(spark, ["a b", "c"]).selectExpr("1L as doc_id", "text", "5 as ids", "6 as word")
     assert word_bpe.encode(docs.limit(0), PATH, folder(spark)).count() == 0
