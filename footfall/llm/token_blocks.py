@@ -516,7 +516,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0) -> DataFrame
 
 
 _PIECES = pa.schema([("part", pa.int32()), ("no", pa.int32()), ("doc_id", pa.int64()),
-                     ("whole", pa.bool_()), ("start", pa.int64()), ("ids", pa.binary())])
+                     ("start", pa.int64()), ("ids", pa.binary())])
 
 
 def _reader(bits: int, before: dict[int, int]):
@@ -532,7 +532,7 @@ def _reader(bits: int, before: dict[int, int]):
                         raise ValueError(f"block {r['block']} of part {r['part']} does not match its checksum")
                     at = 0
                     for d in r["docs"]:
-                        out.append((r["part"], d["no"], d["doc_id"], d["whole"],
+                        out.append((r["part"], d["no"], d["doc_id"],
                                     before[r["part"]] + r["start"] + at, raw[4 * at:4 * (at + d["n"])]))
                         at += d["n"]
                 yield pa.RecordBatch.from_arrays(
@@ -556,13 +556,12 @@ def read(blocks: DataFrame, path: str) -> DataFrame:
     for part in sorted(sizes):
         before[part] = total
         total += sizes[part]
-    pieces = blocks.mapInArrow(_reader(id_bits(path), before), "part int, no int, doc_id long, whole boolean, "
-                               "start long, ids binary")
-    if not blocks.where(F.exists("docs", lambda d: ~d["whole"])).isEmpty():
-        # pieces of documents longer than a block, which alone are shuffled
-        long = (pieces.where("not whole").groupBy("part", "no").agg(
-            F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
-            F.collect_list(F.struct("start", "ids")).alias("pieces"))
-            .select("doc_id", "start", "pieces").mapInArrow(_joined, "doc_id long, start long, ids binary"))
-        return pieces.where("whole").select("doc_id", "start", "ids").union(long)
-    return pieces.select("doc_id", "start", "ids")
+    decode, schema = _reader(id_bits(path), before), "part int, no int, doc_id long, start long, ids binary"
+    # a block holds whole documents or a piece of one; only such pieces are shuffled
+    is_piece = F.exists("docs", lambda d: ~d["whole"])
+    whole = blocks.where(~is_piece).mapInArrow(decode, schema).select("doc_id", "start", "ids")
+    long = (blocks.where(is_piece).mapInArrow(decode, schema).groupBy("part", "no").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
+        F.collect_list(F.struct("start", "ids")).alias("pieces"))
+        .select("doc_id", "start", "pieces").mapInArrow(_joined, "doc_id long, start long, ids binary"))
+    return whole.union(long)
