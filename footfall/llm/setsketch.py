@@ -226,7 +226,7 @@ def _block_links(percent: int):
 def connected(edges: DataFrame, folder: str) -> DataFrame:
     """node, comp (smallest node reachable) for all nodes of the edges (a, b):
     minimum labels of neighbours and pointer jumping, until nothing changes."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")), f"{folder}/edges")
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{folder}/edges")
     labels = stored(both.groupBy(F.col("a").alias("node"))
                     .agg(F.min(F.least("a", "b")).alias("comp")), f"{folder}/labels-0")
     total, n = F.sum(F.col("comp").cast("decimal(38,0)")), 0
