@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), run_folder(spark, "toxic"))
-    scored = toxicity.score(packed(docs, text=F.col("text")), model)
+    scored = toxicity.score(packed(docs), model)
     return unpacked(scored, docs.schema, F.col("score") < 0.5)
 
 

@@ -17,8 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# rows that Spark hands to Python at once; its default of 10,000 whole texts, held in the
+# JVM and in every worker, is most of an executor's memory
+BATCH_ROWS = 1_000
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir`` for one run's tables."""
+    """A new folder below ``spark.checkpoint.dir`` for one run's tables. Larger Arrow batches
+    of the session are set to ``BATCH_ROWS``."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
     return new_run_dir(spark, name)
 
 

@@ -144,7 +144,7 @@ class Model:
         self.at, self.w, self.bias = at[weights != 0], weights[weights != 0], float(bias)
 
     def dense(self) -> np.ndarray:
-        w = np.zeros(DIM)
+        w = np.zeros(DIM, np.float32)
         w[self.at] = self.w
         return w
 
@@ -197,17 +197,19 @@ def _scorer(held):
         known = dense != 0
         for b in batches:
             total = np.full(b.num_rows, model.bias)
-            for lo, hi, slot, owner in features(b["text"]):
+            texts = b["text"] if "text" in b.schema.names else b["row"].field("text")
+            for lo, hi, slot, owner in features(texts):
                 hit = known[slot]
                 both = np.unique(owner[hit].astype(np.int64) * DIM + slot[hit])
                 total[lo:hi] += np.bincount(both // DIM, weights=dense[both % DIM], minlength=hi - lo)
             score = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
-            yield b.drop_columns(["text"]).append_column("score", pa.array(score))
+            rest = b.drop_columns(["text"]) if "text" in b.schema.names else b
+            yield rest.append_column("score", pa.array(score))
     return run
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` has the column text and any others (see ``tables.packed``); text
-    is replaced by score, between 0 and 1."""
+    """``rows`` has a column text, which score (between 0 and 1) replaces, or a struct
+    ``row`` that holds it (see ``tables.packed``), beside which score is put."""
     held = rows.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(_scorer(held), extended(rows.drop("text").schema, "score", "double"))
