@@ -28,9 +28,9 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated line chunks; those of which nothing is left go.
+    """Documents without repeated passages of lines; those of which nothing is left go.
     n_chars follows the text."""
-    out = line_chunks.without_repeats(docs, run_folder(spark, "lines"))
+    out = line_chunks.without_repeats(docs, run_folder(spark, "lines"), line_chunks.passages)
     columns = [F.col("text") if c == "text" else
                F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
                F.col("row")[c].alias(c) for c in docs.columns]

@@ -1,25 +1,36 @@
-"""Line dedup: content-defined chunks of lines.
+"""Line dedup: repeated passages, and content-defined chunks, of lines.
 
-A text is cut at newlines into lines and lines are grouped into chunks. A line
+``passages`` are the pieces that the queries look at: from each line with words, the
+shortest run of lines that begins there and has ``MIN_WORDS`` words, and the
+shortest that ends there. Every run of lines of at least ``MIN_WORDS`` words that occurs
+in two places is covered by pieces that occur in both, whatever surrounds it: a
+line with fewer words than that behind it in the run lies in the piece that ends
+with it, or in the one that begins the run.
+
+``chunks`` are a partition of the text, for callers who want few pieces. A line
 of at least ``LONG`` words is a chunk of its own; between such lines, a rolling
 hash over the last ``WINDOW`` line hashes ends a chunk where it is 0 modulo
 ``DIVISOR``. Boundaries depend on the nearby lines only, so an insertion moves
-none of the later ones. Chunks of at least ``MIN_WORDS`` words that occur in more
-than one place are removed everywhere but at the smallest (doc_id, chunk number).
+none of the later ones, but a passage of short lines loses its edges to chunks of
+other text, and chunks of fewer than ``MIN_WORDS`` words are not looked at.
+
+Pieces that occur in more than one place are removed everywhere but at the
+smallest (doc_id, line); places may overlap. A line goes if a piece over it goes,
+so one copy of each line stays at a smaller place.
 
-Candidates are found by 64-bit chunk hashes (narrow rows); the texts of
+Candidates are found by 64-bit hashes (narrow rows); the texts of
 candidates alone are then grouped by their bytes, so a hash collision removes
-nothing. A chunk that many documents share is counted by partial aggregation and
+nothing. A piece that many documents share is counted by partial aggregation and
 joined by a join that adaptive execution splits; no group is gathered in one task.
 
 Defined results: null text stays null and empty text stays empty; rows of one
 doc_id count as one document, so a repeated row loses no more than the first;
-a null doc_id sorts after all others; a text whose chunks all go becomes empty.
+a null doc_id sorts after all others; a text whose lines all go becomes empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -63,69 +74,129 @@ def cut(text: str) -> list[tuple[str, int]]:
     return out
 
 
-def _chunk_rows(with_text: bool):
+def chunks(text: str) -> list[tuple[int, int]]:
+    """First and last line of each chunk of at least ``MIN_WORDS`` words."""
+    out, line = [], 0
+    for chunk, words in cut(text):
+        last = line + chunk.count("\n")
+        if words >= MIN_WORDS:
+            out.append((line, last))
+        line = last + 1
+    return out
+
+
+def passages(text: str) -> list[tuple[int, int]]:
+    """First and last line of the shortest runs of ``MIN_WORDS`` words that begin or end at
+    each line with words."""
+    at, total = [], [0]
+    for i, line in enumerate(text.split("\n")):
+        if words := len(line.split()):
+            at.append(i)
+            total.append(total[-1] + words)
+    out, start = set(), 0
+    for end in range(len(at)):
+        while total[end + 1] - total[start] >= MIN_WORDS:     # the first end for these starts
+            out.add((at[start], at[end]))
+            start += 1
+        if start and total[end + 1] - total[start - 1] >= MIN_WORDS:
+            out.add((at[start - 1], at[end]))
+    return sorted(out)
+
+
+Pieces = Callable[[str], list[tuple[int, int]]]
+
+
+def _hashed(text: str, pieces: Pieces) -> Iterator[tuple[tuple[int, int, int], str]]:
+    lines = text.split("\n")
+    for first, last in pieces(text):
+        piece = "\n".join(lines[first:last + 1])
+        yield (first, last, xxhash.xxh64_intdigest(piece, 7) - (1 << 63)), piece
+
+
+_PLACE = "doc_id long, first int, last int, h long"
+
+
+def _places(rows: list[tuple], texts: list[str] | None = None) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)]
+    names = ["doc_id", "first", "last", "h"]
+    if texts is not None:
+        arrays, names = [*arrays, pa.array(texts, pa.string())], [*names, "piece"]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _narrow(pieces: Pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, nos, hashes, texts = [], [], [], []
-            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
-                for i, (chunk, words) in enumerate(cut(text.as_py() or "")):
-                    if words >= MIN_WORDS:
-                        ids.append(doc_id)
-                        nos.append(i)
-                        hashes.append(xxhash.xxh64_intdigest(chunk, 7) - (1 << 63))
-                        if with_text:
-                            texts.append(chunk)
-            arrays = [pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(hashes, pa.int64())]
-            names = ["doc_id", "no", "h"]
-            if with_text:
-                arrays, names = [*arrays, pa.array(texts, pa.string())], [*names, "chunk"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield _places([(doc_id, *key) for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True)
+                           for key, _ in _hashed(text.as_py() or "", pieces)])
     return run
 
 
-def repeated(docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, no, h of each chunk that goes."""
+def _keys(listed: pa.Scalar) -> set[tuple[int, int, int]]:
+    return {(g["first"], g["last"], g["h"]) for g in listed.as_py() or ()}
+
+
+def _wide(pieces: Pieces):
+    """Rows of the listed pieces with their texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, texts = [], []
+            for doc_id, text, listed in zip(b["doc_id"].to_pylist(), b["text"], b["listed"], strict=True):
+                listed = _keys(listed)
+                for key, piece in _hashed(text.as_py() or "", pieces):
+                    if key in listed:
+                        rows.append((doc_id, *key))
+                        texts.append(piece)
+            yield _places(rows, texts)
+    return run
+
+
+def _by_document(places: DataFrame, name: str) -> DataFrame:
+    return places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("first", "last", "h")).alias(name))
+
+
+def repeated(docs: DataFrame, folder: str, pieces: Pieces = chunks) -> DataFrame:
+    """doc_id, first, last, h of each piece that goes."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "no")
-    narrow = source.mapInArrow(_chunk_rows(False), "doc_id long, no int, h long")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first", "last")
+    narrow = stored(source.mapInArrow(_narrow(pieces), _PLACE), f"{folder}/pieces")
     twice = (narrow.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"))
              .where("a <> b").select("h"))
-    texts = source.mapInArrow(_chunk_rows(True), "doc_id long, no int, h long, chunk string")
-    seen = stored(texts.join(twice, "h", "left_semi"), f"{folder}/candidates")
-    first = seen.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last")) \
-        .where("first <> last").drop("last")
-    gone = seen.join(first, ["h", "chunk"]).where(place != F.col("first"))
-    return stored(gone.select("doc_id", "no", "h").distinct(), f"{folder}/gone")
-
-
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts, removed = [], []
-        for text, gone in zip(b["text"], b["gone"], strict=True):
-            text, gone = text.as_py(), {(g["no"], g["h"]) for g in gone.as_py() or ()}
-            n = 0
-            if gone and text is not None:
-                kept = []
-                for i, (chunk, _) in enumerate(cut(text)):
-                    if (i, xxhash.xxh64_intdigest(chunk, 7) - (1 << 63)) in gone:
-                        n += 1
-                    else:
-                        kept.append(chunk)
-                text = "\n".join(kept)
-            texts.append(text)
-            removed.append(n)
-        yield pa.RecordBatch.from_arrays(
-            [b["row"], pa.array(texts, pa.string()), pa.array(removed, pa.int32())],
-            names=["row", "text", "removed"])
-
-
-def without_repeats(docs: DataFrame, folder: str) -> DataFrame:
+    lists = _by_document(narrow.join(twice, "h", "left_semi"), "listed")
+    listed = source.join(lists, source["doc_id"].eqNullSafe(lists["of"])).select("doc_id", "text", "listed")
+    seen = stored(listed.mapInArrow(_wide(pieces), f"{_PLACE}, piece string"), f"{folder}/candidates")
+    kept = seen.groupBy("h", "piece").agg(F.min(place).alias("kept"), F.max(place).alias("end")) \
+        .where("kept <> end").drop("end")
+    gone = seen.join(kept, ["h", "piece"]).where(place != F.col("kept"))
+    return stored(gone.select("doc_id", "first", "last", "h").distinct(), f"{folder}/gone")
+
+
+def _without(pieces: Pieces):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, removed = [], []
+            for text, gone in zip(b["text"], b["gone"], strict=True):
+                text, gone, lines = text.as_py(), _keys(gone), set()
+                if gone and text is not None:
+                    for key, _ in _hashed(text, pieces):
+                        if key in gone:
+                            lines.update(range(key[0], key[1] + 1))
+                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in lines)
+                texts.append(text)
+                removed.append(len(lines))
+            yield pa.RecordBatch.from_arrays(
+                [b["row"], pa.array(texts, pa.string()), pa.array(removed, pa.int32())],
+                names=["row", "text", "removed"])
+    return run
+
+
+def without_repeats(docs: DataFrame, folder: str, pieces: Pieces = chunks) -> DataFrame:
     """Columns row (all columns of ``docs`` but text), text (what stays), removed
-    (number of chunks that went); one row for each row of ``docs``."""
-    gone = repeated(docs, folder)
-    lists = gone.groupBy("doc_id").agg(F.collect_list(F.struct("no", "h")).alias("gone"))
+    (number of lines that went); one row for each row of ``docs``."""
+    lists = _by_document(repeated(docs, folder, pieces), "gone")
     rest = docs.drop("text")
     rows = packed(docs, text=F.col("text"), id=F.col("doc_id")).select(
         F.struct(*[F.col("row")[c].alias(c) for c in rest.columns]).alias("row"), "text", "id")
-    joined = rows.join(lists, rows["id"].eqNullSafe(lists["doc_id"]), "left").select("row", "text", "gone")
-    return joined.mapInArrow(_without, extended(joined.drop("gone").schema, "removed", "integer"))
+    joined = rows.join(lists, rows["id"].eqNullSafe(lists["of"]), "left").select("row", "text", "gone")
+    return joined.mapInArrow(_without(pieces), extended(joined.drop("gone").schema, "removed", "integer"))

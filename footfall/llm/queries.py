@@ -66,8 +66,9 @@ def op8_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: what stays of its text and how many chunks went."""
-    out = line_chunks.without_repeats(table(spark, sf_dir, "documents"), run_folder(spark, "op9"))
+    """Per document: what stays of its text and how many lines went."""
+    out = line_chunks.without_repeats(table(spark, sf_dir, "documents"), run_folder(spark, "op9"),
+                                      line_chunks.passages)
     return out.select("row.doc_id", F.col("removed").alias("n_removed_chunks"), "text")
 
 

@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 from footfall.llm import line_chunks as lc
@@ -58,3 +59,52 @@ def test_nulls_repeats_and_clashing_columns(spark):
                  .collect())
     assert out == [(-1, 3, ""), (-1, 3, ""), (5, 0, PASSAGE), (5, 0, PASSAGE), (9, 3, ""), (10, 0, "-")]
     assert lc.without_repeats(docs.limit(0), folder(spark)).count() == 0
+
+
+def by_line(texts):
+    """What stays, by comparing runs of lines with every earlier place; cut() takes no part."""
+    lines = [(d, n, x, len(x.split())) for d, t in sorted(texts.items()) for n, x in enumerate(t.split("\n"))]
+    gone = set()
+    for i, (d, *_) in enumerate(lines):
+        for j, (e, *_) in enumerate(lines[:i]):
+            n = 0
+            while i + n < len(lines) and lines[i + n][0] == d and lines[j + n][0] == e and lines[i + n][2] == lines[j + n][2]:
+                n += 1
+            if sum(x[3] for x in lines[i:i + n]) >= lc.MIN_WORDS:
+                while not lines[i + n - 1][3]:
+                    n -= 1
+                gone |= {(d, x[1]) for x in lines[i:i + n]} if lines[i][3] else set()
+    return {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in texts.items()}
+
+
+def test_passages_of_short_lines_go_whatever_surrounds_them(spark):
+    rng = random.Random(5)
+
+    def lines(words, name):
+        out, n = [], 0
+        while n < words:
+            out.append(" ".join(f"{name}x{n + j}" for j in range(rng.randint(4, 12))))
+            n += len(out[-1].split())
+        return out
+
+    planted = [lines(rng.randint(50, 100), f"p{i}") for i in range(12)]
+    planted[3].insert(2, "")
+    planted[4].insert(2, " ".join(f"long{i}" for i in range(30)))
+    texts, rest = {}, {}
+    for i in range(48):
+        before, after = lines(40, f"b{i}"), lines(40, f"a{i}")
+        texts[i] = "\n".join(before + planted[i % 12] + after)
+        rest[i] = texts[i] if i < 12 else "\n".join(before + after)
+    docs = documents(spark, list(texts.values()))
+    out = {r.doc_id: r.text for r in lc.without_repeats(docs, folder(spark), lc.passages)
+           .select("row.doc_id", "text").collect()}
+    assert out == rest == by_line(texts)
+
+
+def test_the_query_leaves_no_repeated_passage(spark):
+    sample = [r.text or "" for r in table(spark, SF_ORACLE, "documents").orderBy("doc_id").limit(120).collect()]
+    texts = dict(enumerate([t[:3000] for t in sample + ODD_TEXTS[4:8]]))
+    docs = documents(spark, list(texts.values()))
+    out = {r.doc_id: r.text for r in lc.without_repeats(docs, folder(spark), lc.passages)
+           .select("row.doc_id", "text").collect()}
+    assert out == by_line(texts)
