@@ -1,7 +1,7 @@
 """Exact top-k inner products by best-first search in M-trees.
 
 Vectors (integer components) are dealt to cells of about ``CELL_ROWS`` rows: the
-nearest of a bounded number of sampled pivots, and a hash of the id where a pivot
+nearest of a bounded number of sampled pivots, and a hash of the row where a pivot
 has more rows than a cell. Each cell becomes one M-tree of pages; an entry of a
 page has its vector (of a row, or a routing object), a covering radius, the
 largest norm below it, and its distance to the page's routing object. A query
@@ -14,13 +14,16 @@ opened.
 
 Queries go over the trees in blocks of ``BLOCK`` rows, each block broadcast. A query
 starts with the k-th best score among ``SEEDS`` sampled rows as its lower bound.
-Cells are bounded by salting, so a vector that a third of the rows share is many
-cells. What a block returns is at most k rows for each query and cell.
+Cells are bounded by salting, so a vector or an id that a third of the rows share is
+many cells. What a block returns is at most k rows for each query row and cell, and k
+copies of each.
 
 Defined results: rows whose id is null, or whose vector is null, empty, or holds a
 null or non-finite component, take no part; vectors of different lengths do not
 meet; a query is not its own candidate, nor are other rows of its id; ties go to the
-smaller id. Scores are exact while components stay below 2**22 in magnitude.
+smaller id. Every pair of a query row and a candidate row counts: a candidate id stored
+five times may take five ranks, and a query id stored twice meets each candidate twice,
+its ranks being those of all its pairs (as in a join of the table with itself). Scores are exact while components stay below 2**22 in magnitude.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,7 +73,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _nearest(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots = held.value
+        pivots, n = held.value, TaskContext.get().partitionId() << 33
         for b in batches:
             dims, cell = b["dim"].to_numpy(), np.zeros(b.num_rows, np.int32)
             for d in np.unique(dims):
@@ -77,7 +81,9 @@ def _nearest(held):
                     at = np.flatnonzero(dims == d)
                     x = _matrix(b["v"].take(pa.array(at)), int(d))
                     cell[at] = _distances(x, pivots[int(d)]).argmin(axis=1)
-            yield b.append_column("pivot", pa.array(cell))
+            yield (b.append_column("pivot", pa.array(cell))
+                   .append_column("no", pa.array(np.arange(n, n + b.num_rows))))
+            n += b.num_rows
     return run
 
 
@@ -129,13 +135,14 @@ def index(vectors: DataFrame, folder: str, cell_rows: int = CELL_ROWS, pivots: i
     held = spark.sparkContext.broadcast({
         d: np.unique(np.array([r.v for r in drawn if r.dim == d], np.float64), axis=0)
         for d in {r.dim for r in drawn}})
-    near = stored(vectors.mapInArrow(_nearest(held), "id long, dim int, v array<long>, pivot int"),
+    near = stored(vectors.mapInArrow(_nearest(held), "id long, dim int, v array<long>, pivot int, no long"),
                   f"{folder}/cells")
     sizes = near.groupBy("dim", "pivot").agg(F.count("*").alias("n"))
     salts = F.ceil(F.col("n") / cell_rows).cast("int")
-    # a cell with fewer rows than it may have shares no tree with another
+    # a cell with fewer rows than it may have shares no tree with another; rows have numbers,
+    # so that those of one id are dealt out too
     dealt = near.join(sizes, ["dim", "pivot"]).withColumn(
-        "salt", F.pmod(F.xxhash64(F.lit("salt"), "id"), salts))
+        "salt", F.pmod(F.xxhash64(F.lit("salt"), "id", "no"), salts))
     return stored(dealt.groupBy("dim", "pivot", "salt").applyInPandas(
         lambda pdf: _trees(pdf), _TREE), f"{folder}/trees")
 
@@ -173,14 +180,12 @@ class Tree:
             dots = vectors[open_] @ q
             made += len(open_)
             if leaf:
-                keep = dots >= floor
+                keep = (dots >= floor) & (ids[open_] != own)
                 found, dots = ids[open_[keep]], dots[keep]
-                if len(dots) > 4 * k:                 # only the k + 1 best (the query itself may be one)
-                    order = np.lexsort((found, -dots))[:k + 1]
+                if len(dots) > 4 * k:                 # only the k best
+                    order = np.lexsort((found, -dots))[:k]
                     found, dots = found[order], dots[order]
                 for score, i in zip(dots.tolist(), found.tolist(), strict=True):
-                    if i == own:
-                        continue
                     entry = (int(score), -i)
                     if len(best) < k:
                         heapq.heappush(best, entry)
@@ -203,12 +208,12 @@ def _searcher(held, k: int):
         for b in batches:
             for row in range(b.num_rows):
                 tree = Tree(b.slice(row, 1).to_pylist()[0])
-                ids, vectors, least = queries.get(tree.dim, ((), (), ()))
+                ids, vectors, least, copies = queries.get(tree.dim, ((), (), (), ()))
                 out: tuple[list, list, list] = ([], [], [])
-                for query, v, floor in zip(ids, vectors, least, strict=True):
+                for query, v, floor, n in zip(ids, vectors, least, copies, strict=True):
                     for score, i in tree.search(v, int(query), k, floor)[0]:
                         for column, value in zip(out, (int(query), i, score), strict=True):
-                            column.append(value)
+                            column.extend([value] * n)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                                  names=["query_id", "vec_id", "score"])
     return run
@@ -222,11 +227,13 @@ def search(trees: DataFrame, queries: DataFrame, vectors: DataFrame, folder: str
     drawn = vectors.orderBy(F.xxhash64(F.lit("pivot"), "id"), "id").limit(SEEDS).dropDuplicates(["id"]).collect()
     seeds = {d: (np.array([r.id for r in drawn if r.dim == d]),
                  np.array([r.v for r in drawn if r.dim == d], np.float64)) for d in {r.dim for r in drawn}}
-    queries = stored(queries.dropDuplicates(["id"]), f"{folder}/queries")
+    # equal rows are searched once; of what they find, no more than k copies can have a rank
+    queries = stored(queries.groupBy("id", "dim", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n")),
+                     f"{folder}/queries")
     blocks = -(-queries.count() // block)
     parts = []
     for n in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(blocks)) == n).collect()
+        rows = queries.where(F.pmod(F.xxhash64(F.lit("block"), "id", "v"), F.lit(blocks)) == n).collect()
         ready = {}
         for d in {r.dim for r in rows}:
             mine = [r for r in rows if r.dim == d]
@@ -237,7 +244,7 @@ def search(trees: DataFrame, queries: DataFrame, vectors: DataFrame, folder: str
                 scores[np.array([r.id for r in mine])[:, None] == seeds[d][0][None, :]] = -np.inf
                 if scores.shape[1] >= k:
                     least = np.sort(scores, axis=1)[:, -k]
-            ready[d] = ([r.id for r in mine], q, least)
+            ready[d] = ([r.id for r in mine], q, least, [r.n for r in mine])
         held = spark.sparkContext.broadcast(ready)
         parts.append(stored(trees.mapInArrow(_searcher(held, k), "query_id long, vec_id long, score long"),
                             f"{folder}/hits-{n}"))
@@ -246,5 +253,5 @@ def search(trees: DataFrame, queries: DataFrame, vectors: DataFrame, folder: str
     for part in parts:
         hits = hits.union(part)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
+    return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

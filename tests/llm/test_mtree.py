@@ -1,9 +1,11 @@
 import math
 
+import duckdb
 import numpy as np
+import pytest
 
 from footfall.llm import mtree
-from footfall.llm.queries import op5_mtree
+from footfall.llm.queries import OP5_SQL, op5_mtree
 from footfall.llm.tables import table
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import folder
@@ -67,3 +69,23 @@ def test_search_leaves_entries_out():
         order = np.lexsort((np.arange(6000), -scores))[:5]
         assert [i for _, i in found] == order.tolist()
         assert made < 3000
+
+
+@pytest.mark.parametrize("copies", [2, 5, 10])
+def test_repeated_rows_of_an_id_against_sql(spark, tmp_path, copies):
+    """Best matches, queries and vectors of one id repeated, with equal and other vectors."""
+    rng = np.random.default_rng(copies)
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(700)]
+    rows += [(7, [4.0, 4.0, 4.0, 4.0])] * copies + [(8, [-4.0, 4.0, -4.0, 4.0])] * copies
+    rows += [(50, [3.0, 3.0, 2.0, 3.0])] * copies + [(9, [5.0, float(c), 0.0, 1.0]) for c in range(copies)]
+    rows += [(100, [float(c), 5.0, 5.0, 1.0]) for c in range(copies)] + [(11, [1.0, 1.0, 1.0, 1.0])] * (40 * copies)
+    data = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    data.repartition(5).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    expected = sorted(con.execute(OP5_SQL).fetchall())
+    assert sorted(map(tuple, op5_mtree(spark, str(tmp_path)).collect())) == expected
+    vectors, where = mtree.integers(data), folder(spark)
+    found = mtree.search(mtree.index(vectors, where, cell_rows=60, pivots=4), vectors.where("id % 50 = 0"), vectors,
+                         where, block=5)
+    assert sorted(map(tuple, found.collect())) == expected
