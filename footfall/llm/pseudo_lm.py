@@ -12,8 +12,8 @@ P(id) = P(group | context) P(member | group, context).
 Network (numpy): embeddings of the four neighbours by position, a tanh layer,
 a softmax over groups, and one over members that also sees the group. Training
 is data-parallel: in each round every partition starts from the broadcast
-weights, takes Adagrad steps over a fixed fraction of the windows of each of its
-documents, and returns its weights; they are averaged in a tree of groups of
+weights, takes Adagrad steps over one of ``ROUNDS`` shares of its windows, so that
+every window is trained on once, and returns its weights; they are averaged in a tree of groups of
 ``ARITY``, so neither a task nor the driver receives what grows with the input.
 
 Defined results: null or empty text has n_tokens 0, sum 0 and a null mean; an empty
@@ -40,7 +40,6 @@ COMMON = 2_048
 SIDE = 2                   # words on either side
 WIDTH, HIDDEN = 12, 24
 ROUNDS = 2
-EVERY = 16                 # one window in this many is trained on in a round
 BATCH = 1_024
 RATE = 0.08
 ARITY = 32
@@ -125,31 +124,38 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
-def forward(net: dict, context: np.ndarray, group: np.ndarray):
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def forward(net: dict, context: np.ndarray, group: np.ndarray, softmax=_log_softmax):
     x = net["e"][context].reshape(len(context), -1)
     h = np.tanh(x @ net["w1"] + net["b1"])
     h2 = h + net["s"][group]
-    return x, h, h2, _log_softmax(h @ net["wg"] + net["bg"]), _log_softmax(h2 @ net["wm"] + net["bm"][group])
+    return x, h, h2, softmax(h @ net["wg"] + net["bg"]), softmax(h2 @ net["wm"] + net["bm"][group])
 
 
 def step(net: dict, sums: dict, context: np.ndarray, ids: np.ndarray) -> None:
     """One Adagrad step on a batch of windows."""
     group, member = ids // MEMBERS, ids % MEMBERS
     rows = np.arange(len(ids))
-    x, h, h2, lg, lm = forward(net, context, group)
-    dg, dm = np.exp(lg), np.exp(lm)
+    x, h, h2, dg, dm = forward(net, context, group, _softmax)
     dg[rows, group] -= 1
     dm[rows, member] -= 1
     dg /= len(ids)
     dm /= len(ids)
     dh2 = dm @ net["wm"].T
     dh = (dg @ net["wg"].T + dh2) * (1 - h * h)
+    # sums by group as a product, sums by neighbour as one count with weights
+    of = np.zeros((GROUPS, len(ids)), np.float32)
+    of[group, rows] = 1
+    places = (context.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    e = np.bincount(places, (dh @ net["w1"].T).ravel(), (IDS + 1) * WIDTH)
     grad = {"wg": h.T @ dg, "bg": dg.sum(axis=0), "wm": h2.T @ dm, "w1": x.T @ dh, "b1": dh.sum(axis=0),
-            "s": np.zeros(_SHAPES["s"], np.float32), "bm": np.zeros(_SHAPES["bm"], np.float32),
-            "e": np.zeros(_SHAPES["e"], np.float32)}
-    np.add.at(grad["s"], group, dh2)
-    np.add.at(grad["bm"], group, dm)
-    np.add.at(grad["e"], context.ravel(), (dh @ net["w1"].T).reshape(-1, WIDTH))
+            "s": of @ dh2, "bm": of @ dm, "e": e.reshape(_SHAPES["e"]).astype(np.float32)}
     for k, g in grad.items():
         sums[k] += g * g
         net[k] -= RATE * g / np.sqrt(sums[k])
@@ -169,7 +175,7 @@ def _unflat(raw: bytes) -> dict:
 
 
 def _trainer(held, turn: int):
-    """One pass of a partition over its share of windows: part, windows used, weights."""
+    """One pass of a partition over the round's share of its windows: part, windows used, weights."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, raw = held.value
         net = _unflat(raw)
@@ -177,9 +183,9 @@ def _trainer(held, turn: int):
         n, context, ids = 0, [], []
         for b in batches:
             for _, _, words, h, around in windows(vocabulary, b["text"]):
-                # positions by a hash of word and place, other ones in each round
+                # positions by a hash of word and place: each in one of the rounds
                 mixed = (h.view(np.uint64) >> np.uint64(7)) + np.arange(len(h), dtype=np.uint64)
-                at = np.flatnonzero(mixed % np.uint64(EVERY) == turn % EVERY)
+                at = np.flatnonzero(mixed % np.uint64(ROUNDS) == turn)
                 context.append(around(at))
                 ids.append(words[at])
                 if sum(map(len, ids)) >= 64 * BATCH:
@@ -235,8 +241,8 @@ def _scorer(held):
             n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
             for lo, counts, ids, _, around in windows(vocabulary, b["text"]):
                 logs = np.zeros(len(ids))
-                for i in range(0, len(ids), 4096):
-                    at = np.arange(i, min(i + 4096, len(ids)))
+                for i in range(0, len(ids), BATCH):
+                    at = np.arange(i, min(i + BATCH, len(ids)))
                     some = ids[at]
                     group, member = some // MEMBERS, some % MEMBERS
                     *_, lg, lm = forward(net, around(at), group)

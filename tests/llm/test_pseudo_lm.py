@@ -56,3 +56,35 @@ def test_weights_are_averaged_in_a_tree(spark, monkeypatch):
     docs = table(spark, SF_ORACLE, "documents").select("doc_id", "text").repartition(7)
     known, net = lm.fit(docs, folder(spark))
     assert all(np.isfinite(w).all() for w in net.values())
+
+
+def test_every_window_is_trained_on_once(spark):
+    docs = table(spark, SF_ORACLE, "documents").select("doc_id", "text").limit(200).union(
+        documents(spark, ["a b c", "d", "e f"] * 20).select("doc_id", "text"))
+    where = folder(spark)
+    known, net = lm.fit(docs, where)
+    words = lm.score(docs, known, net).agg(F.sum("n_tokens")).first()[0]
+    used = [spark.read.parquet(f"{where}/nets-{t}-0").agg(F.sum("n")).first()[0] for t in range(lm.ROUNDS)]
+    assert sum(used) == words and min(used) > 0.4 * words
+
+
+def test_step_follows_the_gradient():
+    rng = np.random.default_rng(1)
+    known = lm.Vocabulary(np.zeros(0, np.int64), np.zeros(0), np.ones(lm.IDS - lm.COMMON), np.ones(lm.IDS - lm.COMMON))
+    context, ids = rng.integers(0, 40, (64, 4)), rng.integers(0, 4096, 64)
+    net = lm.start(known)
+    group, member, rows = ids // 64, ids % 64, np.arange(64)
+
+    def loss(n):
+        *_, lg, lm_ = lm.forward({k: v.astype(np.float64) for k, v in n.items()}, context, group)
+        return -(lg[rows, group] + lm_[rows, member]).mean()
+
+    sums = {k: np.zeros(v.shape) + 1e6 for k, v in net.items()}
+    moved = {k: v.astype(np.float64) for k, v in net.items()}
+    lm.step(moved, sums, context, ids)
+    for k, at in (("e", (int(context[0, 0]), 3)), ("s", (int(group[0]), 2)), ("bm", (int(group[0]), 5)), ("w1", (4, 4))):
+        up, down = ({n: v.astype(np.float64) for n, v in net.items()} for _ in range(2))
+        up[k][at] += 1e-5
+        down[k][at] -= 1e-5
+        slope = (loss(up) - loss(down)) / 2e-5
+        assert abs((net[k][at] - moved[k][at]) / lm.RATE * 1e3 - slope) < 0.02 * abs(slope) + 1e-5
