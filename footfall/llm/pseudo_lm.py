@@ -4,9 +4,11 @@ Every word of a text is predicted from the two words on either side; the sum of
 the conditional log-probabilities scores the text.
 
 Vocabulary: the ``COMMON`` most frequent words of all documents (exact counts)
-have ids of their own, other words share ``IDS - COMMON`` hashed ids; the number
-of distinct words of a shared id, also counted over all documents, divides its
-probability. An id is a pair (group, member) of 64 groups and 64 members:
+have ids of their own, other words share ``IDS - COMMON`` hashed ids. A word of a
+shared id has the part of its probability that it has of the id's counts, so every word
+of the corpus counts by itself: the counts of the most frequent ones are broadcast
+(``HEAD_BYTES`` at most), those of the rest are joined by word. A word that no
+document of the corpus has counts as one seen once. An id is a pair (group, member) of 64 groups and 64 members:
 P(id) = P(group | context) P(member | group, context).
 
 Network (numpy): embeddings of the four neighbours by position, a tanh layer,
@@ -17,11 +19,13 @@ every window is trained on once, and returns its weights; they are averaged in a
 ``ARITY``, so neither a task nor the driver receives what grows with the input.
 
 Defined results: null or empty text has n_tokens 0, sum 0 and a null mean; an empty
-corpus leaves the network untrained; repeated rows are scored each.
+corpus leaves the network untrained; repeated rows are scored each; two words of one
+64-bit hash are one word.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from footfall.llm.tables import extended, stored
 from footfall.llm.wordhash import FOLD, chunks, find_words, span_hashes
@@ -37,6 +42,7 @@ from footfall.llm.wordhash import FOLD, chunks, find_words, span_hashes
 GROUPS = MEMBERS = 64
 IDS = GROUPS * MEMBERS
 COMMON = 2_048
+HEAD_BYTES = 16 << 20      # of broadcast counts, at 12 bytes a word
 SIDE = 2                   # words on either side
 WIDTH, HIDDEN = 12, 24
 ROUNDS = 2
@@ -63,14 +69,27 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary:
-    """Ids of words by hash, log-sizes of ids, and log-frequencies to start from."""
+    """Ids of words by hash, log-counts of shared ids and of their more frequent words, and
+    frequencies to start from. ``rest`` is the folder of the counts of all words if words
+    that were seen twice or more are not in the head."""
 
-    def __init__(self, common: np.ndarray, counts: np.ndarray, distinct: np.ndarray, shared: np.ndarray):
+    def __init__(self, common: np.ndarray, counts: np.ndarray, shared: np.ndarray,
+                 head: np.ndarray, times: np.ndarray, rest: str | None):
         order = np.argsort(common)
         self.known, self.rank = common[order], order.astype(np.int32)
         self.log_size = np.zeros(IDS)
-        self.log_size[COMMON:] = np.log(np.maximum(distinct, 1))
+        self.log_size[COMMON:] = np.log(np.maximum(shared, 1))
         self.seen = np.concatenate([counts, np.zeros(COMMON - len(counts)), shared]) + 1.0
+        order = np.argsort(head)
+        self.head, self.log_times, self.rest = head[order], np.log(times[order]).astype(np.float32), rest
+
+    def log_counts(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-counts of words of shared ids, 0 for those not in the head, and which are in it."""
+        if not len(self.head):
+            return np.zeros(len(h), np.float32), np.zeros(len(h), bool)
+        at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
+        found = self.head[at] == h
+        return np.where(found, self.log_times[at], np.float32(0)), found
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         out = (COMMON + (h.view(np.uint64) >> np.uint64(20)) % np.uint64(IDS - COMMON)).astype(np.int32)
@@ -81,7 +100,7 @@ class Vocabulary:
 
 
 def vocabulary(docs: DataFrame, folder: str) -> Vocabulary:
-    """Counts over all documents; what reaches the driver is bounded by IDS."""
+    """Counts over all documents; what reaches the driver is bounded by IDS and HEAD_BYTES."""
     words = stored(docs.select("text").mapInArrow(_counted, "h long, n long")
                    .groupBy("h").agg(F.sum("n").alias("n")), f"{folder}/counts")
     top = words.orderBy(F.desc("n"), "h").limit(COMMON).collect()
@@ -89,10 +108,22 @@ def vocabulary(docs: DataFrame, folder: str) -> Vocabulary:
     slot = F.pmod(F.shiftrightunsigned("h", 20), F.lit(IDS - COMMON))
     rest = words.join(F.broadcast(words.sparkSession.createDataFrame([(r.h,) for r in top], "h long")),
                       "h", "left_anti")
-    distinct, shared = np.zeros(IDS - COMMON), np.zeros(IDS - COMMON)
-    for r in rest.groupBy(slot.alias("slot")).agg(F.count("*").alias("d"), F.sum("n").alias("n")).collect():
-        distinct[r.slot], shared[r.slot] = r.d, r.n
-    return Vocabulary(common, np.array([r.n for r in top], np.float64), distinct, shared)
+    shared = np.zeros(IDS - COMMON)
+    for r in rest.groupBy(slot.alias("slot")).agg(F.sum("n").alias("n")).collect():
+        shared[r.slot] = r.n
+    # counts in at most 64 + 8 * 58 classes; words seen once need no place, their log is 0
+    ranked = rest.where("n > 1").withColumn(
+        "rank", F.when(F.col("n") <= 64, F.col("n")).otherwise(F.floor(8 * F.log2("n")) + 64))
+    total, least, whole = 0, None, True
+    for r in ranked.groupBy("rank").agg(F.count("*").alias("words")).orderBy(F.desc("rank")).collect():
+        total += 12 * r["words"]
+        if total > HEAD_BYTES:
+            whole = False
+            break
+        least = r["rank"]
+    head = ranked.where(F.lit(False) if least is None else F.col("rank") >= least).select("h", "n").toArrow()
+    return Vocabulary(common, np.array([r.n for r in top], np.float64), shared, head["h"].to_numpy(),
+                      head["n"].to_numpy(), None if whole else folder)
 
 
 def windows(vocabulary: Vocabulary, column: pa.Array):
@@ -235,11 +266,15 @@ def fit(docs: DataFrame, folder: str) -> tuple[Vocabulary, dict]:
 
 
 def _scorer(held):
+    """Rows with n_tokens, sum_log_prob and, where counts are to be joined, a number and the
+    words whose counts are not in the head."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, net = held.value
+        no = TaskContext.get().partitionId() << 33
         for b in batches:
             n, total = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
-            for lo, counts, ids, _, around in windows(vocabulary, b["text"]):
+            missing, sizes = [np.zeros(0, np.int64)], np.zeros(b.num_rows, np.int64)
+            for lo, counts, ids, h, around in windows(vocabulary, b["text"]):
                 logs = np.zeros(len(ids))
                 for i in range(0, len(ids), BATCH):
                     at = np.arange(i, min(i + BATCH, len(ids)))
@@ -248,18 +283,48 @@ def _scorer(held):
                     *_, lg, lm = forward(net, around(at), group)
                     k = np.arange(len(at))
                     logs[at] = lg[k, group] + lm[k, member]
+                shared = np.flatnonzero(ids >= COMMON)
+                times, found = vocabulary.log_counts(h[shared])
                 logs -= vocabulary.log_size[ids]
-                hi = lo + len(counts)
+                logs[shared] += times
+                hi, row = lo + len(counts), np.repeat(np.arange(len(counts)), counts)
                 n[lo:hi] = counts
-                total[lo:hi] = np.bincount(np.repeat(np.arange(len(counts)), counts), logs, len(counts))
-            yield (b.drop_columns(["text"]).append_column("n_tokens", pa.array(n))
+                total[lo:hi] = np.bincount(row, logs, len(counts))
+                if vocabulary.rest:
+                    missing.append(h[shared[~found]])
+                    sizes[lo:hi] = np.bincount(row[shared[~found]], minlength=len(counts))
+            out = (b.drop_columns(["text"]).append_column("n_tokens", pa.array(n))
                    .append_column("sum_log_prob", pa.array(total)))
+            if vocabulary.rest:
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(missing)))
+                out = pa.RecordBatch.from_arrays(
+                    [pa.StructArray.from_arrays(out.columns, names=out.schema.names),
+                     pa.array(np.arange(no, no + b.num_rows)), words], names=["row", "no", "words"])
+                no += b.num_rows
+            yield out
     return run
 
 
+def _with_rest(scored: DataFrame, folder: str) -> DataFrame:
+    """The rows of ``scored`` (row, no, words), with the log-counts of ``words`` added."""
+    counts = scored.sparkSession.read.schema("h long, n long").parquet(f"{folder}/counts")
+    words = scored.select("no", F.explode("words").alias("h"))
+    more = words.join(counts, "h").groupBy("no").agg(F.sum(F.ln(F.col("n").cast("double"))).alias("more"))
+    return scored.drop("words").join(more, "no", "left").select(F.col("row").withField(
+        "sum_log_prob", F.col("row")["sum_log_prob"] + F.coalesce("more", F.lit(0.0))).alias("row")).select("row.*")
+
+
 def score(rows: DataFrame, vocabulary: Vocabulary, net: dict) -> DataFrame:
     """``rows`` with n_tokens, sum_log_prob and mean_log_prob in place of text."""
     held = rows.sparkSession.sparkContext.broadcast((vocabulary, net))
     schema = extended(extended(rows.drop("text").schema, "n_tokens", "long"), "sum_log_prob", "double")
-    return rows.mapInArrow(_scorer(held), schema).withColumn(
+    if vocabulary.rest:
+        wide = StructType().add("row", schema, False).add("no", "long").add("words", ArrayType(LongType()))
+        # stored, so that numbers of rows stay what they are
+        out = _with_rest(stored(rows.mapInArrow(_scorer(held), wide),
+                                f"{vocabulary.rest}/scored-{uuid.uuid4().hex[:12]}"), vocabulary.rest)
+    else:
+        out = rows.mapInArrow(_scorer(held), schema)
+    return out.withColumn(
         "mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("sum_log_prob") / F.col("n_tokens")))

@@ -70,7 +70,8 @@ def test_every_window_is_trained_on_once(spark):
 
 def test_step_follows_the_gradient():
     rng = np.random.default_rng(1)
-    known = lm.Vocabulary(np.zeros(0, np.int64), np.zeros(0), np.ones(lm.IDS - lm.COMMON), np.ones(lm.IDS - lm.COMMON))
+    known = lm.Vocabulary(np.zeros(0, np.int64), np.zeros(0), np.ones(lm.IDS - lm.COMMON),
+                          np.zeros(0, np.int64), np.zeros(0), None)
     context, ids = rng.integers(0, 40, (64, 4)), rng.integers(0, 4096, 64)
     net = lm.start(known)
     group, member, rows = ids // 64, ids % 64, np.arange(64)
@@ -88,3 +89,33 @@ def test_step_follows_the_gradient():
         down[k][at] -= 1e-5
         slope = (loss(up) - loss(down)) / 2e-5
         assert abs((net[k][at] - moved[k][at]) / lm.RATE * 1e3 - slope) < 0.02 * abs(slope) + 1e-5
+
+
+def test_words_of_a_shared_id_have_their_own_counts(spark, monkeypatch):
+    common = [" ".join(f"c{i}" for i in range(lm.COMMON))] * 31
+    times = {f"r{i}": 1 + i * i % 29 for i in range(3000)}
+    docs = documents(spark, common + [" ".join(w for w, n in times.items() if n > k) for k in range(30)])
+    queries = documents(spark, [*times, "never seen", "c0", "r5 c1 r7"])
+
+    def scores(head_bytes):
+        monkeypatch.setattr(lm, "HEAD_BYTES", head_bytes)
+        known = lm.vocabulary(docs, folder(spark))
+        net = lm.start(known)
+        assert (known.rest is None) == (head_bytes > 40_000)
+        return known, {r.doc_id: r.sum_log_prob for r in lm.score(queries, known, net).collect()}
+
+    known, all_in_head = scores(1 << 20)
+    _, some_in_head = scores(20_000)
+    _, none_in_head = scores(0)
+    assert len(all_in_head) == len(times) + 3
+    for other in (some_in_head, none_in_head):
+        assert all(abs(all_in_head[i] - other[i]) < 1e-5 for i in all_in_head)
+    ids = known.ids(np.concatenate([h for *_, h in lm._hashes(__import__("pyarrow").array(list(times)))]))
+    assert (ids >= lm.COMMON).all()
+    # in one context, the words of a shared id have probabilities in the proportion of their counts
+    first, pairs = {}, 0
+    for d, (i, n) in enumerate(zip(ids.tolist(), times.values(), strict=True)):
+        e, m = first.setdefault(i, (d, n))
+        pairs += n != m
+        assert abs(all_in_head[d] - all_in_head[e] - np.log(n / m)) < 1e-5
+    assert pairs > 500
