@@ -2,8 +2,10 @@
 
 The global histogram of document lengths (in words) is gathered in Spark on a
 bounded grid: every length up to ``EXACT`` has a bin of its own, longer ones
-share bins of 1/256 relative width. Dynamic programming over the bins finds the
-``buckets`` boundaries that make padded tokens fewest. Inside a bucket of
+share bins of 1/256 relative width. A bin counts with the longest document that it
+has, so no bucket is padded beyond its longest document. Dynamic programming over
+the bins finds the ``buckets`` boundaries that make padded tokens fewest, of those
+that part no bin. Inside a bucket of
 padded length L, a batch holds ``max(1, budget // L)`` documents.
 
 Positions inside a bucket are counted without bringing a bucket into one task:
@@ -71,12 +73,13 @@ def pack(docs: DataFrame, folder: str, buckets: int = BUCKETS, budget: int = TOK
     batch (number inside the bucket), place (inside the batch)."""
     seen = stored(lengths(docs).withColumn("u", F.monotonically_increasing_id()),
                   f"{folder}/lengths")
-    bins = [(r.bin, r.n) for r in seen.groupBy("bin").agg(F.count("*").alias("n")).collect()]
+    bins = [(r.longest, r.n) for r in seen.groupBy("bin").agg(
+        F.max("n_tokens").alias("longest"), F.count("*").alias("n")).collect()]
     upper = boundaries(bins, buckets)
     bucket, padded = F.lit(0), F.lit(upper[0] if upper else 0)
     for i, low in enumerate(upper[:-1]):
-        bucket = F.when(F.col("bin") > low, i + 1).otherwise(bucket)
-        padded = F.when(F.col("bin") > low, upper[i + 1]).otherwise(padded)
+        bucket = F.when(F.col("n_tokens") > low, i + 1).otherwise(bucket)
+        padded = F.when(F.col("n_tokens") > low, upper[i + 1]).otherwise(padded)
     rows = sum(n for _, n in bins)
     slices = max(1, -(-rows // slice_rows))
     # rows without a doc_id are dealt by the row number that was stored with them

@@ -58,3 +58,11 @@ def test_long_texts_share_bounded_bins(spark):
     docs = documents(spark, ["w " * n for n in (4096, 4097, 9001, 70_001)])
     got = {r.n_tokens: r.bin for r in packing.lengths(docs).collect()}
     assert got == {4096: 4096, 4097: 4112, 9001: 9024, 70_001: 70_144}
+
+
+def test_padding_ends_at_the_longest_document_of_a_bucket(spark):
+    lengths = [3, 5000, 5001, 9001, 9003, 20_011, 70_001]
+    docs = documents(spark, ["w " * n for n in lengths])
+    for buckets, uppers in ((16, [3, 5001, 9003, 20_011, 70_001]), (1, [70_001])):
+        out = packing.pack(docs, folder(spark), buckets=buckets).collect()
+        assert {r.n_tokens: r.padded_length for r in out} == {n: min(u for u in uppers if u >= n) for n in lengths}
