@@ -38,10 +38,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of smallest doc_id."""
-    groups = setsketch.near_duplicates(docs, run_folder(spark, "near"), width=5)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates: the one of smallest doc_id. Rows are
+    numbered, so that those that share a doc_id are told apart; without one, all stay."""
+    folder = run_folder(spark, "near")
+    rows = stored(packed(docs, no=F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())),
+                  f"{folder}/rows")
+    groups = setsketch.near_duplicates(
+        rows.select(F.col("no").alias("doc_id"), F.col("row.text").alias("text")), folder, width=5)
+    kept = (groups.where("doc_id is not null").select(F.col("doc_id").alias("no"), "component_id")
+            .join(rows.select("no", F.col("row.doc_id").alias("id")), "no")
+            .groupBy("component_id").agg(F.min(F.struct("id", "no")).alias("best")).select("best.no"))
+    return rows.join(kept, "no", "left_semi").unionByName(rows.where("no is null").select("no", "row")) \
+        .select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
