@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.tables import stored
 from footfall.llm.word_bpe import _LETTER, _SIGN, load
-from footfall.llm.wordhash import chunks, find_words, ragged, span_hashes
+from footfall.llm.wordhash import chunks, distinct_spans, find_words, ragged, same_spans, span_hashes
 
 BLOCK = 2_048              # ids of a block, at most
 TOGETHER = 4_096           # blocks coded in step
@@ -337,7 +337,8 @@ def _pieces(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 class _Known:
-    """Ids of pieces by hash: an open-addressing table, searched for many pieces at once."""
+    """Ids of pieces by hash: an open-addressing table, searched for many pieces at once.
+    Each piece's bytes are kept and compared, so a piece is never taken for another."""
 
     BITS, PROBES = 21, 12
 
@@ -346,9 +347,18 @@ class _Known:
         self.values = np.zeros(1 << self.BITS, np.int64)
         self.sizes, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.bytes, self.ends = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+
+    def find(self, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces data[start:end] of hashes h, -1 for those not here."""
+        out = self._by_hash(h)
+        hit = np.flatnonzero(out >= 0)
+        at = out[hit]
+        same = same_spans(data, start[hit], end[hit], self.bytes, self.ends[at], self.ends[at + 1])
+        out[hit[~same]] = -1
+        return out
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Numbers of pieces, -1 for those not here."""
+    def _by_hash(self, h: np.ndarray) -> np.ndarray:
         out = np.full(len(h), -1)
         slot = (h >> np.uint64(64 - self.BITS)).astype(np.int64)
         rest = np.arange(len(h))
@@ -362,8 +372,10 @@ class _Known:
             rest, slot = rest[on], (slot[on] + 1) & ((1 << self.BITS) - 1)
         return out
 
-    def add(self, h: np.ndarray, parts: list[bytes]) -> np.ndarray:
-        """Numbers of new, distinct pieces."""
+    def add(self, h: np.ndarray, raw: list[bytes], parts: list[bytes]) -> np.ndarray:
+        """Numbers of new, distinct pieces: their hashes, bytes and ids."""
+        self.bytes = np.append(self.bytes, np.frombuffer(b"".join(raw), np.uint8))
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum([len(p) for p in raw]))
         sizes = np.array([len(p) >> 2 for p in parts], np.int64)
         number = len(self.sizes) + np.arange(len(h))
         self.at = np.append(self.at, len(self.ids) + np.cumsum(sizes) - sizes)
@@ -381,7 +393,7 @@ class _Known:
         return number
 
     def full(self) -> bool:
-        return len(self.sizes) > 1 << (self.BITS - 1) or len(self.ids) > 1 << 23
+        return len(self.sizes) > 1 << (self.BITS - 1) or len(self.ids) > 1 << 23 or len(self.bytes) > 1 << 25
 
 
 #: byte-level pieces name bytes by characters: printable ones stand for themselves, the
@@ -427,14 +439,13 @@ class _Encoder:
             h = np.maximum(span_hashes(data, start, end), np.uint64(1))
             if self.known.full():
                 self.known = _Known()
-            number = self.known.find(h)
+            number = self.known.find(h, data, start, end)
             miss = np.flatnonzero(number < 0)
             if len(miss):
-                u, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
+                first, back = distinct_spans(data, start[miss], end[miss], h[miss])
                 raw, first = data.tobytes(), miss[first]
-                parts = self.pieces([raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(),
-                                                              strict=True)])
-                number[miss] = self.known.add(u, parts)[back]
+                new = [raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+                number[miss] = self.known.add(h[first], new, self.pieces(new))[back]
             n = self.known.sizes[number]
             ends = np.concatenate([[0], np.cumsum(n)])
             ids = self.known.ids[ragged(self.known.at[number], n)]
@@ -511,7 +522,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0) -> DataFrame
     """Write the block table below ``folder`` and return it."""
     bits = id_bits(path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # ranges over both, so rows that share a doc_id are dealt to many tasks
+    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     return stored(ordered.mapInArrow(_writer(path, end_id, bits), _BLOCKS), f"{folder}/blocks")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.tables import extended, stored
 from footfall.llm.toxicity import folded
-from footfall.llm.wordhash import SPACE, chunks, find_words, ragged, span_hashes
+from footfall.llm.wordhash import SPACE, chunks, distinct_spans, find_words, ragged, span_hashes
 
 HEAD_BYTES = 64 << 20
 
@@ -67,10 +67,11 @@ def words_of(column: pa.Array):
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for _, _, data, words, h in words_of(b["text"]):
-            u, first, n = np.unique(h, return_index=True, return_counts=True)
+            first, back = distinct_spans(data, words.start, words.end, h)
+            n = np.bincount(back, minlength=len(first))
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(u.view(np.int64)),
+                [pa.array(h[first].view(np.int64)),
                  pa.array([raw[s:e].decode() for s, e in zip(words.start[first].tolist(),
                                                               words.end[first].tolist(), strict=True)]),
                  pa.array(n)], names=["h", "word", "n"])
@@ -241,7 +242,7 @@ def encode(docs: DataFrame, path: str, folder: str, head_bytes: int = HEAD_BYTES
     k1 = F.xxhash64("doc_id", "text").alias("k1")
     k2 = F.xxhash64(F.lit(1), "text", "doc_id").alias("k2")
     rare = docs.select("text", k1, k2).mapInArrow(
-        _beyond(held), "k1 long, k2 long, pos int, word string")
+        _beyond(held), "k1 long, k2 long, pos int, word string").dropDuplicates(["k1", "k2", "pos"])
     patches = (rare.join(words.select("word", "ids"), "word").groupBy("k1", "k2")
                .agg(F.collect_list(F.struct("pos", "ids")).alias("patch")))
     return docs.select("doc_id", "text", k1, k2).join(patches, ["k1", "k2"], "left") \

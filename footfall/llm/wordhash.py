@@ -2,24 +2,22 @@
 
 Texts are taken as UTF-8 bytes in chunks of whole documents of about
 ``CHUNK`` bytes, so memory does not grow with the batch (a longer document is a
-chunk of its own). A word's 64-bit hash comes from prefix sums of a polynomial
-over its bytes modulo 2**64, so all words of a chunk are hashed in a few numpy
-passes.
+chunk of its own). Words are hashed eight bytes at a time, all words of a chunk in
+one numpy pass; the hash is no polynomial, so no family of texts collides by
+construction, and ``distinct_spans`` compares bytes where a result must be exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
+LONG_SPAN = 512
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 FOLD = np.arange(256, dtype=np.uint8)              # A-Z to a-z
@@ -37,25 +35,70 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(n + 1, _BASE, dtype=np.uint64)
-    down = np.full(n + 1, _INVERSE, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_START, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
+_PART = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
-def _room(n: int) -> int:
-    return CHUNK * 2 if n <= CHUNK * 2 else 1 << n.bit_length()
+def lanes(values: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one integer, zeros behind the end."""
+    padded = np.concatenate([values, np.zeros(8, np.uint8)])
+    return np.ndarray(len(values) + 1, "<u8", buffer=padded, strides=(1,))
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of values[start:end] for each span of a uint8 array."""
-    up, down = _powers(_room(len(values)))
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:len(values)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """Hashes of values[start:end] for each span of a uint8 array: the length and then
+    eight bytes at a time go through ``mix``; spans above ``LONG_SPAN`` bytes through xxhash."""
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * _STEP + _START)
+    long = np.flatnonzero(size > LONG_SPAN)
+    for i in long:
+        h[i] ^= np.uint64(xxhash.xxh64_intdigest(values[starts[i]:ends[i]], 17))
+    eight, live, done = lanes(values), np.flatnonzero((size > 0) & (size <= LONG_SPAN)), 0
+    while len(live):
+        left = size[live] - done
+        lane = eight[starts[live] + done] & _PART[np.minimum(left, 8)]
+        h[live] = mix((h[live] ^ lane) * _STEP)
+        live, done = live[left > 8], done + 8
+    return h
+
+
+def same_spans(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray,
+               b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether a[a_start:a_end] and b[b_start:b_end] are the same bytes, for each pair of spans."""
+    size = a_end - a_start
+    same = size == b_end - b_start
+    for i in np.flatnonzero(same & (size > LONG_SPAN)):
+        same[i] = np.array_equal(a[a_start[i]:a_end[i]], b[b_start[i]:b_end[i]])
+    left, right = lanes(a), lanes(b)
+    live, done = np.flatnonzero(same & (size > 0) & (size <= LONG_SPAN)), 0
+    while len(live):
+        rest = size[live] - done
+        part = _PART[np.minimum(rest, 8)]
+        same[live] = (left[a_start[live] + done] & part) == (right[b_start[live] + done] & part)
+        live, done = live[same[live] & (rest > 8)], done + 8
+    return same
+
+
+def distinct_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                   h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first span of each distinct byte string, in the order of their hashes ``h``, and
+    the number of each span's string among them. Bytes are compared, so spans of one hash
+    that differ are told apart."""
+    _, first, back = np.unique(h, return_index=True, return_inverse=True)
+    same = same_spans(values, starts, ends, values, starts[first[back]], ends[first[back]])
+    if same.all():
+        return first, back
+    groups: dict[tuple[int, bytes], int] = {}
+    for i in np.flatnonzero(np.isin(h, h[~same])):
+        groups.setdefault((int(h[i]), values[starts[i]:ends[i]].tobytes()), int(i))
+    plain = first[~np.isin(h[first], h[~same])]
+    first = np.concatenate([plain, np.array(sorted(groups.values()), np.int64)])
+    first = first[np.argsort(h[first], kind="stable")]
+    number = {int(f): n for n, f in enumerate(first)}
+    back = np.searchsorted(h[first], h)
+    for i in np.flatnonzero(np.isin(h, h[~same])):
+        back[i] = number[groups[int(h[i]), values[starts[i]:ends[i]].tobytes()]]
+    return first, back
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
