@@ -82,10 +82,10 @@ def pack(docs: DataFrame, folder: str, buckets: int = BUCKETS, budget: int = TOK
         padded = F.when(F.col("n_tokens") > low, upper[i + 1]).otherwise(padded)
     rows = sum(n for _, n in bins)
     slices = max(1, -(-rows // slice_rows))
-    # rows without a doc_id are dealt by the row number that was stored with them
+    # dealt by the stored row number as well, so that rows of one doc_id, or without one, part
     dealt = seen.select(
         "doc_id", "n_tokens", bucket.alias("bucket"), padded.alias("padded_length"), "u",
-        F.xxhash64(F.coalesce("doc_id", "u")).alias("h")).withColumn(
+        F.xxhash64("doc_id", "u").alias("h")).withColumn(
         "slice", F.pmod(F.xxhash64(F.lit("slice"), "h"), F.lit(slices)))
     inside = Window.partitionBy("bucket", "slice").orderBy("h", "doc_id", "n_tokens", "u")
     before = Window.partitionBy("bucket").orderBy("slice").rowsBetween(
