@@ -31,11 +31,12 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return new_run_dir(spark, name)
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: later
-    steps start from files that survive the loss of any executor."""
+    steps start from files that survive the loss of any executor. ``codec`` replaces the
+    session's compression."""
     schema = df.schema
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=codec)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
