@@ -4,10 +4,10 @@ Tokenizer A (byte-level BPE, tokenizers library) encodes a space and the text,
 tokenizer B (sentencepiece, which adds that space itself) the text, so both cover the same
 bytes. ``aligned_cells`` walks along the two arrays of token ends. While both go one to
 one, their difference in index stays the same: at the current shift, growing slices
-of both arrays are compared whole, 1, 2, 4, ... tokens at once, and equal ones are jumped;
-in the slice that differs, halving finds how far it is equal. There an irregular group
-begins: its few tokens are merged one by one up to the next common end, which gives the new
-shift.
+of both arrays are compared whole, 8, 16, 32, ... tokens at once, and equal ones are jumped.
+Where a slice differs an irregular group begins: its few tokens are merged one by one
+up to the next common end, which gives the new shift. Numpy does this for many stretches of
+the texts in step, each with its own shift.
 
 An alignment is kept as its cells: a cell is a longest byte range that lies in one token
 of A and one of B, so cells are the links, in order. A cell's value says what ends with
@@ -44,7 +44,10 @@ from pyspark.sql import functions as F
 from footfall.llm.tables import stored
 from footfall.llm.wordhash import chunks, ragged
 
-UNITS, UNIT_BYTES = 400_000, 1 << 25      # units that a worker remembers, and their bytes
+UNITS, UNIT_BYTES = 1_000_000, 1 << 25    # units that a worker remembers, and their bytes
+PROBED = 1 << 18                          # tokens that are compared at once
+LANES = 4_096                             # stretches that are walked along in step
+TOGETHER = 2_000                          # new units that are encoded at once
 HEAD = 1_500_000                          # id pairs that are broadcast, 17 bytes each
 
 #: byte-level pieces name bytes by characters: printable ones stand for themselves, the
@@ -53,39 +56,46 @@ _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_OF = {b: b for b in _SHOWN} | {0x100 + i: b for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 
 
-def aligned_cells(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The cells of two ascending arrays of token ends whose last values are equal."""
-    x, y = a.tolist(), b.tolist()
-    n, m = len(x), len(y)
-    out = bytearray()
-    i = shift = 0                               # the next tokens are i and i + shift
-    while i < n:
-        run, step = i, 1
-        while step:                             # probes of growing length at this shift
-            step = min(step, n - i, m - i - shift)
-            if not step or x[i:i + step] != y[i + shift:i + shift + step]:
-                break
-            i += step
-            step *= 2
-        while step := step >> 1:                # the equal part of the slice that differs
-            if x[i:i + step] == y[i + shift:i + shift + step]:
-                i += step
-        out += b"\3" * (i - run)
-        if i < n:                               # an irregular group, up to the next common end
-            j = i + shift
-            p, q = x[i], y[j]
-            while p != q:
-                if p < q:
-                    out.append(1)
-                    i += 1
-                    p = x[i]
-                else:
-                    out.append(2)
-                    j += 1
-                    q = y[j]
-            out.append(3)
-            i, shift = i + 1, j - i
-    return np.frombuffer(bytes(out), np.uint8)
+def aligned_cells(a: np.ndarray, b: np.ndarray, cuts: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The cells of two ascending arrays of token ends whose last values are equal. ``cuts``
+    are places in both, from 0 to their lengths, before which ends are equal; the stretches
+    between them are walked along in step."""
+    cut_a, cut_b = cuts or (np.array([0, len(a)]), np.array([0, len(b)]))
+    keep = np.append(np.diff(cut_a) > 0, True)
+    cut_a, cut_b = cut_a[keep], cut_b[keep]
+    if len(cut_a) < 2:
+        return np.zeros(0, np.uint8)
+    i, j, stop_i, stop_j = cut_a[:-1].copy(), cut_b[:-1].copy(), cut_a[1:], cut_b[1:]
+    first = i + j                                # room for the cells of each stretch
+    o = first.copy()
+    out = np.full(len(a) + len(b), 3, np.uint8)
+    live = np.arange(len(i))
+    while len(live):
+        probing, step = live, 8
+        while len(probing):                      # probes of growing length, i and j at one shift
+            ahead = np.arange(step)
+            x, y = i[probing, None] + ahead, j[probing, None] + ahead
+            fits = (x < stop_i[probing, None]) & (y < stop_j[probing, None])
+            same = (a[np.minimum(x, len(a) - 1)] == b[np.minimum(y, len(b) - 1)]) & fits
+            run = np.where(same.all(axis=1), step, same.argmin(axis=1))
+            i[probing] += run
+            j[probing] += run
+            o[probing] += run
+            probing, step = probing[run == step], step * 2
+            if len(probing) * step > PROBED:     # keep the probed slices of all stretches small
+                step = max(8, PROBED // len(probing))
+        live = live[i[live] < stop_i[live]]
+        group = live                             # irregular groups, up to their next common ends
+        while len(group):
+            x, y = a[i[group]], b[j[group]]
+            less = x < y
+            out[o[group]] = np.where(less, 1, np.where(x > y, 2, 3))
+            i[group] += x <= y
+            j[group] += x >= y
+            o[group] += 1
+            group = group[x != y]
+        live = live[i[live] < stop_i[live]]
+    return out[ragged(first, o - first)]
 
 
 def unit_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -144,28 +154,62 @@ class Tokenizers:
                 for r, x, y in zip(raws, a, b, strict=True)]
         return a, b, good
 
+    def _separate(self, raws: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """For A and B: ids and numbers of ids of units, each encoded by itself, and which are good."""
+        a, b, good = self.encode(raws)
+        return ([np.array([i for ids in x for i in ids], np.int32) for x in (a, b)],
+                [np.array([len(ids) for ids in x], np.int64) for x in (a, b)], np.array(good, bool))
+
+    def _together(self, raws: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """The same for units that end where another may begin, encoded as one text."""
+        joined = b"".join(raws)
+        text = joined.decode()
+        ends = np.cumsum([len(r) for r in raws])
+        ids = [self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:], num_threads=1)]
+        counts = []
+        for k, table in enumerate((self.a_bytes, self.b_bytes)):
+            token_ends = np.cumsum(self.sizes[k][ids[k]])
+            at = np.searchsorted(token_ends, ends)
+            if b"".join([table[i] for i in ids[k]]) != joined or (token_ends[at] != ends).any():
+                return self._separate(raws)
+            counts.append(np.diff(at + 1, prepend=0))
+        return [np.array(x, np.int32) for x in ids], counts, np.ones(len(raws), bool)
+
+    def _learn(self, raws: list[bytes]) -> None:
+        """Encode new units: those behind which another unit may begin in one text of
+        ``TOGETHER`` units, the others (white space at their end) by themselves."""
+        data = np.frombuffer(b"".join(raws) + b" .", np.uint8)
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
+        tight = np.isin(edges[1:], unit_starts(data, np.array([0, len(data)])))
+        order = [*np.flatnonzero(tight).tolist(), *np.flatnonzero(~tight).tolist()]
+        n_tight = int(np.count_nonzero(tight))
+        parts = []
+        for low in range(0, n_tight, TOGETHER):
+            parts.append(self._together([raws[i] for i in order[low:min(low + TOGETHER, n_tight)]]))
+        for low in range(n_tight, len(order), TOGETHER):
+            parts.append(self._separate([raws[i] for i in order[low:low + TOGETHER]]))
+        for k in (0, 1):
+            self.ids[k] = np.concatenate([self.ids[k], *(p[0][k] for p in parts)])
+            self.at[k] = np.concatenate([self.at[k], self.at[k][-1] + np.cumsum(np.concatenate([p[1][k] for p in parts]))])
+        self.good = np.concatenate([self.good, *(p[2] for p in parts)])
+        first = len(self.known)
+        self.known.update((raws[i], first + n) for n, i in enumerate(order))
+        self.held += int(edges[-1])
+
     def units(self, raws: list[bytes]) -> np.ndarray:
         """Numbers of units; new ones are encoded."""
         if len(self.known) > UNITS or self.held > UNIT_BYTES:
             self.forget()
         found = list(map(self.known.get, raws))
         new = list(dict.fromkeys(r for r, k in zip(raws, found, strict=True) if k is None))
-        for low in range(0, len(new), 4000):
-            some = new[low:low + 4000]
-            a, b, good = self.encode(some)
-            for k, x in enumerate((a, b)):
-                self.ids[k] = np.append(self.ids[k], np.array([i for ids in x for i in ids], np.int32))
-                self.at[k] = np.append(self.at[k], self.at[k][-1] + np.cumsum([len(ids) for ids in x]))
-            self.good = np.append(self.good, good)
-            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
-            self.held += sum(map(len, some))
         if new:
+            self._learn(new)
             found = list(map(self.known.__getitem__, raws))
         return np.array(found, np.int64)
 
-    def tokens(self, raws: list[bytes], which: list[int]) -> tuple[np.ndarray, list, np.ndarray]:
+    def tokens(self, raws: list[bytes], which: list[int]) -> tuple[np.ndarray, list]:
         """Of the texts ``raws``, those that both tokenizers cover: their places in ``which``, and
-        for A and B (ids, offsets of the texts in them)."""
+        for A and B (ids, offsets of the texts in them, places at which both have a common end)."""
         data = np.frombuffer(b"".join(raws), np.uint8)
         at = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
         start = np.flatnonzero(np.isin(np.arange(len(data)), at[:-1])) if self.whole_only else unit_starts(data, at)
@@ -182,13 +226,15 @@ class Tokenizers:
         for k in (0, 1):
             n = self.at[k][number + 1] - self.at[k][number]
             ids = self.ids[k][ragged(self.at[k][number], n)]
-            edges = np.concatenate([[0], np.cumsum(n)])[row]
+            cuts = np.concatenate([[0], np.cumsum(n)])
+            edges = cuts[row]
+            cuts = np.append(cuts[:-1:max(1, len(n) // LANES)], cuts[-1])
             if whole:
                 parts = [np.array(whole[i][k], np.int32) if i in whole else ids[edges[i]:edges[i + 1]] for i in covered]
                 ids = np.concatenate([np.zeros(0, np.int32), *parts])
-                edges = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
-            out.append((ids, edges))
-        return np.array([which[i] for i in covered], np.int64), out[0], out[1]
+                cuts = edges = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+            out.append((ids, edges, cuts))
+        return np.array([which[i] for i in covered], np.int64), out
 
 
 @cache
@@ -210,12 +256,12 @@ def _aligner(a_path: str, b_path: str):
                 which = np.flatnonzero(np.diff(at)).tolist()
                 columns = [[b""] * n for _ in range(3)]
                 if which:
-                    rows, *tokens = both.tokens([b" " + raw[at[i]:at[i + 1]] for i in which], which)
+                    rows, tokens = both.tokens([b" " + raw[at[i]:at[i + 1]] for i in which], which)
                     ends = [np.cumsum(both.sizes[k][tokens[k][0]]) for k in (0, 1)]
-                    cells = aligned_cells(*ends)
+                    cells = aligned_cells(*ends, (tokens[0][2], tokens[1][2]))
                     last = np.concatenate([[-1], np.flatnonzero(cells & 1)])[tokens[0][1]] + 1
                     for k in (0, 1):
-                        ids, edges = tokens[k]
+                        ids, edges, _ = tokens[k]
                         coded, size = ids.astype(both.kinds[k]).tobytes(), both.kinds[k].itemsize
                         for i, s, e in zip(rows.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                             columns[k][i] = coded[size * s:size * e]
@@ -255,9 +301,8 @@ class Links:
         """id of A << 32 | id of B for each link."""
         return self.a[self.at_a] << 32 | self.b[self.at_b]
 
-    def text(self, table: list[bytes]) -> bytes:
-        """The groups as text: ``a1,a2|b1;a3|b2,b3``. ``table`` has each id before a comma,
-        a bar and a semicolon."""
+    def text(self, table: np.ndarray) -> bytes:
+        """The groups as text: ``a1,a2|b1;a3|b2,b3``. ``table`` is that of ``numerals``."""
         if not len(self.cells):
             return b""
         v = len(table) // 3
@@ -270,7 +315,13 @@ class Links:
         through_a = np.cumsum(a_of)
         codes[np.arange(self.n_a) + before_b[group_a]] = self.a + v * whole[self.ends_a]
         codes[np.arange(self.n_b) + through_a[group_b]] = self.b + 2 * v * whole[self.ends_b]
-        return b"".join([table[c] for c in codes.tolist()])[:-1]
+        padded = table[codes].view(np.uint8)
+        return padded[padded != 0].tobytes()[:-1]
+
+
+def numerals(n: int) -> np.ndarray:
+    """The numbers below ``n`` as text before a comma, a bar and a semicolon, padded by zero bytes."""
+    return np.array([b"%d%s" % (i, end) for end in (b",", b"|", b";") for i in range(n)])
 
 
 def _links_of(batch: pa.RecordBatch) -> Iterator[Links]:
@@ -360,11 +411,8 @@ def digests(aligned: DataFrame, counts: DataFrame, folder: str, head: int = HEAD
     whose pair is best), count_sum (of the links' counts), groups_sha256 (of ``Links.text``, ''
     without tokens)."""
     held, whole = _head(counts, head)
-    table = [b"%d%s" % (i, end) for end in (b",", b"|", b";") for i in range(1 << 16)]
     largest = counts.agg(F.max(F.shiftright("pair", 32)), F.max(F.col("pair").bitwiseAND(0xFFFFFFFF))).first()
-    if max(x or 0 for x in largest) >= 1 << 16:
-        size = max(largest) + 1
-        table = [b"%d%s" % (i, end) for end in (b",", b"|", b";") for i in range(size)]
+    table = numerals(1 + max(x or 0 for x in largest))
     out = aligned.mapInArrow(_digester(aligned.sparkSession.sparkContext.broadcast((held, table))), _DIGEST)
     if not whole:
         out = stored(out, f"{folder}/digests")

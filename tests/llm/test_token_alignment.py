@@ -95,6 +95,9 @@ def test_cells_are_the_common_refinement(share):
         a, b = (sorted({x for x in base if rng.random() > share / 2} | {base[-1]}) for _ in "ab")
         cells = ta.aligned_cells(np.array(a), np.array(b)).tolist()
         assert cells == [(e in a) + 2 * (e in b) for e in sorted({*a, *b})]
+        common = sorted(set(rng.sample(sorted({*a} & {*b}), k=1)) | {0, a[-1]})        # walked along in stretches
+        cuts = [np.array([0, *(x.index(e) + 1 for e in common[1:])]) for x in (a, b)]
+        assert ta.aligned_cells(np.array(a), np.array(b), tuple(cuts)).tolist() == cells
     assert len(ta.aligned_cells(np.zeros(0, int), np.zeros(0, int))) == 0
 
 
@@ -125,10 +128,10 @@ def test_forgetting_units_changes_nothing(spark, monkeypatch):
     wanted = both.tokens(raws, list(range(len(raws))))
     monkeypatch.setattr(ta, "UNITS", 3)
     for i, r in enumerate(raws):
-        rows, a, b = both.tokens([r], [i])
+        rows, (a, b) = both.tokens([r], [i])
         if len(rows):
             k = wanted[0].tolist().index(i)
-            for one, every in ((a, wanted[1]), (b, wanted[2])):
+            for one, every in ((a, wanted[1][0]), (b, wanted[1][1])):
                 assert one[0].tolist() == every[0][every[1][k]:every[1][k + 1]].tolist()
         else:
             assert i not in wanted[0]
