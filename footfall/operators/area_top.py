@@ -47,17 +47,21 @@ def _bound(df: DataFrame, column: str, value: str):
     return F.lit(value).cast(df.schema[column].dataType)
 
 
+def usable_click() -> F.Column:
+    """FIL1: a click id that is neither null nor one of the texts for it."""
+    pid = F.col("click_product_id")
+    return pid.isNotNull() & ~pid.isin("null", "NULL")
+
+
 def click_actions(actions: DataFrame, start: str, end: str) -> DataFrame:
     """FIL1 + FIL2 + PRJ1: usable click ids in [start, end], both inclusive.
 
     Returns (city_id, product_id); ids that are not numbers become NULL and
     never match a product.
     """
-    pid = F.col("click_product_id")
     t = F.col("action_time")
-    usable = pid.isNotNull() & ~pid.isin("null", "NULL")
     in_range = (t >= _bound(actions, "action_time", start)) & (t <= _bound(actions, "action_time", end))
-    return (actions.where(usable & in_range)
+    return (actions.where(usable_click() & in_range)
             .select(F.col("city_id").cast("bigint").alias("city_id"),
                     F.col("click_product_id").try_cast("bigint").alias("product_id")))
 

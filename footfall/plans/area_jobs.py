@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from footfall.functions.columns import task_param
 from footfall.operators import area_top as at
-from footfall.session import ensure_utc, shared_dir
+from footfall.operators import area_windows as aw
+from footfall.session import ensure_utc, new_run_dir, shared_dir
 from footfall.sources import tables as tb
 
 # Analysis window of the registered queries: the whole event month.
@@ -164,3 +165,12 @@ def area_top10_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
     path = shared_dir(spark, "tables", f"area_top10_task-{tag}")
     return run_task(spark, sf_dir, REGISTERED_TASK_ID, path, source="lineitem")
+
+
+def area_top10_all_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Top-N of every task over the line-item actions, which are counted once."""
+    ensure_utc(spark)
+    path = new_run_dir(spark, "area_daily")
+    products = tb.product_info(spark, sf_dir)
+    aw.daily_clicks(tb.user_visit_action_big(spark, sf_dir), tb.city_info(spark, sf_dir), products).write.parquet(path)
+    return aw.all_tasks_top(tb.tasks(spark, sf_dir), spark.read.parquet(path), products, TOP_N, at.TESTDATA_AREA_LEVELS)

@@ -64,7 +64,29 @@ _EV = _area_chain(_CLICKS)
 _TASK = _area_chain(_TASK_CLICKS)
 _BIG = _area_chain(_BIG_CLICKS)
 
+_ALL_TASKS = f"""
+WITH wins AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS first FROM orders),
+clk AS (
+  SELECT l.l_shipdate AS t, l.l_partkey AS product_id, ci.area, CAST(ci.city_id AS VARCHAR) || ';' || ci.city_name AS label
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN ({_CITY}) ci ON c.c_nationkey = ci.city_id),
+cnt AS (
+  SELECT first, area, product_id, COUNT(*) AS click_count, string_agg(DISTINCT label, ',' ORDER BY label) AS city_infos
+  FROM wins JOIN clk ON t >= first AND t <= first + INTERVAL 30 DAY GROUP BY first, area, product_id),
+top AS (
+  SELECT * FROM (
+    SELECT cnt.*, p_name AS product_name, p_size, ROW_NUMBER() OVER (PARTITION BY first, area ORDER BY click_count DESC, product_id) AS rn
+    FROM cnt JOIN part ON product_id = p_partkey) x WHERE rn <= 10)
+SELECT o_orderkey AS task_id, area,
+       CASE WHEN area IN ('ASIA', 'EUROPE') THEN 'A级' WHEN area = 'AMERICA' THEN 'B级' WHEN area = 'AFRICA' THEN 'C级'
+            WHEN area = 'MIDDLE EAST' THEN 'D级' ELSE 'E级' END AS area_level,
+       product_id, click_count, city_infos, product_name,
+       CASE WHEN p_size % 2 = 0 THEN '自营商品' ELSE '第三方商品' END AS product_status
+FROM orders JOIN top ON CAST(o_orderdate AS DATE) = first
+"""
+
 AREA = {
+    "area_top10_all_tasks": _ALL_TASKS,
     "visit_click_filter": _CLICKS,
     "click_city_join": _EV["basic"],
     "area_product_click_count": _EV["counts"],
@@ -197,7 +219,35 @@ _BAG = ("'sessionid=' || session_id || '|searchKeywords=' || search_keywords ||
 _TASK_CITIES = ", ".join(f"'NATION_{(3 + i) % 25}'" for i in range(12))
 _CITIES = ", ".join(f"'NATION_{i}'" for i in range(13))
 
+_SEGMENT_TASKS = _SESS + """, tasks AS (
+  SELECT c_custkey AS task_id, DATE '2024-01-01' + CAST(c_custkey % 11 AS INT) AS first,
+         DATE '2024-01-01' + CAST(c_custkey % 11 + 5 + c_custkey % 17 AS INT) AS last,
+         CASE WHEN c_custkey % 4 <> 0 AND c_custkey % 5 <> 0 THEN 18 + c_custkey % 30 END AS low,
+         18 + c_custkey % 30 + c_custkey % 25 AS high,
+         CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN [c_mktsegment, 'BUILDING'] ELSE [c_mktsegment] END AS jobs,
+         CASE WHEN c_custkey % 7 <> 0 THEN list_transform(range(0, c_custkey % 9 + 1), lambda i: 'NATION_' || ((c_custkey + i * 3) % 25)) END AS towns,
+         CASE WHEN c_custkey % 12 = 1 THEN 'male' WHEN c_custkey % 6 = 1 THEN 'female' END AS wanted_sex,
+         CASE WHEN c_custkey % 6 <> 2 THEN list_slice(['click', 'view', 'purchase', 'signup', 'error'],
+                                                      c_custkey % 5 + 1, c_custkey % 5 + 2) END AS kinds,
+         CASE WHEN c_custkey % 5 = 2 THEN list_transform(range(0, c_custkey % 20 + 1), lambda i: CAST((c_custkey * 7 + i * 13) % 100 AS VARCHAR)) END AS cats
+  FROM customer),
+dated AS (SELECT s.*, strptime(split_part(session_id, '_', 2), '%Y%m%d')::DATE AS day,
+                 string_split(search_keywords, ',') AS words, string_split(click_category_ids, ',') AS ids FROM s),
+passed AS (
+  SELECT task_id, visit_length, step_length
+  FROM tasks t JOIN dated d ON d.day >= t.first AND d.day < t.last
+  WHERE (low IS NULL OR age BETWEEN low AND high) AND (jobs IS NULL OR list_contains(jobs, professional))
+    AND (towns IS NULL OR list_contains(towns, city)) AND (wanted_sex IS NULL OR sex = wanted_sex)
+    AND (kinds IS NULL OR list_has_any(words, kinds)) AND (cats IS NULL OR coalesce(list_has_any(ids, cats), false))),
+counted AS (SELECT task_id, COUNT(*) AS session_count,
+  """ + _STAT_COLS + """
+  FROM passed GROUP BY task_id)
+SELECT t.task_id, coalesce(session_count, 0) AS session_count, c.* EXCLUDE (task_id, session_count)
+FROM tasks t LEFT JOIN counted c ON t.task_id = c.task_id
+"""
+
 SESSIONS = {
+    "session_stat_all_tasks": _SEGMENT_TASKS,
     "session_attr_extract": _SESS + """SELECT session_id, search_keywords, click_category_ids, age,
   professional, city, sex, visit_length, step_length, start_time FROM s""",
     "session_attr_update": _SESS + f"SELECT session_id, {_BAG} AS bag FROM s",

@@ -23,6 +23,7 @@ def all_queries() -> dict[str, Query]:
         "area_top10_product_lineitem": area_jobs.area_top10_product_lineitem,
         "area_top10_persist": area_jobs.area_top10_persist,
         "area_top10_task": area_jobs.area_top10_task,
+        "area_top10_all_tasks": area_jobs.area_top10_all_tasks,
         "area_top10_product_sql": sql_surface.area_top10_product_sql,
         "task_params": area_jobs.task_params,
         # J2 ad-click stream
@@ -41,6 +42,7 @@ def all_queries() -> dict[str, Query]:
         "session_visit_length": session_jobs.session_visit_length,
         "session_aggr_stat": session_jobs.session_aggr_stat,
         "session_aggr_stat_task": session_jobs.session_aggr_stat_task,
+        "session_stat_all_tasks": session_jobs.session_stat_all_tasks,
         "session_filter_sql": sql_surface.session_filter_sql,
         "json_array_first": session_jobs.json_array_first,
         "visit_hourly": session_jobs.visit_hourly,

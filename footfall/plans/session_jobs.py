@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from footfall.functions import columns as fc
 from footfall.operators import cells as kv
+from footfall.operators import filter_index as fi
+from footfall.operators.area_windows import instant
 from footfall.operators import sessions as ss
 from footfall.plans.area_jobs import one_task
-from footfall.session import ensure_utc, shared_dir
+from footfall.session import ensure_utc, new_run_dir, shared_dir
 from footfall.sources import tables as tb
 from footfall.sources.behaviour import user_actions, user_info
 from footfall.sources.tables import load
@@ -158,6 +160,25 @@ def session_aggr_stat_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_session_task(spark, sf_dir, SESSION_TASK_ID, shared_dir(spark, "tables", f"session_aggr_stat-{tag}"))
 
 
+def session_classes(actions: DataFrame, users: DataFrame) -> DataFrame:
+    """``filter_index.class_counts`` of the user-day sessions, whole and of first instants alone."""
+    def facts(some: DataFrame, whole: bool) -> DataFrame:
+        return (day_facts(some).select("user_id", F.unix_date("day").alias("day"), *fi.ACTIVITY, "visit_length", "step_length")
+                .withColumn("whole", F.lit(whole)))
+    first = actions.where(instant(F.col("action_time").cast("timestamp_ntz")) % 2 == 0)
+    return fi.class_counts(facts(actions, True).unionByName(facts(first, False)), users)
+
+
+def session_stat_all_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 for every task of a table of filters at once."""
+    ensure_utc(spark)
+    path = new_run_dir(spark, "session_classes")
+    session_classes(user_actions(spark, sf_dir), user_info(spark, sf_dir)).write.parquet(f"{path}/classes")
+    tb.segment_tasks(spark, sf_dir).write.parquet(f"{path}/tasks")
+    fi.filter_specs(spark.read.parquet(f"{path}/tasks")).write.parquet(f"{path}/specs")
+    return fi.all_tasks_stat(spark.read.parquet(f"{path}/specs"), spark.read.parquet(f"{path}/classes"))
+
+
 def json_array_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC3: a field of the first object of a JSON array."""
     part = load(spark, sf_dir, "part")

@@ -113,3 +113,33 @@ def session_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("categoryIds"), F.array(F.array_join(F.transform(
             F.sequence(F.lit(0), F.lit(98), F.lit(2)), lambda x: x.cast("string")), ","))))
     return nation.select(key.cast("bigint").alias("task_id"), param.alias("task_param"))
+
+
+def segment_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task control table of session statistics by many analysts: one task per customer, each with
+    a date window and its own choice of filter parameters, some absent."""
+    key = F.col("c_custkey")
+
+    def day(n):
+        return F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int")), "yyyy-MM-dd")
+
+    def when(cond, value):
+        return F.when(cond, F.array(value.cast("string")))
+
+    def listed(values):
+        return F.array_join(values, ",")
+
+    types = F.array(*[F.lit(x) for x in ("click", "view", "purchase", "signup", "error")])
+    cities = F.transform(F.sequence(F.lit(0).cast("bigint"), key % 9),
+                         lambda i: F.concat(F.lit("NATION_"), F.pmod(key + i * 3, F.lit(25)).cast("string")))
+    numbers = F.transform(F.sequence(F.lit(0).cast("bigint"), key % 20), lambda i: F.pmod(key * 7 + i * 13, F.lit(100)).cast("string"))
+    param = F.to_json(F.struct(
+        F.array(day(key % 11)).alias("startDate"), F.array(day(key % 11 + 5 + key % 17)).alias("endDate"),
+        when(key % 4 != 0, 18 + key % 30).alias("startAge"), when(key % 5 != 0, 18 + key % 30 + key % 25).alias("endAge"),
+        when(key % 3 != 0, F.when(key % 2 == 0, F.concat(F.col("c_mktsegment"), F.lit(",BUILDING")))
+             .otherwise(F.col("c_mktsegment"))).alias("professionals"),
+        when(key % 7 != 0, listed(cities)).alias("cities"),
+        when(key % 6 == 1, F.when(key % 12 == 1, F.lit("male")).otherwise(F.lit("female"))).alias("sex"),
+        when(key % 6 != 2, listed(F.slice(types, (key % 5 + 1).cast("int"), F.lit(2)))).alias("keywords"),
+        when(key % 5 == 2, listed(numbers)).alias("categoryIds")))
+    return load(spark, sf_dir, "customer").select(key.cast("bigint").alias("task_id"), param.alias("task_param"))
