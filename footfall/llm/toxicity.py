@@ -30,10 +30,10 @@ from footfall.llm.wordhash import FOLD, chunks, find_words, span_hashes, windows
 
 DIM = 1 << 22
 FIT_ROWS = 15_000
-SHARDS = 6
+SHARDS, SHARD_ROWS = 6, 2_500      # of the sample, and rows that are worth one more
 ROUNDS = 8
-ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.1
-TOXIC_WEIGHT = 2.0         # of a toxic row's gradient
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 0.1
+TOXIC_WEIGHT = 4.0         # of a toxic row's gradient
 
 _NOT_LETTER = np.ones(256, dtype=bool)
 _NOT_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -159,8 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, folder: str, fit_rows: int = FIT_ROW
     mark = (marked.where(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30))
                          < int(share * (1 << 30)))
             .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
+    n_shards = max(1, min(SHARDS, -(-min(n, fit_rows) // SHARD_ROWS)))
     rows = (docs.select("doc_id", "text").join(F.broadcast(mark), "doc_id")      # size bound: fit_rows
-            .select(F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(SHARDS)).cast("int").alias("shard"),
+            .select(F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(n_shards)).cast("int").alias("shard"),
                     F.xxhash64(F.lit("order"), "doc_id").alias("order"), "toxic", "text")
             .mapInArrow(_hashed, "shard int, order long, toxic int, slots binary"))
     # a row for each shard (FIT_ROWS bounds it), so that rounds shuffle nothing
@@ -177,16 +178,18 @@ def fit(docs: DataFrame, labels: DataFrame, folder: str, fit_rows: int = FIT_ROW
         held = spark.sparkContext.broadcast(state) if state is not None else None
         parts = shards.mapInArrow(
             _trainer(held, bias), "at binary, z binary, n binary, zb double, nb double, rows long").collect()
-        z, n, total = np.zeros(DIM), np.zeros(DIM), sum(p.rows for p in parts)
-        if state is not None:
-            z[state[0]], n[state[0]] = state[1:]
+        if held is not None:
+            held.destroy()
+        total = sum(p.rows for p in parts)
+        # the changes of all shards, weighted by their rows, added to the state slot by slot
+        found = [state] if state is not None else []
         for p in sorted(parts, key=lambda p: (p.rows, p.zb)):
-            at = np.frombuffer(p.at, np.int32)
-            z[at] += np.frombuffer(p.z, "f4") * (p.rows / total)
-            n[at] += np.frombuffer(p.n, "f4") * (p.rows / total)
-            bias = (bias[0] + p.zb * p.rows / total, bias[1] + p.nb * p.rows / total)
-        at = np.flatnonzero(n).astype(np.int32)
-        state = (at, z[at], n[at])
+            share = p.rows / total
+            found.append((np.frombuffer(p.at, np.int32), np.frombuffer(p.z, "f4") * share, np.frombuffer(p.n, "f4") * share))
+            bias = (bias[0] + p.zb * share, bias[1] + p.nb * share)
+        at, place = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        z, n = (np.bincount(place, weights=np.concatenate([f[k] for f in found]), minlength=len(at)) for k in (1, 2))
+        state = (at[n != 0], z[n != 0], n[n != 0])
     return Model(state[0], _weights(*state[1:], L1), -bias[0] / ((BETA + np.sqrt(bias[1])) / ALPHA))
 
 
