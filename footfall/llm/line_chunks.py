@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.tables import extended, packed, stored
 
+LISTED = 1_000_000        # pieces whose lists are broadcast, at 24 bytes each
 LONG = 20
 MIN_WORDS = 20
 WINDOW = 2
@@ -153,7 +154,10 @@ def _wide(pieces: Pieces):
 
 
 def _by_document(places: DataFrame, name: str) -> DataFrame:
-    return places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("first", "last", "h")).alias(name))
+    """The pieces of each document; up to ``LISTED`` pieces are broadcast, so that texts stay
+    where they are, and more are joined by document."""
+    lists = places.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("first", "last", "h")).alias(name))
+    return F.broadcast(lists) if places.count() <= LISTED else lists
 
 
 def repeated(docs: DataFrame, folder: str, pieces: Pieces = chunks) -> DataFrame:
@@ -163,7 +167,8 @@ def repeated(docs: DataFrame, folder: str, pieces: Pieces = chunks) -> DataFrame
     narrow = stored(source.mapInArrow(_narrow(pieces), _PLACE), f"{folder}/pieces")
     twice = (narrow.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b"))
              .where("a <> b").select("h"))
-    lists = _by_document(narrow.join(twice, "h", "left_semi"), "listed")
+    found = stored(narrow.join(twice, "h", "left_semi"), f"{folder}/found")
+    lists = _by_document(found, "listed")
     listed = source.join(lists, source["doc_id"].eqNullSafe(lists["of"])).select("doc_id", "text", "listed")
     seen = stored(listed.mapInArrow(_wide(pieces), f"{_PLACE}, piece string"), f"{folder}/candidates")
     kept = seen.groupBy("h", "piece").agg(F.min(place).alias("kept"), F.max(place).alias("end")) \

@@ -108,3 +108,13 @@ def test_the_query_leaves_no_repeated_passage(spark):
     out = {r.doc_id: r.text for r in lc.without_repeats(docs, folder(spark), lc.passages)
            .select("row.doc_id", "text").collect()}
     assert out == by_line(texts)
+
+
+def test_joined_lists_give_the_broadcast_result(spark, monkeypatch):
+    docs = table(spark, SF_ORACLE, "documents").limit(300).union(table(spark, SF_ORACLE, "documents").limit(20))
+    both = []
+    for most in (lc.LISTED, 0):
+        monkeypatch.setattr(lc, "LISTED", most)
+        out = lc.without_repeats(docs, folder(spark), lc.passages).selectExpr("row.doc_id", "removed", "text")
+        both.append(sorted(map(str, map(tuple, out.collect()))))
+    assert both[0] == both[1]
