@@ -43,6 +43,8 @@ from footfall.llm.wordhash import FOLD, chunks, find_words, mix, span_hashes, wi
 REGISTERS, BAND = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2       # b, a and q of the sketch
 SMALL, BLOCK = 32, 512                              # members of a small bucket, of a block
+TASK_EDGES = 250_000                                # links that one task joins into a forest
+BROADCAST_SETS = 500_000                            # names of wanted sets that are broadcast, 32 bytes each
 _rng = np.random.default_rng(20)
 _A = _rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
@@ -223,25 +225,54 @@ def _block_links(percent: int):
     return run
 
 
-def connected(edges: DataFrame, folder: str) -> DataFrame:
-    """node, comp (smallest node reachable) for all nodes of the edges (a, b):
-    minimum labels of neighbours and pointer jumping, until nothing changes."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{folder}/edges")
-    labels = stored(both.groupBy(F.col("a").alias("node"))
-                    .agg(F.min(F.least("a", "b")).alias("comp")), f"{folder}/labels-0")
-    total, n = F.sum(F.col("comp").cast("decimal(38,0)")), 0
-    now = labels.agg(total).first()[0]
-    while now is not None:
-        n += 1
-        near = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "comp")
-        least = near.union(labels).groupBy("node").agg(F.min("comp").alias("comp"))
-        over = least.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        labels = stored(least.join(over, "comp").select("node", F.col("next").alias("comp")),
-                        f"{folder}/labels-{n}")
-        was, now = now, labels.agg(total).first()[0]
-        if was == now:
-            break
-    return labels
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars of the components of a task's edges: each node but the smallest, and that one."""
+    root: dict[int, int] = {}
+
+    def top(n: int) -> int:
+        while root.setdefault(n, n) != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    for batch in batches:
+        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+            p, q = top(a), top(b)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+    nodes = [n for n in root if root[n] != n]
+    for i in range(0, len(nodes), 100_000):
+        some = nodes[i:i + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([top(n) for n in some], pa.int64())],
+                                         names=["a", "b"])
+
+
+def connected(edges: DataFrame, folder: str, task_edges: int = TASK_EDGES) -> DataFrame:
+    """node, comp (smallest node reachable) for all nodes of the edges (a, b).
+
+    Tasks of up to ``task_edges`` edges first make them a spanning forest, without a shuffle.
+    If there was more than one task, large and small stars follow in turn until
+    nothing changes: each node hands its larger neighbours, then its smaller ones, over to
+    the smallest node it knows, so edges never grow in number and end as stars."""
+    edges = stored(edges.select("a", "b").where("a <> b"), f"{folder}/edges")
+    tasks = max(1, -(-edges.count() // task_edges))
+    # fewer, larger tasks; a table of fewer files is read as it is
+    stars = stored(edges.coalesce(tasks).mapInArrow(_forest, "a long, b long"), f"{folder}/stars-0")
+    mark, n = None, 0
+
+    def state(pairs: DataFrame):
+        return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    while tasks > 1 and (now := state(stars)) != mark:
+        mark, n = now, n + 1
+        both = stars.union(stars.select("b", "a")).toDF("a", "b")
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
+        large = stored(both.join(low, "a").where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+                       .distinct(), f"{folder}/large-{n}")
+        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        stars = stored(small.union(low.toDF("a", "b")).distinct(), f"{folder}/stars-{n}")
+    return stars.toDF("node", "comp").union(stars.select("b", "b").distinct().toDF("node", "comp"))
 
 
 def near_duplicates(docs: DataFrame, folder: str, width: int = 4, percent: int = 80) -> DataFrame:
@@ -264,9 +295,14 @@ def near_duplicates(docs: DataFrame, folder: str, width: int = 4, percent: int =
     shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
     members = stored(keys.join(shared.select("key", "lo"), "key"), f"{folder}/members-0")
 
-    wanted = members.select("sid").distinct().join(classes.select("sid", "rep", "f1", "f2"), "sid")
-    sets = stored(docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("text", "sid", "f1", "f2")
-                  .mapInArrow(_sets(width), "sid long, elements binary"), f"{folder}/sets")
+    wanted = stored(members.select("sid").distinct().join(classes.select("sid", "rep", "f1", "f2"), "sid"),
+                    f"{folder}/wanted")
+    # texts stay where they are while the names of the wanted sets are few
+    named = F.broadcast(wanted) if wanted.count() <= BROADCAST_SETS else wanted
+    found = docs.join(named, docs["doc_id"] == named["rep"]).select("text", "sid", "f1", "f2") \
+        .mapInArrow(_sets(width), "sid long, elements binary")
+    # rows that repeat a doc_id and its text are one set
+    sets = stored(found.groupBy("sid").agg(F.first("elements").alias("elements")), f"{folder}/sets")
 
     def confirmed(pairs: DataFrame, n: int) -> DataFrame:
         """The pairs (a, b) that are links."""

@@ -94,3 +94,36 @@ def test_overlaps_of_blocks():
     sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in rng.integers(1, 4000, 23)]
     got = setsketch._overlaps(sets[:9], sets[9:])
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[9:]] for a in sets[:9]]
+
+
+def test_repeated_rows_of_two_near_texts_are_one_link(spark):
+    words = [f"w{i}" for i in range(300)]
+    near = words[:150] + ["other"] + words[151:]
+    docs = documents(spark, [" ".join(words), " ".join(near)])
+    repeated = docs.selectExpr("*", "explode(sequence(1, 500))").drop("col")
+    where = folder(spark)
+    got = setsketch.near_duplicates(repeated, where).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 0, True, 500), (1, 0, False, 500)]
+    assert spark.read.parquet(f"{where}/sets").count() == 2
+    assert spark.read.parquet(f"{where}/links-0").count() == 1
+
+
+def test_components_over_many_tasks(spark):
+    import random
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 300)] + [(1000, x) for x in range(1001, 1200)]
+    edges += [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(250)]
+    rng.shuffle(edges)
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    table = spark.createDataFrame([e if rng.random() < 0.5 else e[::-1] for e in edges], "a long, b long").repartition(7)
+    for size in (10, 1_000_000):
+        got = {r.node: r.comp for r in setsketch.connected(table, folder(spark), size).collect()}
+        assert got == {x: top(x) for e in edges if e[0] != e[1] for x in e}
