@@ -88,7 +88,8 @@ class AdClickStream:
                  top_n: int = ac.DEFAULT_TOP_N,
                  state_retention: str | None = None,
                  stream_partitions: int | None = None,
-                 keep_days: int | None = None):
+                 keep_days: int | None = None,
+                 max_files_per_trigger: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.threshold = threshold
@@ -105,6 +106,9 @@ class AdClickStream:
         # stateful partitions, so a batch-sized setting (e.g. 20,000) would
         # launch that many tasks per micro-batch.
         self.stream_partitions = stream_partitions
+        # Admission control: files of the log, or folders' files of filtered clicks, that one
+        # micro-batch of any query takes; None takes all that have landed.
+        self.max_files_per_trigger = max_files_per_trigger
         for p in (self.source, self.filtered, self.seed, self.top, self.bad):
             make_dirs(spark, p)
         self.counts = FoldedTable(spark, self._p("tables/ad_user_click_count"), COUNT_SCHEMA, "date")
@@ -134,9 +138,12 @@ class AdClickStream:
         """Land new log files (``value`` column) in the source folder."""
         lines.select("value").write.mode("append").text(self.source)
 
+    def log_stream(self) -> DataFrame:
+        return text_log_stream(self.spark, self.source, self.max_files_per_trigger)
+
     # --- query 1: blacklist filter, daily counts, blacklist update ---------
     def filter_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
-        lines = lines if lines is not None else text_log_stream(self.spark, self.source)
+        lines = lines if lines is not None else self.log_stream()
         parsed = ac.parse_log(lines)
         seed = self._read(self.seed, "user_id BIGINT")
         steps = (ac.drop_blacklisted(ac.good_clicks(parsed), seed).groupBy("user_id")
@@ -150,7 +157,7 @@ class AdClickStream:
 
     def quarantine_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
         """Lines that do not parse, as they came."""
-        lines = lines if lines is not None else text_log_stream(self.spark, self.source)
+        lines = lines if lines is not None else self.log_stream()
         return self._start(ac.bad_lines(ac.parse_log(lines)).writeStream
                            .foreachBatch(self._bad_batch)
                            .option("checkpointLocation", self._p("checkpoints/bad"))
@@ -190,7 +197,10 @@ class AdClickStream:
 
     # --- queries 2 and 3: running city counts, province Top-N ---------------
     def _filtered_stream(self) -> DataFrame:
-        clicks = self.spark.readStream.schema(FILTERED_SCHEMA).parquet(self.filtered)
+        reader = self.spark.readStream.schema(FILTERED_SCHEMA)
+        if self.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
+        clicks = reader.parquet(self.filtered)
         return clicks.withWatermark("click_time", self.state_retention) if self.state_retention else clicks
 
     def _counting(self, name: str, keys: list[str], write, **trigger) -> StreamingQuery:
@@ -253,7 +263,7 @@ class AdClickStream:
     parsed = property(lambda self: self._p("tables/parsed_log"))
 
     def archive_query(self, **trigger) -> StreamingQuery:
-        lines = text_log_stream(self.spark, self.source)
+        lines = self.log_stream()
         return (ac.good_clicks(ac.parse_log(lines)).writeStream.format("parquet")
                 .option("path", self.parsed)
                 .option("checkpointLocation", self._p("checkpoints/archive"))

@@ -303,3 +303,38 @@ def test_stream_partitions_hold_in_every_batch(spark, run_dir):
     for query in ("filter", "stat", "top"):
         offsets = open(local_path(f"{p.root}/checkpoints/{query}/offsets/0")).read().splitlines()
         assert json.loads(offsets[1])["conf"]["spark.sql.shuffle.partitions"] == "3"
+
+
+def test_a_backlog_is_taken_in_bounded_batches_and_survives_a_stop(spark, run_dir):
+    """Six landed files become six micro-batches; a run that ends half-way and goes on in a
+    new deployment gives what one that was never stopped gives."""
+    logs = [[line(DAY1 + 60_000 * i + j, 10 + (i + j) % 4, 10 + j % 2, city=f"C{i % 3}") for j in range(5)]
+            + ["bad line"] * (i == 3) for i in range(6)]
+
+    def deployment(name):
+        p = AdClickStream(spark, f"{run_dir}/{name}", threshold=8, max_files_per_trigger=1)
+        p.seed_blacklist(spark.createDataFrame([(900,)], "user_id long"))
+        return p
+
+    def land(p, some):
+        for lines in some:
+            p.append_log(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1))
+
+    steady, stopped = deployment("steady"), deployment("stopped")
+    land(steady, logs)
+    query = steady.filter_query(availableNow=True)
+    query.awaitTermination()
+    steps = [p for p in query.recentProgress if p.numInputRows]
+    assert len(steps) == 6 and max(p.numInputRows for p in steps) <= 6
+    assert sum(p.numInputRows for p in steps) == sum(map(len, logs))
+    steady.run_available()
+
+    land(stopped, logs[:3])
+    stopped.run_available()
+    again = deployment("stopped")
+    land(again, logs[3:])
+    again.run_available()
+    for view in ("filtered_clicks", "daily_user_ad_count", "ad_user_click_total", "black_list", "ad_realtime_stat",
+                 "ad_province_top3", "bad_lines"):
+        a, b = (getattr(p, view)().drop("stamps", "batch_id") for p in (steady, again))
+        assert _key(a) == _key(b), view
