@@ -48,3 +48,30 @@ def write_cells(cells: DataFrame, path: str, num_partitions: int | None = None)
 
 def word_counts(df: DataFrame, word_col: str) -> DataFrame:
     return df.groupBy(F.col(word_col).alias("word")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def prefix_end(prefix: bytes) -> bytes | None:
+    """The smallest key above every key that begins with the prefix; None if there is none."""
+    cut = prefix.rstrip(b"\xff")
+    return cut[:-1] + bytes([cut[-1] + 1]) if cut else None
+
+
+def scan_cells(cells: DataFrame, start: bytes | None = None, stop: bytes | None = None,
+               prefix: bytes | None = None) -> DataFrame:
+    """Cells with start <= row key < stop that begin with the prefix, as a key-ordered store
+    would scan them; an absent bound is open. All are plain comparisons on the row key, so
+    they reach the parquet reader: of files in row-key order it opens the row groups whose
+    key range overlaps. Null row keys are in no scan with a bound."""
+    key = F.col("row_key")
+    if prefix is not None:
+        cells = scan_cells(cells, prefix or None, prefix_end(prefix))
+    if start is not None:
+        cells = cells.where(key >= F.lit(bytearray(start)))
+    if stop is not None:
+        cells = cells.where(key < F.lit(bytearray(stop)))
+    return cells
+
+
+def get_cells(cells: DataFrame, row_key: bytes) -> DataFrame:
+    """The cells of one row."""
+    return cells.where(F.col("row_key") == F.lit(bytearray(row_key)))

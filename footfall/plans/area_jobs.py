@@ -4,15 +4,19 @@ driver's tables, plus the task-driven run that persists its result."""
 from __future__ import annotations
 
 import hashlib
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.columns import task_param
 from footfall.operators import area_top as at
 from footfall.operators import area_windows as aw
+from footfall.operators import day_partitions as dp
+from footfall.operators.area_partials import AreaPartials
 from footfall.session import ensure_utc, new_run_dir, shared_dir
 from footfall.sources import tables as tb
+from footfall.streaming.folded import fs_path
 
 # Analysis window of the registered queries: the whole event month.
 START = "2024-01-01 00:00:00"
@@ -91,14 +95,30 @@ def task_window(tasks: DataFrame, task_id: int) -> tuple[str | None, str | None]
 def persist_top_n(result: DataFrame, task_id: int, path: str) -> None:
     """SNK1: write the Top-N of one task, keyed by task_id.
 
-    Dynamic partition overwrite replaces exactly this task's partition, so a
-    retried or re-run task never duplicates rows (the reference's composite
-    primary key); other tasks' rows are untouched.
+    The rows are written beside the table, and their number and their repeated keys (the
+    reference's composite primary key: task, area, product) are observed by that same write.
+    Without a repeated or null key the finished folder replaces this task's partition, so a
+    retried or re-run task never duplicates rows; with one, nothing changes and a
+    ``ValueError`` says how many. Other tasks' rows are untouched.
     """
-    (result.withColumn("task_id", F.lit(task_id).cast("bigint"))
-     .select("task_id", *at.TOP_N_COLUMNS)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("task_id").parquet(path))
+    spark = result.sparkSession
+    # the Top-N is already dealt by area, so this window needs no exchange of its own
+    by_key = Window.partitionBy("area", "product_id").orderBy("click_count")
+    seen = Observation()
+    bad = (F.col("_nth") > 1) | F.col("area").isNull() | F.col("product_id").isNull()
+    rows = (result.select(*at.TOP_N_COLUMNS, F.row_number().over(by_key).alias("_nth"))
+            .observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).drop("_nth"))
+    staged, fs = fs_path(spark, f"{path}/_staged-{uuid.uuid4().hex[:12]}")
+    try:
+        rows.write.parquet(staged.toString())
+        if found := seen.get["bad"]:
+            raise ValueError(f"task {task_id}: {found} of {seen.get['rows']} rows repeat a key or lack one")
+        final, _ = fs_path(spark, f"{path}/task_id={int(task_id)}")
+        fs.delete(final, True)
+        if not fs.rename(staged, final):
+            raise OSError(f"could not publish {final.toString()}")
+    finally:
+        fs.delete(staged, True)
 
 
 PERSIST_SCHEMA = ("area STRING, area_level STRING, product_id BIGINT, click_count BIGINT, "
@@ -174,3 +194,32 @@ def area_top10_all_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = tb.product_info(spark, sf_dir)
     aw.daily_clicks(tb.user_visit_action_big(spark, sf_dir), tb.city_info(spark, sf_dir), products).write.parquet(path)
     return aw.all_tasks_top(tb.tasks(spark, sf_dir), spark.read.parquet(path), products, TOP_N, at.TESTDATA_AREA_LEVELS)
+
+
+def area_top10_day_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered task over line-item actions in day folders; those outside its window are pruned."""
+    ensure_utc(spark)
+    path = new_run_dir(spark, "actions_by_day")
+    actions = tb.user_visit_action_big(spark, sf_dir)
+    dp.write_by_day(actions, path)
+    by_day = dp.read_by_day(spark, path, actions.schema["action_time"].dataType.simpleString())
+    return dp.task_top_products(by_day, dp.window_days(tb.tasks(spark, sf_dir), REGISTERED_TASK_ID),
+                                tb.city_info(spark, sf_dir), tb.product_info(spark, sf_dir), TOP_N,
+                                at.TESTDATA_AREA_LEVELS)
+
+
+# The registered arrivals of visit actions: before and from this time.
+ARRIVAL_SPLIT = "2024-01-16 12:00:00"
+
+
+def area_counts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visit actions land in two arrivals, each counted once as it lands; the merged counts."""
+    ensure_utc(spark)
+    folder = new_run_dir(spark, "area_partials")
+    actions = tb.user_visit_action(spark, sf_dir)
+    early = F.col("action_time") < F.lit(ARRIVAL_SPLIT).cast(actions.schema["action_time"].dataType)
+    kept = AreaPartials(spark, folder, START, END)
+    for arrival in (actions.where(early), actions.where(~early | early.isNull())):
+        arrival.write.mode("append").parquet(f"{folder}/landed")
+        kept.absorb(spark.read.parquet(f"{folder}/landed"), tb.city_info(spark, sf_dir))
+    return kept.area_product_clicks()

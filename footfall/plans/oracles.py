@@ -87,6 +87,8 @@ FROM orders JOIN top ON CAST(o_orderdate AS DATE) = first
 
 AREA = {
     "area_top10_all_tasks": _ALL_TASKS,
+    "area_top10_day_pruned": _TASK["top"],
+    "area_counts_incremental": _EV["counts"],
     "visit_click_filter": _CLICKS,
     "click_city_join": _EV["basic"],
     "area_product_click_count": _EV["counts"],
@@ -286,6 +288,10 @@ FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1""",
     "kv_cells": """SELECT hex(event_type) AS row_key_hex, 'info' AS family, 'count' AS qualifier,
   lpad(hex(COUNT(*)), 16, '0') AS value_hex
 FROM events GROUP BY event_type""",
+    "kv_range_scan": """WITH users AS (SELECT CAST(user_id AS VARCHAR) AS k, COUNT(*) AS n FROM events GROUP BY 1)
+SELECT 'range' AS scan, hex(k) AS row_key_hex, 'info' AS family, 'count' AS qualifier, n
+FROM users WHERE k >= '15' AND k < '3'
+UNION ALL SELECT 'prefix', hex(k), 'info', 'count', n FROM users WHERE k LIKE '7%'""",
 }
 
 

@@ -23,6 +23,8 @@ def all_queries() -> dict[str, Query]:
         "area_top10_product_lineitem": area_jobs.area_top10_product_lineitem,
         "area_top10_persist": area_jobs.area_top10_persist,
         "area_top10_task": area_jobs.area_top10_task,
+        "area_top10_day_pruned": area_jobs.area_top10_day_pruned,
+        "area_counts_incremental": area_jobs.area_counts_incremental,
         "area_top10_all_tasks": area_jobs.area_top10_all_tasks,
         "area_top10_product_sql": sql_surface.area_top10_product_sql,
         "task_params": area_jobs.task_params,
@@ -49,4 +51,5 @@ def all_queries() -> dict[str, Query]:
         "visit_minutely": session_jobs.visit_minutely,
         "category_behavior_count": session_jobs.category_behavior_count,
         "kv_cells": session_jobs.kv_cells,
+        "kv_range_scan": session_jobs.kv_range_scan,
     }

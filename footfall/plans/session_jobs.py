@@ -218,3 +218,22 @@ def kv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = spark.read.parquet(path)
     return cells.select(F.hex("row_key").alias("row_key_hex"), "family", "qualifier",
                         F.hex("value").alias("value_hex"))
+
+
+# The registered scans: a range of user ids in text order, and a prefix of them.
+SCAN_START, SCAN_STOP, SCAN_PREFIX = b"15", b"3", b"7"
+
+
+def kv_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 read path: events per user as cells in row-key order, then a range and a prefix scan."""
+    counts = kv.word_counts(load(spark, sf_dir, "events"), "user_id")
+    path = new_run_dir(spark, "kv_cells")
+    kv.write_cells(kv.to_cells(counts, "word", "count"), path)
+    cells = spark.read.parquet(path)
+
+    def rows(name, found):
+        return found.select(F.lit(name).alias("scan"), F.hex("row_key").alias("row_key_hex"), "family", "qualifier",
+                            kv.be_bytes_long("value").alias("n"))
+
+    return (rows("range", kv.scan_cells(cells, SCAN_START, SCAN_STOP))
+            .unionByName(rows("prefix", kv.scan_cells(cells, prefix=SCAN_PREFIX))))
