@@ -197,13 +197,13 @@ def area_top10_all_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def area_top10_day_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registered task over line-item actions in day folders; those outside its window are pruned."""
+    """A task of three weeks over visit actions in day folders; those outside its window are pruned."""
     ensure_utc(spark)
     path = new_run_dir(spark, "actions_by_day")
-    actions = tb.user_visit_action_big(spark, sf_dir)
+    actions = tb.user_visit_action(spark, sf_dir)
     dp.write_by_day(actions, path)
     by_day = dp.read_by_day(spark, path, actions.schema["action_time"].dataType.simpleString())
-    return dp.task_top_products(by_day, dp.window_days(tb.tasks(spark, sf_dir), REGISTERED_TASK_ID),
+    return dp.task_top_products(by_day, dp.window_days(tb.session_tasks(spark, sf_dir), REGISTERED_TASK_ID),
                                 tb.city_info(spark, sf_dir), tb.product_info(spark, sf_dir), TOP_N,
                                 at.TESTDATA_AREA_LEVELS)
 

@@ -60,7 +60,12 @@ _TASK_CLICKS = """
                          FROM orders WHERE o_orderkey = 0)
 """
 
+_WEEK_CLICKS = f"""{_CLICKS}
+    AND e.ts >= TIMESTAMP '2024-01-05 00:00:00' AND e.ts <= TIMESTAMP '2024-01-25 00:00:00'
+"""
+
 _EV = _area_chain(_CLICKS)
+_WEEKS = _area_chain(_WEEK_CLICKS)
 _TASK = _area_chain(_TASK_CLICKS)
 _BIG = _area_chain(_BIG_CLICKS)
 
@@ -87,7 +92,7 @@ FROM orders JOIN top ON CAST(o_orderdate AS DATE) = first
 
 AREA = {
     "area_top10_all_tasks": _ALL_TASKS,
-    "area_top10_day_pruned": _TASK["top"],
+    "area_top10_day_pruned": _WEEKS["top"],
     "area_counts_incremental": _EV["counts"],
     "visit_click_filter": _CLICKS,
     "click_city_join": _EV["basic"],
