@@ -25,6 +25,10 @@ SPLIT_AT = "2024-01-16 12:00:00"
 # ad reach 4-6 there); the job's default stays the reference's 100.
 TEST_THRESHOLD = 4
 
+# The deployment that sets late clicks apart; no user reaches its threshold.
+RETENTION = "2 days"
+NO_THRESHOLD = 1 << 40
+
 _RUNS: dict[tuple, AdClickStream] = {}
 _ARCHIVED: dict[str, bool] = {}
 
@@ -36,8 +40,7 @@ def _files(spark: SparkSession, path: str) -> tuple:
 
 def deployment(spark: SparkSession, sf_dir: str) -> AdClickStream:
     # a run answers for the input files that it has read
-    key = (spark.sparkContext.applicationId, sf_dir, *(_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
-                                                       for t in ("events", "customer", "nation", "region")))
+    key = _run_key(spark, sf_dir)
     if key not in _RUNS:
         ensure_utc(spark)
         p = AdClickStream(spark, new_run_dir(spark, "adclick"), threshold=TEST_THRESHOLD)
@@ -49,6 +52,27 @@ def deployment(spark: SparkSession, sf_dir: str) -> AdClickStream:
     return _RUNS[key]
 
 
+def late_deployment(spark: SparkSession, sf_dir: str) -> AdClickStream:
+    """The same log, but every seventh of the early lines (by milliseconds) lands with the second arrival."""
+    key = ("late", *_run_key(spark, sf_dir))
+    if key not in _RUNS:
+        ensure_utc(spark)
+        p = AdClickStream(spark, new_run_dir(spark, "adlate"), threshold=NO_THRESHOLD,
+                          state_retention=RETENTION, late_apart=True)
+        p.seed_blacklist(initial_blacklist(spark, sf_dir))
+        lines = ad_log_lines(spark, sf_dir)
+        first = ((F.col("ts") < F.lit(SPLIT_AT).cast(lines.schema["ts"].dataType))
+                 & (F.substring_index("value", " ", 1).cast("bigint") % 7 != 0))
+        p.run_arrivals([lines.where(first), lines.where(~first)])
+        _RUNS[key] = p
+    return _RUNS[key]
+
+
+def _run_key(spark: SparkSession, sf_dir: str) -> tuple:
+    return (spark.sparkContext.applicationId, sf_dir, *(_files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+                                                        for t in ("events", "customer", "nation", "region")))
+
+
 def _out(df: DataFrame) -> DataFrame:
     """Render the typed day as 'yyyy-MM-dd' text for comparison."""
     return df.withColumn("date", format_date("date")) if "date" in df.columns else df
@@ -92,10 +116,27 @@ def ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deployment(spark, sf_dir).ad_province_top3()
 
 
+def ad_late_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks behind the retention when they came, set apart before any count."""
+    t = late_deployment(spark, sf_dir).late_clicks()
+    return _out(t.select("ts_ms", "date", "province", "city", "user_id", "ad_id", "batch_id"))
+
+
+def ad_admitted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User totals of the same deployment: no late click is in them."""
+    t = late_deployment(spark, sf_dir).ad_user_click_total()
+    return _out(t.select("date", "user_id", "ad_id", "click_count"))
+
+
+def ad_admitted_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City counts of the same deployment, which add up to its user totals."""
+    return late_deployment(spark, sf_dir).ad_realtime_stat()
+
+
 def ad_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deployment(spark, sf_dir).bad_lines()
 
 
 __all__ = ["deployment", "ad_log_parse", "ad_blacklist_filter", "daily_user_ad_count",
            "ad_user_click_total", "ad_blacklist_update", "ad_realtime_stat", "ad_province_top3",
-           "ad_bad_lines"]
+           "ad_late_clicks", "ad_admitted_totals", "ad_admitted_city_counts", "late_deployment", "ad_bad_lines"]

@@ -14,6 +14,7 @@ from footfall.operators import area_top as at
 from footfall.operators import area_windows as aw
 from footfall.operators import day_partitions as dp
 from footfall.operators.area_partials import AreaPartials
+from footfall.operators.bucketed import keep_bucketed
 from footfall.session import ensure_utc, new_run_dir, shared_dir
 from footfall.sources import tables as tb
 from footfall.streaming.folded import fs_path
@@ -223,3 +224,20 @@ def area_counts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrival.write.mode("append").parquet(f"{folder}/landed")
         kept.absorb(spark.read.parquet(f"{folder}/landed"), tb.city_info(spark, sf_dir))
     return kept.area_product_clicks()
+
+
+def bucketed_actions(spark: SparkSession, sf_dir: str, folder: str, buckets: int | None = None) -> DataFrame:
+    """Line-item actions from line items and orders kept bucketed by order key; as many buckets
+    as shuffle partitions unless told otherwise."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = keep_bucketed(tb.line_items(spark, sf_dir), "l_orderkey", f"{folder}/line_items", buckets)
+    orders = keep_bucketed(tb.order_cities(spark, sf_dir), "o_orderkey", f"{folder}/order_cities", buckets)
+    return tb.line_actions(li, orders)
+
+
+def area_top10_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Top-N over line-item actions whose large join needs no exchange."""
+    ensure_utc(spark)
+    actions = bucketed_actions(spark, sf_dir, new_run_dir(spark, "bucketed"))
+    return at.area_top_products(actions, tb.city_info(spark, sf_dir), tb.product_info(spark, sf_dir),
+                                BIG_START, BIG_END, TOP_N, at.TESTDATA_AREA_LEVELS)

@@ -50,6 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--trigger", default="5 seconds")
     s.add_argument("--state-retention", default=None,
                    help="drop clicks later than this from city counts and Top-N (not from user totals)")
+    s.add_argument("--late-apart", action="store_true",
+                   help="with --state-retention: late clicks go to a side table before any count")
     s.add_argument("--keep-days", type=int, default=None, help="days of counts kept in a user's state")
     s.add_argument("--max-files-per-trigger", type=int, default=None,
                    help="files that one micro-batch takes (default: all that have landed)")
@@ -102,14 +104,15 @@ def main(argv: list[str] | None = None) -> int:
     p = AdClickStream(spark, args.root or shared_dir(spark, "ad_click"),
                         threshold=args.threshold, state_retention=args.state_retention,
                         stream_partitions=args.stream_partitions, keep_days=args.keep_days,
-                        max_files_per_trigger=args.max_files_per_trigger)
+                        max_files_per_trigger=args.max_files_per_trigger, late_apart=args.late_apart)
     if args.kafka:
         lines = kafka_log_stream(spark, args.kafka, args.topics or "")
     else:
         lines = text_log_stream(spark, args.source or p.source, args.max_files_per_trigger)
-    queries = [p.filter_query(lines, processingTime=args.trigger),
-               p.quarantine_query(lines, processingTime=args.trigger),
-               p.stat_query(processingTime=args.trigger), p.top_query(processingTime=args.trigger)]
+    queries = [p.admit_query(lines, processingTime=args.trigger)] if args.late_apart else []
+    queries += [p.filter_query(lines, processingTime=args.trigger),
+                p.quarantine_query(lines, processingTime=args.trigger),
+                p.stat_query(processingTime=args.trigger), p.top_query(processingTime=args.trigger)]
     try:
         spark.streams.awaitAnyTermination()
     finally:

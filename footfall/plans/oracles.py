@@ -101,6 +101,7 @@ AREA = {
     "area_level": _EV["level"],
     "area_top10_product": _EV["top"],
     "area_top10_product_lineitem": _BIG["top"],
+    "area_top10_bucketed": _BIG["top"],
     "area_top10_product_sql": _EV["top"],
     "area_top10_persist": f"SELECT CAST(1 AS BIGINT) AS task_id, t.* FROM ({_EV['top']}) t",
     "area_top10_task": f"SELECT CAST(0 AS BIGINT) AS task_id, t.* FROM ({_TASK['top']}) t",
@@ -163,6 +164,31 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY date_key, province
 WHERE rn <= 3""",
 }
 
+# Every seventh event from before the split lands with the second arrival, whose clicks are late
+# if their day ended two days or more before the newest click of the first.
+_LATE = """
+WITH log AS (
+  SELECT epoch_us(e.ts) // 1000 AS ts_ms, strftime(e.ts, '%Y-%m-%d') AS date, strftime(e.ts, '%Y%m%d') AS date_key,
+         replace(r.r_name, ' ', '-') AS province, n.n_name AS city, e.user_id,
+         CAST(list_position(['click', 'view', 'purchase', 'signup', 'error'], e.event_type) AS BIGINT) AS ad_id, e.ts,
+         CAST(CASE WHEN e.ts < TIMESTAMP '2024-01-16 12:00:00' AND (epoch_us(e.ts) // 1000) % 7 <> 0 THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey
+       JOIN region r ON n.n_regionkey = r.r_regionkey),
+judged AS (
+  SELECT *, batch_id = 1 AND date_trunc('day', ts) + INTERVAL 1 DAY
+            <= (SELECT make_timestamp(max(ts_ms) * 1000) FROM log WHERE batch_id = 0) - INTERVAL 2 DAY AS late
+  FROM log),
+kept AS (SELECT * FROM judged WHERE coalesce(NOT late, TRUE)
+         AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal < 0 AND c.c_custkey = judged.user_id))
+"""
+
+AD |= {
+    "ad_late_clicks": _LATE + "SELECT ts_ms, date, province, city, user_id, ad_id, batch_id FROM judged WHERE late",
+    "ad_admitted_totals": _LATE + "SELECT date, user_id, ad_id, COUNT(*) AS click_count FROM kept GROUP BY ALL",
+    "ad_admitted_city_counts": _LATE + "SELECT date_key, province, city, ad_id, COUNT(*) AS click_count FROM kept GROUP BY ALL",
+}
+
 
 # --- J4 / J5 / J3: sessions, behaviour, cells ---------------------------------
 

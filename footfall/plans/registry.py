@@ -25,6 +25,7 @@ def all_queries() -> dict[str, Query]:
         "area_top10_task": area_jobs.area_top10_task,
         "area_top10_day_pruned": area_jobs.area_top10_day_pruned,
         "area_counts_incremental": area_jobs.area_counts_incremental,
+        "area_top10_bucketed": area_jobs.area_top10_bucketed,
         "area_top10_all_tasks": area_jobs.area_top10_all_tasks,
         "area_top10_product_sql": sql_surface.area_top10_product_sql,
         "task_params": area_jobs.task_params,
@@ -36,6 +37,9 @@ def all_queries() -> dict[str, Query]:
         "ad_blacklist_update": ad_jobs.ad_blacklist_update,
         "ad_realtime_stat": ad_jobs.ad_realtime_stat,
         "ad_province_top3": ad_jobs.ad_province_top3,
+        "ad_late_clicks": ad_jobs.ad_late_clicks,
+        "ad_admitted_totals": ad_jobs.ad_admitted_totals,
+        "ad_admitted_city_counts": ad_jobs.ad_admitted_city_counts,
         # J4 / J5 sessions and behaviour, J3 cells
         "session_attr_extract": session_jobs.session_attr_extract,
         "session_attr_update": session_jobs.session_attr_update,

@@ -61,10 +61,23 @@ def user_visit_action_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     largest table is shuffled once (on the order key); joining line items to
     orders first would shuffle the joined line items again by customer.
     """
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    return line_actions(line_items(spark, sf_dir), order_cities(spark, sf_dir))
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+
+
+def order_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders placed in their customer's city."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    order_city = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    return (orders.join(customer, orders.o_custkey == customer.c_custkey)
+            .select("o_orderkey", "o_custkey", "c_nationkey"))
+
+
+def line_actions(li: DataFrame, order_city: DataFrame) -> DataFrame:
+    """Visit actions of line items and of orders with their city."""
     return (li.join(order_city, li.l_orderkey == order_city.o_orderkey)
             .select(F.col("o_custkey").alias("user_id"),
                     F.col("l_shipdate").alias("action_time"),

@@ -18,6 +18,12 @@ Three chained queries (one checkpoint each):
   batch updated; a batch reads one partition of the Top-N table for each
   day it touches, the last one, and nothing else.
 
+With ``late_apart`` an **admit query** comes first: clicks whose day had ended
+``state_retention`` or more before the newest click of all earlier micro-batches go to a side
+table, and the filter query reads the others. So user totals, city counts and Top-N count the
+same clicks, and the side table has the rest. The newest time is one row for each batch, kept
+by batch, so a replay judges alike. A click from the future moves that time, as it would a watermark.
+
 Filtered clicks are published by renaming a finished folder, which holds Spark's
 completion mark; a folder without the mark is a leftover and is replaced. A
 replayed batch skips a published folder, so the next queries never read a batch twice.
@@ -91,7 +97,8 @@ class AdClickStream:
                  state_retention: str | None = None,
                  stream_partitions: int | None = None,
                  keep_days: int | None = None,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None,
+                 late_apart: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.threshold = threshold
@@ -111,6 +118,15 @@ class AdClickStream:
         # Admission control: files of the log, or folders' files of filtered clicks, that one
         # micro-batch of any query takes; None takes all that have landed.
         self.max_files_per_trigger = max_files_per_trigger
+        # Admitted clicks stay in their batches behind the admit query (a batch split over two
+        # would be judged by its own first half), so the setting above bounds that query only.
+        self.late_apart = late_apart
+        if late_apart and not state_retention:
+            raise ValueError("late_apart needs state_retention")
+        self._files_behind = None if late_apart else max_files_per_trigger
+        if late_apart:
+            for p in (self.admitted, self.late, self.newest):
+                make_dirs(spark, p)
         for p in (self.source, self.filtered, self.seed, self.top, self.bad):
             make_dirs(spark, p)
         self.counts = FoldedTable(spark, self._p("tables/ad_user_click_count"), COUNT_SCHEMA, "date")
@@ -126,6 +142,9 @@ class AdClickStream:
     seed = property(lambda self: self._p("tables/seed_list"))
     top = property(lambda self: self._p("tables/ad_province_top"))
     bad = property(lambda self: self._p("tables/bad_lines"))
+    admitted = property(lambda self: self._p("tables/admitted_clicks"))
+    late = property(lambda self: self._p("tables/late_clicks"))
+    newest = property(lambda self: self._p("tables/newest_click"))
 
     def _read(self, path: str, schema: str, spark: SparkSession | None = None) -> DataFrame:
         return (spark or self.spark).read.schema(schema).parquet(path)
@@ -143,13 +162,52 @@ class AdClickStream:
     def log_stream(self) -> DataFrame:
         return text_log_stream(self.spark, self.source, self.max_files_per_trigger)
 
+    # --- query 0, with late_apart: late clicks to a side table ---------------
+    def admit_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
+        lines = lines if lines is not None else self.log_stream()
+        return self._start(ac.good_clicks(ac.parse_log(lines)).writeStream
+                           .foreachBatch(self._admit_batch)
+                           .option("checkpointLocation", self._p("checkpoints/admit"))
+                           .trigger(**(trigger or {"processingTime": "5 seconds"})))
+
+    def _admit_batch(self, clicks: DataFrame, batch_id: int) -> None:
+        n = int(batch_id)
+        spark = clicks.sparkSession
+        older = [(int(v), p) for v, p, _ in partitions(spark, self.newest, "batch_id") if int(v) < n]
+        before = spark.read.schema("newest TIMESTAMP").parquet(max(older)[1]) if older else None
+        last = before.first()["newest"] if before is not None else None
+        for v, p in sorted(older)[:-TOP_KEPT]:
+            delete(spark, p)
+        clicks = clicks.select(*cs.CLICK_COLUMNS).persist()
+        try:
+            horizon = F.lit(last).cast("timestamp") - F.expr(f"interval {self.state_retention}")
+            is_late = F.coalesce(F.date_add("date", 1).cast("timestamp") <= horizon, F.lit(False))
+            batch = F.lit(n).cast("bigint").alias("batch_id")
+            newest = clicks.agg(F.greatest(F.max("click_time"), F.lit(last).cast("timestamp")).alias("newest"))
+            _run_concurrently(
+                lambda: overwrite_partitions(clicks.where(is_late).select("*", batch), self.late, "batch_id"),
+                lambda: overwrite_partitions(newest.select("newest", batch), self.newest, "batch_id"))
+            # last, so that a batch is admitted once all else of it is kept
+            self._publish(clicks.where(~is_late), n, self.admitted)
+        finally:
+            clicks.unpersist()
+
+    def late_clicks(self) -> DataFrame:
+        """Clicks that no count has, by the batch of the admit query that met them."""
+        return self._read(self.late, FILTERED_SCHEMA)
+
     # --- query 1: blacklist filter, daily counts, blacklist update ---------
+    def _clicks(self, lines: DataFrame | None) -> DataFrame:
+        if self.late_apart:
+            return self.spark.readStream.schema(FILTERED_SCHEMA).parquet(self.admitted).drop("batch_id")
+        return ac.good_clicks(ac.parse_log(lines if lines is not None else self.log_stream()))
+
     def filter_query(self, lines: DataFrame | None = None, **trigger) -> StreamingQuery:
-        lines = lines if lines is not None else self.log_stream()
+        """``lines`` is for a deployment without an admit query, which reads the log otherwise."""
         seed = self._read(self.seed, "user_id BIGINT")
         # both uses of the clicks have this exchange and its columns in common, so Spark runs it once
         # and reads the log once; the time in its key spreads a hot user
-        clicks = ac.drop_blacklisted(ac.good_clicks(ac.parse_log(lines)), seed).repartition("user_id", "ts_ms")
+        clicks = ac.drop_blacklisted(self._clicks(lines), seed).repartition("user_id", "ts_ms")
         counts = clicks.mapInArrow(cs.task_counts, cs.COUNTS_SCHEMA)
         steps = counts.groupBy("user_id").applyInPandasWithState(
             cs.user_step(self.threshold, self.keep_days), cs.OUTPUT_SCHEMA, cs.STATE_SCHEMA, "update", "NoTimeout")
@@ -190,9 +248,12 @@ class AdClickStream:
             steps.unpersist()
 
     def publish_filtered(self, clicks: DataFrame, batch: int) -> None:
+        self._publish(clicks, batch, self.filtered)
+
+    def _publish(self, clicks: DataFrame, batch: int, table: str) -> None:
         """Write a batch's clicks beside the table and rename the finished folder into it."""
-        final, fs = fs_path(self.spark, f"{self.filtered}/batch_id={batch}")
-        mark, _ = fs_path(self.spark, f"{self.filtered}/batch_id={batch}/_SUCCESS")
+        final, fs = fs_path(self.spark, f"{table}/batch_id={batch}")
+        mark, _ = fs_path(self.spark, f"{table}/batch_id={batch}/_SUCCESS")
         if fs.exists(mark):
             return
         staged = self._p(f"staging/filtered-{batch}-{uuid.uuid4().hex[:8]}")
@@ -204,8 +265,8 @@ class AdClickStream:
     # --- queries 2 and 3: running city counts, province Top-N ---------------
     def _filtered_stream(self) -> DataFrame:
         reader = self.spark.readStream.schema(FILTERED_SCHEMA)
-        if self.max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
+        if self._files_behind:
+            reader = reader.option("maxFilesPerTrigger", str(self._files_behind))
         clicks = reader.parquet(self.filtered)
         return clicks.withWatermark("click_time", self.state_retention) if self.state_retention else clicks
 
@@ -288,6 +349,8 @@ class AdClickStream:
         behind: list[StreamingQuery] = []
         for lines in arrivals:
             self.append_log(lines)
+            if self.late_apart:
+                self.admit_query(availableNow=True).awaitTermination()
             self.filter_query(availableNow=True).awaitTermination()
             for q in behind:
                 q.awaitTermination()
@@ -300,6 +363,8 @@ class AdClickStream:
         """Process everything that has landed, then stop (tests, backfills)."""
         # the downstream queries must start after the filter query has committed
         quarantine = self.quarantine_query(availableNow=True)
+        if self.late_apart:
+            self.admit_query(availableNow=True).awaitTermination()
         self.filter_query(availableNow=True).awaitTermination()
         for q in (self.stat_query(availableNow=True), self.top_query(availableNow=True), quarantine):
             q.awaitTermination()

@@ -149,3 +149,36 @@ def test_the_state_step_adds_partial_counts():
     assert list(second["kind"]) == [cs.COUNT, cs.LISTED] and list(second["total"])[0] == 8
     third = pd.concat(step((1,), iter([part]), state))
     assert list(third["kind"]) == [cs.BARRED]
+
+
+def test_bucketed_line_items_join_without_an_exchange(spark, run_dir):
+    from footfall.sources import tables as tb
+    sf = "/root/testdata/sf0.001"
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = area_jobs.bucketed_actions(spark, sf, run_dir, buckets=6)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+        want = tb.user_visit_action_big(spark, sf)
+        assert "Exchange" in want._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert _rows(got) == _rows(want)
+    files = [f for f in os.listdir(local_path(f"{run_dir}/line_items")) if f.endswith(".parquet")]
+    assert len(files) <= 6
+
+
+def test_a_hot_key_is_kept_without_buckets(spark, run_dir, monkeypatch):
+    from footfall.operators import bucketed as bk
+    monkeypatch.setattr(bk, "LEAST_ROWS", 10)
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    assert not bk.even(rows, "k", 32) and bk.even(rows.select("id"), "id", 32)
+    assert bk.even(rows.limit(0), "k", 32)
+    hot = bk.keep_bucketed(rows, "k", f"{run_dir}/hot", 32)
+    assert hot.count() == 3000 and "Bucketed: true" not in hot._jdf.queryExecution().executedPlan().toString()
+    assert bk.keep_bucketed(rows.limit(0), "k", f"{run_dir}/none", 4).count() == 0
+    nulls = bk.keep_bucketed(spark.createDataFrame([(None, 1), (2, 2)], "k long, id long"), "k", f"{run_dir}/nulls", 4)
+    assert _rows(nulls) == _rows(spark.createDataFrame([(None, 1), (2, 2)], "k long, id long"))
