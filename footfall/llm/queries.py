@@ -66,10 +66,10 @@ def op8_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: what stays of its text and how many lines went."""
-    out = line_chunks.without_repeats(table(spark, sf_dir, "documents"), run_folder(spark, "op9"),
-                                      line_chunks.passages)
-    return out.select("row.doc_id", F.col("removed").alias("n_removed_chunks"), "text")
+    """Per document: what stays of its text, how many runs of chunks went, of how many lines."""
+    out = line_chunks.without_repeats(table(spark, sf_dir, "documents"), run_folder(spark, "op9"))
+    return out.select("row.doc_id", F.col("runs").alias("n_removed_chunks"),
+                      F.col("removed").alias("n_removed_lines"), "text")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
