@@ -3,18 +3,20 @@
 Instead of holding every session against every task, both sides are reduced and meet
 through an inverted index of conditions:
 
-* Sessions that agree in what filters look at form classes with their counts per
-  statistics bucket: user classes (age, professional, city, sex) and activity classes
-  (keyword and category lists), by day.
+* Sessions that agree in what filters look at and in their statistics buckets form classes
+  (age, professional, city, sex, keyword and category lists, by day) with their number.
 * A task is a user filter, an activity filter and a date window; equal ones are
-  kept once. A filter is a number of conditions, each with the elements that satisfy it:
-  list parameters by element, and ranges by the classes' values inside them, which a sweep over
-  sorted bounds and values turns into ranks.
-* Elements join classes, and a class passes a filter if the conditions met are as many as
+  kept once. An activity filter is a number of conditions, each with the elements that satisfy it;
+  elements join the classes of lists, and a class passes if the conditions met are as many as
   the filter has. Absent parameters are no conditions, so they accept; a filter
   without any has the one condition that all classes meet.
-* Passing classes join the tasks' combinations by key. No join compares ranges or
-  evaluates predicates.
+* A user filter sums over keys (professional, city, sex): one for each of its listed values, and
+  ``ANY`` where it has no condition. Classes are counted under the keys they fall in (at most
+  eight), for each activity filter that they pass; so filters join counts by key and no filter
+  meets a class of sessions.
+* The age range is tested on the counts of a key (at most one for each age, day and bucket), the
+  window on the counts per day of a pair of filters; both are bounded by the days and
+  ages there are, not by sessions.
 
 The rules are those of ``sessions.typed_conditions``: a range needs two whole
 bounds, a missing or empty value rejects, and a list parameter without elements rejects all.
@@ -29,11 +31,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as fc
-from footfall.functions.aggregates import count_if
 from footfall.operators import sessions as ss
 from footfall.operators.area_windows import task_windows
 
 USER, ACTIVITY = ["age", "professional", "city", "sex"], ["search_keywords", "click_category_ids"]
+KEY, ANY = ["professional", "city", "sex"], "*"
 BUCKETS = [name for name, _, _ in ss.VISIT_BUCKETS + ss.STEP_BUCKETS]
 
 
@@ -58,17 +60,21 @@ def points_inside(points: DataFrame, ranges: DataFrame, keys: list[str]) -> Data
     return spread.join(ranked, "rank").select(*keys, "value")
 
 
-def class_counts(facts: DataFrame, users: DataFrame) -> DataFrame:
-    """day, whole (false: first instants alone), the attributes, session_count and the count
-    of each bucket. ``facts`` has a row for each user and day, with ``whole``."""
-    def inside(c: str, low: int, high: int | None, closed: bool) -> Column:
-        x = F.col(c)
-        return x >= low if high is None else (x >= low) & ((x <= high) if closed else (x < high))
+def _bucket(c: str, buckets: list, closed: bool) -> Column:
+    """The number of the bucket that holds ``c``, null if none does."""
+    x = F.col(c)
+    return F.coalesce(*[F.when((x >= low) if high is None else
+                               (x >= low) & ((x <= high) if closed else (x < high)), F.lit(i))
+                        for i, (_, low, high) in enumerate(buckets)])
+
 
-    counts = [F.count(F.lit(1)).alias("session_count")]
-    counts += [count_if(inside("visit_length", lo, hi, False)).alias(name) for name, lo, hi in ss.VISIT_BUCKETS]
-    counts += [count_if(inside("step_length", lo, hi, True)).alias(name) for name, lo, hi in ss.STEP_BUCKETS]
-    return facts.join(users, "user_id").groupBy("day", "whole", *USER, *ACTIVITY).agg(*counts)
+def class_counts(facts: DataFrame, users: DataFrame) -> DataFrame:
+    """day, whole (false: first instants alone), the attributes, visit and step (numbers of the
+    buckets, which exclude each other) and n, the sessions. ``facts`` has a row for each user and
+    day, with ``whole``."""
+    return (facts.withColumn("visit", _bucket("visit_length", ss.VISIT_BUCKETS, False))
+            .withColumn("step", _bucket("step_length", ss.STEP_BUCKETS, True)).join(users, "user_id")
+            .groupBy("day", "whole", *USER, *ACTIVITY, "visit", "step").agg(F.count(F.lit(1)).alias("n")))
 
 
 def filter_specs(tasks: DataFrame) -> DataFrame:
@@ -96,41 +102,40 @@ def filter_specs(tasks: DataFrame) -> DataFrame:
     return task_windows(tasks).join(params, "task_id")
 
 
-def _passing(filters: DataFrame, elements: DataFrame, needed: Column, classes: DataFrame, held: Column,
-             name: str, keys: list[str]) -> DataFrame:
-    """(filter ``name``, class ``keys``) of the classes that meet every condition. ``elements``
-    has (name, field, value), ``held`` gives a class's array of (field, value)."""
-    wanted = filters.select(name, needed.alias("needed"))
-    every = elements.unionByName(wanted.where("needed = 0").select(name, F.lit("*").alias("field"), F.lit("*").alias("value")))
-    of_class = classes.select(*keys, F.inline(F.array_distinct(F.concat(
-        held, F.array(F.struct(F.lit("*").alias("field"), F.lit("*").alias("value")))))))
-    met = of_class.join(every.distinct(), ["field", "value"]).groupBy(name, *keys).agg(
-        F.count_distinct("field").alias("met"))
-    return met.join(wanted, name).where(F.col("met") == F.greatest("needed", F.lit(1))).select(name, *keys)
-
-
 def _pair(field: str, value: Column) -> Column:
     return F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"))
 
 
-def passing_users(specs: DataFrame, classes: DataFrame) -> DataFrame:
-    """user (a filter) and the attributes of the user classes that it accepts."""
+def _hash(name: str) -> Column:
+    """Stands for the text of a filter in joins and groups."""
+    return F.unhex(F.sha2(name, 256))
+
+
+def _value_key(value: Column) -> Column:
+    return F.concat(F.lit("="), value)
+
+
+def asked_keys(pairs: DataFrame) -> DataFrame:
+    """u, a, low, high and KEY: a row for each key that the user filter of a pair (user,
+    activity, u, a) sums over. A list without elements has no key and so accepts nobody."""
     shape = "struct<low: bigint, high: bigint, professional: array<string>, city: array<string>, sex: string>"
-    filters = specs.select("user").distinct().withColumn("p", F.from_json("user", shape))
-    number = F.col("p.low").isNotNull().cast("int")
-    for field in ("professional", "city", "sex"):
-        number = number + F.col(f"p.{field}").isNotNull().cast("int")
-    ages = classes.select(F.col("age").cast("bigint").alias("value")).where("value is not null").distinct()
-    ranges = filters.where("p.low is not null").select("user", "p.low", "p.high")
-    elements = points_inside(ages, ranges, ["user"]).select(
-        "user", F.lit("age").alias("field"), F.col("value").cast("string").alias("value"))
-    for field in ("professional", "city"):
-        elements = elements.unionByName(filters.select("user", F.lit(field).alias("field"), F.explode(f"p.{field}").alias("value"))
-                                        .where("value <> ''"))
-    elements = elements.unionByName(filters.where("p.sex is not null").select(
-        "user", F.lit("sex").alias("field"), F.col("p.sex").alias("value")))
-    held = F.filter(F.array(*[_pair(c, F.col(c)) for c in USER]), lambda x: x["value"].isNotNull())
-    return _passing(filters, elements, number, classes.select(*USER).distinct(), held, "user", USER)
+
+    def listed(field: str) -> Column:
+        values = F.filter(F.array_distinct(f"p.{field}"), lambda x: x != "")
+        return F.when(F.col(f"p.{field}").isNull(), F.array(F.lit(ANY))).otherwise(F.transform(values, _value_key))
+
+    return (pairs.withColumn("p", F.from_json("user", shape))
+            .select("u", "a", "p.low", "p.high", F.explode(listed("professional")).alias("professional"),
+                    listed("city").alias("city"), F.coalesce(_value_key(F.col("p.sex")), F.lit(ANY)).alias("sex"))
+            .select("u", "a", "low", "high", "professional", F.explode("city").alias("city"), "sex"))
+
+
+def keyed_classes(classes: DataFrame) -> DataFrame:
+    """``classes`` counted under each key that they fall in; a missing value has no key but ANY."""
+    out = classes
+    for c in KEY:
+        out = out.withColumn(c, F.explode(F.array_compact(F.array(F.lit(ANY), _value_key(F.col(c))))))
+    return out.groupBy(*KEY, "age", "day", "whole", *ACTIVITY, "visit", "step").agg(F.sum("n").alias("n"))
 
 
 def passing_activities(specs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -147,8 +152,16 @@ def passing_activities(specs: DataFrame, classes: DataFrame) -> DataFrame:
         pieces = F.coalesce(fc.split_list(F.nullif(F.col(field), F.lit(""))), F.array().cast("array<string>"))
         return F.transform(pieces, lambda x: _pair(field, x))
 
-    held = [pairs(field) for field in ACTIVITY]
-    return _passing(filters, elements, number, classes.select(*ACTIVITY).distinct(), F.concat(*held), "activity", ACTIVITY)
+    every = F.struct(F.lit("*").alias("field"), F.lit("*").alias("value"))
+    wanted = filters.select("activity", number.alias("needed"))
+    elements = elements.unionByName(wanted.where("needed = 0").select("activity", F.inline(F.array(every))))
+    held = F.concat(*[pairs(field) for field in ACTIVITY], F.array(every))
+    of_class = classes.select(*ACTIVITY).distinct().select(*ACTIVITY, F.inline(F.array_distinct(held)))
+    field = F.when(F.col("field") == ACTIVITY[0], 1).when(F.col("field") == ACTIVITY[1], 2).otherwise(4)
+    met = of_class.join(elements.distinct(), ["field", "value"]).groupBy("activity", *ACTIVITY).agg(
+        F.bit_count(F.bit_or(field)).alias("met"))
+    return (met.join(wanted, "activity").where(F.col("met") == F.greatest("needed", F.lit(1)))
+            .select("activity", *ACTIVITY))
 
 
 def _eq(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
@@ -162,24 +175,24 @@ def all_tasks_stat(specs: DataFrame, classes: DataFrame) -> DataFrame:
     """task_id and the statistics of the sessions that its filters and window accept; a task
     whom no session suits has a count of 0. Both ``specs`` (of ``filter_specs``) and ``classes`` are
     read several times and should be stored."""
-    days = classes.select(F.col("day").alias("value")).distinct()
-    wanted = specs.select("first", "last").distinct()
-    inside = points_inside(days, wanted.select("first", "last", F.col("first").alias("low"), F.col("last").alias("high")),
-                           ["first", "last"]).withColumnRenamed("value", "day")
-    users, activities = passing_users(specs, classes), passing_activities(specs, classes)
-    combos = specs.select("user", "activity", "first", "last").distinct()
-    # classes are narrowed by user filter, then by what its tasks ask for
-    some = classes.join(users, _eq(classes, users, USER)).select("user", "day", "whole", *[classes[c] for c in ACTIVITY],
-                                                               "session_count", *BUCKETS)
-    totals = ["session_count", *BUCKETS]
-    some = some.groupBy("user", "day", "whole", *ACTIVITY).agg(*[F.sum(c).alias(c) for c in totals])
-    some = some.join(activities, _eq(some, activities, ACTIVITY)).select("user", "activity", "day", "whole", *totals)
-    some = some.groupBy("user", "activity", "day", "whole").agg(*[F.sum(c).alias(c) for c in totals])
+    specs = specs.withColumn("u", _hash("user")).withColumn("a", _hash("activity"))
+    asked = asked_keys(specs.select("user", "activity", "u", "a").distinct())
+    keyed = keyed_classes(classes).join(asked.select(*KEY).distinct(), KEY, "left_semi")
+    activities = passing_activities(specs, classes).withColumn("a", _hash("activity"))
+    # dealt as the join below needs them
+    counts = (keyed.join(activities, _eq(keyed, activities, ACTIVITY)).select("a", *KEY, "age", "day", "whole", "visit", "step", "n")
+              .repartition("a", *KEY)
+              .groupBy("a", *KEY, "age", "day", "whole", "visit", "step").agg(F.sum("n").alias("n")))
+    of_pair = asked.join(counts, ["a", *KEY]).where("low is null or age between low and high")
+    totals = [F.sum("n").alias("session_count")]
+    for c, buckets in (("visit", ss.VISIT_BUCKETS), ("step", ss.STEP_BUCKETS)):
+        totals += [F.sum(F.when(F.col(c) == i, F.col("n")).otherwise(0)).alias(name) for i, (name, _, _) in enumerate(buckets)]
+    days = of_pair.groupBy("u", "a", "day", "whole").agg(*totals)
     # the last day counts with its first instants, the others whole
-    met = some.join(combos, ["user", "activity"]).join(inside, ["first", "last", "day"]).where(
-        F.col("whole") == (F.col("day") < F.col("last")))
-    stat = met.groupBy("user", "activity", "first", "last").agg(*[F.sum(c).alias(c) for c in totals])
-    out = specs.join(stat, ["user", "activity", "first", "last"], "left")
+    met = days.join(specs.select("u", "a", "first", "last").distinct(), ["u", "a"]).where(
+        F.col("day").between(F.col("first"), F.col("last")) & (F.col("whole") == (F.col("day") < F.col("last"))))
+    stat = met.groupBy("u", "a", "first", "last").agg(*[F.sum(c).alias(c) for c in ("session_count", *BUCKETS)])
+    out = specs.join(stat, ["u", "a", "first", "last"], "left")
     n = F.coalesce("session_count", F.lit(0)).cast("bigint")
     return out.select("task_id", n.alias("session_count"),
                       *[fc.ratio_2dp(F.coalesce(c, F.lit(0)), n).alias(c) for c in BUCKETS])

@@ -136,3 +136,21 @@ def test_points_inside_ranges(spark):
                                    "name string, low long, high long")
     got = fi.points_inside(points, ranges, ["name"]).collect()
     assert sorted(map(tuple, got)) == [("a", 1), ("a", 3), ("a", 5), ("a", 9), ("b", 3), ("b", 5), ("d", 9)]
+
+
+def test_a_user_filter_sums_over_keys_not_classes(spark):
+    """A filter asks for a key per listed value, a class is counted under eight keys at most."""
+    tasks = _tasks(spark, [p | _days(0, 3) for p in (
+        {"professionals": ["dev,,ops,dev"], "cities": ["Rome"]}, {"sex": ["male"], "startAge": ["20"], "endAge": ["30"]},
+        {"professionals": [","]})])
+    specs = fi.filter_specs(tasks).withColumn("u", F.col("user")).withColumn("a", F.col("activity"))
+    asked = fi.asked_keys(specs.select("user", "activity", "u", "a").distinct()).collect()
+    assert sorted((r.low, r.high, r.professional, r.city, r.sex) for r in asked if r.low is None) == [
+        (None, None, "=dev", "=Rome", "*"), (None, None, "=ops", "=Rome", "*")]
+    assert [(r.low, r.high, r.professional, r.city, r.sex) for r in asked if r.low] == [(20, 30, "*", "*", "=male")]
+    classes = spark.createDataFrame(
+        [(0, True, 20 + i % 3, "dev", f"c{i}", None if i % 2 else "male", "click", None, 1, 0, 2) for i in range(50)],
+        "day int, whole boolean, age int, professional string, city string, sex string, search_keywords string, "
+        "click_category_ids string, visit int, step int, n long")
+    keyed = fi.keyed_classes(classes).where("professional = '=dev' and city = '*'").groupBy("sex").agg(F.sum("n")).collect()
+    assert sorted(map(tuple, keyed)) == [("*", 100), ("=male", 50)]
