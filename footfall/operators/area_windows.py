@@ -6,7 +6,8 @@ once per (day, area, product, city) and no click is joined with a task:
 * Windows of one length slide over the days. A day's count enters the window that
   ends with it and leaves the one that starts behind it; the running sum of these changes,
   per (length, area, product), is the count of each window as a step function of its
-  start. Its steps are met only with starts that some task has.
+  start. Its steps are met only with starts that some task has, and spread over those
+  alone at which fewer than N products of the area have a larger count for certain.
 * The Top-N of each (window, area) is cut before the shuffle by window.
 * City lists are made for the rows of the Top-N alone, from the daily counts of their
   days.
@@ -29,6 +30,9 @@ from footfall.functions.aggregates import group_concat_distinct
 from footfall.functions.columns import concat_long_string, task_param
 from footfall.operators import area_top as at
 
+# Counts up to here have a level of their own.
+FINE = 64
+
 
 def _day(text: Column) -> Column:
     bare = text.rlike(r"^\d{4}-\d{2}-\d{2}$")
@@ -61,30 +65,68 @@ def daily_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame) ->
     return counted.join(known, "product_id", "left_semi")
 
 
-def window_counts(daily: DataFrame, windows: DataFrame) -> DataFrame:
-    """first, last, area, product_id, click_count of each distinct window (first, last) with
-    clicks. The distinct lengths, at most one for each day of the longest window, are read
-    to the driver."""
+def window_steps(daily: DataFrame, windows: DataFrame) -> DataFrame:
+    """span, area, product_id, click_count, low, high: the windows of length ``span`` that start
+    from day ``low`` to day ``high`` have ``click_count`` clicks; ``base`` is the first start that
+    a task has, and ``days`` how many there are up to the last. The distinct lengths, at most one for each day of the
+    longest window, are read to the driver."""
     spans = windows.select((F.col("last") - F.col("first")).alias("span"), "first")
-    edge = spans.groupBy("span").agg(F.min("first").alias("low"), F.max("first").alias("high")).collect()
-    lengths = F.array(*[F.struct(F.lit(r.span).alias("span"), F.lit(r.low).alias("low"), F.lit(r.high).alias("high"))
-                        for r in edge]).cast("array<struct<span: int, low: int, high: int>>")
+    edge = spans.groupBy("span").agg(F.min("first").alias("base"), F.max("first").alias("end")).collect()
+    lengths = F.array(*[F.struct(F.lit(r.span).alias("span"), F.lit(r.base).alias("base"), F.lit(r.end).alias("end"))
+                        for r in edge]).cast("array<struct<span: int, base: int, end: int>>")
     counts = daily.groupBy("half", "area", "product_id").agg(F.sum("n").alias("n"))
     each = counts.select("half", "area", "product_id", "n", F.inline(lengths))
     changes = each.select(
-        "span", "low", "high", "area", "product_id",
+        "span", "base", "end", "area", "product_id",
         F.inline(F.array(F.struct((F.col("half") - 2 * F.col("span")).alias("start"), F.col("n").alias("change")),
                          F.struct((F.col("half") + 1).alias("start"), (-F.col("n")).alias("change")))))
-    key = ["span", "low", "high", "area", "product_id"]
+    key = ["span", "base", "end", "area", "product_id"]
     by_start = Window.partitionBy(*key).orderBy("start")
     steps = (changes.groupBy(*key, "start").agg(F.sum("change").alias("change"))
-             .select(*key, "start", F.lead("start").over(by_start).alias("until"),
+             .select(*key, F.col("start"), F.lead("start").over(by_start).alias("until"),
                      F.sum("change").over(by_start).alias("click_count"))
              .where("click_count > 0"))
     # the days on which a window of this step can start
-    low = F.greatest(F.ceil(F.col("start") / 2).cast("int"), F.col("low"))
-    high = F.least(F.floor((F.col("until") - 1) / 2).cast("int"), F.col("high"))
-    starts = steps.withColumn("first", F.explode(F.when(low <= high, F.sequence(low, high))))
+    low = F.greatest(F.ceil(F.col("start") / 2).cast("int"), F.col("base"))
+    high = F.least(F.floor((F.col("until") - 1) / 2).cast("int"), F.col("end"))
+    return steps.select("span", "base", (F.col("end") - F.col("base") + 1).alias("days"), "area", "product_id",
+                        "click_count", low.alias("low"), high.alias("high")).where("low <= high")
+
+
+def least_counts(steps: DataFrame, n: int) -> DataFrame:
+    """span, area and ``least``: for each start from ``base`` on, a count that ``n`` products of the
+    window reach, so that products below it are not among its Top-N (1 where there are fewer).
+    Steps are counted by level (counts up to ``FINE``, powers of two beyond), never spread over
+    their days; there is a row for each length and area."""
+    count = F.col("click_count")
+    level = F.when(count <= FINE, count).otherwise(F.expr("shiftleft(1L, int(floor(log2(click_count + 0.5D))))"))
+    marks = steps.select("span", "base", "days", "area", level.cast("bigint").alias("level"), F.inline(F.array(
+        F.struct(F.col("low").alias("day"), F.lit(1).alias("change")),
+        F.struct((F.col("high") + 1).alias("day"), F.lit(-1).alias("change")))))
+    key = ["span", "base", "days", "area"]
+    by_day = Window.partitionBy(*key, "level").orderBy("day")
+    held = (marks.groupBy(*key, "level", "day").agg(F.sum("change").alias("change"))
+            .select(*key, "level", "day", F.lead("day").over(by_day).alias("until"), F.sum("change").over(by_day).alias("held"))
+            .where("held > 0").select(*key, "level", "held", F.explode(F.sequence("day", F.col("until") - 1)).alias("day")))
+    above = F.sum("held").over(Window.partitionBy(*key, "day").orderBy(F.col("level").desc()))
+    reached = (held.withColumn("above", above).where(F.col("above") >= n)
+               .groupBy(*key, "day").agg(F.max("level").alias("level")))
+    of_day = F.map_from_entries(F.collect_list(F.struct("day", "level")))
+    return (reached.groupBy(*key).agg(of_day.alias("of_day")).select("span", "area", F.transform(
+        F.sequence(F.lit(0), F.col("days") - 1), lambda i: F.coalesce(F.try_element_at("of_day", F.col("base") + i), F.lit(1))).alias("least")))
+
+
+def window_counts(daily: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """first, last, area, product_id, click_count of each distinct window (first, last) with
+    clicks: of the products that can be among its ``n`` largest."""
+    steps = window_steps(daily, windows)
+    # a row for each length and area, an entry for each start
+    steps = steps.join(F.broadcast(least_counts(steps, n)), ["span", "area"], "left")
+    least = F.array_min(F.slice("least", F.col("low") - F.col("base") + 1, F.col("high") - F.col("low") + 1))
+    some = steps.where(F.col("click_count") >= F.coalesce(least, F.lit(1)))
+    starts = some.select("span", "area", "product_id", "click_count", F.explode(F.filter(
+        F.sequence("low", "high"),
+        lambda d: F.col("click_count") >= F.coalesce(F.get("least", d - F.col("base")), F.lit(1)))).alias("first"))
     wanted = windows.select("first", "last").distinct().withColumn("span", F.col("last") - F.col("first"))
     return starts.join(wanted, ["span", "first"]).select("first", "last", "area", "product_id", "click_count")
 
@@ -111,7 +153,7 @@ def all_tasks_top(tasks: DataFrame, daily: DataFrame, products: DataFrame, n: in
     """task_id and the columns of the Top-N job for every task. ``daily`` is read several
     times and should be stored."""
     windows = task_windows(tasks)
-    top = with_cities(top_of_windows(window_counts(daily, windows), n), daily)
+    top = with_cities(top_of_windows(window_counts(daily, windows, n), n), daily)
     full = products.select(F.col("product_id").cast("bigint").alias("product_id"), "product_name",
                            at.product_status_label(F.col("extend_info")).alias("product_status"))
     rows = at.with_area_level(top.join(full, "product_id"), levels)

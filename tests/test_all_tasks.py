@@ -154,3 +154,16 @@ def test_a_user_filter_sums_over_keys_not_classes(spark):
         "click_category_ids string, visit int, step int, n long")
     keyed = fi.keyed_classes(classes).where("professional = '=dev' and city = '*'").groupBy("sex").agg(F.sum("n")).collect()
     assert sorted(map(tuple, keyed)) == [("*", 100), ("=male", 50)]
+
+
+def test_only_products_that_can_be_on_top_are_spread_over_their_windows(spark):
+    """Of a window with many products clicked once and three clicked twice or more, a Top-2 needs the three."""
+    rows = [(2 * 19_700 + 1, "ASIA", p, 1, "c1", 1) for p in range(100, 400)]
+    rows += [(2 * 19_700 + 1, "ASIA", p, 1, "c1", p) for p in (2, 3, 70, 80)] + [(2 * 19_800 + 1, "ASIA", 9, 1, "c1", 1)]
+    daily = spark.createDataFrame(rows, "half int, area string, product_id long, city_id long, city_name string, n long")
+    windows = spark.createDataFrame([(i, f, f + 5) for i, f in enumerate((19_698, 19_699, 19_797, 19_900))],
+                                    "task_id long, first int, last int")
+    got = sorted(tuple(r) for r in aw.window_counts(daily, windows, 2).collect())
+    assert got == [(19_698, 19_703, "ASIA", 70, 70), (19_698, 19_703, "ASIA", 80, 80),
+                   (19_699, 19_704, "ASIA", 70, 70), (19_699, 19_704, "ASIA", 80, 80), (19_797, 19_802, "ASIA", 9, 1)]
+    assert aw.window_counts(daily, windows, 400).count() == 2 * 304 + 1
