@@ -35,7 +35,8 @@ def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("n_name"),
                        F.col("user_id").cast("string"),
                        ad_id.cast("string"))
-    return (events.join(customer, events.user_id == customer.c_custkey)
+    # customers grow with the log: neither side goes through the driver
+    return (events.join(customer.hint("merge"), events.user_id == customer.c_custkey)
             .join(geo, F.col("c_nationkey") == geo.n_nationkey)
             .select(line.alias("value"), F.col("ts")))
 

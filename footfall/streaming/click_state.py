@@ -56,10 +56,10 @@ def _out(counts: pa.Table) -> list[pa.RecordBatch]:
     return counts.rename_columns([*COUNT_KEY, "click_count"]).combine_chunks().to_batches()
 
 
-def _rows(kind: int, user, keys=((NO_DAY, 0),), made=(0,), totals=(0,)) -> pd.DataFrame:
-    return pd.DataFrame({"kind": kind, "user_id": user, "ad_id": [a for _, a in keys],
-                         "date": [d for d, _ in keys], "click_count": list(made),
-                         "total": list(totals)})[OUTPUT_COLUMNS]
+def _frame(user, keys: list, kinds: list, made: list, totals: list) -> pd.DataFrame:
+    """All rows of one user at once: a frame costs more than its rows."""
+    return pd.DataFrame({"kind": kinds, "user_id": user, "ad_id": [a for _, a in keys],
+                         "date": [d for d, _ in keys], "click_count": made, "total": totals}, columns=OUTPUT_COLUMNS)
 
 
 def user_step(threshold: int, keep_days: int | None):
@@ -73,24 +73,26 @@ def user_step(threshold: int, keep_days: int | None):
         listed, raw = state.get if state.exists else (False, "{}")
         made: dict = {}
         for b in batches:
-            for day, ad, n in zip(b["date"], b["ad_id"], b["click_count"], strict=True):
+            for day, ad, n in zip(b["date"].tolist(), b["ad_id"].tolist(), b["click_count"].tolist(), strict=True):
                 made[day, ad] = made.get((day, ad), 0) + int(n)
         if not made:
             return
         if listed:
-            yield _rows(BARRED, key[0])
+            yield _frame(key[0], [(NO_DAY, 0)], [BARRED], [0], [0])
             return
         counts = json.loads(raw)
         keys = sorted(made)
+        totals = []
         for day, ad in keys:
             of_day = counts.setdefault(day.strftime("%Y%m%d"), {})
             of_day[str(ad)] = of_day.get(str(ad), 0) + made[day, ad]
-        totals = [counts[d.strftime("%Y%m%d")][str(a)] for d, a in keys]
-        yield _rows(COUNT, key[0], keys, [made[k] for k in keys], totals)
+            totals.append(of_day[str(ad)])
+        kinds, clicks = [COUNT] * len(keys), [made[k] for k in keys]
         if max(totals) >= threshold:
             state.update((True, "{}"))             # a listed user's counts never change again
-            yield _rows(LISTED, key[0])
+            yield _frame(key[0], [*keys, (NO_DAY, 0)], [*kinds, LISTED], [*clicks, 0], [*totals, 0])
             return
+        yield _frame(key[0], keys, kinds, clicks, totals)
         if keep_days is not None:
             oldest = (pd.Timestamp(max(counts)) - pd.Timedelta(days=keep_days)).strftime("%Y%m%d")
             counts = {d: c for d, c in counts.items() if d > oldest}

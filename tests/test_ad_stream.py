@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from footfall.operators import ad_click as ac
+from footfall.sources.adlog import ad_log_lines
+from footfall.streaming import click_state as cs
 from footfall.streaming.ad_stream import AdClickStream
+from tests.conftest import SF_SMALL
 
 DAY0 = 1703980800000   # 2023-12-31 00:00 UTC
 DAY1 = 1704067200000   # 2024-01-01
@@ -359,3 +364,32 @@ def test_a_backlog_is_taken_in_bounded_batches_and_survives_a_stop(spark, run_di
                  "ad_province_top3", "bad_lines"):
         a, b = (getattr(p, view)().drop("stamps", "batch_id") for p in (steady, again))
         assert _key(a) == _key(b), view
+
+
+def test_a_user_of_a_batch_is_one_frame():
+    """Counts and listing of a user leave the state step together."""
+    class State:
+        exists, value = False, None
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+        @property
+        def get(self):
+            return self.value
+
+    day, state = dt.date(2024, 1, 2), State()
+    batch = pd.DataFrame({"user_id": [5, 5, 5], "date": [day, day, day], "ad_id": [1, 2, 1], "click_count": [2, 1, 1]})
+    frames = list(cs.user_step(3, None)((5,), iter([batch]), state))
+    assert len(frames) == 1 and list(frames[0].columns) == cs.OUTPUT_COLUMNS
+    assert [tuple(r) for r in frames[0].itertuples(index=False)] == [
+        (cs.COUNT, 5, 1, day, 3, 3), (cs.COUNT, 5, 2, day, 1, 1), (cs.LISTED, 5, 0, cs.NO_DAY, 0, 0)]
+    assert state.value == (True, "{}")
+    barred = list(cs.user_step(3, None)((5,), iter([batch]), state))
+    assert [tuple(r) for f in barred for r in f.itertuples(index=False)] == [(cs.BARRED, 5, 0, cs.NO_DAY, 0, 0)]
+
+
+def test_customers_of_the_log_are_not_broadcast(spark):
+    plan = ad_log_lines(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join" in line and "c_custkey" in line)
+    assert "SortMergeJoin" in join
