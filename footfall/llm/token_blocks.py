@@ -30,6 +30,7 @@ block. Ids must be below 2**24.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import stored
+from footfall.llm.tables import BATCH_ROWS, stored
 from footfall.llm.word_bpe import _LETTER, _SIGN, load
 from footfall.llm.wordhash import chunks, distinct_spans, find_words, ragged, same_spans, span_hashes
 
@@ -55,7 +56,7 @@ _LENGTH = np.array([int(i).bit_length() for i in range(BLOCK + 1)], np.int32)
 
 
 def _slot(mixed: np.ndarray, bits: int) -> np.ndarray:
-    return (mixed >> np.uint32(32 - bits)).astype(np.int32)
+    return mixed >> np.uint32(32 - bits)
 
 
 def _within(x: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -81,79 +82,82 @@ _LOWER, _WIDE, _AT = _length_tables()
 
 
 class _Model:
-    """The state of many blocks, a row each; all arithmetic is in integers."""
+    """The state of many blocks, a row each; all arithmetic is in integers. Places in the
+    tables are 64-bit, as numpy converts any other index first."""
 
     def __init__(self, rows: int):
         # a prediction is 4 * id + confidence (0: none)
         self.one, self.two = np.zeros(rows << ONE, np.int32), np.zeros(rows << TWO, np.int32)
         self.place = np.zeros(rows << PLACES, np.int16)
-        self.ids = np.full(rows * BLOCK, -1, np.int32)
+        self.ids = np.zeros(rows * BLOCK, np.int32)            # of each row, ``size`` are set
         self.size = np.zeros(rows, np.int32)
         self.state = np.full(rows, 5 * 16, np.int32)           # mean length of places, in sixteenths
         self.a0, self.a1, self.a2 = (np.full(rows * n, ALL >> 1, np.int32) for n in (1, 8, 4))
         self.w1, self.w2 = np.full(rows, ALL >> 2, np.int32), np.full(rows, ALL >> 1, np.int32)
         self.b, self.new = np.full(rows * 4, ALL >> 2, np.int32), np.full(rows, ALL >> 1, np.int32)
-        self.last, self.before = np.zeros(rows, np.int32), np.zeros(rows, np.int32)
-        self.row = np.arange(rows, dtype=np.int32)
+        self.last, self.before = np.zeros(rows, np.uint32), np.zeros(rows, np.uint32)
+        row = np.arange(rows)
+        self.row1, self.row2, self.row4, self.row8 = row << ONE, row << TWO, row << 2, row << 3
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Upper bounds in ALL of: the order-2 id, the order-1 id, an id new to the block."""
-        row = self.row[:n]
-        mixed = self.last[:n].view(np.uint32) * _K1
-        self.at1 = (row << ONE) + _slot(mixed, ONE)
-        self.at2 = (row << TWO) + _slot(mixed + self.before[:n].view(np.uint32) * _K2, TWO)
-        one, two = self.one[self.at1], self.two[self.at2]
+        mixed = self.last[:n] * _K1
+        self.at1 = self.row1[:n] + _slot(mixed, ONE)
+        self.at2 = self.row2[:n] + _slot(mixed + self.before[:n] * _K2, TWO)
+        self.one1, self.two2 = one, two = self.one[self.at1], self.two[self.at2]
         self.p1, self.s1, self.p2, self.s2 = one >> 2, one & 3, two >> 2, two & 3
-        self.has2 = self.s2 > 0
+        self.has2, self.any1 = self.s2 > 0, self.s1 > 0
         same = self.p1 == self.p2
-        self.has1 = (self.s1 > 0) & ~(same & self.has2)
-        self.i1 = (row << 3) + (self.s1 << 1) + same
-        self.i2, self.ib = (row << 2) + self.s2, (row << 2) + self.s1
+        self.has1 = self.any1 & ~(same & self.has2)
+        self.set1, self.set2 = self.has1.astype(np.int32), self.has2.astype(np.int32)
+        self.i1 = self.row8[:n] + ((self.s1 << 1) + same.view(np.int8))
+        self.i2, self.ib = self.row4[:n] + self.s2, self.row4[:n] + self.s1
         self.q0, self.q1, self.q2 = self.a0[:n], self.a1[self.i1], self.a2[self.i2]
         w1, w2 = self.w1[:n], self.w2[:n]
         self.mix = (self.q0 * (ALL - w1 - w2) + self.q1 * w1 + self.q2 * w2) >> 15
-        up2 = _within(self.mix, LEAST, MOST) * self.has2
+        up2 = _within(self.mix, LEAST, MOST) * self.set2
         self.qb = self.b[self.ib]
-        up1 = up2 + (((ALL - up2) * _within(self.qb, LEAST, MOST)) >> 15) * self.has1
+        up1 = up2 + (((ALL - up2) * _within(self.qb, LEAST, MOST)) >> 15) * self.set1
         return up2, up1, up1 + np.maximum(((ALL - up1) * _within(self.new[:n], LEAST, MOST)) >> 15, 1)
 
     def places(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The ids' places in the rows' lists, -1 for those that are not there."""
-        slot = self.place[(rows << PLACES) + _slot(ids.view(np.uint32) * _K1, PLACES)].astype(np.int32)
-        return np.where((slot < self.size[rows]) & (self.ids[rows * BLOCK + slot] == ids), slot, np.int32(-1))
+        slot = self.place[(rows << PLACES) + _slot(ids.view(np.uint32) * _K1, PLACES)].astype(np.int64)
+        return np.where((slot < self.size[rows]) & (self.ids[rows * BLOCK + slot] == ids), slot, -1)
 
     def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray,
               place: np.ndarray) -> None:
         """After ``ids`` in the first n rows; ``place`` is of the missed rows."""
-        has2 = self.has2.view(np.int8)
-        aim = hit2 * np.int32(ALL)
-        sign = (hit2.view(np.int8) * 2 - 1) * has2
+        aim = hit2.astype(np.int32) << 15
+        sign = ((aim >> 14) - 1) * self.set2
         self.w1[:n] = _within(self.w1[:n] + (((self.q1 - self.mix) * sign) >> 6), 1024, 15000)
         self.w2[:n] = _within(self.w2[:n] + (((self.q2 - self.mix) * sign) >> 6), 1024, 15000)
-        self.a1[self.i1] = self.q1 + (((aim - self.q1) * has2) >> 5)
+        self.a1[self.i1] = self.q1 + (((aim - self.q1) * self.set2) >> 5)
         self.a2[self.i2] = self.q2 + ((aim - self.q2) >> 5)
-        self.a0[:n] += ((aim - self.q0) * has2) >> 5
-        self.b[self.ib] = self.qb + (((hit1 * np.int32(ALL) - self.qb) * (self.has1 & ~hit2)) >> 5)
-        for table, at, guess, sure in ((self.one, self.at1, self.p1, self.s1), (self.two, self.at2, self.p2, self.s2)):
-            right = (guess == ids) & (sure > 0)
-            keep = right | (sure > 1)
-            sure = np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 1, 1))
-            table[at] = (np.where(keep, guess, ids) << 2) | sure
+        self.a0[:n] += ((aim - self.q0) * self.set2) >> 5
+        self.b[self.ib] = self.qb + ((((hit1.astype(np.int32) << 15) - self.qb) * (self.has1 & ~hit2)) >> 5)
+        fresh = (ids << 2) | 1
+        for table, at, entry, sure, right in (
+                (self.one, self.at1, self.one1, self.s1, (self.p1 == ids) & self.any1),
+                (self.two, self.at2, self.two2, self.s2, (self.p2 == ids) & self.has2)):
+            # a right one gains confidence, up to 3; a wrong one of confidence 1 is replaced
+            table[at] = np.where(right, entry + (1 - ((sure + 1) >> 2)), np.where(sure > 1, entry - 1, fresh))
         if len(missed):
             mine = ids[missed]
             base, slots = missed * BLOCK, missed << PLACES
             new = place < 0
             seen = self.new[missed]
-            self.new[missed] = seen + ((new * np.int32(ALL) - seen) >> 5)
+            self.new[missed] = seen + (((new.astype(np.int32) << 15) - seen) >> 5)
             size = self.size[missed]
             at = np.where(new, size, place)
             state = self.state[missed]
             self.state[missed] = state + np.where(new, 0, ((_LENGTH[at] << 4) - state) >> 3)
             to = np.where(new, at, at >> 1)                # an id that came again halves its place
-            other = self.ids[base + to]
-            self.ids[base + at] = other
             moved = np.flatnonzero(to != at)
-            self.place[slots[moved] + _slot(other[moved].view(np.uint32) * _K1, PLACES)] = at[moved]
+            back, old = base[moved], at[moved]
+            other = self.ids[back + to[moved]]
+            self.ids[back + old] = other
+            self.place[slots[moved] + _slot(other.view(np.uint32) * _K1, PLACES)] = old
             self.ids[base + to] = mine
             self.place[slots + _slot(mine.view(np.uint32) * _K1, PLACES)] = to
             self.size[missed] = size + new
@@ -200,8 +204,9 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
         up2, up1, up0 = model.predict(n)
         hit2 = model.has2 & (x == model.p2)
         hit1 = model.has1 & ~hit2 & (x == model.p1)
-        missed = np.flatnonzero(~(hit2 | hit1)).astype(np.int32)
-        place = model.places(x[missed], missed)
+        missed = np.flatnonzero(~(hit2 | hit1))
+        mine = x[missed]
+        place = model.places(mine, missed)
         new = place < 0
         lower, upper = np.where(hit2, 0, up2), np.where(hit2, up2, up1)
         lower[missed] = np.where(new, up1[missed], up0[missed])
@@ -212,11 +217,11 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
         put(n)
         if len(missed):
             length = _LENGTH[place]
-            entry = (model.state[missed] >> 4) * 13 + length
+            entry = (model.state[missed] >> 4).astype(np.int64) * 13 + length
             first = np.where(new, 0, _LOWER[entry])
             share = np.where(new, 4096, _WIDE[entry])
             bits = np.where(new, id_bits, np.maximum(length - 1, 0)).astype(np.uint64)
-            rest = np.where(new, x[missed], place - ((np.int32(1) << length) >> 1)).astype(np.uint64)
+            rest = np.where(new, mine, place - ((np.int32(1) << length) >> 1)).astype(np.uint64)
             unit = width[missed] >> np.uint64(12)
             part = (unit * share.astype(np.uint64)) >> bits
             low[missed] += unit * first.astype(np.uint64) + part * rest
@@ -264,7 +269,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
         value = np.minimum((code[:n] - low[:n]) // unit, np.uint64(ALL - 1)).astype(np.int32)
         hit2 = value < up2
         hit1 = ~hit2 & (value < up1)
-        missed = np.flatnonzero(value >= up1).astype(np.int32)
+        missed = np.flatnonzero(value >= up1)
         new = value[missed] < up0[missed]
         lower, upper = np.where(hit2, 0, up2), np.where(hit2, up2, up1)
         lower[missed] = np.where(new, up1[missed], up0[missed])
@@ -273,11 +278,11 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
         width[:n] = unit * (upper - lower).astype(np.uint64)
         take(n)
         x = np.where(hit2, model.p2, model.p1)
-        place = np.zeros(0, np.int32)
+        place = np.zeros(0, np.int64)
         if len(missed):
             unit = width[missed] >> np.uint64(12)
             value = np.minimum((code[missed] - low[missed]) // unit, np.uint64(4095)).astype(np.int32)
-            state = model.state[missed] >> 4
+            state = (model.state[missed] >> 4).astype(np.int64)
             length = _AT[state * 4096 + value]
             entry = state * 13 + length
             first = np.where(new, 0, _LOWER[entry])
@@ -286,11 +291,11 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
             low[missed] += unit * first.astype(np.uint64)
             part = (unit * share.astype(np.uint64)) >> bits.astype(np.uint64)
             rest = np.minimum((code[missed] - low[missed]) // part, _LOW).astype(np.int64)
-            rest = np.minimum(rest, (1 << bits) - 1).astype(np.int32)
+            rest = np.minimum(rest, (np.int64(1) << bits) - 1)
             low[missed] += part * rest.astype(np.uint64)
             width[missed] = part
             take(n)
-            place = np.where(new, np.int32(-1), rest + ((np.int32(1) << length) >> 1))
+            place = np.where(new, -1, rest + ((np.int32(1) << length) >> 1))
             x[missed] = np.where(new, rest, model.ids[missed * BLOCK + np.maximum(place, 0)])
         ids[t, :n] = x
         model.learn(n, x, hit2, hit1, missed, place)
@@ -409,6 +414,9 @@ class _Encoder:
         self.tokenizer, self.known = load(path), _Known()
         self.model = self.tokenizer.model
 
+    def _word(self, p: bytes) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(p.decode("latin-1").translate(_NAMES))]).tobytes()
+
     def pieces(self, raw: list[bytes]) -> list[bytes]:
         """Ids of pieces. One of letters after at most one space is a single word of the
         pattern, so the model takes it as it is; others go through the whole encoder."""
@@ -417,19 +425,17 @@ class _Encoder:
         for i, p in enumerate(raw):
             word = p[1:] if p[:1] == b" " else p
             if word.isalpha():                     # of bytes: ASCII letters
-                ids = [t.id for t in self.model.tokenize(p.decode("latin-1").translate(_NAMES))]
-                out[i] = np.array(ids, np.uint32).tobytes()
+                out[i] = self._word(p)
             else:
                 text = p.decode()
                 if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()) and max(text) < "\u0180":
-                    ids = [t.id for t in self.model.tokenize(p.decode("latin-1").translate(_NAMES))]
-                    out[i] = np.array(ids, np.uint32).tobytes()
+                    out[i] = self._word(p)
                 else:
                     rest.append((i, text))
         for i in range(0, len(rest), 4000):
             found = self.tokenizer.encode_batch([t for _, t in rest[i:i + 4000]], add_special_tokens=False)
             for (j, _), e in zip(rest[i:i + 4000], found, strict=True):
-                out[j] = np.array(e.ids, np.uint32).tobytes()
+                out[j] = array("I", e.ids).tobytes()
         return out
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -532,24 +538,33 @@ _PIECES = pa.schema([("part", pa.int32()), ("no", pa.int32()), ("doc_id", pa.int
 
 
 def _reader(bits: int, before: dict[int, int]):
+    def decoded(some: list[dict]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        found = decode_blocks([r["payload"] for r in some], [r["n_ids"] for r in some], bits)
+        for r, ids in zip(some, found, strict=True):
+            raw = ids.astype("<u4").tobytes()
+            if zlib.crc32(raw) != r["crc"]:
+                raise ValueError(f"block {r['block']} of part {r['part']} does not match its checksum")
+            at = 0
+            for d in r["docs"]:
+                out.append((r["part"], d["no"], d["doc_id"],
+                            before[r["part"]] + r["start"] + at, raw[4 * at:4 * (at + d["n"])]))
+                at += d["n"]
+        for i in range(0, len(out), BATCH_ROWS):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*out[i:i + BATCH_ROWS], strict=True), _PIECES, strict=True)],
+                schema=_PIECES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a step costs its numpy calls whatever the number of blocks, so batches are gathered
+        held: list[dict] = []
         for b in batches:
-            for i in range(0, b.num_rows, TOGETHER):
-                some = b.slice(i, TOGETHER).to_pylist()
-                out: list[tuple] = []
-                found = decode_blocks([r["payload"] for r in some], [r["n_ids"] for r in some], bits)
-                for r, ids in zip(some, found, strict=True):
-                    raw = ids.astype("<u4").tobytes()
-                    if zlib.crc32(raw) != r["crc"]:
-                        raise ValueError(f"block {r['block']} of part {r['part']} does not match its checksum")
-                    at = 0
-                    for d in r["docs"]:
-                        out.append((r["part"], d["no"], d["doc_id"],
-                                    before[r["part"]] + r["start"] + at, raw[4 * at:4 * (at + d["n"])]))
-                        at += d["n"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PIECES, strict=True)],
-                    schema=_PIECES)
+            held += b.to_pylist()
+            while len(held) >= TOGETHER:
+                some, held = held[:TOGETHER], held[TOGETHER:]
+                yield from decoded(some)
+        if held:
+            yield from decoded(held)
     return run
 
 

@@ -84,3 +84,29 @@ def test_damage_is_noticed(spark):
                             "unhex(concat('ffff', substring(hex(payload), 5))) as payload", "crc")
     with pytest.raises(Exception, match="checksum|PythonException|out of bounds"):
         tb.read(bad, PATH).collect()
+
+
+def test_payloads_stay_as_they_were_written():
+    """Checksums of payloads coded before places were 64-bit: files written then can be read."""
+    rng = np.random.default_rng(5)
+    blocks = [np.arange(tb.BLOCK) % 9, np.minimum(rng.zipf(1.4, 900), 50_000), rng.integers(0, 50_000, 300), [7]]
+    coded = tb.encode_blocks([np.array(b) for b in blocks], 16)
+    assert [zlib.crc32(c) for c in coded] == [4226344463, 690133023, 1664357858, 604861660]
+
+
+def test_reader_gathers_batches_before_it_decodes(monkeypatch):
+    import pyarrow as pa
+    calls = []
+    decode = tb.decode_blocks
+    monkeypatch.setattr(tb, "decode_blocks", lambda p, n, bits: calls.append(len(p)) or decode(p, n, bits))
+    monkeypatch.setattr(tb, "TOGETHER", 5)
+    ids = [np.arange(i, i + 4) for i in range(12)]
+    rows = [{"part": 0, "block": i, "start": 4 * i, "n_ids": 4,
+             "docs": [{"no": i, "doc_id": i, "n": 4, "whole": True}], "payload": p,
+             "crc": zlib.crc32(x.astype("<u4").tobytes())}
+            for i, (x, p) in enumerate(zip(ids, tb.encode_blocks(ids, 16), strict=True))]
+    batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=2)
+    out = pa.Table.from_batches(tb._reader(16, {0: 100})(iter(batches))).to_pylist()
+    assert calls == [5, 5, 2]
+    assert [(r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in out] == \
+        [(i, 100 + 4 * i, x.tolist()) for i, x in enumerate(ids)]
