@@ -120,3 +120,40 @@ def test_words_of_a_shared_id_have_their_own_counts(spark, monkeypatch):
         pairs += n != m
         assert abs(all_in_head[d] - all_in_head[e] - np.log(n / m)) < 1e-5
     assert pairs > 500
+
+
+def test_chosen_columns_are_those_of_the_whole_distribution():
+    rng = np.random.default_rng(3)
+    for rows in (0, 1, 7, lm.BATCH):
+        logits = (rng.normal(size=(rows, lm.GROUPS)) * 9).astype(np.float32)
+        logits[::3] = np.round(logits[::3])                # the largest may be there twice
+        at = rng.integers(0, lm.GROUPS, rows)
+        top = logits - logits.max(axis=1, keepdims=True)
+        plain = top - np.log(np.exp(top).sum(axis=1, keepdims=True))
+        assert (lm._below_top(logits.copy()) == top).all()
+        assert (lm._log_softmax(logits.copy()) == plain).all()
+        assert (lm._log_chosen(logits.copy(), at) == plain[np.arange(rows), at]).all()
+
+
+def test_scores_do_not_make_whole_distributions(spark, monkeypatch):
+    docs = documents(spark, ["the cat sat on the mat", "", None])
+    known, net = lm.fit(docs, folder(spark))
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["the cat sat on the mat", "", None])})
+    want = [r.sum_log_prob for r in lm.score(docs, known, net).orderBy("doc_id").collect()]
+    real = lm.forward
+    monkeypatch.setattr(lm, "forward", lambda n, c, g, softmax: real(n, c, g, softmax))
+    monkeypatch.setattr(lm, "TaskContext", type("T", (), {"get": lambda: type("P", (), {"partitionId": lambda: 0})}))
+    held = type("H", (), {"value": (known, net)})
+    assert [x for b in lm._scorer(held)(iter([batch])) for x in b["sum_log_prob"].to_pylist()] == want
+
+
+def test_hashes_are_found_by_their_upper_bits():
+    rng = np.random.default_rng(6)
+    most = np.iinfo(np.int64).max
+    for keys in ([], [7], [-most - 1, -1, 0, most], range(3000), rng.integers(-most, most, 5000), range(most - 50, most)):
+        keys = np.unique(np.array(keys, np.int64))
+        asked = np.concatenate([keys, keys - 1, rng.integers(-most, most, 2000)])
+        want = [dict(zip(keys.tolist(), range(len(keys)), strict=True)).get(h, -1) for h in asked.tolist()] \
+            if len(keys) < 60 else np.where(np.isin(asked, keys), np.searchsorted(keys, asked), -1).tolist()
+        assert lm._Sorted(keys).find(asked).tolist() == want
