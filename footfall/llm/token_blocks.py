@@ -32,6 +32,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ from footfall.llm.wordhash import chunks, distinct_spans, find_words, ragged, sa
 
 BLOCK = 2_048              # ids of a block, at most
 TOGETHER = 4_096           # blocks coded in step
+PIECE = 256                # blocks whose ids the reader hands on at once
 
 ONE, TWO, PLACES = 10, 11, 12      # bits of the prediction tables and of the place table
 _K1, _K2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -59,6 +61,11 @@ def _slot(mixed: np.ndarray, bits: int) -> np.ndarray:
     return mixed >> np.uint32(32 - bits)
 
 
+def _small(id_bits: int) -> type:
+    """The type that ids are held in; numpy counts with wider ones."""
+    return np.uint16 if id_bits <= 16 else np.int32
+
+
 def _within(x: np.ndarray, low: int, high: int) -> np.ndarray:
     return np.minimum(np.maximum(x, low), high)
 
@@ -85,11 +92,11 @@ class _Model:
     """The state of many blocks, a row each; all arithmetic is in integers. Places in the
     tables are 64-bit, as numpy converts any other index first."""
 
-    def __init__(self, rows: int):
+    def __init__(self, rows: int, id_bits: int):
         # a prediction is 4 * id + confidence (0: none)
         self.one, self.two = np.zeros(rows << ONE, np.int32), np.zeros(rows << TWO, np.int32)
         self.place = np.zeros(rows << PLACES, np.int16)
-        self.ids = np.zeros(rows * BLOCK, np.int32)            # of each row, ``size`` are set
+        self.ids = np.zeros(rows * BLOCK, _small(id_bits))     # of each row, ``size`` are set
         self.size = np.zeros(rows, np.int32)
         self.state = np.full(rows, 5 * 16, np.int32)           # mean length of places, in sixteenths
         self.a0, self.a1, self.a2 = (np.full(rows * n, ALL >> 1, np.int32) for n in (1, 8, 4))
@@ -157,7 +164,7 @@ class _Model:
             back, old = base[moved], at[moved]
             other = self.ids[back + to[moved]]
             self.ids[back + old] = other
-            self.place[slots[moved] + _slot(other.view(np.uint32) * _K1, PLACES)] = old
+            self.place[slots[moved] + _slot(other.astype(np.uint32) * _K1, PLACES)] = old
             self.ids[base + to] = mine
             self.place[slots + _slot(mine.view(np.uint32) * _K1, PLACES)] = to
             self.size[missed] = size + new
@@ -181,13 +188,14 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order])
     longest = int(sizes[0])
-    ids = np.zeros((longest, len(order)), np.int32)
+    ids = np.zeros((longest, len(order)), _small(id_bits))
     for j, i in enumerate(order):
         ids[:sizes[j], j] = blocks[i]
-    model = _Model(len(order))
+    model = _Model(len(order), id_bits)
     low = np.zeros(len(order), np.uint64)
     width = np.full(len(order), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out = np.zeros((len(order), 2 * longest + 4), np.uint32)
+    # an id takes two words at most, mostly less than half a one; two follow at the end
+    out = np.zeros((len(order), longest // 2 + 4), np.uint32)
     end = np.zeros(len(order), np.int64)
 
     def put(n):
@@ -199,8 +207,10 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
 
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")
     for t in range(longest):
+        if t % 64 == 0 and int(end.max()) + 2 * 64 + 2 > out.shape[1]:
+            out = np.concatenate([out, np.zeros((len(order), longest // 4 + 2 * 64), np.uint32)], axis=1)
         n = int(active[t])
-        x = ids[t, :n]
+        x = ids[t, :n].astype(np.int32)
         up2, up1, up0 = model.predict(n)
         hit2 = model.has2 & (x == model.p2)
         hit1 = model.has1 & ~hit2 & (x == model.p1)
@@ -243,20 +253,19 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
     order = sorted(range(len(payloads)), key=lambda i: -sizes[i])
     count = np.array([sizes[i] for i in order])
     longest = int(count[0])
-    words = np.zeros((len(order), max(len(p) for p in payloads) // 4 + 2), np.uint64)
-    for j, i in enumerate(order):
-        w = np.frombuffer(payloads[i], "<u4")
-        words[j, :len(w)] = w
-    code = (words[:, 0] << _U32) | words[:, 1]
-    at = np.full(len(order), 2, np.int64)
-    ids = np.zeros((longest, len(order)), np.int32)
-    model = _Model(len(order))
+    words = np.frombuffer(b"".join([*(payloads[i] for i in order), bytes(8)]), "<u4")
+    held = np.array([len(payloads[i]) >> 2 for i in order], np.int64)
+    at = np.cumsum(held) - held
+    code = (words[at].astype(np.uint64) << _U32) | words[at + 1]
+    at += 2
+    ids = np.zeros((longest, len(order)), _small(id_bits))
+    model = _Model(len(order), id_bits)
     low = np.zeros(len(order), np.uint64)
     width = np.full(len(order), 0xFFFFFFFFFFFFFFFF, np.uint64)
 
     def take(n):
         need = _shrink(low[:n], width[:n])
-        code[need] = (code[need] << _U32) | words[need, at[need]]
+        code[need] = (code[need] << _U32) | words[at[need]]
         at[need] += 1
         low[need] <<= _U32
         width[need] <<= _U32
@@ -299,9 +308,11 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
             x[missed] = np.where(new, rest, model.ids[missed * BLOCK + np.maximum(place, 0)])
         ids[t, :n] = x
         model.learn(n, x, hit2, hit1, missed, place)
-    found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(payloads)
+    del model
+    rows = np.ascontiguousarray(ids.T)
+    found: list[np.ndarray] = [rows[0]] * len(payloads)
     for j, i in enumerate(order):
-        found[i] = ids[:count[j], j].copy()
+        found[i] = rows[j, :count[j]]
     return found
 
 
@@ -345,11 +356,11 @@ class _Known:
     """Ids of pieces by hash: an open-addressing table, searched for many pieces at once.
     Each piece's bytes are kept and compared, so a piece is never taken for another."""
 
-    BITS, PROBES = 21, 12
+    BITS, PROBES = 20, 12
 
     def __init__(self):
         self.keys = np.zeros(1 << self.BITS, np.uint64)
-        self.values = np.zeros(1 << self.BITS, np.int64)
+        self.values = np.zeros(1 << self.BITS, np.int32)
         self.sizes, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.bytes, self.ends = np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -398,7 +409,7 @@ class _Known:
         return number
 
     def full(self) -> bool:
-        return len(self.sizes) > 1 << (self.BITS - 1) or len(self.ids) > 1 << 23 or len(self.bytes) > 1 << 25
+        return len(self.sizes) > 1 << (self.BITS - 1) or len(self.ids) > 1 << 22 or len(self.bytes) > 1 << 24
 
 
 #: byte-level pieces name bytes by characters: printable ones stand for themselves, the
@@ -458,63 +469,96 @@ class _Encoder:
             yield lo, ids, ends[row]
 
 
+@cache
+def _encoder(path: str) -> _Encoder:
+    """Kept by a worker from task to task, with the pieces it knows (``full`` bounds them)."""
+    return _Encoder(path)
+
+
 _BLOCKS = ("part int, block int, start long, n_ids int, "
            "docs array<struct<no: int, doc_id: long, n: int, whole: boolean>>, payload binary, crc long")
 _DOCS = pa.list_(pa.struct([("no", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int32()),
                             ("whole", pa.bool_())]))
 
 
+class _Docs:
+    """The documents of blocks, in columns: an object for each would be most of a task's memory."""
+
+    def __init__(self):
+        self.no, self.doc_id, self.n = array("q"), array("q"), array("q")
+        self.unnamed, self.whole = array("b"), array("b")
+        self.at = array("i", [0])                  # of blocks, one more than there are
+
+    def add(self, no: int, doc_id: int | None, n: int, whole: bool) -> None:
+        self.no.append(no)
+        self.doc_id.append(0 if doc_id is None else doc_id)
+        self.unnamed.append(doc_id is None)
+        self.n.append(n)
+        self.whole.append(whole)
+
+    def column(self) -> pa.Array:
+        columns = [pa.array(np.array(self.no), pa.int32()),
+                   pa.array(np.array(self.doc_id), mask=np.array(self.unnamed, bool)),
+                   pa.array(np.array(self.n), pa.int32()), pa.array(np.array(self.whole, bool))]
+        docs = pa.StructArray.from_arrays(columns, fields=list(_DOCS.value_type))
+        return pa.ListArray.from_arrays(np.array(self.at), docs, type=_DOCS)
+
+
 def _writer(path: str, end_id: int, id_bits: int):
     """Blocks of a partition's texts, which come in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = _Encoder(path), TaskContext.get().partitionId()
-        ready: list[tuple[list, np.ndarray]] = []
-        docs: list[dict] = []
+        encoder, part = _encoder(path), TaskContext.get().partitionId()
+        ready: list[np.ndarray] = []
         held: list[np.ndarray] = []
+        docs = _Docs()
         filled = number = no = total = 0
 
         def close():
             nonlocal filled
             if held:
-                ready.append((list(docs), np.concatenate(held)))
-                docs.clear()
+                ready.append(np.concatenate(held).astype(_small(id_bits)))
+                docs.at.append(len(docs.no))
                 held.clear()
                 filled = 0
 
         def coded():
-            nonlocal number, total
-            sizes = np.array([len(x) for _, x in ready], np.int64)
-            payloads = encode_blocks([x for _, x in ready], id_bits) if ready else []
+            nonlocal ready, docs, number, total
+            # documents of the block that is still open go on to the next batch
+            blocks, done, docs = ready, docs, _Docs()
+            ready = []
+            for i in range(done.at[-1], len(done.no)):
+                docs.add(done.no[i], None if done.unnamed[i] else done.doc_id[i], done.n[i], bool(done.whole[i]))
+            sizes = np.array([len(x) for x in blocks], np.int64)
+            crc = [zlib.crc32(x.astype("<u4")) for x in blocks]
+            payloads = encode_blocks(blocks, id_bits) if blocks else []
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(ready), pa.int32()),
-                 pa.array(range(number, number + len(ready)), pa.int32()),
+                [pa.array([part] * len(blocks), pa.int32()),
+                 pa.array(range(number, number + len(blocks)), pa.int32()),
                  pa.array(total + np.cumsum(sizes) - sizes, pa.int64()), pa.array(sizes, pa.int32()),
-                 pa.array([d for d, _ in ready], _DOCS),
-                 pa.array(payloads, pa.binary()),
-                 pa.array([zlib.crc32(x.astype("<u4").tobytes()) for _, x in ready], pa.int64())],
+                 done.column(), pa.array(payloads, pa.binary()), pa.array(crc, pa.int64())],
                 names=["part", "block", "start", "n_ids", "docs", "payload", "crc"])
-            number += len(ready)
+            number += len(blocks)
             total += int(sizes.sum())
-            ready.clear()
             return out
 
         for b in batches:
             names = b["doc_id"].to_pylist()
             for lo, ids, at in encoder.texts(b["text"]):
-                for i in range(len(at) - 1):
-                    x = np.append(ids[at[i]:at[i + 1]], np.uint32(end_id))
-                    whole = len(x) <= BLOCK
-                    if filled + len(x) > BLOCK:
+                ids = np.insert(ids, at[1:], np.uint32(end_id))
+                for i, (s, e) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+                    s, e = s + i, e + i + 1
+                    whole = e - s <= BLOCK
+                    if filled + e - s > BLOCK:
                         close()
-                    for j in range(0, len(x), BLOCK):
-                        held.append(x[j:j + BLOCK])
-                        docs.append({"no": no, "doc_id": names[lo + i], "n": len(held[-1]), "whole": whole})
+                    for j in range(s, e, BLOCK):
+                        held.append(ids[j:min(j + BLOCK, e)])
+                        docs.add(no, names[lo + i], len(held[-1]), whole)
                         filled += len(held[-1])
                         if not whole:
                             close()
                     no += 1
-                if len(ready) >= TOGETHER:
-                    yield coded()
+                    if len(ready) >= TOGETHER:
+                        yield coded()
         close()
         yield coded()
     return run
@@ -527,6 +571,8 @@ def id_bits(path: str) -> int:
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 0) -> DataFrame:
     """Write the block table below ``folder`` and return it."""
     bits = id_bits(path)
+    if end_id >> bits:
+        raise ValueError(f"end id {end_id} takes more than the {bits} bits of the tokenizer's ids")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # ranges over both, so rows that share a doc_id are dealt to many tasks
     ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
@@ -538,33 +584,45 @@ _PIECES = pa.schema([("part", pa.int32()), ("no", pa.int32()), ("doc_id", pa.int
 
 
 def _reader(bits: int, before: dict[int, int]):
-    def decoded(some: list[dict]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        found = decode_blocks([r["payload"] for r in some], [r["n_ids"] for r in some], bits)
-        for r, ids in zip(some, found, strict=True):
-            raw = ids.astype("<u4").tobytes()
-            if zlib.crc32(raw) != r["crc"]:
-                raise ValueError(f"block {r['block']} of part {r['part']} does not match its checksum")
-            at = 0
-            for d in r["docs"]:
-                out.append((r["part"], d["no"], d["doc_id"],
-                            before[r["part"]] + r["start"] + at, raw[4 * at:4 * (at + d["n"])]))
-                at += d["n"]
-        for i in range(0, len(out), BATCH_ROWS):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*out[i:i + BATCH_ROWS], strict=True), _PIECES, strict=True)],
+    def decoded(some: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = decode_blocks(some["payload"].to_pylist(), some["n_ids"].to_pylist(), bits)
+        for i in range(0, len(found), PIECE):
+            rows = some.slice(i, PIECE).combine_chunks()
+            ids = np.concatenate(found[i:i + PIECE]).astype("<u4")
+            size = rows["n_ids"].to_numpy().astype(np.int64)
+            ends = np.cumsum(size)
+            part, block = rows["part"].to_numpy(), rows["block"].to_numpy()
+            for j, crc in enumerate(rows["crc"].to_pylist()):
+                if zlib.crc32(ids[ends[j] - size[j]:ends[j]]) != crc:
+                    raise ValueError(f"block {block[j]} of part {part[j]} does not match its checksum")
+            lists = rows["docs"].combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            of, docs = np.repeat(np.arange(len(rows)), lists.value_lengths().to_numpy()), lists.flatten()
+            n = docs.field("n").to_numpy().astype(np.int64)
+            # documents fill their blocks, so they follow each other in ``ids``
+            at = np.concatenate([[0], np.cumsum(n)])
+            shift = np.array([before[p] for p in part.tolist()], np.int64) + rows["start"].to_numpy() - (ends - size)
+            taken = pa.BinaryArray.from_buffers(
+                pa.binary(), len(n), [None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(ids)])
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(part[of]), docs.field("no"), docs.field("doc_id"), pa.array(shift[of] + at[:-1]), taken],
                 schema=_PIECES)
+            for j in range(0, len(n), BATCH_ROWS):
+                yield out.slice(j, BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a step costs its numpy calls whatever the number of blocks, so batches are gathered
-        held: list[dict] = []
+        held: list[pa.RecordBatch] = []
+        rows = 0
         for b in batches:
-            held += b.to_pylist()
-            while len(held) >= TOGETHER:
-                some, held = held[:TOGETHER], held[TOGETHER:]
-                yield from decoded(some)
-        if held:
-            yield from decoded(held)
+            held.append(b)
+            rows += len(b)
+            while rows >= TOGETHER:
+                some = pa.Table.from_batches(held)
+                held, rows = some.slice(TOGETHER).to_batches(), rows - TOGETHER
+                yield from decoded(some.slice(0, TOGETHER))
+        if rows:
+            yield from decoded(pa.Table.from_batches(held))
     return run
 
 
