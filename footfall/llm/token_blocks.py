@@ -33,6 +33,8 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -57,19 +59,11 @@ ALL, LEAST, MOST = 1 << 15, 32, (1 << 15) - 256
 _LENGTH = np.array([int(i).bit_length() for i in range(BLOCK + 1)], np.int32)
 
 
-def _slot(mixed: np.ndarray, bits: int) -> np.ndarray:
-    return mixed >> np.uint32(32 - bits)
-
-
 def _small(id_bits: int) -> type:
     """The type that ids are held in; numpy counts with wider ones."""
     return np.uint16 if id_bits <= 16 else np.int32
 
 
-def _within(x: np.ndarray, low: int, high: int) -> np.ndarray:
-    return np.minimum(np.maximum(x, low), high)
-
-
 def _length_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each state: lower bounds of the 13 lengths in 4096, their widths, and the
     length at each value."""
@@ -86,90 +80,193 @@ def _length_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _LOWER, _WIDE, _AT = _length_tables()
+#: the entry of an id new to the block, which has all of the range, behind those of states and lengths
+_NEW = 13 * 13
+_FIRST = np.append(_LOWER, 0).astype(np.uint64)
+_SHARE = np.append(_WIDE, 4096).astype(np.uint64)
+_BASE = np.append(np.tile((1 << np.arange(13)) >> 1, 13), 0)
+_REST = np.append(np.tile(np.maximum(np.arange(13) - 1, 0), 13), 0)
+
+
+def _rest_bits(id_bits: int) -> np.ndarray:
+    """Of each entry: the bits that follow it."""
+    bits = _REST.copy()
+    bits[_NEW] = id_bits
+    return bits
 
 
 class _Model:
-    """The state of many blocks, a row each; all arithmetic is in integers. Places in the
+    """The state of many blocks, a row each; all arithmetic is in integers. A step costs its
+    numpy calls, so what is done alike to several estimates is done to them at once, and
+    products with 0 or 1 stand for choices, which numpy makes more slowly. Places in the
     tables are 64-bit, as numpy converts any other index first."""
 
-    def __init__(self, rows: int, id_bits: int):
-        # a prediction is 4 * id + confidence (0: none)
-        self.one, self.two = np.zeros(rows << ONE, np.int32), np.zeros(rows << TWO, np.int32)
-        self.place = np.zeros(rows << PLACES, np.int16)
+    def __init__(self, rows: int, id_bits: int, writes: bool):
+        # order-1 and then order-2 predictions; one is 4 * id + confidence (0: none)
+        self.guess = np.zeros((rows << ONE) + (rows << TWO), np.int32)
+        # places of ids by hash; the reader is told them
+        self.place = np.zeros(rows << PLACES if writes else 0, np.int16)
         self.ids = np.zeros(rows * BLOCK, _small(id_bits))     # of each row, ``size`` are set
-        self.size = np.zeros(rows, np.int32)
-        self.state = np.full(rows, 5 * 16, np.int32)           # mean length of places, in sixteenths
-        self.a0, self.a1, self.a2 = (np.full(rows * n, ALL >> 1, np.int32) for n in (1, 8, 4))
-        self.w1, self.w2 = np.full(rows, ALL >> 2, np.int32), np.full(rows, ALL >> 1, np.int32)
-        self.b, self.new = np.full(rows * 4, ALL >> 2, np.int32), np.full(rows, ALL >> 1, np.int32)
-        self.last, self.before = np.zeros(rows, np.uint32), np.zeros(rows, np.uint32)
+        self.size = np.zeros(rows, np.int64)
+        self.state = np.full(rows, 5 * 16, np.int64)           # mean length of places, in sixteenths
+        # of each row: 8 estimates of order 1, 4 of order 2, 4 that the order-1 id is right
+        self.some = np.repeat([ALL >> 1, ALL >> 1, ALL >> 1, ALL >> 2], 4)[None].repeat(rows, 0).ravel().astype(np.int32)
+        self.a0, self.new = np.full(rows, ALL >> 1, np.int32), np.full(rows, ALL >> 1, np.int32)
+        self.weights = np.array([[ALL >> 2], [ALL >> 1]], np.int32).repeat(rows, 1)
+        self.mixed, self.before = np.zeros(rows, np.uint32), np.zeros(rows, np.uint32)
+        self.last = np.zeros(rows, np.uint32)
         row = np.arange(rows)
-        self.row1, self.row2, self.row4, self.row8 = row << ONE, row << TWO, row << 2, row << 3
+        self.row = np.stack([row, (rows << ONE) + row])
+        self.row16 = np.stack([row << 4, (row << 4) + 8, (row << 4) + 12])
+        # bounds of what is coded: order-2 id, order-1 id, new id, other id
+        self.bounds = np.zeros((5, rows), np.int64)
+        self.bounds[4] = ALL
+        self.across = row
+        self.rows = rows
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Upper bounds in ALL of: the order-2 id, the order-1 id, an id new to the block."""
-        mixed = self.last[:n] * _K1
-        self.at1 = self.row1[:n] + _slot(mixed, ONE)
-        self.at2 = self.row2[:n] + _slot(mixed + self.before[:n] * _K2, TWO)
-        self.one1, self.two2 = one, two = self.one[self.at1], self.two[self.at2]
-        self.p1, self.s1, self.p2, self.s2 = one >> 2, one & 3, two >> 2, two & 3
-        self.has2, self.any1 = self.s2 > 0, self.s1 > 0
-        same = self.p1 == self.p2
-        self.has1 = self.any1 & ~(same & self.has2)
-        self.set1, self.set2 = self.has1.astype(np.int32), self.has2.astype(np.int32)
-        self.i1 = self.row8[:n] + ((self.s1 << 1) + same.view(np.int8))
-        self.i2, self.ib = self.row4[:n] + self.s2, self.row4[:n] + self.s1
-        self.q0, self.q1, self.q2 = self.a0[:n], self.a1[self.i1], self.a2[self.i2]
-        w1, w2 = self.w1[:n], self.w2[:n]
-        self.mix = (self.q0 * (ALL - w1 - w2) + self.q1 * w1 + self.q2 * w2) >> 15
-        up2 = _within(self.mix, LEAST, MOST) * self.set2
-        self.qb = self.b[self.ib]
-        up1 = up2 + (((ALL - up2) * _within(self.qb, LEAST, MOST)) >> 15) * self.set1
-        return up2, up1, up1 + np.maximum(((ALL - up1) * _within(self.new[:n], LEAST, MOST)) >> 15, 1)
-
-    def places(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The ids' places in the rows' lists, -1 for those that are not there."""
-        slot = self.place[(rows << PLACES) + _slot(ids.view(np.uint32) * _K1, PLACES)].astype(np.int64)
-        return np.where((slot < self.size[rows]) & (self.ids[rows * BLOCK + slot] == ids), slot, -1)
-
-    def learn(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, missed: np.ndarray,
-              place: np.ndarray) -> None:
-        """After ``ids`` in the first n rows; ``place`` is of the missed rows."""
-        aim = hit2.astype(np.int32) << 15
-        sign = ((aim >> 14) - 1) * self.set2
-        self.w1[:n] = _within(self.w1[:n] + (((self.q1 - self.mix) * sign) >> 6), 1024, 15000)
-        self.w2[:n] = _within(self.w2[:n] + (((self.q2 - self.mix) * sign) >> 6), 1024, 15000)
-        self.a1[self.i1] = self.q1 + (((aim - self.q1) * self.set2) >> 5)
-        self.a2[self.i2] = self.q2 + ((aim - self.q2) >> 5)
-        self.a0[:n] += ((aim - self.q0) * self.set2) >> 5
-        self.b[self.ib] = self.qb + ((((hit1.astype(np.int32) << 15) - self.qb) * (self.has1 & ~hit2)) >> 5)
-        fresh = (ids << 2) | 1
-        for table, at, entry, sure, right in (
-                (self.one, self.at1, self.one1, self.s1, (self.p1 == ids) & self.any1),
-                (self.two, self.at2, self.two2, self.s2, (self.p2 == ids) & self.has2)):
-            # a right one gains confidence, up to 3; a wrong one of confidence 1 is replaced
-            table[at] = np.where(right, entry + (1 - ((sure + 1) >> 2)), np.where(sure > 1, entry - 1, fresh))
-        if len(missed):
-            mine = ids[missed]
-            base, slots = missed * BLOCK, missed << PLACES
-            new = place < 0
-            seen = self.new[missed]
-            self.new[missed] = seen + (((new.astype(np.int32) << 15) - seen) >> 5)
-            size = self.size[missed]
-            at = np.where(new, size, place)
-            state = self.state[missed]
-            self.state[missed] = state + np.where(new, 0, ((_LENGTH[at] << 4) - state) >> 3)
-            to = np.where(new, at, at >> 1)                # an id that came again halves its place
-            moved = np.flatnonzero(to != at)
-            back, old = base[moved], at[moved]
-            other = self.ids[back + to[moved]]
-            self.ids[back + old] = other
-            self.place[slots[moved] + _slot(other.astype(np.uint32) * _K1, PLACES)] = old
-            self.ids[base + to] = mine
-            self.place[slots + _slot(mine.view(np.uint32) * _K1, PLACES)] = to
-            self.size[missed] = size + new
-        self.before[:n] = self.last[:n]
+        slot = np.empty((2, n), np.uint32)
+        mixed = self.mixed[:n]
+        np.right_shift(mixed, np.uint32(32 - ONE), out=slot[0])
+        np.right_shift(mixed + self.before[:n], np.uint32(32 - TWO), out=slot[1])
+        self.at = at = slot.astype(np.int64)
+        at *= self.rows
+        at += self.row[:, :n]
+        self.entry = entry = self.guess[at]
+        self.sure = sure = entry & 3
+        self.any = known = sure > 0
+        same = (entry[0] ^ entry[1]) < 4
+        self.has = has = np.empty((2, n), bool)            # of order 2, of order 1
+        has[0] = known[1]
+        np.greater(known[0], same & known[1], out=has[1])
+        self.set = sets = has.astype(np.int32)
+        self.index = index = np.empty((3, n), np.int64)
+        index[:2] = sure
+        index[2] = index[0]
+        index += self.row16[:, :n]
+        index[0] += same.view(np.int8) << 2
+        self.q = q = np.empty((4, n), np.int32)
+        np.take(self.some, index, out=q[:3], mode="clip")
+        q[3] = q0 = self.a0[:n]
+        part = q[:2] - q0
+        part *= self.weights[:, :n]
+        mix = part[0]
+        mix += part[1]
+        mix >>= 15
+        mix += q0
+        self.mix = mix
+        chance = np.empty((3, n), np.int32)
+        chance[0], chance[1], chance[2] = mix, q[2], self.new[:n]
+        np.maximum(chance, LEAST, out=chance)
+        np.minimum(chance, MOST, out=chance)
+        chance[:2] *= sets
+        up2, up1, up0 = chance
+        rest = ALL - up2
+        up1 *= rest
+        up1 >>= 15
+        rest -= up1
+        up1 += up2
+        up0 *= rest
+        up0 >>= 15
+        np.maximum(up0, 1, out=up0)
+        up0 += up1
+        self.bounds[1:4, :n] = chance
+        return up2, up1, up0
+
+    def narrow(self, n: int, hit1: np.ndarray, missed: np.ndarray, new: np.ndarray, low: np.ndarray,
+               width: np.ndarray, unit: np.ndarray) -> None:
+        """The ranges after the first step; ``new`` is 1 for ids new to the block, of the missed rows."""
+        at = hit1.astype(np.int64)
+        at[missed] = 3 - new
+        at *= self.rows
+        at += self.across[:n]
+        bounds = self.bounds.ravel()
+        lower = bounds[at]
+        at += self.rows
+        upper = bounds[at]
+        upper -= lower
+        lower = lower.view(np.uint64)
+        lower *= unit
+        low[:n] += lower
+        np.multiply(unit, upper.view(np.uint64), out=width[:n])
+
+    def learn(self, n: int, ids: np.ndarray, mixed: np.ndarray, right: np.ndarray, hit1: np.ndarray) -> None:
+        """After ``ids`` in the first n rows, of which ``right`` were those predicted by order 1 and 2."""
+        hit2 = right[1]
+        aim, set2 = np.empty((4, n), np.int32), self.set[0]
+        np.left_shift(hit2, 15, out=aim[0], dtype=np.int32)
+        aim[1] = aim[3] = aim[0]
+        np.left_shift(hit1, 15, out=aim[2], dtype=np.int32)
+        sign = aim[0] >> 14
+        sign -= set2
+        step = self.q[:2] - self.mix
+        step *= sign
+        step >>= 6
+        weights = self.weights[:, :n]
+        weights += step
+        np.maximum(weights, 1024, out=weights)
+        np.minimum(weights, 15000, out=weights)
+        aim -= self.q
+        aim[:2] *= set2
+        aim[2] *= np.greater(self.has[1], hit2).view(np.int8)
+        aim[3] *= set2
+        aim >>= 5
+        aim += self.q
+        self.some[self.index] = aim[:3]
+        self.a0[:n] = aim[3]
+        # a right one gains confidence, up to 3; a wrong one of confidence 1 is replaced
+        entry, sure = self.entry, self.sure
+        fresh = ids << 2
+        fresh |= 1
+        wrong = np.logical_not(right)
+        entry += np.less(sure, 3).view(np.int8) * right.view(np.int8)
+        entry -= wrong.view(np.int8)
+        wrong &= sure < 2
+        step = fresh - entry
+        step *= wrong.view(np.int8)
+        entry += step
+        self.guess[self.at] = entry
+        np.multiply(self.last[:n], _K2, out=self.before[:n])
         self.last[:n] = ids
+        self.mixed[:n] = mixed
+
+    def move(self, missed: np.ndarray, mine: np.ndarray, slots: np.ndarray | None, new: np.ndarray,
+             size: np.ndarray, at: np.ndarray, state: np.ndarray, length: np.ndarray) -> None:
+        """After ids of the missed rows: those that are new (1) go to the end ``at`` of their
+        lists, others halve their place ``at``, of which ``length`` is the bit length."""
+        seen = self.new[missed]
+        step = new.astype(np.int32)
+        step <<= 15
+        step -= seen
+        step >>= 5
+        seen += step
+        self.new[missed] = seen
+        old = 1 - new
+        length = length << 4
+        length -= state
+        length >>= 3
+        length *= old
+        length += state
+        self.state[missed] = length
+        base = missed << (BLOCK.bit_length() - 1)
+        to = at >> old
+        moved = np.flatnonzero(to != at)
+        back, place = base[moved], at[moved]
+        other = self.ids[back + to[moved]]
+        back += place
+        self.ids[back] = other
+        base += to
+        self.ids[base] = mine
+        if slots is not None:
+            found = (other.astype(np.uint32) * _K1) >> np.uint32(32 - PLACES)
+            slot = found.astype(np.int64)
+            slot *= self.rows
+            slot += missed[moved]
+            self.place[slot] = place
+            self.place[slots] = to
+        size += new
+        self.size[missed] = size
 
 
 def _shrink(low: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -191,18 +288,20 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     ids = np.zeros((longest, len(order)), _small(id_bits))
     for j, i in enumerate(order):
         ids[:sizes[j], j] = blocks[i]
-    model = _Model(len(order), id_bits)
+    model, rest_bits = _Model(len(order), id_bits, True), _rest_bits(id_bits).astype(np.uint64)
     low = np.zeros(len(order), np.uint64)
     width = np.full(len(order), 0xFFFFFFFFFFFFFFFF, np.uint64)
     # an id takes two words at most, mostly less than half a one; two follow at the end
     out = np.zeros((len(order), longest // 2 + 4), np.uint32)
     end = np.zeros(len(order), np.int64)
 
-    def put(n):
-        need = _shrink(low[:n], width[:n])
-        out[need, end[need]] = low[need] >> _U32
-        end[need] += 1
-        low[need] <<= _U32
+    def put(low, width, rows=None):
+        need = _shrink(low, width)
+        lo, row = low[need], need if rows is None else rows[need]
+        at = end[row]
+        out[row, at] = lo >> _U32
+        end[row] = at + 1
+        low[need] = lo << _U32
         width[need] <<= _U32
 
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")
@@ -211,33 +310,44 @@ def encode_blocks(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
             out = np.concatenate([out, np.zeros((len(order), longest // 4 + 2 * 64), np.uint32)], axis=1)
         n = int(active[t])
         x = ids[t, :n].astype(np.int32)
-        up2, up1, up0 = model.predict(n)
-        hit2 = model.has2 & (x == model.p2)
-        hit1 = model.has1 & ~hit2 & (x == model.p1)
-        missed = np.flatnonzero(~(hit2 | hit1))
+        mixed = x.view(np.uint32) * _K1
+        model.predict(n)
+        # 4 * id + confidence, of which the id is the same and the confidence 1 to 3
+        differs = model.entry ^ (x << 2)
+        differs -= 1
+        right = differs.view(np.uint32) < 3
+        hit1 = right[0] & model.has[1]
+        missed = np.flatnonzero(hit1 == right[1])          # never both
         mine = x[missed]
-        place = model.places(mine, missed)
-        new = place < 0
-        lower, upper = np.where(hit2, 0, up2), np.where(hit2, up2, up1)
-        lower[missed] = np.where(new, up1[missed], up0[missed])
-        upper[missed] = np.where(new, up0[missed], ALL)
-        unit = width[:n] >> np.uint64(15)
-        low[:n] += unit * lower.astype(np.uint64)
-        width[:n] = unit * (upper - lower).astype(np.uint64)
-        put(n)
+        slots = (mixed[missed] >> np.uint32(32 - PLACES)).astype(np.int64)
+        slots *= len(order)
+        slots += missed
+        place, size = model.place[slots].astype(np.int64), model.size[missed]
+        found = (missed << (BLOCK.bit_length() - 1)) + place
+        new = ((place >= size) | (model.ids[found] != mine)).astype(np.int64)
+        model.narrow(n, hit1, missed, new, low, width, width[:n] >> np.uint64(15))
+        put(low[:n], width[:n])
         if len(missed):
-            length = _LENGTH[place]
-            entry = (model.state[missed] >> 4).astype(np.int64) * 13 + length
-            first = np.where(new, 0, _LOWER[entry])
-            share = np.where(new, 4096, _WIDE[entry])
-            bits = np.where(new, id_bits, np.maximum(length - 1, 0)).astype(np.uint64)
-            rest = np.where(new, mine, place - ((np.int32(1) << length) >> 1)).astype(np.uint64)
-            unit = width[missed] >> np.uint64(12)
-            part = (unit * share.astype(np.uint64)) >> bits
-            low[missed] += unit * first.astype(np.uint64) + part * rest
-            width[missed] = part
-            put(n)
-        model.learn(n, x, hit2, hit1, missed, place)
+            at = size - place
+            at *= new
+            at += place
+            length, state = _LENGTH[at], model.state[missed]
+            entry = (state >> 4) * 13
+            entry += length
+            entry += (_NEW - entry) * new
+            rest = at - _BASE[entry]
+            rest += (mine - rest) * new
+            part = width[missed]
+            part >>= np.uint64(12)
+            lo = part * _FIRST[entry]
+            part *= _SHARE[entry]
+            part >>= rest_bits[entry]
+            lo += part * rest.view(np.uint64)
+            lo += low[missed]
+            put(lo, part, missed)
+            low[missed], width[missed] = lo, part
+            model.move(missed, mine, slots, new, size, at, state, length)
+        model.learn(n, x, mixed, right, hit1)
     rows = np.arange(len(order))
     for word in (low >> _U32, low & _LOW):
         out[rows, end] = word
@@ -259,14 +369,17 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
     code = (words[at].astype(np.uint64) << _U32) | words[at + 1]
     at += 2
     ids = np.zeros((longest, len(order)), _small(id_bits))
-    model = _Model(len(order), id_bits)
+    model, rest_bits = _Model(len(order), id_bits, False), _rest_bits(id_bits)
+    most = (1 << rest_bits) - 1
     low = np.zeros(len(order), np.uint64)
     width = np.full(len(order), 0xFFFFFFFFFFFFFFFF, np.uint64)
 
-    def take(n):
-        need = _shrink(low[:n], width[:n])
-        code[need] = (code[need] << _U32) | words[at[need]]
-        at[need] += 1
+    def take(low, width, rows=None):
+        need = _shrink(low, width)
+        row = need if rows is None else rows[need]
+        place = at[row]
+        code[row] = (code[row] << _U32) | words[place]
+        at[row] = place + 1
         low[need] <<= _U32
         width[need] <<= _U32
 
@@ -277,37 +390,52 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], id_bits: int) -> list
         unit = width[:n] >> np.uint64(15)
         value = np.minimum((code[:n] - low[:n]) // unit, np.uint64(ALL - 1)).astype(np.int32)
         hit2 = value < up2
-        hit1 = ~hit2 & (value < up1)
-        missed = np.flatnonzero(value >= up1)
-        new = value[missed] < up0[missed]
-        lower, upper = np.where(hit2, 0, up2), np.where(hit2, up2, up1)
-        lower[missed] = np.where(new, up1[missed], up0[missed])
-        upper[missed] = np.where(new, up0[missed], ALL)
-        low[:n] += unit * lower.astype(np.uint64)
-        width[:n] = unit * (upper - lower).astype(np.uint64)
-        take(n)
-        x = np.where(hit2, model.p2, model.p1)
-        place = np.zeros(0, np.int64)
+        under = value < up1
+        hit1 = under > hit2
+        missed = np.flatnonzero(~under)
+        new = (value[missed] < up0[missed]).astype(np.int64)
+        model.narrow(n, hit1, missed, new, low, width, unit)
+        take(low[:n], width[:n])
+        x = model.entry[1] - model.entry[0]
+        x *= hit2.view(np.int8)
+        x += model.entry[0]
+        x >>= 2
         if len(missed):
-            unit = width[missed] >> np.uint64(12)
-            value = np.minimum((code[missed] - low[missed]) // unit, np.uint64(4095)).astype(np.int32)
-            state = (model.state[missed] >> 4).astype(np.int64)
-            length = _AT[state * 4096 + value]
-            entry = state * 13 + length
-            first = np.where(new, 0, _LOWER[entry])
-            share = np.where(new, 4096, _WIDE[entry])
-            bits = np.where(new, np.int32(id_bits), np.maximum(length - 1, 0))
-            low[missed] += unit * first.astype(np.uint64)
-            part = (unit * share.astype(np.uint64)) >> bits.astype(np.uint64)
-            rest = np.minimum((code[missed] - low[missed]) // part, _LOW).astype(np.int64)
-            rest = np.minimum(rest, (np.int64(1) << bits) - 1)
-            low[missed] += part * rest.astype(np.uint64)
-            width[missed] = part
-            take(n)
-            place = np.where(new, -1, rest + ((np.int32(1) << length) >> 1))
-            x[missed] = np.where(new, rest, model.ids[missed * BLOCK + np.maximum(place, 0)])
+            part = width[missed] >> np.uint64(12)
+            lo = low[missed]
+            gone = code[missed] - lo
+            state = model.state[missed]
+            entry = np.minimum(gone // part, np.uint64(4095)).view(np.int64)
+            entry += (state >> 4) << 12
+            length = _AT[entry]
+            entry = (state >> 4) * 13
+            entry += length
+            entry += (_NEW - entry) * new
+            first = part * _FIRST[entry]
+            part *= _SHARE[entry]
+            part >>= rest_bits[entry].view(np.uint64)
+            gone -= first
+            rest = np.minimum(gone // part, _LOW).astype(np.int64)
+            np.minimum(rest, most[entry], out=rest)
+            lo += first
+            lo += part * rest.view(np.uint64)
+            take(lo, part, missed)
+            low[missed], width[missed] = lo, part
+            size = model.size[missed]
+            place = rest + _BASE[entry]
+            place += (size - place) * new
+            mine = model.ids[(missed << (BLOCK.bit_length() - 1)) + np.minimum(place, BLOCK - 1)].astype(np.int64)
+            mine += (rest - mine) * new
+            mine = mine.astype(np.int32)
+            x[missed] = mine
+            model.move(missed, mine, None, new, size, place, state, length)
         ids[t, :n] = x
-        model.learn(n, x, hit2, hit1, missed, place)
+        right = np.empty((2, n), bool)
+        differs = model.entry[0] ^ (x << 2)
+        differs -= 1
+        np.less(differs.view(np.uint32), 3, out=right[0])
+        right[1] = hit2
+        model.learn(n, x, x.view(np.uint32) * _K1, right, hit1)
     del model
     rows = np.ascontiguousarray(ids.T)
     found: list[np.ndarray] = [rows[0]] * len(payloads)
@@ -356,14 +484,14 @@ class _Known:
     """Ids of pieces by hash: an open-addressing table, searched for many pieces at once.
     Each piece's bytes are kept and compared, so a piece is never taken for another."""
 
-    BITS, PROBES = 20, 12
+    BITS, PROBES = 21, 12
 
     def __init__(self):
         self.keys = np.zeros(1 << self.BITS, np.uint64)
         self.values = np.zeros(1 << self.BITS, np.int32)
-        self.sizes, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.sizes, self.at = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
-        self.bytes, self.ends = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.bytes, self.ends = np.zeros(0, np.uint8), np.zeros(1, np.int32)
 
     def find(self, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Numbers of the pieces data[start:end] of hashes h, -1 for those not here."""
@@ -388,15 +516,16 @@ class _Known:
             rest, slot = rest[on], (slot[on] + 1) & ((1 << self.BITS) - 1)
         return out
 
-    def add(self, h: np.ndarray, raw: list[bytes], parts: list[bytes]) -> np.ndarray:
-        """Numbers of new, distinct pieces: their hashes, bytes and ids."""
+    def add(self, h: np.ndarray, raw: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of new, distinct pieces: their hashes, bytes, ids and numbers of ids. What
+        is added before ``full`` is one chunk's, so 32-bit places are wide enough."""
         self.bytes = np.append(self.bytes, np.frombuffer(b"".join(raw), np.uint8))
-        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum([len(p) for p in raw]))
-        sizes = np.array([len(p) >> 2 for p in parts], np.int64)
+        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        self.ends = np.append(self.ends, ends.astype(np.int32))
         number = len(self.sizes) + np.arange(len(h))
-        self.at = np.append(self.at, len(self.ids) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.ids = np.append(self.ids, np.frombuffer(b"".join(parts), np.uint32))
+        self.at = np.append(self.at, (len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int32))
+        self.sizes = np.append(self.sizes, sizes.astype(np.int32))
+        self.ids = np.append(self.ids, ids)
         slot, rest = (h >> np.uint64(64 - self.BITS)).astype(np.int64), np.arange(len(h))
         for _ in range(self.PROBES):             # those that find no slot are looked up in vain next time
             free = self.keys[slot] == 0
@@ -415,7 +544,24 @@ class _Known:
 #: byte-level pieces name bytes by characters: printable ones stand for themselves, the
 #: other bytes follow from U+0100
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_NAMES = {b: b for b in _SHOWN} | {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+_NAMES = np.zeros(256, "<u2")
+_NAMES[_SHOWN] = _SHOWN
+_NAMES[sorted(set(range(256)) - set(_SHOWN))] = 0x100 + np.arange(256 - len(_SHOWN))
+
+
+def _words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether pieces, which follow each other in ``data``, are letters up to U+017F after at
+    most one space. (Letters of U+00AA to U+00BA are not looked for.)"""
+    letter = _LETTER[data].copy()
+    second = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5)) + 1
+    second = second[(data[second - 1] != 0xC3) | ((data[second] != 0x97) & (data[second] != 0xB7))]
+    letter[second - 1] = letter[second] = True
+    space = data[start] == 0x20
+    letter[start[space]] = True
+    return np.logical_and.reduceat(letter, start) & (end - start > space)
+
+
+_ID = attrgetter("id")
 
 
 class _Encoder:
@@ -425,29 +571,36 @@ class _Encoder:
         self.tokenizer, self.known = load(path), _Known()
         self.model = self.tokenizer.model
 
-    def _word(self, p: bytes) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(p.decode("latin-1").translate(_NAMES))]).tobytes()
-
-    def pieces(self, raw: list[bytes]) -> list[bytes]:
-        """Ids of pieces. One of letters after at most one space is a single word of the
-        pattern, so the model takes it as it is; others go through the whole encoder."""
-        out: list[bytes] = [b""] * len(raw)
-        rest = []
-        for i, p in enumerate(raw):
-            word = p[1:] if p[:1] == b" " else p
-            if word.isalpha():                     # of bytes: ASCII letters
-                out[i] = self._word(p)
-            else:
-                text = p.decode()
-                if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()) and max(text) < "\u0180":
-                    out[i] = self._word(p)
+    def pieces(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, and how many each has. One of letters after at most one space is a single
+        word of the pattern, so the model takes it as it is; others go through the whole encoder."""
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        end = np.cumsum(size)
+        start = end - size
+        plain = _words(data, start, end)
+        named = _NAMES[data].tobytes().decode("utf-16-le")
+        n = np.zeros(len(raw), np.int64)
+        parts = []
+        for some in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            found = [np.zeros(0, np.uint32)]
+            for i in range(0, len(some), 4000):
+                few = some[i:i + 4000]
+                if plain[few[0]]:
+                    words = [named[s:e] for s, e in zip(start[few].tolist(), end[few].tolist(), strict=True)]
+                    tokens = list(map(self.model.tokenize, words))
+                    ids = map(_ID, chain.from_iterable(tokens))
                 else:
-                    rest.append((i, text))
-        for i in range(0, len(rest), 4000):
-            found = self.tokenizer.encode_batch([t for _, t in rest[i:i + 4000]], add_special_tokens=False)
-            for (j, _), e in zip(rest[i:i + 4000], found, strict=True):
-                out[j] = array("I", e.ids).tobytes()
-        return out
+                    tokens = [e.ids for e in self.tokenizer.encode_batch(
+                        [raw[j].decode() for j in few.tolist()], add_special_tokens=False)]
+                    ids = chain.from_iterable(tokens)
+                n[few] = np.fromiter(map(len, tokens), np.int64, len(few))
+                found.append(np.fromiter(ids, np.uint32, int(n[few].sum())))
+            parts.append((some, np.concatenate(found)))
+        at, out = np.cumsum(n) - n, np.zeros(int(n.sum()), np.uint32)
+        for some, ids in parts:
+            out[ragged(at[some], n[some])] = ids
+        return out, n
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, offsets of the rows in them)"""
@@ -462,7 +615,7 @@ class _Encoder:
                 first, back = distinct_spans(data, start[miss], end[miss], h[miss])
                 raw, first = data.tobytes(), miss[first]
                 new = [raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-                number[miss] = self.known.add(h[first], new, self.pieces(new))[back]
+                number[miss] = self.known.add(h[first], new, *self.pieces(new))[back]
             n = self.known.sizes[number]
             ends = np.concatenate([[0], np.cumsum(n)])
             ids = self.known.ids[ragged(self.known.at[number], n)]

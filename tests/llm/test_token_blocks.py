@@ -174,3 +174,37 @@ def test_a_worker_keeps_known_pieces(monkeypatch):
 def test_end_id_beyond_the_tokenizer_s_bits(spark):
     with pytest.raises(ValueError, match="end id"):
         tb.write(documents(spark, ["a"]), PATH, folder(spark), end_id=1 << 20)
+
+
+def test_new_pieces_are_encoded_in_bulk():
+    """Pieces of letters go to the model, others to the whole encoder, and come back in their order."""
+    raw = [p.encode() for p in ("é", " é", " ", "a", " a", "ªb", " µ", "ŉo", " ſtraße", "×", " ÷a", "don't", " 'll", "ƀa",
+                                " Ångström", "\n", "  ", "x1", "<|endoftext|>", " wordword", "中文", "aé×", " Žižek")]
+    raw *= 400
+    ids, sizes = tb._Encoder(PATH).pieces(raw)
+    whole = [tb.load(PATH).encode(p.decode(), add_special_tokens=False).ids for p in raw]
+    assert sizes.tolist() == [len(x) for x in whole] and ids.tolist() == [i for x in whole for i in x]
+
+
+def test_a_worker_s_known_pieces_outlast_many_tasks():
+    """Of 600,000 pieces of three ids none is forgotten: a task of 17 MB brings 70,000 to 290,000 new ones."""
+    known, n = tb._Known(), 600_000
+    h = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    raw = [b"%07d" % i for i in range(n)]
+    known.add(h, raw, np.zeros(3 * n, np.uint32), np.full(n, 3))
+    assert not known.full()
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    at = 7 * np.arange(n)
+    assert (known.find(h, data, at, at + 7) == np.arange(n)).mean() > 0.999
+
+
+def test_reader_keeps_no_places_of_ids():
+    import tracemalloc
+    blocks = [np.array([i, 7, i]) for i in range(1_024)]
+    coded = tb.encode_blocks(blocks, 16)
+    tracemalloc.start()
+    found = tb.decode_blocks(coded, [3] * len(blocks), 16)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() for a, b in zip(blocks, found, strict=True))
+    assert most < 20 << 20, most
